@@ -12,6 +12,7 @@ import json
 import re
 import unicodedata
 from collections import Counter
+from functools import lru_cache
 from typing import Any
 
 import pyarrow as pa
@@ -58,6 +59,8 @@ def loads_lenient(text: str | None) -> Any:
 def split_at_stop(text: str, stop: str, loads) -> tuple[Any, str, str] | None:
     """From the last stop token backwards: the first one whose prefix parses.
     Returns value, prefix text and trailing text."""
+    if stop not in text:
+        return None
     hits = [m.start() for m in re.finditer(re.escape(stop), text)]
     for at in reversed(hits):
         head = text[:at].rstrip()
@@ -125,8 +128,11 @@ def canonical_length(c: Column) -> Column:
     return run(c)
 
 
+_SORTED = json.JSONEncoder(ensure_ascii=False, sort_keys=True)
+
+
 def json_length(value: Any) -> int:
-    return len(json.dumps(value, ensure_ascii=False, sort_keys=True))
+    return len(_SORTED.encode(value))
 
 
 def string_list(c: Column) -> Column:
@@ -160,15 +166,22 @@ def string_list(c: Column) -> Column:
 
 
 # ------------------------------------------------------- text normal forms
+_QUOTES = str.maketrans("", "", "“”\"'`")
+_SPACES = re.compile(r"\s+")
+_ROUGH = re.compile(r"[^\w가-힣%]+")
+
+
+@lru_cache(maxsize=1 << 15)
 def clean(text: str) -> str:
-    text = unicodedata.normalize("NFKC", text).strip()
-    text = re.sub(r"[“”\"'`]", "", text)
-    text = re.sub(r"\s+", " ", text)
+    if not text.isascii():
+        text = unicodedata.normalize("NFKC", text)
+    text = _SPACES.sub(" ", text.strip().translate(_QUOTES))
     return text.strip(".,;:!?()[]{}").lower()
 
 
+@lru_cache(maxsize=1 << 15)
 def coarse(text: str) -> str:
-    return re.sub(r"[^\w가-힣%]+", "", clean(text))
+    return _ROUGH.sub("", clean(text))
 
 
 def clean_text(c: Column) -> Column:
@@ -199,12 +212,32 @@ def flatten_kv(node: Any):
             yield path, 0, value
 
 
-def _key_order(mapping: dict) -> list[str]:
-    """Numeric order when every key reads as an integer, else text order."""
+def count_leaves(node: Any) -> int:
+    """Number of leaves ``flatten_kv`` gives."""
+    todo, n = [node], 0
+    while todo:
+        value = todo.pop()
+        if isinstance(value, dict):
+            todo.extend(value.values())
+        elif isinstance(value, list) and any(isinstance(x, (dict, list)) for x in value):
+            todo.extend(value)
+        else:
+            n += max(len(value), 1) if isinstance(value, list) else 1
+    return n
+
+
+@lru_cache(maxsize=1 << 12)
+def _ordered(keys: tuple[str, ...]) -> tuple[str, ...]:
     try:
-        return sorted(mapping, key=int)
+        return tuple(sorted(keys, key=int))
     except ValueError:
-        return sorted(mapping)
+        return tuple(sorted(keys))
+
+
+def _key_order(mapping: dict) -> tuple[str, ...]:
+    """Numeric order when every key reads as an integer, else text order.
+    Rows of a table share their keys, so orders are memoised."""
+    return _ordered(tuple(mapping))
 
 
 def _rows(table: Any) -> list:
@@ -225,8 +258,9 @@ def flatten_tables(tables: Any):
         return
     for name in _key_order(tables):
         rows = _rows(tables[name])
+        columns = _columns(rows)
         for i, row in enumerate(rows):
-            for column in _columns(rows):
+            for column in columns:
                 yield (name, column), i, row.get(column, "") if isinstance(row, dict) else ""
         if not rows:
             yield (name,), 0, ""
@@ -251,55 +285,18 @@ def flatten_results(results: Any):
     return [((t,), 0, v) for t, v in found.items()], invalid, repeats
 
 
-LEAF = pa.struct(
-    [
-        ("path", pa.string()),  # SEP before every step, so () and ('',) differ
-        ("idx", pa.int32()),
-        ("text", pa.string()),  # stripped; null for JSON null
-        ("coarse", pa.string()),
-        ("n_value", pa.int32()),  # how-many-th leaf with this text,
-        ("n_path", pa.int32()),  # ... text and path,
-        ("n_row", pa.int32()),  # ... text and index,
-        ("n_cell", pa.int32()),  # ... text, path and index,
-        ("n_coarse", pa.int32()),  # ... coarse text,
-        ("n_place", pa.int32()),  # ... path and index
-    ]
-)
-LEAF_DDL = (
-    "struct<path:string,idx:int,text:string,coarse:string,n_value:int,n_path:int,"
-    "n_row:int,n_cell:int,n_coarse:int,n_place:int>"
-)
-
-
-def leaf_records(leaves) -> list[dict]:
-    """Leaves with running occurrence numbers. With them a multiset
-    intersection is a plain ``array_intersect`` on (key, number)."""
-    seen: Counter = Counter()
-
-    def nth(*key) -> int:
-        seen[key] += 1
-        return seen[key]
-
-    out = []
-    for path, idx, value in leaves:
-        text = None if value is None else str(value).strip()
-        rough = "" if value is None else coarse(str(value))
-        place = "".join(SEP + step for step in path)
-        out.append(
-            {
-                "path": place,
-                "idx": idx,
-                "text": text,
-                "coarse": rough,
-                "n_value": nth("v", text),
-                "n_path": nth("p", place, text),
-                "n_row": nth("r", idx, text),
-                "n_cell": nth("c", place, idx, text),
-                "n_coarse": nth("o", rough),
-                "n_place": nth("l", place, idx),
-            }
-        )
-    return out
+LEAF = pa.struct([("path", pa.string()), ("idx", pa.int32()), ("text", pa.string())])
+LEAF_DDL = "struct<path:string,idx:int,text:string>"
+
+
+def place(path: tuple[str, ...]) -> str:
+    """Path as text; SEP leads every step, so () and ('',) differ."""
+    return "".join(SEP + step for step in path)
+
+
+def leaf_text(value: Any) -> str | None:
+    """Stripped text of a scalar; null for JSON null."""
+    return None if value is None else str(value).strip()
 
 
 def flatten(c: Column, shape: str = "kv") -> Column:
@@ -309,7 +306,11 @@ def flatten(c: Column, shape: str = "kv") -> Column:
     @F.arrow_udf(f"array<{LEAF_DDL}>")
     def run(c: pa.Array) -> pa.Array:
         values = (loads_strict(t) for t in c.to_pylist())
-        return pa.array([None if v is None else leaf_records(walk(v)) for v in values], pa.list_(LEAF))
+        rows = (
+            None if v is None else [{"path": place(p), "idx": i, "text": leaf_text(x)} for p, i, x in walk(v)]
+            for v in values
+        )
+        return pa.array(list(rows), pa.list_(LEAF))
 
     return run(c)
 
@@ -323,12 +324,24 @@ def table_facts(tables: Any) -> tuple[list[dict], list[dict]]:
         shapes.append({"name": name, "columns": sorted(_columns(rows)), "rows": len(rows)})
         for row in rows:
             if isinstance(row, dict):
-                key = json.dumps([[k, coarse(str(row[k]))] for k in _key_order(row)], ensure_ascii=False)
+                key = repr([(k, coarse(str(row[k]))) for k in _key_order(row)])
                 seen[name, key] += 1
                 signatures.append({"name": name, "row": key, "n": seen[name, key]})
     return shapes, signatures
 
 
+def struct_array(rows: list[tuple | None], kind: pa.StructType) -> pa.Array:
+    """Rows of field values to a struct column, built field by field (a list of
+    dicts takes several times as long)."""
+    blank = (None,) * kind.num_fields
+    fields = []
+    for f, values in zip(kind, zip(*(blank if r is None else r for r in rows)) if rows else [()] * kind.num_fields):
+        nested = pa.types.is_struct(f.type)
+        fields.append(struct_array(list(values), f.type) if nested else pa.array(values, f.type))
+    missing = pa.array([r is None for r in rows], pa.bool_())
+    return pa.StructArray.from_arrays(fields, fields=list(kind), mask=missing)
+
+
 def root_name(value: Any) -> str | None:
     if not isinstance(value, dict):
         return None

@@ -53,7 +53,9 @@ def label_mask_batch_report(df: DataFrame, report: str, by: list[str]) -> DataFr
 
 def label_mask_errors(df: DataFrame, report: str, by: list[str]) -> DataFrame:
     """The flattened errors of a set of rows, as counted lines."""
-    lines = df.select(*by, F.explode(F.col(report)["errors"]).alias("error"))
+    # the outer form: the inner one adds a filter on the array, which is pushed
+    # below the projections and repeats the whole audit expression there
+    lines = df.select(*by, F.explode_outer(F.col(report)["errors"]).alias("error")).where("error is not null")
     return lines.groupBy(*by, "error").agg(F.count("*").alias("rows"))
 
 

@@ -20,26 +20,33 @@ from tunetables.config import Extraction, KVOptions
 from tunetables.functions import jsonx
 from tunetables.functions import text as T
 
+_STRINGS = pa.list_(pa.string())
 _FACTS = pa.struct(
     [
         ("is_object", pa.bool_()),
-        ("keys", pa.list_(pa.string())),
+        ("keys", _STRINGS),
         ("root_ok", pa.bool_()),
         ("length", pa.int32()),
-        ("n_leaves", pa.int32()),
-        ("leaves", pa.list_(jsonx.LEAF)),
+        ("n_leaves", pa.int32()),  # by the walk the length rule counts with
+        ("n", pa.int32()),  # leaves to match
+        ("loose", _STRINGS),  # match keys without and
+        ("placed", _STRINGS),  # with the path, see leaf_keys
+        ("coarse", _STRINGS),  # occurrence number and coarse text
+        ("tops", _STRINGS),
+        ("places_repeat", pa.bool_()),
         ("invalid", pa.int32()),
         ("repeats", pa.int32()),
         (
             "tables",
-            pa.list_(pa.struct([("name", pa.string()), ("columns", pa.list_(pa.string())), ("rows", pa.int32())])),
+            pa.list_(pa.struct([("name", pa.string()), ("columns", _STRINGS), ("rows", pa.int32())])),
         ),
         ("signatures", pa.list_(pa.struct([("name", pa.string()), ("row", pa.string()), ("n", pa.int32())]))),
     ]
 )
 _FACTS_DDL = (
-    "struct<is_object:boolean,keys:array<string>,root_ok:boolean,length:int,n_leaves:int,"
-    f"leaves:array<{jsonx.LEAF_DDL}>,invalid:int,repeats:int,"
+    "struct<is_object:boolean,keys:array<string>,root_ok:boolean,length:int,n_leaves:int,n:int,"
+    "loose:array<string>,placed:array<string>,coarse:array<string>,tops:array<string>,"
+    "places_repeat:boolean,invalid:int,repeats:int,"
     "tables:array<struct<name:string,columns:array<string>,rows:int>>,"
     "signatures:array<struct<name:string,row:string,n:int>>>"
 )
@@ -56,9 +63,27 @@ _PAIR = pa.struct(
 _PAIR_DDL = f"struct<parsed:boolean,cut:boolean,trailing:string,root:string,pred:{_FACTS_DDL},gold:{_FACTS_DDL}>"
 
 
-def _facts(value, root: str) -> dict:
+def leaf_keys(leaves: list[tuple[str, str | None]]) -> list[str]:
+    """One string per (place, text): kind (T text, N null) with its occurrence
+    number, length of the place, place, text. Numbered like this, a multiset
+    intersection is a plain set operation on strings, which hashes."""
+    seen: dict[tuple, int] = {}
+    out = []
+    for leaf in leaves:
+        n = seen[leaf] = seen.get(leaf, 0) + 1
+        where, text = leaf
+        out.append(f"N{n} {len(where)} {where}" if text is None else f"T{n} {len(where)} {where}{text}")
+    return out
+
+
+def _read_key(key: str) -> tuple[str, str | None]:
+    head, length, rest = key.split(" ", 2)
+    return rest[: int(length)], None if head[0] == "N" else rest[int(length) :]
+
+
+def _facts(value, root: str) -> tuple:
     node = value.get(root) if isinstance(value, dict) else None
-    leaves, invalid, repeats, shapes, signatures = [], 0, 0, [], []
+    invalid, repeats, shapes, signatures = 0, 0, None, None
     if root == "results":
         leaves, invalid, repeats = jsonx.flatten_results(node)
     elif root == "tables":
@@ -66,19 +91,34 @@ def _facts(value, root: str) -> dict:
         shapes, signatures = jsonx.table_facts(node)
     else:
         leaves = list(jsonx.flatten_kv(node))
-    return {
-        "is_object": isinstance(value, dict),
-        "keys": list(value) if isinstance(value, dict) else [],
-        "root_ok": isinstance(node, list if root == "results" else dict),
-        "length": jsonx.json_length(node),
-        # tables are counted with the key-value walk, as the length rule wants
-        "n_leaves": sum(1 for _ in jsonx.flatten_kv(node)) if root == "tables" else len(leaves),
-        "leaves": jsonx.leaf_records(leaves),
-        "invalid": invalid,
-        "repeats": repeats,
-        "tables": shapes,
-        "signatures": signatures,
-    }
+    is_object, is_table = isinstance(value, dict), root == "tables"
+    texts = [jsonx.leaf_text(v) for _, _, v in leaves]
+    index = [f"{jsonx.SEP}{i}" if is_table else "" for _, i, _ in leaves]
+    places = [jsonx.place(path) for path, _, _ in leaves]
+    seen: dict[str, int] = {}
+    rough = []
+    for text in texts:
+        form = jsonx.coarse(text) if text else ""
+        if form:
+            seen[form] = seen.get(form, 0) + 1
+            rough.append(f"{seen[form]} {form}")
+    return (
+        is_object,
+        list(value) if is_object else [],
+        isinstance(node, list if root == "results" else dict),
+        jsonx.json_length(node),
+        jsonx.count_leaves(node) if is_table else len(leaves),
+        len(leaves),
+        leaf_keys(list(zip(index, texts))) if root != "results" else [],
+        leaf_keys([(p + i, t) for p, i, t in zip(places, index, texts)]),
+        rough,
+        list({path[0] for path, _, _ in leaves if path}),
+        len({(p, i) for p, (_, i, _) in zip(places, leaves)}) < len(leaves),
+        invalid,
+        repeats,
+        shapes,
+        signatures,
+    )
 
 
 def read_documents(answer: Column, solution: Column, opt: KVOptions) -> Column:
@@ -86,7 +126,7 @@ def read_documents(answer: Column, solution: Column, opt: KVOptions) -> Column:
     stop = opt.stop_token
     loads = jsonx.loads_strict if opt.strict_json else jsonx.loads_lenient
 
-    def row(text: str | None, gold_text: str | None) -> dict | None:
+    def row(text: str | None, gold_text: str | None) -> tuple | None:
         if text is None:
             return None
         text = text.strip()
@@ -95,18 +135,18 @@ def read_documents(answer: Column, solution: Column, opt: KVOptions) -> Column:
         gold = jsonx.solution_value(gold_text, stop)
         root = jsonx.root_name(gold)
         both = value is not None and root is not None
-        return {
-            "parsed": value is not None,
-            "cut": cut is not None,
-            "trailing": cut[2] if cut else "",
-            "root": root,
-            "pred": _facts(value, root) if both else None,
-            "gold": _facts(gold, root) if both else None,
-        }
+        return (
+            value is not None,
+            cut is not None,
+            cut[2] if cut else "",
+            root,
+            _facts(value, root) if both else None,
+            _facts(gold, root) if both else None,
+        )
 
     @F.arrow_udf(_PAIR_DDL)
     def run(a: pa.Array, s: pa.Array) -> pa.Array:
-        return pa.array([row(x, y) for x, y in zip(a.to_pylist(), s.to_pylist())], _PAIR)
+        return jsonx.struct_array([row(x, y) for x, y in zip(a.to_pylist(), s.to_pylist())], _PAIR)
 
     return run(answer, solution)
 
@@ -139,7 +179,7 @@ def length_cap(pred: Column, gold: Column, opt: KVOptions) -> Column:
 
 
 def leaf_balance_cap(pred: Column, gold: Column, opt: KVOptions) -> Column:
-    p, g = F.size(pred["leaves"]).cast("double"), F.size(gold["leaves"]).cast("double")
+    p, g = pred["n"].cast("double"), gold["n"].cast("double")
     extra = (g > 0) & (F.try_divide(p - g, g) > opt.extra_leaf_threshold)
     missing = (g > 0) & (F.try_divide(g - p, g) > opt.missing_leaf_threshold)
     return F.least(
@@ -148,28 +188,17 @@ def leaf_balance_cap(pred: Column, gold: Column, opt: KVOptions) -> Column:
     )
 
 
-def _coarse_keys(leaves: Column) -> Column:
-    return F.transform(leaves, lambda x: F.concat_ws(" ", x["n_coarse"].cast("string"), x["coarse"]))
-
-
 def _repeats_beyond_gold(pred: Column, gold: Column) -> Column:
-    """A coarse value occurs more often than max(gold count, 1)."""
-    again = F.filter(pred["leaves"], lambda x: (x["coarse"] != "") & (x["n_coarse"] > 1))
-    return F.size(F.array_except(_coarse_keys(again), _coarse_keys(gold["leaves"]))) > 0
-
-
-def _tops(leaves: Column) -> Column:
-    """First path steps ('' path has none); SEP leads every step."""
-    deep = F.filter(leaves, lambda x: x["path"] != "")
-    return F.array_distinct(F.transform(deep, lambda x: F.get(F.split(x["path"], jsonx.SEP), F.lit(1))))
+    """A coarse value occurs more often than max(gold count, 1): its second or
+    later occurrence has no counterpart."""
+    return F.exists(F.array_except(pred["coarse"], gold["coarse"]), lambda x: ~x.startswith("1 "))
 
 
 def kv_structure_cap(pred: Column, gold: Column, opt: KVOptions) -> Column:
-    p, g = _tops(pred["leaves"]), _tops(gold["leaves"])
-    apart = (F.size(p) > 0) & (F.size(g) > 0) & ~F.arrays_overlap(p, g)
+    apart = (F.size(pred["tops"]) > 0) & (F.size(gold["tops"]) > 0) & ~F.arrays_overlap(pred["tops"], gold["tops"])
     return F.least(
         leaf_balance_cap(pred, gold, opt),
-        _cap(F.exists(pred["leaves"], lambda x: x["n_place"] > 1), opt.duplicate_path_cap),
+        _cap(pred["places_repeat"], opt.duplicate_path_cap),
         _cap(_repeats_beyond_gold(pred, gold), opt.duplicate_value_cap),
         _cap(apart, opt.top_level_cap),
     )
@@ -211,7 +240,7 @@ def results_structure_cap(pred: Column, gold: Column, opt: KVOptions) -> Column:
 
 
 # ------------------------------------------------------------ similarity
-def similarity(pred: str | None, gold: str | None, opt: KVOptions, floor: float = 0.0, forms=None) -> float:
+def similarity(pred: str | None, gold: str | None, opt: KVOptions, floor: float = 0.0) -> float:
     """Value similarity; a result below ``floor`` may be returned as 0."""
     if (pred is None) != (gold is None):
         return opt.empty_mismatch_cap
@@ -219,14 +248,10 @@ def similarity(pred: str | None, gold: str | None, opt: KVOptions, floor: float
         return 1.0
     if not pred or not gold:
         return 0.0
-    forms = {} if forms is None else forms
-    for t in (pred, gold):
-        if t not in forms:
-            forms[t] = (jsonx.clean(t), jsonx.coarse(t))
-    (a, a_coarse), (b, b_coarse) = forms[pred], forms[gold]
+    a, b = jsonx.clean(pred), jsonx.clean(gold)
     if a == b:
         return min(opt.normalized_cap, opt.non_exact_cap)
-    if a_coarse == b_coarse:
+    if jsonx.coarse(pred) == jsonx.coarse(gold):
         cap = min(opt.coarse_cap, opt.non_exact_cap)
         return min(cap, opt.punctuation_cap) if _punctuation_differs(pred, gold) else cap
     matcher = SequenceMatcher(a=a, b=b)
@@ -251,46 +276,17 @@ def value_similarity(pred: Column, gold: Column, opt: KVOptions = KVOptions()) -
     return run(pred, gold)
 
 
-#: leaf fields that must agree for a pair to count, and the occurrence number
-#: that goes with them
-MODES = {
-    "value": ((), "n_value"),
-    "path_value": (("path",), "n_path"),
-    "row_value": (("idx",), "n_row"),
-    "path_row_value": (("path", "idx"), "n_cell"),
-}
-
-
-def _leaf_keys(leaves: Column, mode: str) -> Column:
-    """One string per leaf: kind and occurrence number, length of the place,
-    place, text. Strings hash, so set operations on them are linear."""
-    fields, number = MODES[mode]
-
-    def key(x: Column) -> Column:
-        place = F.concat_ws(jsonx.SEP, *[x[f].cast("string") for f in fields]) if fields else F.lit("")
-        kind = F.when(x["text"].isNull(), "N").otherwise("T")
-        head = F.concat(kind, x[number].cast("string"), F.lit(" "), F.length(place).cast("string"), F.lit(" "))
-        return F.concat(head, place, F.coalesce(x["text"], F.lit("")))
-
-    return F.transform(leaves, key)
-
-
-def _read_key(key: str) -> tuple[str, str | None]:
-    head, length, rest = key.split(" ", 2)
-    return rest[: int(length)], None if head[0] == "N" else rest[int(length) :]
-
-
 def _greedy(pred: list[str], gold: list[str], opt: KVOptions) -> tuple[float, int]:
     """Best pairs first, then gold order, then prediction order; one to one."""
     by_place = defaultdict(list)
     for j, key in enumerate(pred):
-        place, text = _read_key(key)
-        by_place[place].append((j, text))
-    found, forms = [], {}
+        where, text = _read_key(key)
+        by_place[where].append((j, text))
+    found = []
     for i, key in enumerate(gold):
-        place, text = _read_key(key)
-        for j, other in by_place[place]:
-            s = similarity(other, text, opt, opt.threshold, forms)
+        where, text = _read_key(key)
+        for j, other in by_place.get(where, ()):
+            s = similarity(other, text, opt, opt.threshold)
             if s >= opt.threshold:
                 found.append((-s, i, j))
     total, used_gold, used_pred = 0.0, set(), set()
@@ -302,27 +298,24 @@ def _greedy(pred: list[str], gold: list[str], opt: KVOptions) -> tuple[float, in
     return total, len(used_gold)
 
 
-def fuzzy_f1(pred: Column, gold: Column, mode: str, opt: KVOptions) -> Column:
-    """Greedy one-to-one F1 between two leaf arrays.
+def fuzzy_f1(pred_keys: Column, gold_keys: Column, opt: KVOptions) -> Column:
+    """Greedy one-to-one F1 between two arrays of leaf keys.
 
     Equal texts score 1 and nothing else can while the caps stay below 1, so
     they pair off first, by occurrence number; only the remainder is compared.
     """
-    n_pred, n_gold = F.size(pred), F.size(gold)
-    pred_keys, gold_keys = _leaf_keys(pred, mode), _leaf_keys(gold, mode)
+    n_pred, n_gold = F.size(pred_keys), F.size(gold_keys)
     if opt.non_exact_cap < 1.0 and opt.empty_mismatch_cap < 1.0:
-        hits = F.size(F.array_intersect(pred_keys, gold_keys))
-        both_left = (hits < n_pred) & (hits < n_gold)
-        left_pred = F.when(both_left, F.array_except(pred_keys, gold_keys))
-        left_gold = F.when(both_left, F.array_except(gold_keys, pred_keys))
+        left_pred, left_gold = F.array_except(pred_keys, gold_keys), F.array_except(gold_keys, pred_keys)
+        hits = n_pred - F.size(left_pred)
     else:
         hits, left_pred, left_gold = F.lit(0), pred_keys, gold_keys
     out = pa.struct([("score", pa.float64()), ("n", pa.int32())])
 
     @F.arrow_udf("struct<score:double,n:int>")
     def tail(p: pa.Array, g: pa.Array) -> pa.Array:
-        found = (_greedy(x, y, opt) if x and y else (0.0, 0) for x, y in zip(p.to_pylist(), g.to_pylist()))
-        return pa.array([{"score": s, "n": n} for s, n in found], out)
+        pairs = zip(p.to_pylist(), g.to_pylist())
+        return jsonx.struct_array([_greedy(x, y, opt) if x and y else (0.0, 0) for x, y in pairs], out)
 
     more = tail(left_pred, left_gold)
     matched = (hits + (more["score"] if opt.weighted else more["n"])).cast("double")
@@ -340,17 +333,19 @@ def clip01(c: Column) -> Column:
 
 
 def kv_content(pred: Column, gold: Column, opt: KVOptions) -> Column:
-    by_value, by_path = fuzzy_f1(pred, gold, "value", opt), fuzzy_f1(pred, gold, "path_value", opt)
-    return clip01(opt.kv_value_weight * by_value + opt.kv_path_weight * by_path)
+    """Values alone, and values at their paths."""
+    loose, placed = (fuzzy_f1(pred[f], gold[f], opt) for f in ("loose", "placed"))
+    return clip01(opt.kv_value_weight * loose + opt.kv_path_weight * placed)
 
 
 def table_content(pred: Column, gold: Column, opt: KVOptions) -> Column:
-    by_row, by_cell = fuzzy_f1(pred, gold, "row_value", opt), fuzzy_f1(pred, gold, "path_row_value", opt)
-    return clip01(opt.table_value_weight * by_row + opt.table_structure_weight * by_cell)
+    """Values by row, and values by cell."""
+    loose, placed = (fuzzy_f1(pred[f], gold[f], opt) for f in ("loose", "placed"))
+    return clip01(opt.table_value_weight * loose + opt.table_structure_weight * placed)
 
 
 def results_content(pred: Column, gold: Column, opt: KVOptions) -> Column:
-    return fuzzy_f1(pred, gold, "path_value", opt)
+    return fuzzy_f1(pred["placed"], gold["placed"], opt)
 
 
 def score_kv(
@@ -383,8 +378,7 @@ def score_kv(
     content, structure = F.lit(None).cast("double"), F.lit(None).cast("double")
     for name in roots:
         score, cap = of_shape[name]
-        p = F.when(root == name, pred["leaves"])
-        g = F.when(root == name, gold["leaves"])
+        p, g = F.when(root == name, pred), F.when(root == name, gold)
         content = F.coalesce(F.when(root == name, score(p, g, opt)), content)
         structure = F.coalesce(F.when(root == name, cap(pred, gold, opt)), structure)
     df = df.withColumns(

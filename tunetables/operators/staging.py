@@ -33,3 +33,11 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     path = stage_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Rows dealt out to all cores when a scan has fewer files than there are
+    cores, ahead of work that is heavy per row. Large tables have many files
+    and pass through as they are."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if len(df.inputFiles()) < cores else df

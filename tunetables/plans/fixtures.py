@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from tunetables.functions import tokens as K
 from tunetables.operators import shape as S
+from tunetables.operators.staging import spread
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages benchmark "
@@ -176,12 +177,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def frame(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:
-    """Run a fixture text over the tables it names."""
+def frame(spark: SparkSession, sf_dir: str, sql: str, heavy: bool = False) -> DataFrame:
+    """Run a fixture text over the tables it names; ``heavy`` work per row
+    follows."""
     for name in TABLES:
         if re.search(rf"\b(from|join) {name}\b", sql):
             table(spark, sf_dir, name).createOrReplaceTempView(name)
-    return spark.sql(sql)
+    return spread(spark.sql(sql)) if heavy else spark.sql(sql)
 
 
 #: turns per message array: (conv_id, turn) is the key of the turn table, so a

@@ -13,6 +13,7 @@ from tunetables.operators import rewards as R
 from tunetables.operators.bbox import score_bbox
 from tunetables.operators.kv import score_kv, value_similarity
 from tunetables.operators.selection import score_selection, selection_quality
+from tunetables.operators.staging import spread
 from tunetables.plans import fixtures as X
 from tunetables.plans.registry import query, r6
 
@@ -172,7 +173,7 @@ select fx.k, case when coalesce(o, 0) = 0 then 0.0::double
 
 def _rouge(kind: str, stem: bool):
     def run(spark: SparkSession, sf: str) -> DataFrame:
-        scored = R.score_rouge(X.frame(spark, sf, X.ROUGE), RougeOptions(kind, stem), output="rouge")
+        scored = R.score_rouge(X.frame(spark, sf, X.ROUGE, heavy=True), RougeOptions(kind, stem), output="rouge")
         return scored.select("k", r6("rouge").alias("rouge"))
 
     return run
@@ -221,7 +222,7 @@ with fx as ({X.TABLE})
 select k, line, unnest([0, 0, 1, 1]) as idx, unnest(['/0/part', '/0/qty', '/0/part', '/0/qty']) as path,
   unnest(['p' || p, q::varchar, 's' || s, (q + 100)::varchar]) as text from fx""")
 def json_flatten_tables(spark: SparkSession, sf: str) -> DataFrame:
-    df = X.frame(spark, sf, X.TABLE)
+    df = X.frame(spark, sf, X.TABLE, heavy=True)
     tables = F.get_json_object("solution", "$.tables")
     df = df.select("k", "line", F.explode(jsonx.flatten(tables, "tables")).alias("leaf"))
     return df.select(
@@ -240,7 +241,7 @@ select k, case when pos > 0 then substr(completion, 1, pos - 1) end as doc,
   case when k % 6 = 2 then completion end as whole,
   case when k % 6 = 5 then null when pos > 0 then substr(completion, 1, pos - 1) else completion end as lenient from s""")
 def split_stop(spark: SparkSession, sf: str) -> DataFrame:
-    df = X.frame(spark, sf, X.KV)
+    df = X.frame(spark, sf, X.KV, heavy=True)
     c = F.col("completion")
     compact = lambda x: F.replace(F.replace(x, F.lit(": "), F.lit(":")), F.lit(", "), F.lit(","))
     cut = jsonx.split_stop(c, "<stop>")
@@ -264,7 +265,7 @@ select k, case when doc is null then 0.0::double when na = 0 then 0.0::double
     case when not contains(completion, '<stop>') then 0.6 when split_part(completion, '<stop>', 2) <> '' then 0.2 else 1.0 end), 6)::double
   end as kv_reward from q""")
 def kv_reward(spark: SparkSession, sf: str) -> DataFrame:
-    scored = score_kv(X.frame(spark, sf, X.KV), roots=("kv",))
+    scored = score_kv(X.frame(spark, sf, X.KV, heavy=True), roots=("kv",))
     return scored.select("k", r6("kv_reward").alias("kv_reward"))
 
 
@@ -276,7 +277,7 @@ m as (select *, [4, 2, 4, 3, 4][v + 1] as rows_hit, [4, 2, 3, 3, 4][v + 1] as ce
   [1.0, 0.6, 0.5, 1.0, 0.6][v + 1] as cap from fx)
 select k, line, p, round(least(0.4 * 2 * rows_hit / (n + 4) + 0.6 * 2 * cells_hit / (n + 4), cap), 6)::double as kv_reward from m""")
 def kv_table_reward(spark: SparkSession, sf: str) -> DataFrame:
-    scored = score_kv(X.frame(spark, sf, X.TABLE), roots=("tables",))
+    scored = score_kv(X.frame(spark, sf, X.TABLE, heavy=True), roots=("tables",))
     return scored.select("k", "line", "p", r6("kv_reward").alias("kv_reward"))
 
 
@@ -287,7 +288,7 @@ p as (select *, case v when 2 then 1 else 2 end as n from fx)
 select k, line, p, round(least(2.0 * n / (n + 2), case v when 1 then 0.6 when 2 then 0.6 when 3 then 0.2 else 1.0 end), 6)::double as kv_reward
 from p""")
 def kv_results_reward(spark: SparkSession, sf: str) -> DataFrame:
-    scored = score_kv(X.frame(spark, sf, X.RESULTS), roots=("results",))
+    scored = score_kv(X.frame(spark, sf, X.RESULTS, heavy=True), roots=("results",))
     return scored.select("k", "line", "p", r6("kv_reward").alias("kv_reward"))
 
 
@@ -312,7 +313,7 @@ with c as (select doc_id, regexp_replace({_strip("text")}, '[“”"''`]', '', '
 d as (select doc_id, lower(trim(regexp_replace(t, '\\s+', ' ', 'g'), '.,;:!?()[]{{}}')) as clean from c)
 select doc_id, clean, regexp_replace(clean, '[^\\p{{L}}\\p{{N}}_%]+', '', 'g') as coarse from d""")
 def text_normal_forms(spark: SparkSession, sf: str) -> DataFrame:
-    return X.table(spark, sf, "documents").select(
+    return spread(X.table(spark, sf, "documents")).select(
         "doc_id", jsonx.clean_text(F.col("text")).alias("clean"), jsonx.coarse_normalise(F.col("text")).alias("coarse")
     )
 
@@ -335,7 +336,7 @@ select k, case when absent then 1.0::double
   else round(least(1.0, greatest(0.0, 0.2 + case when same_page then 0.2 + 0.5 * iou + case when iou >= 0.5 then 0.3 else 0 end
     + case when iou >= 0.7 then 0.2 else 0 end + 0.1 else 0 end)), 6)::double end as bbox_reward from i""")
 def bbox_reward(spark: SparkSession, sf: str) -> DataFrame:
-    scored = score_bbox(X.frame(spark, sf, X.BBOX), output="bbox_reward")
+    scored = score_bbox(X.frame(spark, sf, X.BBOX, heavy=True), output="bbox_reward")
     return scored.select("k", r6("bbox_reward").alias("bbox_reward"))
 
 
@@ -347,7 +348,7 @@ q as (select *, case v when 0 then 1.0 when 1 then (0.6 * 2.0 / 3) / 1.2 / 2
 select k, line, a, c, case when v = 5 then 0.0::double when v = 4 then 0.1::double
   else round(greatest(0.0, base + (1 - base) * quality - case when v = 2 then 0.3 else 0.0 end), 6)::double end as evidence_reward from q""")
 def evidence_reward(spark: SparkSession, sf: str) -> DataFrame:
-    scored = score_selection(X.frame(spark, sf, X.EVIDENCE), output="evidence_reward")
+    scored = score_selection(X.frame(spark, sf, X.EVIDENCE, heavy=True), output="evidence_reward")
     return scored.select("k", "line", "a", "c", r6("evidence_reward").alias("evidence_reward"))
 
 
