@@ -25,7 +25,8 @@ def brute(queries, items, k):
     return out
 
 
-@pytest.mark.parametrize("options", [{}, {"small_query_bytes": 0}, {"small_query_bytes": 0, "item_block": 20, "query_block": 7}])
+@pytest.mark.parametrize("options", [{}, {"small_query_bytes": 0}, {"small_query_bytes": 0, "item_block": 20, "query_block": 7},
+                                     {"small_query_bytes": 0, "cell_rows": 9, "item_block": 13, "query_block": 4}])
 @pytest.mark.parametrize("copies,text", [(0, False), (60, True)])
 def test_knn(spark, options, copies, text):
     q, qr = vectors(spark, 30, "qid", "vector", 1)
@@ -36,6 +37,20 @@ def test_knn(spark, options, copies, text):
     assert got == brute(qr, ir, 7)
 
 
+def test_cells_prune_and_stay_exact(spark):
+    """Clustered vectors: far fewer pairs than all, same answer."""
+    rng = np.random.default_rng(5)
+    centres = rng.normal(size=(12, 8)) * 10
+    mat = np.float32(centres[np.arange(600) % 12] + rng.normal(size=(600, 8)) * 0.1)
+    rows = [(i, [float(x) for x in v]) for i, v in enumerate(mat)]
+    items = spark.createDataFrame(rows, "item_id int, embedding array<float>")
+    queries = spark.createDataFrame(rows[:40], "qid int, vector array<float>")
+    got = {}
+    for r in R.knn(queries, items, 5, small_query_bytes=0, cell_rows=20).orderBy("qid", "rank").collect():
+        got.setdefault(r.qid, []).append(r.item_id)
+    assert got == brute(rows[:40], rows, 5)
+
+
 def test_few_items(spark):
     q, _ = vectors(spark, 3, "qid", "vector", 1)
     i, _ = vectors(spark, 2, "item_id", "embedding", 2)

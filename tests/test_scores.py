@@ -507,7 +507,7 @@ def test_rouge(spark):
 
 def test_equation(spark):
     assert [evaluate(t) for t in ("1+2*3", "-(4)/8", "7//2", "2**3", "1/0", "007", "2(3)", "9**9**9", "", "a")] == [7, -0.5, 3, 8] + [None] * 6
-    rows = [("(3+4)*2", 14.0, [2, 3, 4], 1.0), ("3+4", 7.0, [3, 3], 0.0), ("3+4 = 7", 7.0, [3, 4], 0.0), ("answer: 4+3", 7.0, [3, 4], 1.0), ("3+4", 8.0, [3, 4], 0.0), ("3+4", None, [3, 4], None)]
+    rows = [("2*(3+4)*1", 14.0, [1, 2, 3, 4], 1.0), ("(3+4)*2", 14.0, [2, 3, 4], 0.0), ("3+4", 7.0, [3, 3], 0.0), ("3+4 = 7", 7.0, [3, 4], 0.0), ("answer: 4+3", 7.0, [3, 4], 1.0), ("3+4", 8.0, [3, 4], 0.0), ("3+4", None, [3, 4], None)]
     df = spark.createDataFrame([("equation", *r) for r in rows], "category string, completion string, target double, numbers array<int>, want double")
     assert [(r.equation_reward, r.want) for r in R.score_equation(df).collect()] == [(r[3], r[3]) for r in rows]
 

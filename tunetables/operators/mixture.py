@@ -9,6 +9,7 @@ only that bucket is ordered, and the cut value filters the scan.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -39,20 +40,23 @@ def _histogram(tokens: DataFrame) -> DataFrame:
     return per.withColumn("before", running - F.col("n"))
 
 
-def cutoff(tokens: DataFrame, n: int | Column) -> Column:
+def cutoff(tokens: DataFrame, n: int | Callable[[Column], Column]) -> Column:
     """Scalar: the n-th smallest value of column ``t`` (null when n < 1, the
-    largest when there are fewer)."""
-    hist = _histogram(tokens)
-    total = hist.agg(F.sum("n")).scalar()
-    n = F.least(F.lit(n).cast("bigint") if isinstance(n, int) else n, total)
-    edge = hist.where((F.col("before") < n) & (F.col("before") + F.col("n") >= n))
-    inside = tokens.where(_bucket(F.col("t")) == edge.select("bucket").scalar())
-    place = F.row_number().over(W.orderBy("t"))
-    hit = inside.select("t", place.alias("place")).where(F.col("place") == n - edge.select("before").scalar())
-    return hit.select("t").scalar()
-
-
-def sample_exact(df: DataFrame, n: int | Column, key: str, seed: int) -> DataFrame:
+    largest when there are fewer). ``n`` may be a function of the row count.
+
+    Two scans of the one column: the histogram, and the bucket of the cut.
+    """
+    total = F.sum("n").over(W.partitionBy(F.lit(0)))
+    hist = _histogram(tokens).withColumn("total", total)
+    wanted = F.lit(n).cast("bigint") if isinstance(n, int) else n(F.col("total"))
+    hist = hist.withColumn("wanted", F.least(wanted, F.col("total")) - F.col("before"))
+    edge = hist.where(F.col("wanted").between(1, F.col("n"))).select("bucket", "wanted")
+    inside = tokens.withColumn("bucket", _bucket(F.col("t"))).join(F.broadcast(edge), "bucket")  # one row
+    place = F.row_number().over(W.partitionBy("bucket").orderBy("t"))
+    return inside.withColumn("place", place).where(F.col("place") == F.col("wanted")).select("t").scalar()
+
+
+def sample_exact(df: DataFrame, n: int, key: str, seed: int) -> DataFrame:
     """Exactly n rows (all, when there are fewer), no repeats."""
     token = order_token(key, seed)
     return df.where(token <= cutoff(df.select(token.alias("t")), n))
@@ -167,17 +171,23 @@ def weighted_mixture(
     return out if out is not None else spark.createDataFrame([], "a int")
 
 
+def with_split_flag(df: DataFrame, key: str, ratio: float, seed: int, name: str = "is_val") -> DataFrame:
+    """Rows flagged as held out: ceil(rows * ratio) of them, in one scan once
+    the cut is known."""
+    token = order_token(key, seed)
+    tokens = df.select(token.alias("t"))
+    cut = cutoff(tokens, lambda total: F.ceil(total * F.lit(float(ratio))))
+    return df.withColumn(name, F.coalesce(token <= cut, F.lit(False)))
+
+
 def train_val_split(
     df: DataFrame, key: str, ratio: float, seed: int, strict: bool = True
 ) -> tuple[DataFrame, DataFrame]:
-    """Shuffled hold-out of ceil(rows * ratio). Without ``strict`` the training
-    side keeps every row and overlaps the validation side."""
-    token = order_token(key, seed)
-    tokens = df.select(token.alias("t"))
-    n = F.ceil(tokens.agg(F.count("*").alias("n")).scalar() * F.lit(float(ratio)))
-    cut = cutoff(tokens, n)
-    val = df.where(token <= cut)
-    return (df.where(F.coalesce(token > cut, F.lit(True))) if strict else df), val
+    """Shuffled hold-out. Without ``strict`` the training side keeps every row
+    and overlaps the validation side."""
+    flagged = with_split_flag(df, key, ratio, seed, "_val")
+    train = flagged.where(~F.col("_val")).drop("_val") if strict else df
+    return train, flagged.where("_val").drop("_val")
 
 
 def select_indices(df: DataFrame, order: list[str], indices: DataFrame, column: str = "idx") -> DataFrame:
@@ -218,11 +228,12 @@ def vocabulary_additions(
 ) -> DataFrame:
     """Tokens of one script that the base lacks, cut to a multiple.
 
-    The cut drops fewer than ``multiple`` tokens from the end of the order, so
-    only that tail is ever sorted; the rest is one filter.
+    The additions are a vocabulary, far smaller than the text it comes from, so
+    they are written once. The cut drops fewer than ``multiple`` tokens from the
+    end of the order: only that tail is ever sorted, the rest is one filter.
     """
     wanted = new.where(contains_hangul(F.col(token)) if script is None else script).select(token).distinct()
-    added = wanted.join(base.select(token).distinct(), token, "left_anti")
+    added = materialise(wanted.join(base.select(token).distinct(), token, "left_anti"), "additions")
     n = added.agg(F.count("*")).scalar()
     tail = added.orderBy(F.desc(token)).limit(multiple - 1)
     place = F.row_number().over(W.orderBy(F.desc(token)))

@@ -44,13 +44,26 @@ def stringify_nested(df: DataFrame) -> DataFrame:
     )
 
 
+def pivot_rewards(long: DataFrame, key: str, names: list[str]) -> DataFrame:
+    """One column per reward from (key, reward, value). The names are given, so
+    no extra pass finds them."""
+    return long.groupBy(key).pivot("reward", names).agg(F.first("value"))
+
+
 def completion_log(
-    long: DataFrame, rows: DataFrame, key: str, step: int, names: list[str], extras: list[str] = (), images: str | None = None
+    scored: DataFrame,
+    key: str,
+    step: int,
+    names: list[str],
+    prompt: str = "prompt",
+    completion: str = "completion",
+    advantage: str = "advantage",
+    extras: list[str] = (),
+    images: str | None = None,
 ) -> DataFrame:
-    """Wide log table: step, prompt, completion, one column per reward, extras,
-    advantage, optional images. ``long`` has key, reward, value; the pivot
-    values are given, so no extra pass finds them."""
-    wide = long.groupBy(key).pivot("reward", names).agg(F.first("value"))
-    tail = [*extras, "advantage", *([images] if images else [])]
-    out = rows.join(wide, key).withColumn("step", F.lit(step))
-    return out.select(key, "step", "prompt", "completion", *[F.col(f"`{n}`") for n in names], *tail)
+    """Log table of rows that carry their reward columns: key, step, prompt,
+    completion, rewards, extras, advantage, optional images. A projection."""
+    wide = [F.col(f"`{n}`") for n in (*names, *extras)]
+    tail = [F.col(images).alias("image_artifacts")] if images else []
+    head = [F.col(key), F.lit(step).alias("step"), F.col(prompt).alias("prompt"), F.col(completion).alias("completion")]
+    return scored.select(*head, *wide, F.col(advantage).alias("advantage"), *tail)

@@ -1,10 +1,17 @@
 """Vector retrieval: exact top-k, hit-rank and nDCG rewards.
 
-Top-k is an exact block product. A query set whose vectors are proven small is
-sent to the item tasks; otherwise items and queries are hashed into blocks of
-bounded size, each pair of blocks is one task's matrix product, and only k rows
-per query and item block leave it. Blocks are cut by a hash of the id, so
-copies of one vector spread evenly.
+Top-k is exact in all three forms of the search:
+
+* a query set whose vectors are proven small is sent to the item tasks;
+* otherwise items and queries are hashed into blocks of bounded size, each pair
+  of blocks is one task's matrix product, and only k rows per query and item
+  block leave it;
+* item sets large enough for it are cut into cells around sample vectors. For a
+  cell of centre p and radius r no item scores above q.p + |q| r, so a first
+  search of the nearest cells gives every query a bar, and only cells that can
+  pass the bar are searched. Cells are split into blocks of bounded size.
+
+Blocks are cut by a hash of the id, so copies of one vector spread evenly.
 """
 
 from __future__ import annotations
@@ -14,17 +21,23 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tunetables.config import HitOptions, NdcgOptions
+from tunetables.operators.staging import materialise
 
 #: scores are compared in single precision: digits kept before ranking
 DIGITS = 7
 ITEM_BLOCK = 50_000
 QUERY_BLOCK = 10_000
 SMALL_QUERY_BYTES = 32 << 20
+#: items per cell aimed at, and the largest number of cells (their centres and
+#: radii are held by every task)
+CELL_ROWS = 4_000
+MAX_CELLS = 1024
 
 
 def _top(qids, qmat: np.ndarray, ids, mat: np.ndarray, k: int) -> Iterator[pd.DataFrame]:
@@ -69,6 +82,7 @@ def knn(
     item_block: int = ITEM_BLOCK,
     query_block: int = QUERY_BLOCK,
     small_query_bytes: int = SMALL_QUERY_BYTES,
+    cell_rows: int = CELL_ROWS,
 ) -> DataFrame:
     """(qid, item_id, score, rank): the k items of highest inner product.
     Fewer than k items give fewer rows."""
@@ -81,7 +95,11 @@ def knn(
     if size.n * (size.d + 2 * k) * 8 <= small_query_bytes:
         found = _sent_to_items(q, i, k, schema, item_block)
     else:
-        found = _block_product(q, i, k, schema, item_block, query_block)
+        cells = min(MAX_CELLS, i.count() // cell_rows)
+        if cells > 1:
+            found = _cell_search(q, i, k, schema, item_block, query_block, cells)
+        else:
+            found = _block_product(q, i, k, schema, item_block, query_block)
     best = W.partitionBy("qid").orderBy(F.desc("score"), "item_id")
     return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
 
@@ -117,8 +135,11 @@ def _block_product(q: DataFrame, i: DataFrame, k: int, schema: str, item_block:
         every = F.explode(F.sequence(F.lit(0), F.lit(n_other - 1))).alias(other)
         return df.withColumnRenamed("_home", mine).select("*", every)
 
-    left = with_blocks(q, "_qb", "_ib", n_i).groupBy("_qb", "_ib")
-    right = with_blocks(i, "_ib", "_qb", n_q).groupBy("_qb", "_ib")
+    return _product(with_blocks(q, "_qb", "_ib", n_i), with_blocks(i, "_ib", "_qb", n_q), k, schema)
+
+
+def _product(left: DataFrame, right: DataFrame, k: int, schema: str) -> DataFrame:
+    """Local top-k of every (query block, item block) pair."""
 
     def product(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
         if a.empty or b.empty:
@@ -126,7 +147,91 @@ def _block_product(q: DataFrame, i: DataFrame, k: int, schema: str, item_block:
         found = _top(a["qid"].to_numpy(), _matrix(a["vector"]), b["item_id"].to_numpy(), _matrix(b["embedding"]), k)
         return pd.concat(found)
 
-    return left.cogroup(right).applyInPandas(product, schema)
+    return left.groupBy("_qb", "_ib").cogroup(right.groupBy("_qb", "_ib")).applyInPandas(product, schema)
+
+
+def _into_cells(df: DataFrame, vector: str, centres: Broadcast) -> DataFrame:
+    """Nearest centre of every vector and the distance to it, written out: it
+    is read several times and must not change between the readings."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        p = centres.value
+        for batch in batches:
+            if len(batch):
+                m = _matrix(batch[vector])
+                near = np.argmax(m @ p.T - 0.5 * np.sum(p * p, axis=1), axis=1)
+                yield batch.assign(cell=near.astype(np.int32), gap=np.linalg.norm(m - p[near], axis=1))
+
+    fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in df.schema)
+    return materialise(df.mapInPandas(run, f"{fields}, cell int, gap double"), "cells")
+
+
+def _cell_search(
+    q: DataFrame, i: DataFrame, k: int, schema: str, item_block: int, query_block: int, cells: int
+) -> DataFrame:
+    spark = q.sparkSession
+    sample = i.orderBy(F.md5(F.col("item_id").cast("string"))).limit(cells).collect()  # at most MAX_CELLS
+    centres = spark.sparkContext.broadcast(np.stack([r.embedding for r in sample]).astype(np.float64))
+    items, queries = _into_cells(i, "embedding", centres), _into_cells(q, "vector", centres)
+
+    def sizes(df: DataFrame) -> list:  # one row per cell
+        return df.groupBy("cell").agg(F.count("*").alias("n"), F.max("gap").alias("r")).collect()
+
+    def block(facts: list, rows: int, key: str) -> tuple[Column, Column]:
+        parts = [1] * cells
+        for f in facts:
+            parts[f.cell] = math.ceil(f.n / rows)
+        n = F.get(F.array(*map(F.lit, parts)), F.col("cell"))
+        return n, F.col("cell").cast("bigint") + cells * F.pmod(F.xxhash64(key), n)
+
+    item_facts = sizes(items)
+    count, radius = np.zeros(cells), np.full(cells, -np.inf)
+    for f in item_facts:
+        count[f.cell], radius[f.cell] = f.n, f.r
+    n_parts, item_home = block(item_facts, item_block, "item_id")
+    _, query_home = block(sizes(queries), query_block, "qid")
+    items = items.select("item_id", "embedding", item_home.alias("_ib"))
+    queries = queries.select("qid", "vector", query_home.alias("_qb"))
+
+    def search(asked: DataFrame, choose) -> DataFrame:
+        """Top-k over the cells ``choose`` names for each query."""
+
+        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for batch in batches:
+                if len(batch):
+                    m = _matrix(batch["vector"])
+                    named = choose(m @ centres.value.T, np.linalg.norm(m, axis=1), batch)
+                    yield batch[["qid", "vector", "_qb"]].assign(cells=named)
+
+        kind = asked.schema["qid"].dataType.simpleString()
+        vec = asked.schema["vector"].dataType.simpleString()
+        named = asked.mapInPandas(run, f"qid {kind}, vector {vec}, _qb bigint, cells array<int>")
+        named = named.select("qid", "vector", "_qb", F.explode("cells").alias("cell"))
+        part = F.explode(F.sequence(F.lit(0), n_parts - 1))
+        left = named.select("qid", "vector", "_qb", "cell", part.alias("_p"))
+        left = left.select("qid", "vector", "_qb", (F.col("cell").cast("bigint") + cells * F.col("_p")).alias("_ib"))
+        pairs = left.select("_qb", "_ib").distinct().toDF("_qb", "_ib")
+        return _product(left, items.join(pairs, "_ib"), k, schema)
+
+    def nearest(scores: np.ndarray, norms: np.ndarray, batch: pd.DataFrame) -> list:
+        """The cells of best centre score that hold k items together."""
+        order = np.argsort(-scores, axis=1)
+        enough = np.cumsum(count[order], axis=1) >= k
+        last = np.where(enough.any(axis=1), enough.argmax(axis=1), cells - 1)
+        return [row[: n + 1].tolist() for row, n in zip(order, last)]
+
+    def passing(scores: np.ndarray, norms: np.ndarray, batch: pd.DataFrame) -> list:
+        """The cells whose bound reaches the bar, less rounding."""
+        bar = batch["bar"].fillna(-np.inf).to_numpy()[:, None]
+        reach = scores + norms[:, None] * radius
+        slack = 1e-6 + 1e-9 * np.abs(reach)
+        able = np.where(np.isfinite(reach), reach + slack >= bar, False)
+        return [np.flatnonzero(row).tolist() for row in able]
+
+    best = W.partitionBy("qid").orderBy(F.desc("score"), "item_id")
+    first = search(queries, nearest).withColumn("_r", F.row_number().over(best))
+    bars = materialise(first.where(F.col("_r") == k).select("qid", F.col("score").alias("bar")), "bars")
+    return search(queries.join(bars, "qid", "left"), passing)
 
 
 VERSIONS = ("original", "rewritten")

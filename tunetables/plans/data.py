@@ -137,16 +137,15 @@ s as (select o_orderkey, case when rn <= ceil((select count(*) from orders) * 0.
 
 @query(_SPLIT + "select o_orderkey, split from s")
 def holdout_split(spark: SparkSession, sf: str) -> DataFrame:
-    train, val = M.train_val_split(X.table(spark, sf, "orders"), "o_orderkey", 0.1, SEED, strict=True)
-    side = lambda df, name: df.select("o_orderkey", F.lit(name).alias("split"))
-    return side(train, "train").unionByName(side(val, "val"))
+    flagged = M.with_split_flag(X.table(spark, sf, "orders"), "o_orderkey", 0.1, SEED)
+    return flagged.select("o_orderkey", F.when(F.col("is_val"), "val").otherwise("train").alias("split"))
 
 
 @query(_SPLIT + "select count(*) as train_rows, count(*) filter (split = 'val') as shared from s")
 def holdout_overlap(spark: SparkSession, sf: str) -> DataFrame:
-    train, val = M.train_val_split(X.table(spark, sf, "orders"), "o_orderkey", 0.1, SEED, strict=False)
-    both = train.select("o_orderkey").join(val.select("o_orderkey", F.lit(1).alias("v")), "o_orderkey", "left")
-    return both.agg(F.count("*").alias("train_rows"), F.count("v").alias("shared"))
+    """Rows a loose split shares between its two sides."""
+    flagged = M.with_split_flag(X.table(spark, sf, "orders"), "o_orderkey", 0.1, SEED)
+    return flagged.agg(F.count("*").alias("train_rows"), F.count_if("is_val").alias("shared"))
 
 
 @query("""

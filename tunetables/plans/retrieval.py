@@ -33,7 +33,7 @@ def knn_topk(spark: SparkSession, sf: str) -> DataFrame:
 def _queries(spark: SparkSession, sf: str) -> DataFrame:
     """Original vector v and rewritten vector v + 1 (the last one wraps)."""
     e = X.table(spark, sf, "embeddings")
-    last = e.agg(F.max("vec_id")).scalar()
+    last = e.agg(F.max("vec_id")).first()[0]
     follow = F.when(F.col("vec_id") == last, F.lit(0)).otherwise(F.col("vec_id") + 1).alias("rid")
     q = e.select(F.col("vec_id").alias("k"), "label", F.col("embedding").alias("original"), follow)
     return q.join(e.select(F.col("vec_id").alias("rid"), F.col("embedding").alias("rewritten")), "rid")

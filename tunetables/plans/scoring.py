@@ -396,8 +396,12 @@ select k, 7 as step, category as prompt, completion, match_reward_neg0p25, think
   '{"k":' || k || ',"category":"' || category || '"}' as extra, 0.0::double as advantage from paired""")
 def completion_log(spark: SparkSession, sf: str) -> DataFrame:
     scored, names = _scored(spark, sf)
-    long = R.to_long(scored, ["k"], names)
-    rows = X.frame(spark, sf, X.MATCH).select(
-        "k", F.col("category").alias("prompt"), "completion", F.struct("k", "category").alias("extra"), F.lit(0.0).alias("advantage")
-    )
-    return P.stringify_nested(P.completion_log(long, rows, "k", 7, names, ["extra"]))
+    scored = scored.withColumns({"extra": F.struct("k", "category"), "advantage": F.lit(0.0)})
+    return P.stringify_nested(P.completion_log(scored, "k", 7, names, prompt="category", extras=["extra"]))
+
+
+@query(_ALL_SQL + "select k, match_reward_neg0p25, think_format_reward from paired")
+def pivot_rewards(spark: SparkSession, sf: str) -> DataFrame:
+    """Long score table and back: one column per reward again."""
+    scored, names = _scored(spark, sf)
+    return P.pivot_rewards(R.to_long(scored, ["k"], names), "k", names)
