@@ -60,20 +60,30 @@ def response_spans(starts: Column, ends: Column, pattern_length: int) -> Column:
     return F.aggregate(starts, begin, step, lambda acc: acc["spans"])
 
 
-def _inside(spans: Column, i: Column) -> Column:
-    return F.exists(spans, lambda s: (i >= s["from"]) & (s["to"].isNull() | (i < s["to"])))
-
-
 def label_mask(ids: Column, spans: Column, attention: Column | None = None) -> Column:
-    """Ids inside a span, IGNORED elsewhere and where attention is 0."""
-
-    def at(x: Column, i: Column) -> Column:
-        keep = _inside(spans, i)
-        if attention is not None:
-            keep = keep & (F.get(attention, i) != 0)
-        return F.when(keep, x).otherwise(F.lit(IGNORED))
-
-    return F.transform(ids, at)
+    """Ids inside a span, IGNORED elsewhere and where attention is 0.
+
+    Built from slices and fillers between them, so the cost is the length of
+    the row, however many spans it has. Spans start and end in rising order but
+    may overlap; the shared part belongs to the earlier one.
+    """
+    n = F.size(ids)
+
+    def end(s: Column) -> Column:
+        return F.greatest(s["from"], F.coalesce(s["to"], n))
+
+    def piece(s: Column, i: Column) -> Column:
+        done = F.when(i > 0, end(F.get(spans, i - 1))).otherwise(0)
+        start = F.greatest(s["from"], done)
+        filler = F.array_repeat(F.lit(IGNORED), start - done)
+        return F.concat(filler, F.slice(ids, start + 1, F.greatest(end(s) - start, F.lit(0))))
+
+    covered = F.when(F.size(spans) > 0, end(F.try_element_at(spans, F.lit(-1)))).otherwise(0)
+    rest = F.array_repeat(F.lit(IGNORED), F.greatest(n - covered, F.lit(0)))
+    labels = F.concat(F.flatten(F.transform(spans, piece)), rest)
+    if attention is None:
+        return labels
+    return F.zip_with(labels, attention, lambda x, on: F.when(on != 0, x).otherwise(F.lit(IGNORED)))
 
 
 def label_mask_report(
