@@ -35,9 +35,12 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: a scan of fewer files than this may be too small to fill the cores
+FEW_FILES = 32
+
+
 def spread(df: DataFrame) -> DataFrame:
-    """Rows dealt out to all cores when a scan has fewer files than there are
-    cores, ahead of work that is heavy per row. Large tables have many files
-    and pass through as they are."""
+    """Rows of a scan of a few files dealt out to all cores, ahead of work that
+    is heavy per row. Large tables have many files and pass through unshuffled."""
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if len(df.inputFiles()) < cores else df
+    return df.repartition(cores) if len(df.inputFiles()) < min(cores, FEW_FILES) else df

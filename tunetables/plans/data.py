@@ -148,6 +148,12 @@ def holdout_overlap(spark: SparkSession, sf: str) -> DataFrame:
     return flagged.agg(F.count("*").alias("train_rows"), F.count_if("is_val").alias("shared"))
 
 
+@query(f"""
+select doc_id, lang from documents order by md5('{SEED}:' || doc_id), doc_id::varchar limit 100""")
+def sample_exact(spark: SparkSession, sf: str) -> DataFrame:
+    return M.sample_exact(X.table(spark, sf, "documents"), 100, "doc_id", SEED).select("doc_id", "lang")
+
+
 @query("""
 with t as (select doc_id, length(text) + length(lang) + length(source) + length(doc_id::varchar) + length(n_chars::varchar) as score,
   length(text) as sequence_length from documents)

@@ -8,9 +8,9 @@ from pyspark.sql import functions as F
 from tunetables.config import CodeOptions, Extraction, MatchOptions, RougeOptions
 from tunetables.functions import jsonx
 from tunetables.functions import text as T
+from tunetables.operators import bbox as B
 from tunetables.operators import report as P
 from tunetables.operators import rewards as R
-from tunetables.operators.bbox import score_bbox
 from tunetables.operators.kv import score_kv, value_similarity
 from tunetables.operators.selection import score_selection, selection_quality
 from tunetables.operators.staging import spread
@@ -336,10 +336,33 @@ select k, case when absent then 1.0::double
   else round(least(1.0, greatest(0.0, 0.2 + case when same_page then 0.2 + 0.5 * iou + case when iou >= 0.5 then 0.3 else 0 end
     + case when iou >= 0.7 then 0.2 else 0 end + 0.1 else 0 end)), 6)::double end as bbox_reward from i""")
 def bbox_reward(spark: SparkSession, sf: str) -> DataFrame:
-    scored = score_bbox(X.frame(spark, sf, X.BBOX, heavy=True), output="bbox_reward")
+    scored = B.score_bbox(X.frame(spark, sf, X.BBOX, heavy=True), output="bbox_reward")
     return scored.select("k", r6("bbox_reward").alias("bbox_reward"))
 
 
+# unit squares of two pages, shifted against each other by the line's numbers
+_BOXES = """
+select l_orderkey as k, l_linenumber as line, l_partkey % 60 as dx, l_suppkey % 60 as dy, 1 + l_linenumber % 2 as page from lineitem"""
+
+
+@query(f"""
+with fx as ({_BOXES}), o as (select *, greatest(0, 100 - dx) * greatest(0, 100 - dy) as shared from fx)
+select k, line, dx, dy, round(shared / (20000 - shared), 6)::double as iou, 0.01::double as area, dx <= 50 and dy <= 50 as centred,
+  page = 1 and shared / (20000 - shared) >= 0.5 as overlaps from o""")
+def box_geometry(spark: SparkSession, sf: str) -> DataFrame:
+    def box(x, y, page):
+        sides = {"x1": x, "y1": y, "x2": x + 100, "y2": y + 100}
+        return F.struct(page.cast("bigint").alias("page"), *[v.cast("double").alias(n) for n, v in sides.items()])
+
+    df = X.frame(spark, sf, _BOXES)
+    df = df.withColumns({"a": box(F.lit(0), F.lit(0), F.lit(1)), "b": box(F.col("dx"), F.col("dy"), F.col("page"))})
+    a, b = F.col("a"), F.col("b")
+    return df.select(
+        "k", "line", "dx", "dy", r6(B.iou(a, b)).alias("iou"), B.area(b).alias("area"),
+        (B.center_inside(b, a) & B.center_inside(a, b)).alias("centred"), B.overlaps(F.array(a), F.array(b), 0.5).alias("overlaps"),
+    )
+
+
 @query(f"""
 with fx as ({X.EVIDENCE}),
 q as (select *, case v when 0 then 1.0 when 1 then (0.6 * 2.0 / 3) / 1.2 / 2
