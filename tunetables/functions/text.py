@@ -55,20 +55,23 @@ def extract_answer(c: Column, ext: Extraction = Extraction()) -> Column:
     if ext.is_answer_tag:
         pattern = f"(?siu){_tag(ext.answer_start, ext)}(.*?){_tag(ext.answer_end, ext)}"
         return strip(F.regexp_extract(c, pattern, 1))
+    # Plain searches first: most texts hold no delimiter, and a pattern costs
+    # several times as much over a long text.
+    hashes, opens = c.contains("###"), c.contains("<")
+    thought = opens if ext.think_end.startswith("<") else F.lit(True)
     # Answer delimiters, in order of precedence.
     patterns = [
-        rf"(?sU)###{WS}*Start{WS}*\n(.*?)\n?###{WS}*End",
-        r"(?siu)<solution>(.*?)</solution>",
-        r"(?siu)<answer>(.*?)</answer>",
-        rf"(?sU)###{WS}*Start{WS}*\n(.*)\z",
-        r"(?siu)<solution>(.*)\z",
-        r"(?siu)<answer>(.*)\z",
-        rf"(?siuU){_tag(ext.think_end, ext)}{WS}*(.*?){WS}*(?:{_tag(ext.eos, ext)}|$)",
+        (hashes, rf"(?sU)###{WS}*Start{WS}*\n(.*?)\n?###{WS}*End"),
+        (opens, r"(?siu)<solution>(.*?)</solution>"),
+        (opens, r"(?siu)<answer>(.*?)</answer>"),
+        (hashes, rf"(?sU)###{WS}*Start{WS}*\n(.*)\z"),
+        (opens, r"(?siu)<solution>(.*)\z"),
+        (opens, r"(?siu)<answer>(.*)\z"),
+        (thought, rf"(?siuU){_tag(ext.think_end, ext)}{WS}*(.*?){WS}*(?:{_tag(ext.eos, ext)}|$)"),
     ]
-    out = None
-    for p in patterns:
-        hit = strip(F.regexp_extract(c, p, 1))
-        out = F.when(c.rlike(p), hit) if out is None else out.when(c.rlike(p), hit)
+    out = F
+    for guard, p in patterns:
+        out = out.when(guard & c.rlike(p), strip(F.regexp_extract(c, p, 1)))
     return out.otherwise(c)
 
 

@@ -332,20 +332,21 @@ def clip01(c: Column) -> Column:
     return F.least(F.greatest(c, F.lit(0.0)), F.lit(1.0))
 
 
-def kv_content(pred: Column, gold: Column, opt: KVOptions) -> Column:
-    """Values alone, and values at their paths."""
+def content_score(root: Column, pred: Column, gold: Column, opt: KVOptions) -> Column:
+    """Key-value: values alone and values at their paths. Tables: values by row
+    and by cell. Results: texts by target only."""
     loose, placed = (fuzzy_f1(pred[f], gold[f], opt) for f in ("loose", "placed"))
-    return clip01(opt.kv_value_weight * loose + opt.kv_path_weight * placed)
+    loose_weight = F.when(root == "kv", opt.kv_value_weight).when(root == "tables", opt.table_value_weight).otherwise(0.0)
+    placed_weight = F.when(root == "kv", opt.kv_path_weight).when(root == "tables", opt.table_structure_weight).otherwise(1.0)
+    return clip01(loose_weight * loose + placed_weight * placed)
 
 
-def table_content(pred: Column, gold: Column, opt: KVOptions) -> Column:
-    """Values by row, and values by cell."""
-    loose, placed = (fuzzy_f1(pred[f], gold[f], opt) for f in ("loose", "placed"))
-    return clip01(opt.table_value_weight * loose + opt.table_structure_weight * placed)
-
-
-def results_content(pred: Column, gold: Column, opt: KVOptions) -> Column:
-    return fuzzy_f1(pred["placed"], gold["placed"], opt)
+def structure_cap(root: Column, pred: Column, gold: Column, opt: KVOptions) -> Column:
+    return (
+        F.when(root == "kv", kv_structure_cap(pred, gold, opt))
+        .when(root == "tables", table_structure_cap(pred, gold, opt))
+        .when(root == "results", results_structure_cap(pred, gold, opt))
+    )
 
 
 def score_kv(
@@ -357,11 +358,9 @@ def score_kv(
     category: str = "category",
     output: str = "kv_reward",
     keep_parts: bool = False,
-    roots: tuple[str, ...] = ("kv", "tables", "results"),
 ) -> DataFrame:
     """min(content, format, root, length and structure caps), clipped to [0, 1];
-    null for other categories, blank or unreadable solutions. ``roots`` leaves
-    the expressions of shapes that cannot occur out of the plan."""
+    null for other categories, blank or unreadable solutions."""
     applies = T.has_category_token(F.col(category), opt.category_token) & (F.col(solution) != "")
     answer = T.strip(T.split_on_keywords(T.extract_answer(F.col(completion), ext)))
     df = df.withColumn("_answer", F.when(applies, answer))
@@ -369,25 +368,13 @@ def score_kv(
     doc, pred, gold = F.col("_doc"), F.col("_doc.pred"), F.col("_doc.gold")
     fmt = format_cap(F.col("_answer"), doc["parsed"], doc["cut"], doc["trailing"], opt)
     root = doc["root"]
-    of_shape = {
-        "kv": (kv_content, kv_structure_cap),
-        "tables": (table_content, table_structure_cap),
-        "results": (results_content, results_structure_cap),
-    }
-
-    content, structure = F.lit(None).cast("double"), F.lit(None).cast("double")
-    for name in roots:
-        score, cap = of_shape[name]
-        p, g = F.when(root == name, pred), F.when(root == name, gold)
-        content = F.coalesce(F.when(root == name, score(p, g, opt)), content)
-        structure = F.coalesce(F.when(root == name, cap(pred, gold, opt)), structure)
     df = df.withColumns(
         {
-            "_content": content,
+            "_content": content_score(root, pred, gold, opt),
             "_format_cap": fmt,
             "_root_cap": root_cap(pred, root, opt),
             "_length_cap": length_cap(pred, gold, opt),
-            "_structure_cap": structure,
+            "_structure_cap": structure_cap(root, pred, gold, opt),
         }
     )
     unit = F.least("_content", "_format_cap", "_root_cap", "_length_cap", "_structure_cap")

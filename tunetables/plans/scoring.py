@@ -265,7 +265,7 @@ select k, case when doc is null then 0.0::double when na = 0 then 0.0::double
     case when not contains(completion, '<stop>') then 0.6 when split_part(completion, '<stop>', 2) <> '' then 0.2 else 1.0 end), 6)::double
   end as kv_reward from q""")
 def kv_reward(spark: SparkSession, sf: str) -> DataFrame:
-    scored = score_kv(X.frame(spark, sf, X.KV, heavy=True), roots=("kv",))
+    scored = score_kv(X.frame(spark, sf, X.KV, heavy=True))
     return scored.select("k", r6("kv_reward").alias("kv_reward"))
 
 
@@ -277,7 +277,7 @@ m as (select *, [4, 2, 4, 3, 4][v + 1] as rows_hit, [4, 2, 3, 3, 4][v + 1] as ce
   [1.0, 0.6, 0.5, 1.0, 0.6][v + 1] as cap from fx)
 select k, line, p, round(least(0.4 * 2 * rows_hit / (n + 4) + 0.6 * 2 * cells_hit / (n + 4), cap), 6)::double as kv_reward from m""")
 def kv_table_reward(spark: SparkSession, sf: str) -> DataFrame:
-    scored = score_kv(X.frame(spark, sf, X.TABLE, heavy=True), roots=("tables",))
+    scored = score_kv(X.frame(spark, sf, X.TABLE, heavy=True))
     return scored.select("k", "line", "p", r6("kv_reward").alias("kv_reward"))
 
 
@@ -288,7 +288,7 @@ p as (select *, case v when 2 then 1 else 2 end as n from fx)
 select k, line, p, round(least(2.0 * n / (n + 2), case v when 1 then 0.6 when 2 then 0.6 when 3 then 0.2 else 1.0 end), 6)::double as kv_reward
 from p""")
 def kv_results_reward(spark: SparkSession, sf: str) -> DataFrame:
-    scored = score_kv(X.frame(spark, sf, X.RESULTS, heavy=True), roots=("results",))
+    scored = score_kv(X.frame(spark, sf, X.RESULTS, heavy=True))
     return scored.select("k", "line", "p", r6("kv_reward").alias("kv_reward"))
 
 
