@@ -126,27 +126,27 @@ def read_documents(answer: Column, solution: Column, opt: KVOptions) -> Column:
     stop = opt.stop_token
     loads = jsonx.loads_strict if opt.strict_json else jsonx.loads_lenient
 
-    def row(text: str | None, gold_text: str | None) -> tuple | None:
+    def row(text: str | None, gold_text: str | None, golds: dict) -> tuple | None:
         if text is None:
             return None
+        if gold_text not in golds:  # the completions of one prompt share it
+            gold = jsonx.solution_value(gold_text, stop)
+            root = jsonx.root_name(gold)
+            golds[gold_text] = root, _facts(gold, root) if root else None
+        root, gold_facts = golds[gold_text]
         text = text.strip()
         cut = jsonx.split_at_stop(text, stop, loads)
-        value = cut[0] if cut else loads(text)
-        gold = jsonx.solution_value(gold_text, stop)
-        root = jsonx.root_name(gold)
-        both = value is not None and root is not None
-        return (
-            value is not None,
-            cut is not None,
-            cut[2] if cut else "",
-            root,
-            _facts(value, root) if both else None,
-            _facts(gold, root) if both else None,
-        )
+        value, head = cut[:2] if cut else (loads(text), text)
+        facts = None
+        if value is not None and root is not None:
+            same = opt.strict_json and head == gold_text
+            facts = gold_facts if same else _facts(value, root)
+        return (value is not None, cut is not None, cut[2] if cut else "", root, facts, gold_facts)
 
     @F.arrow_udf(_PAIR_DDL)
     def run(a: pa.Array, s: pa.Array) -> pa.Array:
-        return jsonx.struct_array([row(x, y) for x, y in zip(a.to_pylist(), s.to_pylist())], _PAIR)
+        golds: dict = {}
+        return jsonx.struct_array([row(x, y, golds) for x, y in zip(a.to_pylist(), s.to_pylist())], _PAIR)
 
     return run(answer, solution)
 
