@@ -243,12 +243,12 @@ def prompt_rows(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(f"""
 with {X.PARTS_SQL}
-select conv_id, part, list_aggregate(list_transform(messages[1:len(messages) - 1], lambda m: m.role || '=' || m.content), 'string_agg', '|') as prompt,
+select conv_id, part, chunk, list_aggregate(list_transform(messages[1:len(messages) - 1], lambda m: m.role || '=' || m.content), 'string_agg', '|') as prompt,
   messages[len(messages)].content as label from chats where len(messages) > 1
-union all select conv_id, part, '', messages[1].content from chats where len(messages) = 1""")
+union all select conv_id, part, chunk, '', messages[1].content from chats where len(messages) = 1""")
 def test_label_pop(spark: SparkSession, sf: str) -> DataFrame:
     df = S.to_test_conversation(X.conversation_parts(spark, sf))
-    return df.select("conv_id", "part", _said("prompt", "prompt"), "label")
+    return df.select("conv_id", "part", "chunk", _said("prompt", "prompt"), "label")
 
 
 @query(f"""
@@ -260,27 +260,28 @@ def test_prompts(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(f"""
 with {X.PARTS_SQL}
-select conv_id, part, list_aggregate(list_transform(messages, lambda m: '<|im_start|>' || m.role || chr(10) || m.content || '<|im_end|>' || chr(10)),
+select conv_id, part, chunk, list_aggregate(list_transform(messages, lambda m: '<|im_start|>' || m.role || chr(10) || m.content || '<|im_end|>' || chr(10)),
   'string_agg', '') || '<|im_start|>assistant' || chr(10) as text from chats""")
 def render_chat(spark: SparkSession, sf: str) -> DataFrame:
     df = X.conversation_parts(spark, sf)
-    return df.select("conv_id", "part", S.render_chat(F.col("messages"), add_generation_prompt=True).alias("text"))
+    return df.select("conv_id", "part", "chunk", S.render_chat(F.col("messages"), add_generation_prompt=True).alias("text"))
 
 
 @query(f"""
 with {X.PARTS_SQL},
-e as (select conv_id, part, messages, unnest(range(0, len(messages))) as turn from chats)
-select conv_id, part, turn::bigint as turn, coalesce(list_aggregate(list_transform(messages[1:turn],
+e as (select conv_id, part, chunk, messages, unnest(range(0, len(messages))) as turn from chats)
+select conv_id, part, chunk, turn::bigint as turn, coalesce(list_aggregate(list_transform(messages[1:turn],
    lambda m: 'user=' || m.content || '|assistant=' || m.role || '|'), 'string_agg', ''), '') || 'user=' || messages[turn + 1].content as prompt from e""")
 def turn_prefixes(spark: SparkSession, sf: str) -> DataFrame:
     df = X.conversation_parts(spark, sf).select(
         "conv_id",
         "part",
+        "chunk",
         F.transform("messages", lambda m: m["content"]).alias("contents"),
         F.transform("messages", lambda m: m["role"]).alias("generations"),
     )
     rows = S.expand_turn_prefixes(df, "contents", "generations")
-    return rows.select("conv_id", "part", F.col("turn").cast("bigint").alias("turn"), _said("prompt", "prompt"))
+    return rows.select("conv_id", "part", "chunk", F.col("turn").cast("bigint").alias("turn"), _said("prompt", "prompt"))
 
 
 _LIMIT = 1500

@@ -1,7 +1,7 @@
 """Inputs of the registered queries, derived from the given tables.
 
 Each text is one SQL statement that runs unchanged on Spark and DuckDB. None of
-them groups rows, so no input row depends on how many rows share a key.
+them groups rows into lists, so no input row grows with the rows of a key.
 """
 
 from __future__ import annotations
@@ -10,6 +10,7 @@ import hashlib
 import re
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tunetables.functions import tokens as K
@@ -186,43 +187,47 @@ def frame(spark: SparkSession, sf_dir: str, sql: str, heavy: bool = False) -> Da
     return spread(spark.sql(sql)) if heavy else spark.sql(sql)
 
 
-#: turns per message array: (conv_id, turn) is the key of the turn table, so a
-#: group of ``conversation_parts`` holds at most this many rows however long a
-#: conversation is
+#: turns per message array at most
 PART = 8
 #: markers that stay words of their own when the text is split on spaces
 WORD_MARKS = S.ChatMarkers(head="<|im_start|> {role} ", tail=" <|im_end|> ")
 
 
 def conversation_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(conv_id, part, messages): message arrays of at most PART turns."""
-    turns = table(spark, sf_dir, "conversations")
+    """(conv_id, part, chunk, messages): message arrays of at most PART turns.
+
+    ``part`` cuts long conversations by position, ``chunk`` cuts what is left
+    of a part whose positions repeat; both groupings share one shuffle.
+    """
+    turns = table(spark, sf_dir, "conversations").withColumn("part", F.floor(F.col("turn") / PART))
+    at = F.row_number().over(W.partitionBy("conv_id", "part").orderBy("turn", "role", "text"))
+    turns = turns.withColumn("chunk", F.floor((at - 1) / PART))
     said = F.struct("turn", "role", F.col("text").alias("content"))
-    listed = turns.groupBy("conv_id", F.floor(F.col("turn") / PART).alias("part")).agg(
-        F.array_sort(F.collect_list(said)).alias("messages")
-    )
+    listed = turns.groupBy("conv_id", "part", "chunk").agg(F.array_sort(F.collect_list(said)).alias("messages"))
     return listed.withColumn("messages", S.project_turns(F.col("messages")))
 
 
 #: the same in DuckDB, as the leading part of a WITH list
 PARTS_SQL = f"""
-chats as (select conv_id, turn // {PART} as part, list({{'role': role, 'content': text}} order by turn) as messages
-  from conversations group by all)"""
+numbered as (select *, turn // {PART} as part,
+  (row_number() over (partition by conv_id, turn // {PART} order by turn, role, text) - 1) // {PART} as chunk from conversations),
+chats as (select conv_id, part, chunk, list({{'role': role, 'content': text}} order by turn, role, text) as messages
+  from numbered group by conv_id, part, chunk)"""
 
 
 def token_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(conv_id, part, ids): word codes of the rendered message arrays."""
+    """(conv_id, part, chunk, ids): word codes of the rendered message arrays."""
     parts = conversation_parts(spark, sf_dir)
     text = S.render_chat(F.col("messages"), marks=WORD_MARKS)
-    return parts.select("conv_id", "part", K.word_codes(text).alias("ids"))
+    return parts.select("conv_id", "part", "chunk", K.word_codes(text).alias("ids"))
 
 
 TOKENS_SQL = (
     PARTS_SQL
     + """,
-words as (select conv_id, part, string_split(list_aggregate(list_transform(messages,
+words as (select conv_id, part, chunk, string_split(list_aggregate(list_transform(messages,
     lambda m: '<|im_start|> ' || m.role || ' ' || m.content || ' <|im_end|> '), 'string_agg', ''), ' ') as w from chats),
-toks as (select conv_id, part, list_transform(w, lambda x: ('0x' || substr(md5(x), 1, 6))::INT) as ids from words)"""
+toks as (select conv_id, part, chunk, list_transform(w, lambda x: ('0x' || substr(md5(x), 1, 6))::INT) as ids from words)"""
 )
 
 

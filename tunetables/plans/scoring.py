@@ -201,7 +201,7 @@ def equation_reward(spark: SparkSession, sf: str) -> DataFrame:
 
 # ------------------------------------------------------------------- JSON
 @query("""
-select event_id, '/k' as path, 0 as idx, json_extract_string(props, '$.k') as text, len(props) as length from events""")
+select event_id, '/k' as path, 0::bigint as idx, json_extract_string(props, '$.k') as text, len(props) as length from events""")
 def json_flatten(spark: SparkSession, sf: str) -> DataFrame:
     df = X.table(spark, sf, "events").select(
         "event_id",

@@ -12,7 +12,7 @@ from tunetables.plans import fixtures as X
 from tunetables.plans.registry import query, r6, text_of
 
 MAX, FIXED, PAD, BATCH, SEED = 256, 288, 0, 16, 5
-KEY = ["conv_id", "part"]
+KEY = ["conv_id", "part", "chunk"]
 
 _JOIN = "list_aggregate({0}, 'string_agg', ' ')"
 
@@ -28,7 +28,7 @@ def _find(ids: str, pattern: list[int]) -> str:
 
 _MASK_SQL = f"""
 with {X.TOKENS_SQL},
-cut as (select conv_id, part, ids[1:{MAX}] as ids from toks),
+cut as (select conv_id, part, chunk, ids[1:{MAX}] as ids from toks),
 pat as (select *, {_find("ids", X.START)} as starts, {_find("ids", X.END)} as ends from cut),
 sp as (select *, list_transform(starts, lambda s: {{'f': s + {len(X.START)},
     't': coalesce(list_min(list_filter(ends, lambda e: e > s)), {2**31})}}) as spans from pat),
@@ -46,7 +46,7 @@ def _rows(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query(f"""with {X.TOKENS_SQL}
-select conv_id, part, {_text("ids[1:64]")} as head, {_text("ids[greatest(len(ids) - 64, 0) + 1:]")} as tail from toks""")
+select conv_id, part, chunk, {_text("ids[1:64]")} as head, {_text("ids[greatest(len(ids) - 64, 0) + 1:]")} as tail from toks""")
 def truncate_tokens(spark: SparkSession, sf: str) -> DataFrame:
     ids = F.col("ids")
     return X.token_rows(spark, sf).select(
@@ -54,7 +54,7 @@ def truncate_tokens(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-@query(f"""{_MASK_SQL} select conv_id, part, {_text("starts")} as starts, {_text("ends")} as ends,
+@query(f"""{_MASK_SQL} select conv_id, part, chunk, {_text("starts")} as starts, {_text("ends")} as ends,
   {_text("list_transform(spans, lambda s: s.f || '-' || case when s.t = " + str(2**31) + " then 'end' else s.t::varchar end)")} as spans from lab""")
 def find_pattern(spark: SparkSession, sf: str) -> DataFrame:
     to = lambda s: F.coalesce(s["to"].cast("string"), F.lit("end"))
@@ -62,7 +62,7 @@ def find_pattern(spark: SparkSession, sf: str) -> DataFrame:
     return _rows(spark, sf).select(*KEY, text_of("starts").alias("starts"), text_of("ends").alias("ends"), text_of(spans).alias("spans"))
 
 
-@query(f"""{_MASK_SQL} select conv_id, part, {_text("labels")} as labels from lab""")
+@query(f"""{_MASK_SQL} select conv_id, part, chunk, {_text("labels")} as labels from lab""")
 def label_mask(spark: SparkSession, sf: str) -> DataFrame:
     return _rows(spark, sf).select(*KEY, text_of("labels").alias("labels"))
 
@@ -73,7 +73,7 @@ bad as (select *, list_transform(range(0, len(ids)), lambda i: case when conv_id
   list_transform(range(0, len(ids)), lambda i: case when i >= len(ids) - conv_id % 4 then 0 else 1 end) as attn from lab),
 want as (select *, list_transform(range(0, len(ids)), lambda i: case when attn[i + 1] <> 0 and len(list_filter(spans, lambda s: i >= s.f and i < s.t)) > 0
     then 1 else 0 end) as want from bad),
-n as (select conv_id, part, len(starts) as response_start_count, len(ends) as response_end_count,
+n as (select conv_id, part, chunk, len(starts) as response_start_count, len(ends) as response_end_count,
     len(list_filter(spoilt, lambda x: x <> -100)) as active,
     len(list_filter(range(1, len(ids) + 1), lambda i: spoilt[i] <> -100 and want[i] = 0)) as leaks,
     len(list_filter(range(1, len(ids) + 1), lambda i: spoilt[i] <> -100 and attn[i] = 0)) as padded,
@@ -100,7 +100,7 @@ def _audited(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query(f"""{_SPOILT_SQL}
-select conv_id, part, active as assistant_label_tokens, response_start_count, response_end_count, leaks as prompt_label_leaks,
+select conv_id, part, chunk, active as assistant_label_tokens, response_start_count, response_end_count, leaks as prompt_label_leaks,
   padded as padding_label_leaks, wrong as target_label_mismatches, truncated as truncated_assistant, errors from rep""")
 def label_mask_report(spark: SparkSession, sf: str) -> DataFrame:
     df = _audited(spark, sf).select(*KEY, "report.*")
@@ -125,29 +125,29 @@ def label_mask_errors(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query(f"""{_MASK_SQL},
-ix as (select *, (row_number() over (order by md5('{SEED}:' || conv_id || '-' || part), conv_id || '-' || part) - 1) // {BATCH} as batch_id from lab),
+ix as (select *, (row_number() over (order by md5('{SEED}:' || conv_id || '-' || part || '-' || chunk), conv_id || '-' || part || '-' || chunk) - 1) // {BATCH} as batch_id from lab),
 ln as (select *, (max(len(ids)) over (partition by batch_id) + 7) // 8 * 8 as n from ix)
-select conv_id, part, batch_id::bigint as batch_id, {_text(f"list_resize(ids, n, {PAD})")} as input_ids, {_text("list_resize(labels, n, -100)")} as labels,
+select conv_id, part, chunk, batch_id::bigint as batch_id, {_text(f"list_resize(ids, n, {PAD})")} as input_ids, {_text("list_resize(labels, n, -100)")} as labels,
   {_text("list_resize(list_transform(ids, lambda x: 1), n, 0)")} as attention_mask from ln""")
 def pad_batches(spark: SparkSession, sf: str) -> DataFrame:
     df = _rows(spark, sf).select(*KEY, F.col("ids").alias("input_ids"), "labels")
     df = df.withColumn("attention_mask", F.transform("input_ids", lambda x: F.lit(1)))
-    df = df.withColumn("row", F.concat_ws("-", "conv_id", "part"))
+    df = df.withColumn("row", F.concat_ws("-", *KEY))
     df = B.assign_batches(df, BATCH, "row", seed=SEED)
     df = B.pad_batch(df, B.sequence_fills(PAD), multiple=8)
     return df.select(*KEY, "batch_id", *[text_of(c).alias(c) for c in ("input_ids", "labels", "attention_mask")])
 
 
-@query(f"""with {X.TOKENS_SQL}, cut as (select conv_id, part, ids[1:{MAX}] as ids from toks),
-ix as (select *, (row_number() over (order by len(ids), conv_id, part) - 1) // {BATCH} as batch_id from cut)
-select conv_id, part, batch_id::bigint as batch_id, len(ids) as n from ix""")
+@query(f"""with {X.TOKENS_SQL}, cut as (select conv_id, part, chunk, ids[1:{MAX}] as ids from toks),
+ix as (select *, (row_number() over (order by len(ids), conv_id, part, chunk) - 1) // {BATCH} as batch_id from cut)
+select conv_id, part, chunk, batch_id::bigint as batch_id, len(ids) as n from ix""")
 def batches_by_length(spark: SparkSession, sf: str) -> DataFrame:
-    df = X.token_rows(spark, sf).select(*KEY, F.size(K.truncate_tokens(F.col("ids"), MAX)).alias("n"))
+    df = X.token_rows(spark, sf).select(*KEY, F.size(K.truncate_tokens(F.col("ids"), MAX)).cast("bigint").alias("n"))
     return B.assign_batches(df, BATCH, "conv_id", order=["n", *KEY])
 
 
-@query(f"""with {X.TOKENS_SQL}, cut as (select conv_id, part, ids[1:{MAX}] as ids from toks)
-select conv_id, part, {_text(f"list_resize(ids, {FIXED}, {PAD})")} as padded, {_text("ids")} as back from cut""")
+@query(f"""with {X.TOKENS_SQL}, cut as (select conv_id, part, chunk, ids[1:{MAX}] as ids from toks)
+select conv_id, part, chunk, {_text(f"list_resize(ids, {FIXED}, {PAD})")} as padded, {_text("ids")} as back from cut""")
 def pad_fixed(spark: SparkSession, sf: str) -> DataFrame:
     df = X.token_rows(spark, sf).withColumn("ids", K.truncate_tokens(F.col("ids"), MAX))
     mask = K.pad_fixed(F.transform("ids", lambda x: F.lit(1)), FIXED, 0)
@@ -158,7 +158,7 @@ def pad_fixed(spark: SparkSession, sf: str) -> DataFrame:
 
 _LAST = [X.END[0], X.code_of("")]
 _DONE_SQL = f"""with {X.TOKENS_SQL},
-cut as (select conv_id, part, ids[1:{MAX}] as ids from toks),
+cut as (select conv_id, part, chunk, ids[1:{MAX}] as ids from toks),
 done as (select *, len(ids) > 0 and (ids[len(ids)] = {X.END[0]} or ids[len(ids) - 1:] = {_LAST}) as ended,
   list_transform(range(0, len(ids)), lambda i: (i % 2)::INT) as tools from cut)"""
 
@@ -170,7 +170,7 @@ def _ended(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query(_DONE_SQL + f"""
-select conv_id, part, ended, case when ended then coalesce(list_sum(tools), 0)::bigint else 0 end as kept, ended or len(ids) < {MAX} as short from done""")
+select conv_id, part, chunk, ended, case when ended then coalesce(list_sum(tools), 0)::bigint else 0 end as kept, ended or len(ids) < {MAX} as short from done""")
 def terminated_rows(spark: SparkSession, sf: str) -> DataFrame:
     kept = F.aggregate(K.mask_truncated(F.col("tools"), F.col("ended")), F.lit(0), lambda a, x: a + x)
     short = K.is_terminated(F.col("ids"), X.END, [_LAST], infer_short=True, max_length=MAX)
