@@ -356,3 +356,38 @@ def get_alias(payload: Any, names: tuple[str, ...]) -> Any:
     if not isinstance(payload, dict):
         return None
     return next((payload[n] for n in names if n in payload), None)
+
+
+def root_of(c: Column, stop: str) -> Column:
+    """kv, tables or results of a document that may end in a stop token."""
+    return _text_udf(lambda t: root_name(solution_value(t, stop)))(c)
+
+
+def alias_value(c: Column, names: list[str]) -> Column:
+    """JSON text of the first field present, 'null' for a null field, null
+    when none is."""
+
+    def first(text: str | None) -> str | None:
+        value = loads_strict(text)
+        hit = next((n for n in names if isinstance(value, dict) and n in value), None)
+        return None if hit is None else json.dumps(value[hit], ensure_ascii=False)
+
+    return _text_udf(first)(c)
+
+
+def results_facts(c: Column) -> Column:
+    """struct(items, invalid, repeats) of a result-list text; of repeated
+    targets the first item stays."""
+    item = pa.struct([("target_id", pa.string()), ("text", pa.string())])
+    out = pa.struct([("items", pa.list_(item)), ("invalid", pa.int32()), ("repeats", pa.int32())])
+
+    @F.arrow_udf("struct<items:array<struct<target_id:string,text:string>>,invalid:int,repeats:int>")
+    def run(c: pa.Array) -> pa.Array:
+        rows = []
+        for text in c.to_pylist():
+            leaves, invalid, repeats = flatten_results(loads_strict(text))
+            found = [{"target_id": path[0], "text": value} for path, _, value in leaves]
+            rows.append(None if text is None else (found, invalid, repeats))
+        return struct_array(rows, out)
+
+    return run(c)

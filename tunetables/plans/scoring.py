@@ -253,6 +253,34 @@ def split_stop(spark: SparkSession, sf: str) -> DataFrame:
     ).withColumnRenamed("json", "doc")
 
 
+@query(f"""
+with fx as ({X.KV})
+select k, 'kv' as solution_root, case when starts_with(completion, '{{"kv":{{') and ends_with(split_part(completion, '<stop>', 1), '}}}}')
+  then 'kv' when starts_with(completion, '{{"tables":{{') then 'tables' end as root, starts_with(completion, '{{"kv"') and ends_with(completion, '}}}}') as whole from fx""")
+def json_roots(spark: SparkSession, sf: str) -> DataFrame:
+    df = X.frame(spark, sf, X.KV, heavy=True)
+    c = F.col("completion")
+    return df.select(
+        "k",
+        jsonx.root_of(F.col("solution"), "<stop>").alias("solution_root"),
+        jsonx.root_of(c, "<stop>").alias("root"),
+        jsonx.alias_value(c, ["none", "kv"]).isNotNull().alias("whole"),
+    )
+
+
+@query(f"""
+with fx as ({X.RESULTS})
+select k, line, p, s, case v when 2 then 1 else 2 end as n, case v when 3 then 1 else 0 end as invalid, case v when 1 then 1 else 0 end as repeats,
+  case v when 4 then '2=supplier ' || s else 'a=part ' || p end as first from fx""")
+def results_items(spark: SparkSession, sf: str) -> DataFrame:
+    listed = F.get_json_object(F.split("completion", "<stop>")[0], "$.results")
+    df = X.frame(spark, sf, X.RESULTS, heavy=True).withColumn("r", jsonx.results_facts(listed))
+    first = F.get("r.items", F.lit(0))
+    return df.select(
+        "k", "line", "p", "s", F.size("r.items").alias("n"), "r.invalid", "r.repeats", F.concat_ws("=", first["target_id"], first["text"]).alias("first")
+    )
+
+
 @query(f"""
 with fx as ({X.KV}),
 j as (select k, k % 6 as v, solution, completion, case when k % 6 = 5 then null else split_part(completion, '<stop>', 1) end as doc from fx),
