@@ -6,6 +6,8 @@ from pyspark.sql import SparkSession
 
 sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 
+from tunetables.shipping import ship  # noqa: E402
+
 
 @pytest.fixture(scope="session")
 def spark():
@@ -19,6 +21,7 @@ def spark():
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")
+    ship(session)
     yield session
     session.stop()
 
