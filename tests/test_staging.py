@@ -1,5 +1,3 @@
-import pytest
-
 from tunetables.operators import staging as G
 
 
@@ -27,9 +25,9 @@ def test_written_table(spark):
     assert all("/x-" in f for f in out.inputFiles())
 
 
-def test_a_cluster_needs_a_shared_folder():
-    with pytest.raises(ValueError):
-        G.checkpoint_root(Session("spark://host:1", {}))
+def test_the_warehouse_serves_without_a_setting():
+    root = G.checkpoint_root(Session("spark://host:1", {"spark.sql.warehouse.dir": "hdfs://wh/"}))
+    assert root == "hdfs://wh/_staged"
 
 
 def test_spread(spark, sf):

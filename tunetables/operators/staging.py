@@ -1,27 +1,17 @@
-"""Written tables that cut lineage, in the folder the cluster names."""
+"""Written tables that cut lineage, in the folder the session names."""
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-_local: dict[str, str] = {}
-
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """``spark.checkpoint.dir`` of the session. Only a local master may fall
-    back to a temporary folder; executors of a cluster could not read it."""
+    """``spark.checkpoint.dir`` of the session, else a folder in its warehouse:
+    both are places that every executor reads."""
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if named:
-        return named
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-    app = spark.sparkContext.applicationId
-    if app not in _local:
-        _local[app] = tempfile.mkdtemp(prefix="tunetables-")
-    return _local[app]
+    return named or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_staged"
 
 
 def stage_path(spark: SparkSession, label: str) -> str:
