@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tunetables.llm import tokencount, urls
+from tunetables.llm import neardup, suffixes, tokencount, urls
 from tunetables.plans.registry import query
 
 ALLOW = ["com/", "www.example.com/en/"]
@@ -45,3 +45,14 @@ select page_id, host, path, rule, coalesce(verdict, 'allow') as verdict from par
 """)
 def op7_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge_urls(table(spark, sf_dir, "pages"), ALLOW, BLOCK)
+
+
+@query()
+def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(table(spark, sf_dir, "documents"), neardup.Plan(size=3, percent=85, rows=6))
+
+
+@query()
+def op6_repeated_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffixes.remove_repeats(table(spark, sf_dir, "documents"), length=400, batches=3)
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
