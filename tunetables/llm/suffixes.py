@@ -195,20 +195,14 @@ def compare_runs(runs: DataFrame, length: int) -> DataFrame:
         )
 
     def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size = [], 0
+        held: list[pa.RecordBatch] = []
         for batch in batches:
-            keys = batch.column("key").to_numpy()
-            cut = 0
-            for i in [*(np.flatnonzero(np.diff(keys)) + 1).tolist(), None]:
-                if i is None:
-                    held.append(batch.slice(cut))
-                elif size + batch.slice(cut, i - cut).nbytes > 4 << 20 or held:
-                    # a key may end only here, where the next one begins
-                    held.append(batch.slice(cut, i - cut))
-                    if sum(b.nbytes for b in held) > 4 << 20:
-                        yield settle(pa.Table.from_batches(held))
-                        held = []
-                    cut = i
+            ends = np.flatnonzero(np.diff(batch.column("key").to_numpy())) + 1
+            cut = int(ends[-1]) if len(ends) else 0
+            if cut and sum(b.nbytes for b in held) + batch.slice(0, cut).nbytes > 4 << 20:
+                yield settle(pa.Table.from_batches([*held, batch.slice(0, cut)]))
+                held, batch = [], batch.slice(cut)  # a key never lies in two comparisons
+            held.append(batch)
         if held:
             yield settle(pa.Table.from_batches(held))
 
