@@ -5,9 +5,11 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tunetables.llm import neardup, suffixes, tokencount, urls
+from tunetables.llm import neardup, quality, suffixes, tokencount, urls
 from tunetables.plans.registry import query
 
+RISK, ERROR = 0.01, 0.05
+
 ALLOW = ["com/", "www.example.com/en/"]
 BLOCK = ["example.com/en/", "net/es/", "net/fr/"]
 TOKEN_LIMIT = 512
@@ -56,3 +58,68 @@ def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_repeated_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = suffixes.remove_repeats(table(spark, sf_dir, "documents"), length=400, batches=3)
     return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
+_GAP = r"[\x20\x09-\x0D]+"
+_GRID_SQL = ", ".join(f"('{r.name}', {i}, {c})" for r in quality.RULES for i, c in enumerate(r.cutoffs))
+
+#: one row per document: the counts, the measures and the verdicts
+QUALITY_SQL = rf"""
+with docs as (
+  select doc_id, coalesce(lang, '') as stratum, coalesce(text, '') as text,
+    list_filter(string_split_regex(coalesce(text, ''), '{_GAP}'), lambda x: x <> '') as words,
+    list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) as lines
+  from documents),
+windows as (
+  select doc_id, unnest(range(0, len(words) - {quality.WINDOW - 1})) as pos,
+    unnest(list_transform(range(0, len(words) - {quality.WINDOW - 1}), lambda i: array_to_string(words[i + 1:i + {quality.WINDOW}], ' '))) as w
+  from docs where len(words) >= {quality.WINDOW}),
+twice as (select doc_id, w from windows group by all having count(*) > 1),
+texts as (select doc_id, pos, 2 as n from windows semi join twice using (doc_id, w)),
+repeats as (
+  select doc_id, count(distinct pos + k) as n_repeat_words
+  from texts, range({quality.WINDOW}) as r(k) where n > 1 group by doc_id),
+counts as (
+  select doc_id, stratum, len(words) as n_words, length(array_to_string(words, '')) as word_chars,
+    length(text) - length(translate(text, '{quality.SYMBOLS}', '')) as n_symbols,
+    len(lines) - len(list_distinct(lines)) as n_dup_lines, coalesce(n_repeat_words, 0) as n_repeat_words, len(lines) as n_lines,
+    length(text) - length(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', '')) as capitals
+  from docs left join repeats using (doc_id)),
+measured as (
+  select *, n_words < 10 or 100 * n_repeat_words > 20 * n_words as base_failed,
+    case when word_chars > 0 then n_symbols / word_chars else 0 end as symbol_share,
+    case when n_lines > 0 then n_dup_lines / n_lines else 0 end as duplicate_line_share,
+    case when n_words > 0 then n_repeat_words / n_words else 0 end as repeat_share,
+    case when word_chars > 0 then capitals / word_chars else 0 end as shout_share
+  from counts),
+scores as (
+  select doc_id, stratum, base_failed, unnest(['symbol_share', 'duplicate_line_share', 'repeat_share', 'shout_share']) as rule,
+    unnest([symbol_share, duplicate_line_share, repeat_share, shout_share]) as score
+  from measured),
+grid(rule, nth, cutoff) as (values {_GRID_SQL}),
+good as (select doc_id from labels where quality is not null group by doc_id having min(quality) = 1),
+tests as (
+  select stratum, rule, nth, cutoff, count(*) as n, count(*) filter (score > cutoff) as rejected
+  from scores join grid using (rule) where not base_failed and doc_id in (select doc_id from good) group by all),
+levels as (select {ERROR} / ({len(quality.RULES)} * greatest(1, count(distinct stratum))) as level from tests),
+tails as (
+  select t.stratum, t.rule, t.nth, sum(exp(lgamma(n + 1) - lgamma(k + 1) - lgamma(n - k + 1) + k * ln({RISK}) + (n - k) * ln(1 - {RISK}))) as tail
+  from (select *, unnest(range(0, rejected + 1)) as k from tests) t group by all),
+passes as (
+  select *, rejected < n * {RISK} and tail <= (select level from levels) as passed from tests join tails using (stratum, rule, nth)),
+walks as (
+  select *, bool_and(passed) over (partition by stratum, rule order by nth) as sure from passes),
+cutoffs as (select stratum, rule, arg_max(cutoff, nth) as cutoff from walks where sure group by all),
+failed as (select distinct doc_id from scores join cutoffs using (stratum, rule) where score > cutoff)
+select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  not base_failed and doc_id not in (select doc_id from failed) as kept
+from measured
+"""
+
+
+@query(QUALITY_SQL)
+def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = quality.judge_quality(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), quality.RULES, RISK, ERROR
+    )
+    return judged.drop("rules_failed")
