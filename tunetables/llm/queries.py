@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tunetables.llm import neardup, quality, suffixes, tokencount, urls
+from tunetables.llm import neardup, packing, quality, suffixes, tokencount, urls
 from tunetables.plans.registry import query
 
 RISK, ERROR = 0.01, 0.05
@@ -123,3 +123,8 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), quality.RULES, RISK, ERROR
     )
     return judged.drop("rules_failed")
+
+
+@query()
+def op1_packed_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
