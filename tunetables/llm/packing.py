@@ -140,59 +140,76 @@ def plan_packing(counts: dict[int, int], capacity: Capacity) -> PackPlan:
 
 #: letters that lower-casing and composing leave alone or map one to one, then one sign at most
 _PLAIN = re.compile(r"([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([.,;:!?|]?)")
+SIGNS = ".,;:!?|"
 #: plain words that the library gets as one text
 JOINED = 2000
 
 
 class _Words:
     """Ids of texts whose tokenizer drops white space: each space-separated string
-    is encoded by the library on its own, and remembered. Plain words are given
-    to it many at a time; their ids end where a token has the end-of-word mark."""
+    is encoded by the library on its own, and remembered as a stem and perhaps one
+    sign after it. Plain stems are given to the library many at a time; their ids
+    end where a token has the end-of-word mark."""
 
     def __init__(self, vocabulary: str):
         self.tokenizer = Tokenizer.from_file(vocabulary)
-        self.memo: dict[str, np.ndarray] = {}
         names = self.tokenizer.get_vocab(with_added_tokens=True)
         self.ends = np.zeros(max(names.values()) + 1, bool)
         self.ends[[i for token, i in names.items() if token.endswith("</w>")]] = True
+        self.signs = {c: int(self._encode([c])[0][0]) for c in SIGNS}
+        self._forget()
+
+    def _forget(self) -> None:
+        self.words: dict[str, int] = {}
+        self.stems: dict[str, int] = {}
+        self.stem, self.sign = np.zeros(0, np.int64), np.zeros(0, np.int64)  # of each word; -1: no sign
+        self.begin, self.size = np.zeros(0, np.int64), np.zeros(0, np.int64)  # of each stem
+        self.flat = np.zeros(0, np.uint32)
 
     def _encode(self, words: list[str]) -> list[np.ndarray]:
         return [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
 
-    def _stems(self, stems: list[str]) -> list[np.ndarray]:
-        out: list[np.ndarray] = []
+    def _joined(self, stems: list[str]) -> tuple[list[np.ndarray], np.ndarray]:
+        """The ids of plain stems in pieces, and how many each stem has."""
+        ids, sizes = [], [np.zeros(0, np.int64)]
         for i in range(0, len(stems), JOINED):
             part = stems[i : i + JOINED]
-            (ids,) = self._encode([" ".join(part)])
-            cuts = np.flatnonzero(self.ends[ids]) + 1
-            if len(cuts) == len(part) and cuts[-1] == len(ids):
-                begin = [0, *cuts.tolist()]
-                out += [ids[a:b] for a, b in zip(begin[:-1], begin[1:], strict=True)]
+            (own,) = self._encode([" ".join(part)])
+            cuts = np.flatnonzero(self.ends[own]) + 1
+            if len(cuts) == len(part) and cuts[-1] == len(own):
+                ids.append(own)
+                sizes.append(np.diff(cuts, prepend=0))
             else:
-                out += self._encode(part)
-        return out
+                each = self._encode(part)
+                ids += each
+                sizes.append(np.array([len(x) for x in each], np.int64))
+        return ids, np.concatenate(sizes)
 
     def _learn(self, words: list[str]) -> None:
-        memo = self.memo
-        new = [w for w in words if w not in memo]
-        if len(memo) + len(new) > MEMO:
-            memo.clear()
+        new = [w for w in words if w not in self.words]
+        if len(self.words) + len(new) > MEMO:
+            self._forget()
             new = words
-        plain, other, stems = [], [], {}
+        plain, other, stem_of, sign_of = [], [], [], []
         for w in new:
             m = _PLAIN.fullmatch(w)
-            if m:
-                plain.append((w, m[1].lower(), m[2]))
-                stems[plain[-1][1]] = None
-            else:
-                other.append(w)
-        other += [c for c in ".,;:!?|" if c not in memo]
-        memo.update(zip(other, self._encode(other), strict=True))
-        ask = [x for x in stems if x not in memo]
-        memo.update(zip(ask, self._stems(ask), strict=True))
-        for w, stem, sign in plain:
-            if w != stem:
-                memo[w] = np.concatenate([memo[stem], memo[sign]]) if sign else memo[stem]
+            stem, sign = (m[1].lower(), m[2]) if m else (w, "")
+            if stem not in self.stems:
+                (plain if m else other).append(stem)
+                self.stems[stem] = -1
+            stem_of.append(stem)
+            sign_of.append(self.signs[sign] if sign else -1)
+        ids, sizes = self._joined(plain)
+        each = self._encode(other)
+        sizes = np.concatenate([sizes, np.array([len(x) for x in each], np.int64)])
+        for k, stem in enumerate([*plain, *other], len(self.size)):
+            self.stems[stem] = k
+        self.begin = np.concatenate([self.begin, len(self.flat) + np.cumsum(sizes) - sizes])
+        self.size = np.concatenate([self.size, sizes])
+        self.flat = np.concatenate([self.flat, *ids, *each])
+        self.words.update(zip(new, range(len(self.stem), len(self.stem) + len(new))))
+        self.stem = np.concatenate([self.stem, np.array([self.stems[x] for x in stem_of], np.int64)])
+        self.sign = np.concatenate([self.sign, np.array(sign_of, np.int64)])
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids in order, and each row's offsets among them."""
@@ -200,17 +217,20 @@ class _Words:
         words = lists.flatten().dictionary_encode()
         known = words.dictionary.to_pylist()
         self._learn(known)
-        ids = [self.memo[w] for w in known]
-        sizes = np.array([len(x) for x in ids], np.int64)
-        begin = np.concatenate([[0], np.cumsum(sizes)])[:-1]
-        at = words.indices.to_numpy(zero_copy_only=False)
-        n = sizes[at]
+        code = np.array([self.words[w] for w in known], np.int64)[words.indices.to_numpy(zero_copy_only=False)]
+        stem, sign = self.stem[code], self.sign[code]
+        n = self.size[stem] + (sign >= 0)
         ends = np.cumsum(n)
-        flat = np.concatenate([np.zeros(0, np.uint32), *ids])
-        tokens = flat[np.repeat(begin[at] - (ends - n), n) + np.arange(int(ends[-1]) if len(ends) else 0)]
+        total = int(ends[-1]) if len(ends) else 0
+        tokens = np.zeros(total, np.uint32)
+        last = ends[sign >= 0] - 1
+        body = np.ones(total, bool)
+        body[last] = False
+        n = self.size[stem]
+        tokens[body] = self.flat[np.repeat(self.begin[stem] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))]
+        tokens[last] = sign[sign >= 0]
         offsets = lists.offsets.to_numpy()
-        offsets = offsets - offsets[0]
-        return tokens, np.concatenate([[0], ends])[offsets]
+        return tokens, np.concatenate([[0], ends])[offsets - offsets[0]]
 
 
 @lru_cache(maxsize=2)
@@ -225,7 +245,7 @@ def pieces(df: DataFrame, vocabulary: str, tokens: int, end: int, id_col: str, t
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = _words(vocabulary)
-        for part in blocks(batches):
+        for part in blocks(batches, limit=8 << 20):
             ids, at = coder.encode(part.column("text"))
             which, piece, start, length, crc, held = [], [], [], [], [], []
             for i, (a, b) in enumerate(zip(at[:-1].tolist(), at[1:].tolist(), strict=True)):
