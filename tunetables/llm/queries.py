@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tunetables.llm import neardup, packing, quality, suffixes, tokencount, urls
+from tunetables.llm import decontaminate, langid, neardup, packing, quality, suffixes, tokencount, urls
 from tunetables.plans.registry import query
 
 RISK, ERROR = 0.01, 0.05
@@ -128,3 +129,16 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op1_packed_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+@query()
+def op2_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fold = F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(4).cast("long"))
+    docs = table(spark, sf_dir, "documents").withColumn("held_out", F.coalesce(fold == 2, F.lit(False)))
+    model = langid.fit(docs.filter(fold != 2))
+    return langid.predict(docs, model, ["doc_id", "held_out"])
+
+
+@query()
+def op4_benchmark_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contained_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
