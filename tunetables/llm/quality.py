@@ -78,22 +78,22 @@ def _with(value: Column, then) -> Column:
 
 
 def measures(df: DataFrame, id_col: str, text_col: str, stratum_col: str) -> DataFrame:
-    """(id, stratum, the counts, the measures) of every text; null text has no words.
+    """(id, row, stratum, the counts, the measures) of every text; null text has no words.
     The text is split once and never leaves its row."""
     text = F.coalesce(F.col(text_col), F.lit(""))
-    base = df.select(F.col(id_col).alias("id"), F.coalesce(F.col(stratum_col), F.lit("")).alias("stratum"), text.alias("text"))
+    base = df.select(F.col(id_col).alias("id"), F.xxhash64(F.col(id_col), F.col(text_col)).alias("row"), F.coalesce(F.col(stratum_col), F.lit("")).alias("stratum"), text.alias("text"))
     lines = F.filter(F.split("text", "\n"), lambda x: x.rlike(WORD))
     letters = F.regexp_replace("text", GAP, "")
     words = words_in(F.col("text"))
     out = base.select(
-        "id", "stratum",
+        "id", "row", "stratum",
         _with(words, lambda w: F.struct(F.size(w).cast("long").alias("n"), repeated_words(w).alias("r"))).alias("w"),
         F.length(letters).cast("long").alias("word_chars"),
         (F.length("text") - F.length(F.translate("text", SYMBOLS, ""))).cast("long").alias("n_symbols"),
         _with(lines, lambda x: F.struct(F.size(x).cast("long").alias("n"), (F.size(x) - F.size(F.array_distinct(x))).cast("long").alias("d"))).alias("l"),
         (F.length("text") - F.length(F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", ""))).cast("long").alias("capitals"),
     ).select(
-        "id", "stratum", F.col("w.n").alias("n_words"), "word_chars", "n_symbols", F.col("l.d").alias("n_dup_lines"),
+        "id", "row", "stratum", F.col("w.n").alias("n_words"), "word_chars", "n_symbols", F.col("l.d").alias("n_dup_lines"),
         F.col("w.r").alias("n_repeat_words"), F.col("l.n").alias("n_lines"), "capitals",
     )
 
@@ -169,6 +169,22 @@ def judge_quality(
     the base rules; a null stratum is one of its own; rows without an id are judged
     but never learned from. Other columns are not read; empty tables give no rows
     or no thresholds."""
+    return _judged(df, labels, rules, risk, error, id_col, text_col, stratum_col).withColumnRenamed("id", id_col).drop("row")
+
+
+def kept_documents(
+    df: DataFrame, labels: DataFrame, rules: tuple[Rule, ...] = RULES, risk: float = 0.01, error: float = 0.05,
+    id_col: str = "doc_id", text_col: str = "text", stratum_col: str = "lang",
+) -> DataFrame:
+    """The rows of ``df`` that ``judge_quality`` keeps, with all their columns.
+    Rows are met by a hash of id and text, so that a null id is no loss."""
+    rows = _judged(df, labels, rules, risk, error, id_col, text_col, stratum_col).filter("kept").select(F.col("row").alias("_row")).distinct()
+    return df.join(rows, F.xxhash64(F.col(id_col), F.col(text_col)) == F.col("_row"), "left_semi")
+
+
+def _judged(
+    df: DataFrame, labels: DataFrame, rules: tuple[Rule, ...], risk: float, error: float, id_col: str, text_col: str, stratum_col: str
+) -> DataFrame:
     measured = materialise(measures(df, id_col, text_col, stratum_col), "measures")
     good = labels.filter(F.col("quality").isNotNull()).groupBy(F.col(id_col).alias("id")).agg(F.min("quality").alias("q")).filter("q = 1")
     cutoffs = materialise(certified_cutoffs(measured, good, rules, risk, error), "cutoffs")
@@ -178,6 +194,6 @@ def judge_quality(
     side = F.broadcast(per_rule) if cutoffs.count() <= 10_000 else per_rule
     judged = measured.join(side, "stratum", "left").withColumn("rules_failed", F.array_compact(F.array(*failed)))
     return judged.select(
-        F.col("id").alias(id_col), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
+        "id", "row", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
         (~F.col("base_failed") & (F.size("rules_failed") == 0)).alias("kept"), "rules_failed",
     )

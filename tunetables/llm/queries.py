@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tunetables.llm import decontaminate, langid, neardup, packing, quality, suffixes, tokencount, urls
+from tunetables.llm import decontaminate, langid, lines, neardup, packing, quality, suffixes, tokencount, urls, warc
 from tunetables.plans.registry import query
 
 RISK, ERROR = 0.01, 0.05
@@ -142,3 +143,33 @@ def op2_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op4_benchmark_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contained_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query()
+def op10_warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    read = warc.round_trip(table(spark, sf_dir, "pages"), least=0)
+    return read.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query(r"""
+with units as (
+  select doc_id, unnest(range(0, len(l))) as unit, unnest(l) as line
+  from (select doc_id, string_split(coalesce(text, ''), chr(10)) as l from documents)),
+placed as (
+  select *, cast(sum(length(line) + 1) over (partition by doc_id order by unit) - length(line) - 1 as bigint) as start,
+    trim(regexp_replace(translate(line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+', ' ', 'g')) as plain
+  from units),
+ranked as (
+  select *, count(*) over (partition by plain) as copies, row_number() over (partition by plain order by doc_id, unit) as nth,
+    first_value(doc_id) over (partition by plain order by doc_id, unit) as first_doc_id,
+    first_value(unit) over (partition by plain order by doc_id, unit) as first_unit
+  from placed where plain <> '' and len(string_split(plain, ' ')) >= 10)
+select doc_id, unit, start, start + length(line) as stop, copies, first_doc_id, first_unit from ranked where nth > 1
+""")
+def op5_repeated_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.repeated_units(table(spark, sf_dir, "documents"), kind="line", least_words=10)
+
+
+@query(corpus_pipeline.ORACLE_SQL)
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus_pipeline.run(spark, sf_dir)

@@ -245,13 +245,17 @@ def compare_runs(runs: DataFrame, length: int) -> DataFrame:
     return out
 
 
-def repeated_spans(df: DataFrame, length: int, batches: int, id_col: str, text_col: str) -> DataFrame:
-    """(uid, id, n_bytes, text, sha, spans) for each row of ``df``: the byte
+def repeated_spans(df: DataFrame, length: int, batches: int, id_col: str, text_col: str, whole: bool = False) -> DataFrame:
+    """(uid, id, rest, n_bytes, text, sha, spans) for each row of ``df``: the byte
     spans covered by a ``length``-byte string that also starts elsewhere. Rows
-    without any have their text's digest in ``sha`` and a null text."""
+    without any have their text's digest in ``sha`` and, unless ``whole``, a null
+    text. ``rest`` has the row's other columns if ``whole``."""
     spark = df.sparkSession
     text = F.coalesce(F.col(text_col), F.lit(""))
-    docs = df.select(F.col(id_col).alias("id"), text.alias("text")).withColumn("uid", F.xxhash64("id", "text"))
+    others = F.struct(*[F.col(c) for c in df.columns if c not in (id_col, text_col)]) if whole and len(df.columns) > 2 else F.lit(None)
+    docs = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("given"), text.alias("text"), others.alias("rest")).withColumn(
+        "uid", F.xxhash64("id", "text")
+    )
     family = Family(spark)
     for i in range(batches):
         family.add(suffixes(docs.filter(F.pmod("uid", F.lit(batches)) == i).filter(F.octet_length("text") >= length).select("uid", "text"), length))
@@ -267,8 +271,8 @@ def repeated_spans(df: DataFrame, length: int, batches: int, id_col: str, text_c
     joined = docs.join(materialise(per_text, "texts-met"), "uid", "left")
     touched = F.col("sure").isNotNull()
     rows = joined.select(
-        "uid", "id", F.octet_length("text").cast("long").alias("n_bytes"), F.when(touched, F.col("text")).alias("text"),
-        F.when(~touched, F.sha2("text", 256)).alias("sha"), "sure", "open",
+        "uid", "id", F.octet_length("text").cast("long").alias("n_bytes"), (F.col("given") if whole else F.when(touched, F.col("text"))).alias("text"),
+        F.when(~touched, F.sha2("text", 256)).alias("sha"), "sure", "open", *(["rest"] if whole else []),
     )
     # in buckets of the uid, so that the text is shuffled once
     name, buckets = f"rows_{stage_path(spark, 'x').rsplit('-', 1)[1]}", int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -288,7 +292,7 @@ def repeated_spans(df: DataFrame, length: int, batches: int, id_col: str, text_c
     per_text = found.groupBy("uid").agg(F.flatten(F.collect_set("spans")).alias("found"))
     none = F.array().cast("array<struct<s: int, e: int>>")
     return rows.join(per_text, "uid", "left").select(
-        "uid", "id", "n_bytes", "text", "sha",
+        "uid", "id", "n_bytes", "text", "sha", *(["rest"] if whole else []),
         F.array_sort(F.concat(F.coalesce("sure", none), F.coalesce("found", none))).alias("spans"),
     )
 
@@ -341,3 +345,41 @@ def remove_repeats(df: DataFrame, length: int = 400, batches: int = 3, id_col: s
     schema = f"id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary, removed array<struct<s: int, e: int>>"
     found = repeated_spans(df, length, batches, id_col, text_col)
     return found.select("id", "n_bytes", "text", "sha", "spans").mapInArrow(run, schema).withColumnRenamed("id", id_col)
+
+
+def whole_characters(raw: bytes, spans: list[tuple[int, int]]) -> bytes:
+    """UTF-8 bytes without the characters that lie wholly in the spans."""
+    at, parts = 0, []
+    for s, e in spans:
+        while s < e and raw[s] & 0xC0 == 0x80:
+            s += 1
+        while e > s and e < len(raw) and raw[e] & 0xC0 == 0x80:
+            e -= 1
+        parts.append(raw[at:s])
+        at = e
+    return b"".join([*parts, raw[at:]])
+
+
+def cut_texts(df: DataFrame, length: int = 400, batches: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``df``, their texts without the characters that lie wholly in
+    repeated spans, and ``n_removed`` characters. Null texts stay null."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts, removed = [], []
+            for text, spans in zip(batch.column("text").to_pylist(), batch.column("spans").to_pylist(), strict=True):
+                kept = text
+                if text is not None and spans:
+                    kept = whole_characters(text.encode(), _merged(spans)).decode()
+                texts.append(kept)
+                removed.append(len(text or "") - len(kept or ""))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("id"), pa.array(texts, pa.string()), batch.column("rest"), pa.array(removed, pa.int64())], ["id", "text", "rest", "n_removed"]
+            )
+
+    found = repeated_spans(df, length, batches, id_col, text_col, whole=True).select("id", "text", "rest", "spans")
+    kinds = {f.name: f.dataType.simpleString() for f in found.schema.fields}
+    cut = found.mapInArrow(run, f"id {kinds['id']}, text string, rest {kinds['rest']}, n_removed long")
+    return cut.select(*[
+        F.col({id_col: "id", text_col: "text"}[c]).alias(c) if c in (id_col, text_col) else F.col("rest").getField(c).alias(c) for c in df.columns
+    ], "n_removed")
