@@ -1,4 +1,5 @@
 import json
+from collections import Counter
 from pathlib import Path
 
 import pytest
@@ -7,6 +8,7 @@ from pyspark.sql import functions as F
 from tunetables.operators import report as P
 from tunetables.operators import shape as S
 from tunetables.operators import turns as U
+from tunetables.plans import fixtures as X
 from tunetables.sources import files as A
 from tunetables.streaming import files as L
 
@@ -124,12 +126,50 @@ def test_running_total(spark, span):
     assert got == {(k, t): sum(k + u for u in range(t + 1)) for k, t, _ in rows}
 
 
+def test_running_total_of_repeated_positions(spark):
+    rows = [("big", i // 100, i, 1) for i in range(1000)] + [("small", 0, i, 1) for i in range(9)]
+    df = spark.createDataFrame(rows, "k string, t int, i int, v int")
+    out = U.running_total(df, "k", "t", F.col("v"), "s", span=3, buckets=4).collect()
+    assert sorted(r.s for r in out if r.k == "big") == list(range(1, 1001))
+    assert all(100 * r.t < r.s <= 100 * (r.t + 1) for r in out if r.k == "big")
+    assert sorted(r.s for r in out if r.k == "small") == list(range(1, 10))
+
+
+def test_leading_turns(spark):
+    rows = [(n, t % (n - 1) if n == 9 else t, f"{t:04}", 5) for n in (1, 9, 12, 1000) for t in range(n)]
+    df = spark.createDataFrame(rows, "k int, t int, x string, n int")
+    got = Counter(r.k for r in U.leading_turns(df, "k", ["t", "x"], F.col("n"), 52, least=4).collect())
+    assert got == {1: 1, 9: 9, 12: 11, 1000: 11}
+    starts = [r.start for r in U.leading_turns(df, "k", ["t", "x"], F.col("n"), 52).where("k = 1000").orderBy("t").collect()]
+    assert starts == list(range(0, 55, 5))
+
+
 def test_replay(spark):
-    rows = [(1, t, 10, 5, f"g{t}") for t in range(5)]
+    rows = [(k, t, 10, 5, f"g{t}") for k, n in ((1, 5), (2, 1), (3, 1000)) for t in range(n)]
     df = spark.createDataFrame(rows, "k int, t int, u int, n int, g string")
-    out = U.replay_turns(df, "k", "t", F.col("u"), F.col("n"), "g", max_length=41, prompt_overhead=1, span=2)
-    got = [(r.t, r.prompt_length, r.g) for r in out.orderBy("t").collect()]
-    assert got == [(0, 11, "g0"), (1, 26, "g1"), (2, 41, U.OVERLONG)]
+    for least in (1, 15):
+        out = U.replay_turns(df, "k", ["t"], F.col("u"), F.col("n"), "g", max_length=41, prompt_overhead=1, least=least)
+        got = [(r.k, r.t, r.prompt_length, r.g) for r in out.orderBy("k", "t").collect()]
+        first = [(0, 11, "g0"), (1, 26, "g1"), (2, 41, U.OVERLONG)]
+        assert got == [(1, *x) for x in first] + [(2, 0, 11, "g0")] + [(3, *x) for x in first]
+
+
+def test_pop_last_turn(spark):
+    rows = [(n, t, f"r{t % 2}", f"t{t}") for n in (1, 9, 12, 1000) for t in range(n)]
+    df = spark.createDataFrame(rows, "k int, t int, role string, text string")
+    prompts, labels = U.pop_last_turn(df, "k", ["t", "role", "text"])
+    assert {(r.k, r.text) for r in labels.collect()} == {(n, f"t{n - 1}") for n in (1, 9, 12, 1000)}
+    assert Counter(r.k for r in prompts.collect()) == {9: 8, 12: 11, 1000: 999}
+
+
+def test_token_rows_of_long_conversations(spark, tmp_path):
+    rows = [(n, t, "user", f"a{t} b") for n in (1, 9, 12, 1000) for t in range(n)]
+    spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").write.parquet(f"{tmp_path}/conversations.parquet")
+    size = {r.conv_id: r.n for r in X.token_rows(spark, str(tmp_path), 58).selectExpr("conv_id", "size(ids) as n").collect()}
+    assert size == {1: 5, 9: 45, 12: 58, 1000: 58}
+    whole = {r.conv_id: r.ids for r in X.token_rows(spark, str(tmp_path), 6000).collect()}
+    ends = {r.conv_id: r.ids for r in X.token_rows(spark, str(tmp_path), 58, "keep_end").collect()}
+    assert {k: v[-58:] for k, v in whole.items()} == ends and len(whole[1000]) == 5000
 
 
 def test_reports(spark):

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tunetables.operators import mixture as M
 from tunetables.operators import shape as S
 from tunetables.operators.staging import stage_path
-from tunetables.operators.turns import replay_turns
+from tunetables.operators.turns import leading_turns, pop_last_turn, replay_turns
 from tunetables.plans import fixtures as X
 from tunetables.plans.registry import query
 from tunetables.sources import files as A
@@ -241,14 +241,14 @@ def prompt_rows(spark: SparkSession, sf: str) -> DataFrame:
     return df.select("k", _said("prompt", "prompt"), "label")
 
 
-@query(f"""
-with {X.PARTS_SQL}
-select conv_id, part, chunk, list_aggregate(list_transform(messages[1:len(messages) - 1], lambda m: m.role || '=' || m.content), 'string_agg', '|') as prompt,
-  messages[len(messages)].content as label from chats where len(messages) > 1
-union all select conv_id, part, chunk, '', messages[1].content from chats where len(messages) = 1""")
+@query("""
+select conv_id, turn, role || '=' || text as said,
+  row_number() over (partition by conv_id order by turn desc, role desc, text desc) = 1 as is_label from conversations""")
 def test_label_pop(spark: SparkSession, sf: str) -> DataFrame:
-    df = S.to_test_conversation(X.conversation_parts(spark, sf))
-    return df.select("conv_id", "part", "chunk", _said("prompt", "prompt"), "label")
+    """The last turn of whole conversations is the label, the others the prompt."""
+    prompts, labels = pop_last_turn(X.table(spark, sf, "conversations"), "conv_id", X.TURN)
+    rows = prompts.withColumn("is_label", F.lit(False)).unionByName(labels.withColumn("is_label", F.lit(True)))
+    return rows.select("conv_id", "turn", F.concat_ws("=", "role", "text").alias("said"), "is_label")
 
 
 @query(f"""
@@ -258,46 +258,58 @@ def test_prompts(spark: SparkSession, sf: str) -> DataFrame:
     return df.select("k", _said("prompt", "prompt"), "label")
 
 
-@query(f"""
-with {X.PARTS_SQL}
-select conv_id, part, chunk, list_aggregate(list_transform(messages, lambda m: '<|im_start|>' || m.role || chr(10) || m.content || '<|im_end|>' || chr(10)),
-  'string_agg', '') || '<|im_start|>assistant' || chr(10) as text from chats""")
-def render_chat(spark: SparkSession, sf: str) -> DataFrame:
-    df = X.conversation_parts(spark, sf)
-    return df.select("conv_id", "part", "chunk", S.render_chat(F.col("messages"), add_generation_prompt=True).alias("text"))
+_CHARS = 4000
 
 
 @query(f"""
-with {X.PARTS_SQL},
-e as (select conv_id, part, chunk, messages, unnest(range(0, len(messages))) as turn from chats)
-select conv_id, part, chunk, turn::bigint as turn, coalesce(list_aggregate(list_transform(messages[1:turn],
-   lambda m: 'user=' || m.content || '|assistant=' || m.role || '|'), 'string_agg', ''), '') || 'user=' || messages[turn + 1].content as prompt from e""")
-def turn_prefixes(spark: SparkSession, sf: str) -> DataFrame:
-    df = X.conversation_parts(spark, sf).select(
-        "conv_id",
-        "part",
-        "chunk",
-        F.transform("messages", lambda m: m["content"]).alias("contents"),
-        F.transform("messages", lambda m: m["role"]).alias("generations"),
-    )
-    rows = S.expand_turn_prefixes(df, "contents", "generations")
-    return rows.select("conv_id", "part", "chunk", F.col("turn").cast("bigint").alias("turn"), _said("prompt", "prompt"))
+with pieces as (select *, '<|im_start|>' || role || chr(10) || text || '<|im_end|>' || chr(10) as piece from conversations),
+placed as (select *, sum(length(piece)) over (partition by conv_id order by turn, role, text) - length(piece) as start from pieces)
+select conv_id, left(string_agg(piece, '' order by start), {_CHARS}) || '<|im_start|>assistant' || chr(10) as text
+from placed where start < {_CHARS} group by conv_id""")
+def render_chat(spark: SparkSession, sf: str) -> DataFrame:
+    """Conversations rendered up to a length in characters."""
+    turns = X.table(spark, sf, "conversations").withColumn("piece", S.render_turn(F.col("role"), F.col("text")))
+    kept = leading_turns(turns, "conv_id", X.TURN, F.length("piece"), _CHARS, least=24)
+    said = F.array_sort(F.collect_list(F.struct("start", F.left("piece", F.lit(_CHARS)).alias("piece"))))
+    chats = kept.groupBy("conv_id").agg(said.alias("said"))
+    text = F.left(F.array_join(F.transform("said", lambda x: x["piece"]), ""), F.lit(_CHARS))
+    return chats.select("conv_id", F.concat(text, F.lit(S.generation_prompt())).alias("text"))
 
 
 _LIMIT = 1500
+_REPLAY_SQL = f"""
+with t as (select *, length(text) + 20 as u, length(role) + 25 as g from conversations),
+r as (select *, sum(u + g) over (partition by conv_id order by turn, role, text) - g + 22 as prompt_length from t),
+s as (select *, lag(prompt_length) over (partition by conv_id order by turn, role, text) as before from r),
+kept as (select * from s where before is null or before < {_LIMIT})"""
 
 
-@query(f"""
-with t as (select *, length(text) + 20 as u, length(role) + 25 as g from conversations),
-r as (select *, sum(u + g) over (partition by conv_id order by turn) - g + 22 as prompt_length from t),
-s as (select conv_id, min(turn) filter (prompt_length >= {_LIMIT}) as stop from r group by conv_id)
-select r.conv_id, r.turn, r.prompt_length::bigint as prompt_length,
-  case when r.turn = s.stop then 'MODEL_MAX_LENGTH_EXCEEDED' else r.role end as generation
-from r join s on s.conv_id = r.conv_id where s.stop is null or r.turn <= s.stop""")
+def _replayed(spark: SparkSession, sf: str) -> DataFrame:
+    t = X.table(spark, sf, "conversations").withColumn("generation", F.col("role"))
+    return replay_turns(
+        t, "conv_id", X.TURN, F.length("text") + 20, F.length("role") + 25, "generation", _LIMIT, prompt_overhead=22, least=45
+    )
+
+
+@query(f"""{_REPLAY_SQL}
+select conv_id, turn, prompt_length::bigint as prompt_length,
+  case when prompt_length >= {_LIMIT} then 'MODEL_MAX_LENGTH_EXCEEDED' else role end as generation from kept""")
 def overlong_turns(spark: SparkSession, sf: str) -> DataFrame:
     """Whole conversations in long form, cut where the prompt stops fitting."""
-    t = X.table(spark, sf, "conversations").withColumn("generation", F.col("role"))
-    out = replay_turns(
-        t, "conv_id", "turn", F.length("text") + 20, F.length("role") + 25, "generation", _LIMIT, prompt_overhead=22, span=4
+    return _replayed(spark, sf).select("conv_id", "turn", F.col("prompt_length").cast("bigint").alias("prompt_length"), "generation")
+
+
+@query(f"""{_REPLAY_SQL},
+fits as (select *, row_number() over (partition by conv_id order by turn, role, text) - 1 as nth from kept where prompt_length < {_LIMIT}),
+pairs as (select a.conv_id, a.nth, a.text, string_agg('user=' || b.text || '|assistant=' || b.role || '|', '' order by b.nth) as before
+  from fits a left join fits b on a.conv_id = b.conv_id and b.nth < a.nth group by all)
+select conv_id, nth as turn, coalesce(before, '') || 'user=' || text as prompt from pairs""")
+def turn_prefixes(spark: SparkSession, sf: str) -> DataFrame:
+    """Every prompt that fits, spelled out: the limit on its length bounds the row."""
+    fits = _replayed(spark, sf).where(F.col("prompt_length") < _LIMIT)
+    said = F.array_sort(F.collect_list(F.struct("prompt_length", "text", "generation")))
+    listed = fits.groupBy("conv_id").agg(said.alias("said")).select(
+        "conv_id", F.transform("said", lambda m: m["text"]).alias("contents"), F.transform("said", lambda m: m["generation"]).alias("generations")
     )
-    return out.select("conv_id", "turn", F.col("prompt_length").cast("bigint").alias("prompt_length"), "generation")
+    rows = S.expand_turn_prefixes(listed, "contents", "generations")
+    return rows.select("conv_id", F.col("turn").cast("bigint").alias("turn"), _said("prompt", "prompt"))

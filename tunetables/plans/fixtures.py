@@ -1,7 +1,7 @@
 """Inputs of the registered queries, derived from the given tables.
 
 Each text is one SQL statement that runs unchanged on Spark and DuckDB. None of
-them groups rows into lists, so no input row grows with the rows of a key.
+them groups rows into lists; conversations are joined only as far as a length limit.
 """
 
 from __future__ import annotations
@@ -10,12 +10,12 @@ import hashlib
 import re
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tunetables.functions import tokens as K
 from tunetables.operators import shape as S
 from tunetables.operators.staging import spread
+from tunetables.operators.turns import leading_turns
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages benchmark "
@@ -187,48 +187,40 @@ def frame(spark: SparkSession, sf_dir: str, sql: str, heavy: bool = False) -> Da
     return spread(spark.sql(sql)) if heavy else spark.sql(sql)
 
 
-#: turns per message array at most
-PART = 8
+#: tokens of a training row; a conversation beyond them is truncated
+MAX_TOKENS = 2048
 #: markers that stay words of their own when the text is split on spaces
-WORD_MARKS = S.ChatMarkers(head="<|im_start|> {role} ", tail=" <|im_end|> ")
+WORD_MARKS = S.ChatMarkers(head="<|im_start|> {role} ", tail=" <|im_end|>")
+#: words that the markers, the role and an empty text are
+LEAST_WORDS = 4
+TURN = ["turn", "role", "text"]
 
 
-def conversation_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(conv_id, part, chunk, messages): message arrays of at most PART turns.
+def turn_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(conv_id, turn, role, text, ids): word codes of each rendered turn."""
+    text = S.render_turn(F.col("role"), F.col("text"), WORD_MARKS)
+    return table(spark, sf_dir, "conversations").withColumn("ids", K.word_codes(text))
 
-    ``part`` cuts long conversations by position, ``chunk`` cuts what is left
-    of a part whose positions repeat; both groupings share one shuffle.
-    """
-    turns = table(spark, sf_dir, "conversations").withColumn("part", F.floor(F.col("turn") / PART))
-    at = F.row_number().over(W.partitionBy("conv_id", "part").orderBy("turn", "role", "text"))
-    turns = turns.withColumn("chunk", F.floor((at - 1) / PART))
-    said = F.struct("turn", "role", F.col("text").alias("content"))
-    listed = turns.groupBy("conv_id", "part", "chunk").agg(F.array_sort(F.collect_list(said)).alias("messages"))
-    return listed.withColumn("messages", S.project_turns(F.col("messages")))
+
+def token_rows(spark: SparkSession, sf_dir: str, max_length: int = MAX_TOKENS, mode: str = "keep_start") -> DataFrame:
+    """(conv_id, ids): whole conversations, truncated to ``max_length``. Only the
+    turns that reach into the kept end are collected."""
+    last = mode == "keep_end"
+    turns = turn_tokens(spark, sf_dir)
+    order = [F.col(c).desc() if last else F.col(c) for c in TURN]
+    kept = leading_turns(turns, "conv_id", order, F.size("ids"), max_length, LEAST_WORDS)
+    fits = K.truncate_tokens(F.col("ids"), max_length, mode)
+    place = F.negative("start") if last else F.col("start")
+    listed = kept.groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct(place.alias("at"), fits.alias("ids")))).alias("turns"))
+    ids = F.flatten(F.transform("turns", lambda t: t["ids"]))
+    return listed.select("conv_id", K.truncate_tokens(ids, max_length, mode).alias("ids"))
 
 
 #: the same in DuckDB, as the leading part of a WITH list
-PARTS_SQL = f"""
-numbered as (select *, turn // {PART} as part,
-  (row_number() over (partition by conv_id, turn // {PART} order by turn, role, text) - 1) // {PART} as chunk from conversations),
-chats as (select conv_id, part, chunk, list({{'role': role, 'content': text}} order by turn, role, text) as messages
-  from numbered group by conv_id, part, chunk)"""
-
-
-def token_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(conv_id, part, chunk, ids): word codes of the rendered message arrays."""
-    parts = conversation_parts(spark, sf_dir)
-    text = S.render_chat(F.col("messages"), marks=WORD_MARKS)
-    return parts.select("conv_id", "part", "chunk", K.word_codes(text).alias("ids"))
-
-
-TOKENS_SQL = (
-    PARTS_SQL
-    + """,
-words as (select conv_id, part, chunk, string_split(list_aggregate(list_transform(messages,
-    lambda m: '<|im_start|> ' || m.role || ' ' || m.content || ' <|im_end|> '), 'string_agg', ''), ' ') as w from chats),
-toks as (select conv_id, part, chunk, list_transform(w, lambda x: ('0x' || substr(md5(x), 1, 6))::INT) as ids from words)"""
-)
+TOKENS_SQL = """
+turns as (select *, list_transform(string_split('<|im_start|> ' || role || ' ' || text || ' <|im_end|>', ' '),
+    lambda x: ('0x' || substr(md5(x), 1, 6))::INT) as ids from conversations),
+toks as (select conv_id, flatten(list(ids order by turn, role, text)) as ids from turns group by conv_id)"""
 
 
 def code_of(word: str) -> int:
