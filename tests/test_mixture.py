@@ -3,6 +3,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from tunetables.operators import batches as B
 from tunetables.operators import mixture as M
 
 
@@ -38,6 +39,34 @@ def test_ordered_index(spark):
     assert [r.k for r in rows] == [*range(1, 500, 2), *range(0, 500, 2)]
 
 
+@pytest.mark.parametrize("n", [1, 39, 50, 80, 99])
+def test_sample_with_null_and_repeated_keys(spark, n):
+    half = spark.range(100).select(F.when(F.col("id") % 2 == 0, F.col("id")).alias("k"), (F.col("id") % 5).alias("v"))
+    assert M.sample_exact(half, n, "k", 3).count() == n  # 50 null keys, rows equal in both columns
+    few = spark.range(1000).select((F.col("id") % 10).alias("k"), "id")
+    got = [r.id for r in M.sample_exact(few, n, "k", 3).collect()]
+    assert len(set(got)) == len(got) == n
+    again = few.repartition(7)
+    assert {r.id for r in M.sample_exact(again, n, "k", 3).collect()} == set(got)
+
+
+def test_split_with_null_and_equal_keys(spark):
+    df = spark.range(90).select(F.when(F.col("id") > 60, F.lit(None)).otherwise(F.lit("x")).alias("k"))
+    for ratio, held in ((0.0, 0), (0.1, 9), (0.5, 45), (1.0, 90)):
+        flagged = M.with_split_flag(df, "k", ratio, 1)
+        assert flagged.count() == 90 and flagged.where("is_val").count() == held
+    train, val = M.train_val_split(df, "k", 0.3, 1)
+    assert (train.count(), val.count()) == (63, 27)
+
+
+def test_index_and_batches_keep_rows_without_keys(spark):
+    df = spark.range(100).select(F.when(F.col("id") % 3 > 0, F.col("id") % 7).alias("k"), "id")
+    rows = M.hash_index(df, "k", 1).collect()
+    assert sorted(r.idx for r in rows) == list(range(100)) and len({r.id for r in rows}) == 100
+    assert B.assign_batches(df, 8, "k").groupBy("batch_id").count().where("count = 8").count() == 12
+    assert M.sample_exact_with_replacement(df, 300, "k", 2).count() == 300
+
+
 def test_replacement(spark):
     df = frame(spark, 20)
     got = M.sample_exact_with_replacement(df, 200, "k", 9)

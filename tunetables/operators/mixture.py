@@ -1,15 +1,16 @@
 """Exact sampling, splits and row selection.
 
-Order comes from ``md5(seed:key)``, so a sample depends on the seed and the keys
-alone, never on partitioning. Picking the n first rows of that order needs no
-global sort: a histogram over the first four hex digits (65,536 buckets of
-uniform hashes, whatever the data) names the one bucket where the cut falls,
-only that bucket is ordered, and the cut value filters the scan.
+Order comes from ``md5(seed:key)``, then the key, then a hash of the whole row, so
+a sample depends on the seed and the rows alone, never on partitioning. Keys may
+repeat or be null. Picking the n first rows of that order needs no global sort: a
+histogram over the first four hex digits (65,536 buckets) names the bucket where
+the cut falls, the counts of that bucket's keys name the key, and only if the cut
+falls among the rows of one key are these cut in the same way by their own hash.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import math
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -24,11 +25,17 @@ BUCKET_DIGITS = 4  # 16**4 histogram rows at most
 
 
 def order_token(key: str | Column, seed: int) -> Column:
-    """Sort string of a row: hash first, key as tie break."""
-    text = (F.col(key) if isinstance(key, str) else key).cast("string")
+    """Sort string of a row: hash first, key as tie break. Null counts as empty."""
+    text = F.coalesce((F.col(key) if isinstance(key, str) else key).cast("string"), F.lit(""))
     return F.concat(F.md5(F.concat(F.lit(f"{seed}:"), text)), F.lit(":"), text)
 
 
+def row_token(df: DataFrame) -> Column:
+    """Sort string among rows of one key: a hash of all columns but maps."""
+    named = [F.col(f.name) for f in df.schema.fields if "map<" not in f.dataType.simpleString()]
+    return F.md5(F.hex(F.xxhash64(*named)))
+
+
 def _bucket(token: Column) -> Column:
     return F.substring(token, 1, BUCKET_DIGITS)
 
@@ -40,35 +47,77 @@ def _histogram(tokens: DataFrame) -> DataFrame:
     return per.withColumn("before", running - F.col("n"))
 
 
-def cutoff(tokens: DataFrame, n: int | Callable[[Column], Column]) -> Column:
-    """Scalar: the n-th smallest value of column ``t`` (null when n < 1, the
-    largest when there are fewer). ``n`` may be a function of the row count.
+@dataclass(frozen=True)
+class Cut:
+    """Where the first n rows end: after key token ``key``; or, if ``row`` is set,
+    within that key after row token ``row``; or, if ``equal`` is set, after so many
+    of the rows with that token, which are equal in every column."""
+
+    key: str
+    row: str | None = None
+    equal: int | None = None
+
+
+def _cut_among(tokens: DataFrame, n: int) -> tuple[str, int, int]:
+    """(token, rows with it, how many of them count) of the n-th of the column ``t``,
+    for 1 <= n <= rows: the histogram, and the counts of the tokens in one bucket."""
+    bucket = _bucket(F.col("t"))
+    left = n
+    for r in sorted(tokens.groupBy(bucket.alias("b")).agg(F.count("*").alias("n")).collect()):
+        if left <= r.n:
+            break
+        left -= r.n
+    counts = tokens.where(bucket == r.b).groupBy("t").agg(F.count("*").alias("n"))
+    upto = F.sum("n").over(W.orderBy("t").rowsBetween(W.unboundedPreceding, W.currentRow))
+    edge = counts.withColumn("upto", upto).where((F.col("upto") >= left) & (F.col("upto") - F.col("n") < left)).first()
+    return edge.t, edge.n, left - (edge.upto - edge.n)
+
+
+def find_cut(df: DataFrame, n: int, key: str, seed: int) -> Cut:
+    """The cut after n rows of the order, for 1 <= n <= rows."""
+    token = order_token(key, seed)
+    t, many, wanted = _cut_among(df.select(token.alias("t")), n)
+    if wanted == many:
+        return Cut(t)
+    row, many, wanted = _cut_among(df.where(token == t).select(row_token(df).alias("t")), wanted)
+    return Cut(t, row) if wanted == many else Cut(t, row, wanted)
 
-    Two scans of the one column: the histogram, and the bucket of the cut.
-    """
-    total = F.sum("n").over(W.partitionBy(F.lit(0)))
-    hist = _histogram(tokens).withColumn("total", total)
-    wanted = F.lit(n).cast("bigint") if isinstance(n, int) else n(F.col("total"))
-    hist = hist.withColumn("wanted", F.least(wanted, F.col("total")) - F.col("before"))
-    edge = hist.where(F.col("wanted").between(1, F.col("n"))).select("bucket", "wanted")
-    inside = tokens.withColumn("bucket", _bucket(F.col("t"))).join(F.broadcast(edge), "bucket")  # one row
-    place = F.row_number().over(W.partitionBy("bucket").orderBy("t"))
-    return inside.withColumn("place", place).where(F.col("place") == F.col("wanted")).select("t").scalar()
+
+def _before(df: DataFrame, cut: Cut, key: str, seed: int) -> Column:
+    """Whether a row lies before the cut; of rows equal at the cut, none."""
+    token, row = order_token(key, seed), row_token(df)
+    if cut.row is None:
+        return token <= cut.key
+    within = row < cut.row if cut.equal is not None else row <= cut.row
+    return (token < cut.key) | ((token == cut.key) & within)
+
+
+def _at(df: DataFrame, cut: Cut, key: str, seed: int) -> Column:
+    return (order_token(key, seed) == cut.key) & (row_token(df) == cut.row)
 
 
 def sample_exact(df: DataFrame, n: int, key: str, seed: int) -> DataFrame:
-    """Exactly n rows (all, when there are fewer), no repeats."""
-    token = order_token(key, seed)
-    return df.where(token <= cutoff(df.select(token.alias("t")), n))
+    """Exactly n rows (all, when there are fewer), no repeats. Keys may repeat or
+    be null; rows equal in every column are interchangeable. The cut is found by
+    small jobs when this is called."""
+    total = df.count()
+    if n >= total:
+        return df
+    if n <= 0:
+        return df.where(F.lit(False))
+    cut = find_cut(df, n, key, seed)
+    out = df.where(_before(df, cut, key, seed))
+    return out if cut.equal is None else out.unionByName(df.where(_at(df, cut, key, seed)).limit(cut.equal))
 
 
 def hash_index(df: DataFrame, key: str, seed: int, name: str = "idx") -> DataFrame:
-    """Dense 0-based index in hash order: a shuffle on uniform buckets, and the
-    small histogram for the offsets."""
+    """Dense 0-based index in hash order: a shuffle on hash buckets, and the small
+    histogram for the offsets. Keys may repeat or be null; the rows of a key share
+    a bucket, in the order of their own hashes."""
     token = order_token(key, seed)
     hist = _histogram(df.select(token.alias("t"))).select(F.col("bucket").alias("_b"), "before")
     rows = df.withColumn("_t", token).withColumn("_b", _bucket(F.col("_t")))
-    at = F.row_number().over(W.partitionBy("_b").orderBy("_t"))
+    at = F.row_number().over(W.partitionBy("_b").orderBy("_t", row_token(df)))
     rows = rows.withColumn("_at", at).join(F.broadcast(hist), "_b")  # <= 65,536 rows
     return rows.withColumn(name, (F.col("before") + F.col("_at") - 1).cast("bigint")).drop("_b", "_t", "_at", "before")
 
@@ -172,12 +221,21 @@ def weighted_mixture(
 
 
 def with_split_flag(df: DataFrame, key: str, ratio: float, seed: int, name: str = "is_val") -> DataFrame:
-    """Rows flagged as held out: ceil(rows * ratio) of them, in one scan once
-    the cut is known."""
-    token = order_token(key, seed)
-    tokens = df.select(token.alias("t"))
-    cut = cutoff(tokens, lambda total: F.ceil(total * F.lit(float(ratio))))
-    return df.withColumn(name, F.coalesce(token <= cut, F.lit(False)))
+    """Rows flagged as held out: exactly ceil(rows * ratio) of them, in one scan
+    once the cut is known."""
+    total = df.count()
+    n = math.ceil(total * float(ratio))
+    if n <= 0 or n >= total:
+        return df.withColumn(name, F.lit(n > 0))
+    cut = find_cut(df, n, key, seed)
+    flagged = df.withColumn(name, _before(df, cut, key, seed))
+    if cut.equal is None:
+        return flagged
+    # rows that are equal in every column: so many of them on either side
+    tied = _at(df, cut, key, seed)
+    place = F.row_number().over(W.partitionBy(F.lit(0)).orderBy(F.lit(0)))
+    edge = df.where(tied).withColumn(name, place <= cut.equal)
+    return flagged.where(~tied).unionByName(edge)
 
 
 def train_val_split(
@@ -191,9 +249,12 @@ def train_val_split(
 
 
 def select_indices(df: DataFrame, order: list[str], indices: DataFrame, column: str = "idx") -> DataFrame:
-    """Rows at the given 0-based positions of the stated order."""
+    """Rows at the given 0-based positions of the stated order, which must tell the
+    rows apart. Only the order columns are sorted and numbered."""
     wanted = indices.select(F.col(column).cast("bigint").alias("idx")).distinct()
-    return ordered_index(df, *order).join(wanted, "idx", "left_semi")
+    keys = ordered_index(df.select(*order), *order).join(wanted, "idx", "left_semi").select(*[F.col(c).alias(f"_{c}") for c in order])
+    same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in order]
+    return df.join(keys, same, "left_semi")
 
 
 def payload_size(df: DataFrame) -> Column:

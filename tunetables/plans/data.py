@@ -154,6 +154,31 @@ def sample_exact(spark: SparkSession, sf: str) -> DataFrame:
     return M.sample_exact(X.table(spark, sf, "documents"), 100, "doc_id", SEED).select("doc_id", "lang")
 
 
+@query(f"""
+with k as (select l_orderkey, count(*) as n, md5('{SEED}:' || l_orderkey) || ':' || l_orderkey as t from lineitem group by l_orderkey),
+c as (select *, sum(n) over (order by t) - n as before from k)
+select l_orderkey, least(n, 5000 - before)::bigint as rows from c where before < 5000""")
+def sample_duplicate_keys(spark: SparkSession, sf: str) -> DataFrame:
+    """An exact sample by a key that many rows share: whole keys, and part of one."""
+    rows = M.sample_exact(X.table(spark, sf, "lineitem"), 5000, "l_orderkey", SEED)
+    return rows.groupBy("l_orderkey").agg(F.count("*").alias("rows"))
+
+
+_LABELLED = "select d.doc_id, l.doc_id as labelled, d.source from documents d left join labels l on d.doc_id = l.doc_id"
+
+
+@query(f"""
+with x as ({_LABELLED}),
+k as (select labelled, count(*) as n, md5('{SEED}:' || coalesce(labelled::varchar, '')) || ':' || coalesce(labelled::varchar, '') as t from x group by labelled),
+c as (select *, sum(n) over (order by t) - n as before, (select count(*) from x) // 2 as wanted from k)
+select labelled, least(n, wanted - before)::bigint as rows from c where before < wanted""")
+def sample_null_keys(spark: SparkSession, sf: str) -> DataFrame:
+    """An exact half of rows that mostly have no key."""
+    x = X.frame(spark, sf, _LABELLED)
+    rows = M.sample_exact(x, X.table(spark, sf, "documents").count() // 2, "labelled", SEED)
+    return rows.groupBy("labelled").agg(F.count("*").alias("rows"))
+
+
 @query("""
 with t as (select doc_id, length(text) + length(lang) + length(source) + length(doc_id::varchar) + length(n_chars::varchar) as score,
   length(text) as sequence_length from documents)
