@@ -18,9 +18,10 @@ def vectors(spark, n, name, vec, seed, copies=0, text=False):
 
 
 def brute(queries, items, k):
-    out = {}
+    out, longest = {}, max(np.linalg.norm(np.float64(np.float32(w))) for _, w in items)
     for q, v in queries:
-        scores = [(-round(float(np.dot(np.float64(np.float32(v)), np.float64(np.float32(w)))), 7), i) for i, w in items]
+        most = np.linalg.norm(np.float64(np.float32(v))) * longest or 1.0
+        scores = [(-round(float(np.dot(np.float64(np.float32(v)), np.float64(np.float32(w)))) / most, 7), i) for i, w in items]
         out[q] = [i for _, i in sorted(scores)[:k]]
     return out
 
@@ -51,6 +52,16 @@ def test_cells_prune_and_stay_exact(spark):
     assert got == brute(rows[:40], rows, 5)
 
 
+@pytest.mark.parametrize("options", [{}, {"small_query_bytes": 0}, {"small_query_bytes": 0, "cell_rows": 4}])
+@pytest.mark.parametrize("size", [1e-5, 1.0, 1e6])
+def test_ranking_does_not_depend_on_the_norm(spark, options, size):
+    q = spark.createDataFrame([(1, [1e-4 * size, 0.0]), (2, [0.0, 0.0])], "qid int, vector array<double>")
+    i = spark.createDataFrame([(n, [1e-5 * size * n, 0.0]) for n in range(1, 21)], "item_id int, embedding array<double>")
+    got = R.knn(q, i, 3, **options).orderBy("qid", "rank").collect()
+    assert [r.item_id for r in got] == [20, 19, 18, 1, 2, 3]
+    assert got[0].score == pytest.approx(2e-8 * size * size)
+
+
 def test_few_items(spark):
     q, _ = vectors(spark, 3, "qid", "vector", 1)
     i, _ = vectors(spark, 2, "item_id", "embedding", 2)

@@ -29,26 +29,29 @@ from pyspark.sql import functions as F
 from tunetables.config import HitOptions, NdcgOptions
 from tunetables.operators.staging import materialise
 
-#: scores are compared in single precision: digits kept before ranking
+#: scores are compared in single precision: digits kept of a score as a share of
+#: the largest that the query's norm and the items' largest norm allow
 DIGITS = 7
-ITEM_BLOCK = 50_000
-QUERY_BLOCK = 10_000
+#: vectors that a block holds, in bytes of doubles
+BLOCK_BYTES = 64 << 20
 SMALL_QUERY_BYTES = 32 << 20
-#: items per cell aimed at, and the largest number of cells (their centres and
-#: radii are held by every task)
+#: items per cell aimed at, and the bytes of centres that every task holds
 CELL_ROWS = 4_000
-MAX_CELLS = 1024
+CENTRE_BYTES = 64 << 20
 
 
-def _top(qids, qmat: np.ndarray, ids, mat: np.ndarray, k: int) -> Iterator[pd.DataFrame]:
-    """k best items per query in this block, best first, ties by item id."""
+def _top(qids, qmat: np.ndarray, ids, mat: np.ndarray, k: int, longest: float) -> Iterator[pd.DataFrame]:
+    """k best items per query in this block, best first, ties by item id. ``place``
+    is the rounded share that ranks, ``longest`` the items' largest norm."""
     order = np.argsort(ids, kind="stable")
     ids, mat = ids[order], mat[order]  # position order is id order from here on
     step = max(1, 4_000_000 // max(1, len(ids)))
     for at in range(0, len(qids), step):
-        scores = np.round(qmat[at : at + step] @ mat.T, DIGITS)
-        out_q, out_i, out_s = [], [], []
-        for qid, row in zip(qids[at : at + step], scores):
+        part = qmat[at : at + step]
+        scores = part @ mat.T
+        places = np.round(scores / _reach(part, longest)[:, None], DIGITS)
+        out_q, out_i, out_s, out_p = [], [], [], []
+        for qid, score, row in zip(qids[at : at + step], scores, places):
             if len(row) > k:
                 bar = np.partition(row, len(row) - k)[len(row) - k]
                 at_bar = np.flatnonzero(row == bar)
@@ -58,16 +61,25 @@ def _top(qids, qmat: np.ndarray, ids, mat: np.ndarray, k: int) -> Iterator[pd.Da
                 best = np.arange(len(row))
             out_q.append(np.repeat(np.asarray([qid], dtype=qids.dtype), len(best)))
             out_i.append(ids[best])
-            out_s.append(row[best])
-        yield pd.DataFrame({"qid": np.concatenate(out_q), "item_id": np.concatenate(out_i), "score": np.concatenate(out_s)})
+            out_s.append(score[best])
+            out_p.append(row[best])
+        yield pd.DataFrame(
+            {"qid": np.concatenate(out_q), "item_id": np.concatenate(out_i), "score": np.concatenate(out_s), "place": np.concatenate(out_p)}
+        )
+
+
+def _reach(qmat: np.ndarray, longest: float) -> np.ndarray:
+    """The largest score that each query could have; 1 where that is nothing."""
+    most = np.linalg.norm(qmat, axis=1) * longest
+    return np.where(most > 0, most, 1.0)
 
 
 def _matrix(column: pd.Series) -> np.ndarray:
     return np.stack(column.to_numpy()).astype(np.float64)
 
 
-def _blocks(df: DataFrame, key: str, rows: int) -> tuple[DataFrame, int]:
-    n = max(1, math.ceil(df.count() / rows))
+def _blocks(df: DataFrame, key: str, count: int, rows: int) -> tuple[DataFrame, int]:
+    n = max(1, math.ceil(count / rows))
     return df.withColumn("_home", F.pmod(F.xxhash64(key), F.lit(n)).cast("int")), n
 
 
@@ -79,32 +91,44 @@ def knn(
     query: str = "vector",
     item_id: str = "item_id",
     item: str = "embedding",
-    item_block: int = ITEM_BLOCK,
-    query_block: int = QUERY_BLOCK,
+    item_block: int | None = None,
+    query_block: int | None = None,
     small_query_bytes: int = SMALL_QUERY_BYTES,
     cell_rows: int = CELL_ROWS,
 ) -> DataFrame:
-    """(qid, item_id, score, rank): the k items of highest inner product.
-    Fewer than k items give fewer rows."""
+    """(qid, item_id, score, rank): the k items of highest inner product. Scores
+    that differ by less than rounding of their possible range are ties, which the
+    item id decides. Fewer than k items give fewer rows. Blocks are rows; by
+    default as many as ``BLOCK_BYTES`` hold."""
     if k <= 0:
         raise ValueError("k must be >= 1")
     q = queries.select(F.col(qid).alias("qid"), F.col(query).alias("vector"))
     i = items.select(F.col(item_id).alias("item_id"), F.col(item).alias("embedding"))
-    schema = f"qid {q.schema['qid'].dataType.simpleString()}, item_id {i.schema['item_id'].dataType.simpleString()}, score double"
-    size = q.agg(F.count("*").alias("n"), F.coalesce(F.max(F.size("vector")), F.lit(0)).alias("d")).first()
-    if size.n * (size.d + 2 * k) * 8 <= small_query_bytes:
-        found = _sent_to_items(q, i, k, schema, item_block)
+    schema = f"qid {q.schema['qid'].dataType.simpleString()}, item_id {i.schema['item_id'].dataType.simpleString()}, score double, place double"
+    asked, held = _facts(q, "vector"), _facts(i, "embedding")
+    rows = max(1, BLOCK_BYTES // (8 * max(1, asked.d, held.d)))
+    item_block, query_block = item_block or rows, query_block or rows
+    if asked.n * (asked.d + 2 * k) * 8 <= small_query_bytes:
+        found = _sent_to_items(q, i, k, schema, item_block, held.longest)
     else:
-        cells = min(MAX_CELLS, i.count() // cell_rows)
+        cells = min(CENTRE_BYTES // (8 * max(1, held.d)), held.n // cell_rows)
         if cells > 1:
-            found = _cell_search(q, i, k, schema, item_block, query_block, cells)
+            found = _cell_search(q, i, k, schema, item_block, query_block, cells, held.longest)
         else:
-            found = _block_product(q, i, k, schema, item_block, query_block)
-    best = W.partitionBy("qid").orderBy(F.desc("score"), "item_id")
-    return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
+            found = _block_product(q, i, k, schema, asked.n, held.n, item_block, query_block, held.longest)
+    best = W.partitionBy("qid").orderBy(F.desc("place"), "item_id")
+    return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).drop("place")
+
 
+def _facts(df: DataFrame, vector: str):
+    """Rows, dimensions and the largest norm of a table of vectors, in one scan."""
+    square = F.aggregate(vector, F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double"))
+    return df.agg(
+        F.count("*").alias("n"), F.coalesce(F.max(F.size(vector)), F.lit(0)).alias("d"), F.coalesce(F.sqrt(F.max(square)), F.lit(0.0)).alias("longest")
+    ).first()
 
-def _sent_to_items(q: DataFrame, i: DataFrame, k: int, schema: str, item_block: int) -> DataFrame:
+
+def _sent_to_items(q: DataFrame, i: DataFrame, k: int, schema: str, item_block: int, longest: float) -> DataFrame:
     local = q.toPandas()  # the caller has checked its size
     if local.empty:
         return q.sparkSession.createDataFrame([], schema)
@@ -122,29 +146,31 @@ def _sent_to_items(q: DataFrame, i: DataFrame, k: int, schema: str, item_block:
     def flush(held: list[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         block = pd.concat(held) if held else pd.DataFrame()
         if len(block):
-            yield from _top(qids, qmat, block["item_id"].to_numpy(), _matrix(block["embedding"]), k)
+            yield from _top(qids, qmat, block["item_id"].to_numpy(), _matrix(block["embedding"]), k, longest)
 
     return i.mapInPandas(run, schema)
 
 
-def _block_product(q: DataFrame, i: DataFrame, k: int, schema: str, item_block: int, query_block: int) -> DataFrame:
-    i, n_i = _blocks(i, "item_id", item_block)
-    q, n_q = _blocks(q, "qid", query_block)
+def _block_product(
+    q: DataFrame, i: DataFrame, k: int, schema: str, q_rows: int, i_rows: int, item_block: int, query_block: int, longest: float
+) -> DataFrame:
+    i, n_i = _blocks(i, "item_id", i_rows, item_block)
+    q, n_q = _blocks(q, "qid", q_rows, query_block)
 
     def with_blocks(df: DataFrame, mine: str, other: str, n_other: int) -> DataFrame:
         every = F.explode(F.sequence(F.lit(0), F.lit(n_other - 1))).alias(other)
         return df.withColumnRenamed("_home", mine).select("*", every)
 
-    return _product(with_blocks(q, "_qb", "_ib", n_i), with_blocks(i, "_ib", "_qb", n_q), k, schema)
+    return _product(with_blocks(q, "_qb", "_ib", n_i), with_blocks(i, "_ib", "_qb", n_q), k, schema, longest)
 
 
-def _product(left: DataFrame, right: DataFrame, k: int, schema: str) -> DataFrame:
+def _product(left: DataFrame, right: DataFrame, k: int, schema: str, longest: float) -> DataFrame:
     """Local top-k of every (query block, item block) pair."""
 
     def product(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
         if a.empty or b.empty:
-            return pd.DataFrame({"qid": [], "item_id": [], "score": []})
-        found = _top(a["qid"].to_numpy(), _matrix(a["vector"]), b["item_id"].to_numpy(), _matrix(b["embedding"]), k)
+            return pd.DataFrame({"qid": [], "item_id": [], "score": [], "place": []})
+        found = _top(a["qid"].to_numpy(), _matrix(a["vector"]), b["item_id"].to_numpy(), _matrix(b["embedding"]), k, longest)
         return pd.concat(found)
 
     return left.groupBy("_qb", "_ib").cogroup(right.groupBy("_qb", "_ib")).applyInPandas(product, schema)
@@ -167,10 +193,10 @@ def _into_cells(df: DataFrame, vector: str, centres: Broadcast) -> DataFrame:
 
 
 def _cell_search(
-    q: DataFrame, i: DataFrame, k: int, schema: str, item_block: int, query_block: int, cells: int
+    q: DataFrame, i: DataFrame, k: int, schema: str, item_block: int, query_block: int, cells: int, longest: float
 ) -> DataFrame:
     spark = q.sparkSession
-    sample = i.orderBy(F.md5(F.col("item_id").cast("string"))).limit(cells).collect()  # at most MAX_CELLS
+    sample = i.orderBy(F.md5(F.col("item_id").cast("string"))).limit(cells).collect()  # CENTRE_BYTES at most
     centres = spark.sparkContext.broadcast(np.stack([r.embedding for r in sample]).astype(np.float64))
     items, queries = _into_cells(i, "embedding", centres), _into_cells(q, "vector", centres)
 
@@ -211,7 +237,7 @@ def _cell_search(
         left = named.select("qid", "vector", "_qb", "cell", part.alias("_p"))
         left = left.select("qid", "vector", "_qb", (F.col("cell").cast("bigint") + cells * F.col("_p")).alias("_ib"))
         pairs = left.select("_qb", "_ib").distinct().toDF("_qb", "_ib")
-        return _product(left, items.join(pairs, "_ib"), k, schema)
+        return _product(left, items.join(pairs, "_ib"), k, schema, longest)
 
     def nearest(scores: np.ndarray, norms: np.ndarray, batch: pd.DataFrame) -> list:
         """The cells of best centre score that hold k items together."""
@@ -223,14 +249,13 @@ def _cell_search(
     def passing(scores: np.ndarray, norms: np.ndarray, batch: pd.DataFrame) -> list:
         """The cells whose bound reaches the bar, less rounding."""
         bar = batch["bar"].fillna(-np.inf).to_numpy()[:, None]
-        reach = scores + norms[:, None] * radius
-        slack = 1e-6 + 1e-9 * np.abs(reach)
-        able = np.where(np.isfinite(reach), reach + slack >= bar, False)
+        share = (scores + norms[:, None] * radius) / _reach(np.stack(batch["vector"].to_numpy()).astype(np.float64), longest)[:, None]
+        able = np.where(np.isfinite(share), share + 1e-6 >= bar, False)
         return [np.flatnonzero(row).tolist() for row in able]
 
-    best = W.partitionBy("qid").orderBy(F.desc("score"), "item_id")
+    best = W.partitionBy("qid").orderBy(F.desc("place"), "item_id")
     first = search(queries, nearest).withColumn("_r", F.row_number().over(best))
-    bars = materialise(first.where(F.col("_r") == k).select("qid", F.col("score").alias("bar")), "bars")
+    bars = materialise(first.where(F.col("_r") == k).select("qid", F.col("place").alias("bar")), "bars")
     return search(queries.join(bars, "qid", "left"), passing)
 
 

@@ -19,15 +19,43 @@ _NDCG = NdcgOptions()
 SPARE = 2
 
 
-@query("""
-with s as (select a.vec_id as qid, b.vec_id as item_id,
-  round(list_dot_product(a.embedding::double[], b.embedding::double[]), 7) as score from embeddings a, embeddings b),
-r as (select *, row_number() over (partition by qid order by score desc, item_id) as rank from s)
-select qid, item_id, score, rank from r where rank <= 10""")
+#: ranked by the share of the largest possible score, at the precision of single floats
+_LONGEST = "(select sqrt(max(list_dot_product(embedding::double[], embedding::double[]))) from embeddings)"
+
+
+def _knn_sql(scale: str = "1") -> str:
+    return f"""
+with e as (select vec_id, list_transform(embedding::double[], lambda x: x * {scale}) as v from embeddings),
+n as (select *, sqrt(list_dot_product(v, v)) as norm from e), m as (select max(norm) as longest from n),
+s as (select a.vec_id as qid, b.vec_id as item_id, list_dot_product(a.v, b.v) as dot, a.norm * longest as reach from n a, n b, m),
+r as (select *, row_number() over (partition by qid order by round(dot / reach, {R.DIGITS}) desc, item_id) as rank from s)
+select qid, item_id, round(dot / reach, 6) as share, rank from r where rank <= 10"""
+
+
+def _knn(spark: SparkSession, sf: str, scale: float = 1.0, **options) -> DataFrame:
+    e = X.table(spark, sf, "embeddings").select("vec_id", F.transform("embedding", lambda x: x.cast("double") * scale).alias("v"))
+    found = R.knn(e, e, 10, qid="vec_id", query="v", item_id="vec_id", item="v", small_query_bytes=0, **options)
+    norm = F.sqrt(F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x))
+    norms = e.select(F.col("vec_id").alias("qid"), norm.alias("norm"))
+    longest = e.agg(F.max(norm)).scalar()
+    return found.join(norms, "qid").select("qid", "item_id", r6(F.col("score") / (F.col("norm") * longest)).alias("share"), F.col("rank").cast("bigint").alias("rank"))
+
+
+@query(_knn_sql())
 def knn_topk(spark: SparkSession, sf: str) -> DataFrame:
-    e = X.table(spark, sf, "embeddings")
-    found = R.knn(e, e, 10, qid="vec_id", query="embedding", item_id="vec_id", small_query_bytes=0)
-    return found.select("qid", "item_id", "score", F.col("rank").cast("bigint").alias("rank"))
+    return _knn(spark, sf)
+
+
+@query(_knn_sql())
+def knn_cells(spark: SparkSession, sf: str) -> DataFrame:
+    """The same through the cell search, the path of large item tables."""
+    return _knn(spark, sf, cell_rows=50)
+
+
+@query(_knn_sql("1e-5::double"))
+def knn_scaled(spark: SparkSession, sf: str) -> DataFrame:
+    """Vectors far from unit length rank alike."""
+    return _knn(spark, sf, 1e-5)
 
 
 def _queries(spark: SparkSession, sf: str) -> DataFrame:
@@ -39,12 +67,12 @@ def _queries(spark: SparkSession, sf: str) -> DataFrame:
     return q.join(e.select(F.col("vec_id").alias("rid"), F.col("embedding").alias("rewritten")), "rid")
 
 
-_RANKED_SQL = """
+_RANKED_SQL = f"""
 with q as (select q.vec_id as k, q.label, q.embedding as original, r.vec_id as rid, r.embedding as rewritten
   from embeddings q join embeddings r on r.vec_id = case when q.vec_id = (select max(vec_id) from embeddings) then 0 else q.vec_id + 1 end),
 v as (select k, label, rid, 'original' as version, original as e from q union all select k, label, rid, 'rewritten', rewritten from q),
 s as (select k, version, v.label = i.label as relevant, i.vec_id as item_id,
-    round(list_dot_product(e::double[], i.embedding::double[]), 7) as score
+    round(list_dot_product(e::double[], i.embedding::double[]) / (sqrt(list_dot_product(e::double[], e::double[])) * {_LONGEST}), {R.DIGITS}) as score
   from v, embeddings i where i.vec_id <> v.k and i.vec_id <> v.rid),
 ranked as (select *, row_number() over (partition by k, version order by score desc, item_id) as rank from s)"""
 
