@@ -136,11 +136,21 @@ select l_orderkey as k, concat('t', cast(l_linenumber as varchar(20))) as target
 from lineitem
 """
 
+# one expression per line over three numbers and a 2; the answer comes to the
+# target, misses it, is a fraction, leaves a number out, or begins with a bracket,
+# which is trimmed
 EQUATION = """
-select distinct 'equation' as category,
-  concat(cast(cast(l_quantity as int) as varchar(20)), case when l_linenumber % 2 = 0 then '+' else '*' end, cast(l_linenumber as varchar(20))) as completion,
-  cast(l_quantity as int) + l_linenumber as target, cast(l_quantity as int) as n1, l_linenumber as n2
-from lineitem
+with b as (
+  select l_orderkey as k, l_linenumber as line, cast(l_quantity as int) as a, cast(l_linenumber as int) as b, cast(1 + l_suppkey % 9 as int) as c,
+    (l_orderkey + l_linenumber) % 7 as v from lineitem),
+t as (select *, cast(a as varchar(20)) as x, cast(b as varchar(20)) as y, cast(c as varchar(20)) as z from b)
+select k, line, a, b, c, 'equation' as category,
+  case v when 0 then concat('2*(', x, '+', y, ')*', z) when 1 then concat(x, '*(', y, '-', z, ')+2') when 2 then concat('2*((', x, '+', y, '))/', z)
+    when 3 then concat('2*(', z, '**', y, ')-', x) when 4 then concat(x, '+', y, '*2') when 5 then concat('the answer is: ', x, ' - ', y, ' * ', z, '/2')
+    else concat('(', x, '+', y, ')*', z, '*2') end as completion,
+  case v when 1 then a * (b - c) + 2 + line % 2 when 2 then 2 * (a + b) when 3 then 2 * cast(power(c, b) as bigint) - a when 4 then a + b * 2
+    when 5 then a - cast(floor(b * c / 2.0) as bigint) else 2 * (a + b) * c end as target
+from t
 """
 
 FEEDBACK = """

