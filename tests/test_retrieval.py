@@ -94,17 +94,17 @@ def test_ndcg(spark):
     ranked = [(1, "original", 1, False), (1, "original", 2, True), (1, "original", 3, False), (1, "rewritten", 1, True), (1, "rewritten", 2, True), (1, "rewritten", 3, False)]
     ranked = spark.createDataFrame(ranked, "k int, version string, rank int, relevant boolean")
     totals = spark.createDataFrame([(1, 3), (2, 0)], "k int, num_relevant int")
-    opt = NdcgOptions(top_ks=(1, 3), weighting="small_k")
+    opt = NdcgOptions(top_ks=(1, 3), weighting_mode="small_k")
     w = [1 / (1 + 3**-0.5), 3**-0.5 / (1 + 3**-0.5)]
     ideal = 1 + 1 / math.log2(3) + 0.5
     old, new = [0.0, (1 / math.log2(3)) / ideal], [1.0, (1 + 1 / math.log2(3)) / ideal]
     want = sum(x * (n - o) / (1 - o + 1e-8) for x, o, n in zip(w, old, new))
     got = {r.k: r.ndcg_reward for r in R.ndcg_rewards(ranked, totals, "k", opt).collect()}
     assert got[1] == pytest.approx(want) and got[2] is None
-    absolute = NdcgOptions(top_ks=(1, 3), weighting="small_k", mode="absolute")
+    absolute = NdcgOptions(top_ks=(1, 3), weighting_mode="small_k", reward_mode="absolute")
     got = {r.k: r.ndcg_reward for r in R.ndcg_rewards(ranked, totals, "k", absolute).collect()}
     assert got[1] == pytest.approx(sum(x * n for x, n in zip(w, new)))
-    for bad in ({"top_ks": (3, 1)}, {"mode": "x"}, {"top_k": 2}, {"epsilon": 0.0}, {"top_ks": ()}):
+    for bad in ({"top_ks": (3, 1)}, {"reward_mode": "x"}, {"top_k": 2}, {"epsilon": 0.0}, {"top_ks": ()}):
         with pytest.raises(ValueError):
             NdcgOptions(**bad)
 
@@ -115,7 +115,7 @@ def test_cache(spark):
     df = spark.createDataFrame(rows, "k int, cache map<string,double>, original array<double>")
     left = R.searched_versions(df, opt, "original", "cache").orderBy("k").collect()
     assert [r.original is None for r in left] == [True, False, False, False]
-    assert R.searched_versions(df, NdcgOptions(mode="absolute"), "original").where("original is not null").count() == 0
+    assert R.searched_versions(df, NdcgOptions(reward_mode="absolute"), "original").where("original is not null").count() == 0
 
 
 def test_relevance_table(spark):

@@ -31,20 +31,20 @@ def near(a, b):
 # ------------------------------------------------------------------- kv
 def sim(p, g, o):
     if (p is None) != (g is None):
-        return o.empty_mismatch_cap
+        return o.empty_value_mismatch_cap
     p, g = ("" if v is None else str(v) for v in (p, g))
     if p.strip() == g.strip():
         return 1.0
     if not p.strip() or not g.strip():
         return 0.0
     if jsonx.clean(p) == jsonx.clean(g):
-        return min(o.normalized_cap, o.non_exact_cap)
+        return min(o.normalized_match_cap, o.non_exact_value_cap)
     if jsonx.coarse(p) == jsonx.coarse(g):
         marks = [{t[k] for k in range(1, len(t) - 1) if t[k] in ",.:" and t[k - 1].isdigit() and t[k + 1].isdigit()} for t in (p, g)]
         both = all(any(ch.isdigit() for ch in t) for t in (p, g))
-        caps = [o.coarse_cap, o.non_exact_cap] + ([o.punctuation_cap] if both and marks[0] != marks[1] else [])
+        caps = [o.coarse_match_cap, o.non_exact_value_cap] + ([o.numeric_punctuation_mismatch_cap] if both and marks[0] != marks[1] else [])
         return min(caps)
-    return min(SequenceMatcher(a=jsonx.clean(p), b=jsonx.clean(g)).ratio(), o.non_exact_cap)
+    return min(SequenceMatcher(a=jsonx.clean(p), b=jsonx.clean(g)).ratio(), o.non_exact_value_cap)
 
 
 def f1(pred, gold, same, o):
@@ -57,7 +57,7 @@ def f1(pred, gold, same, o):
         if i not in seen_g and j not in seen_p:
             seen_g.add(i), seen_p.add(j)
             total, n = total + s, n + 1
-    hit = total if o.weighted else n
+    hit = total if o.use_weighted_fuzzy_f1 else n
     return 2 * hit / (len(pred) + len(gold))
 
 
@@ -79,9 +79,9 @@ def repeated(pred, gold):
 
 def balance(p, g, o):
     cap = 1.0
-    if g and (p - g) / g > o.extra_leaf_threshold:
+    if g and (p - g) / g > o.extra_leaf_ratio_threshold:
         cap = min(cap, o.extra_leaf_cap)
-    if g and (g - p) / g > o.missing_leaf_threshold:
+    if g and (g - p) / g > o.missing_leaf_ratio_threshold:
         cap = min(cap, o.missing_leaf_cap)
     return cap
 
@@ -121,29 +121,29 @@ def cells(tables):
 def table_caps(p, g, o):
     cap = 1.0
     if set(p) != set(g):
-        cap = min(cap, o.table_name_cap)
+        cap = min(cap, o.table_name_mismatch_cap)
     for t in set(p) & set(g):
         a, b = rows_of(p[t]), rows_of(g[t])
         if set(columns_of(a)) != set(columns_of(b)):
-            cap = min(cap, o.table_column_cap)
+            cap = min(cap, o.table_column_mismatch_cap)
         if len(a) != len(b):
-            cap = min(cap, o.table_row_count_cap)
+            cap = min(cap, o.table_row_count_mismatch_cap)
         sign = lambda rows: [tuple((k, jsonx.coarse(str(r[k]))) for k in order(r)) for r in rows if isinstance(r, dict)]
         if any(sign(a).count(s) > max(sign(b).count(s), 1) for s in sign(a)):
-            cap = min(cap, o.duplicate_row_cap)
+            cap = min(cap, o.duplicate_table_row_cap)
     return cap
 
 
 def expected_kv(pred, gold, root, o, fmt=1.0):
     p = pred.get(root) if isinstance(pred, dict) else None
     g = gold[root]
-    ok = isinstance(pred, dict) and not set(pred) - {root, *o.siblings} and isinstance(p, dict)
+    ok = isinstance(pred, dict) and not set(pred) - {root, *o.allowed_sibling_keys} and isinstance(p, dict)
     caps = [fmt, 1.0 if ok else o.root_mismatch_cap]
     size = lambda v: len(json.dumps(v, ensure_ascii=False, sort_keys=True))
-    if size(p) / max(size(g), 1) > o.max_length_ratio:
+    if size(p) / max(size(g), 1) > o.max_serialized_length_ratio:
         caps.append(o.length_ratio_cap)
-    if leaves(g) and len(leaves(p)) / len(leaves(g)) > o.max_leaf_ratio:
-        caps.append(o.leaf_ratio_cap)
+    if leaves(g) and len(leaves(p)) / len(leaves(g)) > o.max_leaf_count_ratio:
+        caps.append(o.leaf_count_ratio_cap)
     flat = leaves if root == "kv" else cells
     a, b = flat(p), flat(g)
     caps.append(balance(len(a), len(b), o))
@@ -155,7 +155,7 @@ def expected_kv(pred, gold, root, o, fmt=1.0):
             caps.append(o.duplicate_value_cap)
         tops = [{x[0][0] for x in xs if x[0]} for xs in (a, b)]
         if all(tops) and not tops[0] & tops[1]:
-            caps.append(o.top_level_cap)
+            caps.append(o.kv_top_level_path_mismatch_cap)
     else:
         content = o.table_value_weight * f1(a, b, lambda x, y: x[1] == y[1], o)
         content += o.table_structure_weight * f1(a, b, lambda x, y: x[:2] == y[:2], o)
@@ -192,12 +192,12 @@ def random_tables(rng):
     "opt",
     [
         KVOptions(),
-        KVOptions(weighted=False, score_threshold=0.7, non_exact_cap=0.9, normalized_cap=0.85, coarse_cap=0.8, punctuation_cap=0.6),
-        KVOptions(non_exact_cap=1.0, normalized_cap=1.0, empty_mismatch_cap=0.6, weighted_threshold=0.3),
+        KVOptions(use_weighted_fuzzy_f1=False, score_threshold=0.7, non_exact_value_cap=0.9, normalized_match_cap=0.85, coarse_match_cap=0.8, numeric_punctuation_mismatch_cap=0.6),
+        KVOptions(non_exact_value_cap=1.0, normalized_match_cap=1.0, empty_value_mismatch_cap=0.6, weighted_fuzzy_match_threshold=0.3),
     ],
 )
 def test_kv_random(spark, root, opt):
-    rng = random.Random(root + str(opt.weighted))
+    rng = random.Random(root + str(opt.use_weighted_fuzzy_f1))
     make = (lambda: {rng.choice("abc"): random_tree(rng, 1) for _ in range(rng.randint(0, 4))}) if root == "kv" else (lambda: random_tables(rng))
     rows, want = [], {}
     for i in range(150):
@@ -245,7 +245,7 @@ def test_kv_long_document(spark):
 
 
 def test_similarity_floor_loses_nothing():
-    rng, opt = random.Random(4), KVOptions(non_exact_cap=0.9)
+    rng, opt = random.Random(4), KVOptions(non_exact_value_cap=0.9)
     for _ in range(300):
         a, b = ("".join(rng.choice("abcd ") for _ in range(rng.randint(1, 8))).strip() for _ in range(2))
         full = similarity(a, b, opt)
@@ -292,19 +292,19 @@ def expected_bbox(pred, label, o):
             for x in pairs:
                 best = x if x[0] > best[0] else best
             score += o.page_reward + o.iou_weight * best[0]
-            score += (o.iou_low_bonus if best[0] >= o.iou_low else 0) + (o.iou_high_bonus if best[0] >= o.iou_high else 0)
+            score += (o.iou_05_bonus if best[0] >= o.iou_05_threshold else 0) + (o.iou_07_bonus if best[0] >= o.iou_07_threshold else 0)
             (a, b, c, d), g = best[1:]
             if g[0] <= (a + c) / 2 <= g[2] and g[1] <= (b + d) / 2 <= g[3]:
-                score += o.center_bonus
-        hard = [h for h in hard if not any(h["page"] == g["page"] and overlap(h["bbox"], g["bbox"]) >= o.positive_duplicate_iou for g in gold)]
+                score += o.center_in_gt_bonus
+        hard = [h for h in hard if not any(h["page"] == g["page"] and overlap(h["bbox"], g["bbox"]) >= o.positive_duplicate_iou_threshold for g in gold)]
     else:
         score += o.schema_reward if schema else 0
         if schema and pred["grounding_status"] != "found" and not mine:
             return o.max_reward
-    if any((x["bbox"][2] - x["bbox"][0]) * (x["bbox"][3] - x["bbox"][1]) / 1e6 > o.large_area for x in mine):
-        score += o.large_penalty
-    if any(p["page"] == h["page"] and overlap(p["bbox"], h["bbox"]) >= o.hard_negative_iou for p in mine for h in hard):
-        score += o.hard_negative_penalty
+    if any((x["bbox"][2] - x["bbox"][0]) * (x["bbox"][3] - x["bbox"][1]) / 1e6 > o.large_box_area_threshold for x in mine):
+        score += o.large_box_penalty
+    if any(p["page"] == h["page"] and overlap(p["bbox"], h["bbox"]) >= o.hard_negative_iou_threshold for p in mine for h in hard):
+        score += o.hard_negative_overlap_penalty
     return min(o.max_reward, max(o.min_reward, score))
 
 
@@ -371,7 +371,7 @@ def expected_selection(pred, gold, o):
     base = o.format_reward + (o.schema_reward if schema else 0)
     parts = []
     for target, g in gold.items():
-        ids, g, w = first.get(target), set(g), o.hard_weight if len(g) >= o.hard_min_ids else 1.0
+        ids, g, w = first.get(target), set(g), o.hard_target_weight if len(g) >= o.hard_target_min_gold_ids else 1.0
         if ids is None or len(set(ids)) != len(ids):
             parts.append((0.0, w))
             continue
@@ -380,36 +380,36 @@ def expected_selection(pred, gold, o):
             parts.append((1.0, w))
             continue
         tp, extra, missing = len(p & g), len(p - g), len(g - p)
-        s = o.partial_weight * (2 * tp / (len(p) + len(g)))
-        s += (o.wrong_penalty if extra else 0) + (o.over_penalty if len(p) > len(g) else 0)
-        q = min(1.0, max(0.0, s / (o.exact_reward + o.partial_weight)))
-        by_size = o.single_cap if len(g) == 1 else o.short_cap if len(g) <= 4 else o.long_cap if len(g) <= 8 else o.very_long_cap
-        q = min(q, o.partial_cap, by_size, o.multi_cap if len(g) > 1 else 1.0)
+        s = o.partial_match_weight * (2 * tp / (len(p) + len(g)))
+        s += (o.wrong_selection_penalty if extra else 0) + (o.over_selection_penalty if len(p) > len(g) else 0)
+        q = min(1.0, max(0.0, s / (o.exact_match_reward + o.partial_match_weight)))
+        by_size = o.single_id_partial_cap if len(g) == 1 else o.short_multi_id_partial_cap if len(g) <= 4 else o.long_multi_id_partial_cap if len(g) <= 8 else o.very_long_multi_id_partial_cap
+        q = min(q, o.partial_match_cap, by_size, o.multi_fragment_partial_match_cap if len(g) > 1 else 1.0)
         if missing:
-            if p and tp / len(g) <= o.wrong_occurrence_overlap:
+            if p and tp / len(g) <= o.wrong_occurrence_overlap_threshold:
                 q = min(q, o.wrong_occurrence_cap)
-            q += o.missing_id_penalty * missing
+            q += o.missing_gold_id_penalty * missing
         if extra:
-            q = min(q, o.over_cap) + o.extra_id_penalty * extra
+            q = min(q, o.over_selection_cap) + o.extra_selected_id_penalty * extra
         parts.append((min(1.0, max(0.0, q)), w))
     if not gold:
         quality = 1.0 if not first else 0.0
-    elif o.aggregation == "min":
+    elif o.target_quality_aggregation == "min":
         quality = min(q for q, _ in parts)
-    elif o.aggregation == "mean":
+    elif o.target_quality_aggregation == "mean":
         quality = sum(q for q, _ in parts) / len(parts)
     else:
         quality = sum(q * w for q, w in parts) / sum(w for _, w in parts)
     r = base + max(0.0, o.max_reward - base) * quality
     if quality <= 0:
-        r = min(r, o.schema_only_cap)
+        r = min(r, o.schema_only_reward_cap)
         if not any(first.values()):
-            r = min(r, o.empty_selection_cap)
+            r = min(r, o.empty_selection_reward_cap)
     extra = len(set(first) - set(gold))
     if extra:
-        r = min(r + o.wrong_penalty * extra, o.extra_target_cap)
-    r += o.wrong_penalty * invalid
-    r = r if schema else min(r, o.invalid_schema_cap)
+        r = min(r + o.wrong_selection_penalty * extra, o.extra_target_reward_cap)
+    r += o.wrong_selection_penalty * invalid
+    r = r if schema else min(r, o.invalid_schema_reward_cap)
     return min(o.max_reward, max(o.min_reward, r))
 
 
@@ -417,15 +417,15 @@ def expected_selection(pred, gold, o):
     "opt",
     [
         SelectionOptions(),
-        SelectionOptions(aggregation="min", missing_id_penalty=-0.05, extra_id_penalty=-0.02, over_cap=0.7, schema_only_cap=0.15, empty_selection_cap=0.05),
+        SelectionOptions(target_quality_aggregation="min", missing_gold_id_penalty=-0.05, extra_selected_id_penalty=-0.02, over_selection_cap=0.7, schema_only_reward_cap=0.15, empty_selection_reward_cap=0.05),
         SelectionOptions(
-            aggregation="hard_weighted_mean", hard_weight=3.0, hard_min_ids=2, single_cap=0.1, short_cap=0.3, multi_cap=0.25, long_cap=0.2,
-            wrong_occurrence_cap=0.1, wrong_occurrence_overlap=0.4, invalid_schema_cap=0.5, extra_target_cap=0.6,
+            target_quality_aggregation="hard_weighted_mean", hard_target_weight=3.0, hard_target_min_gold_ids=2, single_id_partial_cap=0.1, short_multi_id_partial_cap=0.3, multi_fragment_partial_match_cap=0.25, long_multi_id_partial_cap=0.2,
+            wrong_occurrence_cap=0.1, wrong_occurrence_overlap_threshold=0.4, invalid_schema_reward_cap=0.5, extra_target_reward_cap=0.6,
         ),
     ],
 )
 def test_selection_random(spark, opt):
-    rng = random.Random(opt.aggregation)
+    rng = random.Random(opt.target_quality_aggregation)
     rows, want = [], {}
     for i in range(250):
         gold = {t: rng.sample(range(12), rng.choice([1, 2, 3, 6, 10])) for t in rng.sample(["a", "b", "c"], rng.randint(0, 3))}
@@ -527,8 +527,8 @@ def test_code(spark):
 
 def test_options_are_checked():
     for build in (
-        lambda: KVOptions(coarse_cap=1.5), lambda: KVOptions(kv_value_weight=0.9), lambda: KVOptions(max_leaf_ratio=0), lambda: KVOptions(siblings="x"),
-        lambda: SelectionOptions(aggregation="max"), lambda: BBoxOptions(keys={"page": ()}), lambda: BBoxOptions(status={"found": ("",)}),
+        lambda: KVOptions(coarse_match_cap=1.5), lambda: KVOptions(kv_value_weight=0.9), lambda: KVOptions(max_leaf_count_ratio=0), lambda: KVOptions(allowed_sibling_keys="x"),
+        lambda: SelectionOptions(target_quality_aggregation="max"), lambda: BBoxOptions(schema_keys={"page": ()}), lambda: BBoxOptions(status_values={"found": ("",)}),
     ):
         with pytest.raises(ValueError):
             build()

@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from tunetables.config import Extraction, MatchOptions, float_suffix, snake_case
+from tunetables.config import Extraction, MatchOptions, active_weights, extraction_from, float_suffix, options_from
 from tunetables.functions import text as T
 from tunetables.operators import rewards as R
 
@@ -75,8 +75,25 @@ def test_other(spark):
 def test_names():
     assert MatchOptions(0.5).name == "match_reward_neg0p5"
     assert MatchOptions().name == "match_reward"
-    assert (float_suffix(1.0), snake_case("ThinkFormat")) == ("1", "think_format")
-    assert R.save_suffix({"match": 2.0, "kv": 0.0, "x": "bad"}) == "-rw_match"
+    assert float_suffix(1.0) == "1"
+
+
+def test_options_from_a_mapping():
+    config = {
+        "is_answer_tag": True, "eos_token": "</s>", "match": {"incorrect_penalty": 0.5}, "code_execution": {"timeout": 2, "wrong_output_penalty": 0.1},
+        "retrieval": {"dim": 8, "hit": {"top_k": 20, "stages": [{"k": 10, "bonus": 0.1, "drop": 0.1}]}, "ndcg": {"top_ks": [1, 3], "weighting_mode": "small_k"}},
+        "kv": {"allowed_sibling_keys": ["grounding"], "coarse_match_cap": 0.4}, "grounding_bbox": {"iou_05_threshold": 0.4},
+        "weight": {"match": 2.0, "kv": 0.0, "rouge": None},
+    }
+    assert extraction_from(config) == Extraction(is_answer_tag=True, eos_token="</s>")
+    assert options_from(config, "match").name == "match_reward_neg0p5"
+    assert options_from(config, "code_execution").wrong_output_penalty == 0.1
+    assert options_from(config, "retrieval_hit").stages[0].k == 10
+    assert options_from(config, "retrieval_ndcg").depth == 3
+    assert options_from(config, "kv").coarse_match_cap == 0.4
+    assert options_from(config, "grounding_bbox").iou_05_threshold == 0.4
+    assert options_from({}, "grounding_selection").extra_target_reward_cap == 1.0
+    assert active_weights(config) == {"match": 2.0}
 
 
 def test_completion_text(spark):

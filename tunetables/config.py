@@ -3,8 +3,7 @@
 from __future__ import annotations
 
 import math
-import re
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, fields
 
 
 def _unit(owner: str, **values: float) -> None:
@@ -26,30 +25,28 @@ def float_suffix(value: float) -> str:
     return f"{value:g}".replace(".", "p")
 
 
-def snake_case(name: str) -> str:
-    return re.sub(r"(?<!^)(?=[A-Z])", "_", name).lower()
-
-
+# Option names and defaults are the public configuration.
 @dataclass(frozen=True)
 class Extraction:
     """How the answer is cut out of a completion."""
 
     is_answer_tag: bool = False
-    think_start: str = "<think>"
-    think_end: str = "</think>"
-    answer_start: str = "<answer>"
-    answer_end: str = "</answer>"
-    eos: str = "<|im_end|>"
-    profile: str = "default"
+    think_start_token: str = "<think>"
+    think_end_token: str = "</think>"
+    answer_start_token: str = "<answer>"
+    answer_end_token: str = "</answer>"
+    eos_token: str = "<|im_end|>"
+    extraction_profile: str = "default"
     #: False inserts the tags into patterns as they are, so a tag holding regex
     #: characters (the default eos) acts as a pattern; True quotes them.
     escape_tags: bool = False
 
     def __post_init__(self) -> None:
-        if self.profile not in ("default", "gemma4"):
-            raise ValueError(f"unsupported extraction profile: {self.profile}")
+        if self.extraction_profile not in ("default", "gemma4"):
+            raise ValueError(f"unsupported extraction profile: {self.extraction_profile}")
 
 
+# Option names and defaults are the public configuration.
 @dataclass(frozen=True)
 class MatchOptions:
     incorrect_penalty: float = 0.0
@@ -61,6 +58,7 @@ class MatchOptions:
         return f"match_reward_neg{float_suffix(self.incorrect_penalty)}"
 
 
+# Option names and defaults are the public configuration.
 @dataclass(frozen=True)
 class CodeOptions:
     wrong_output_penalty: float = 0.0
@@ -76,18 +74,19 @@ class CodeOptions:
         )
 
 
+# Option names and defaults are the public configuration.
 @dataclass(frozen=True)
 class RougeOptions:
-    kind: str = "l"
+    type: str = "l"
     stem: bool = True
 
     def __post_init__(self) -> None:
-        if self.kind not in ("1", "2", "l"):
-            raise ValueError("rouge kind must be '1', '2' or 'l'")
+        if self.type not in ("1", "2", "l"):
+            raise ValueError("rouge type must be '1', '2' or 'l'")
 
     @property
     def name(self) -> str:
-        return f"rouge_{self.kind}_reward"
+        return f"rouge_{self.type}_reward"
 
 
 @dataclass(frozen=True)
@@ -97,6 +96,7 @@ class Stage:
     drop: float
 
 
+# Option names and defaults are the public configuration.
 @dataclass(frozen=True)
 class HitOptions:
     top_k: int = 250
@@ -124,21 +124,22 @@ class HitOptions:
         return f"retrieval_hit@{self.top_k}_stages[{ks}]_reward"
 
 
+# Option names and defaults are the public configuration.
 @dataclass(frozen=True)
 class NdcgOptions:
     top_k: int | None = None
-    mode: str = "relative"
+    reward_mode: str = "relative"
     top_ks: tuple[int, ...] = (1, 3, 5, 10)
     alpha: float = 0.5
-    weighting: str = "large_k"
+    weighting_mode: str = "large_k"
     epsilon: float = 1.0e-8
 
     def __post_init__(self) -> None:
-        if self.mode not in ("relative", "absolute"):
-            raise ValueError("mode must be 'relative' or 'absolute'")
-        if self.weighting not in ("small_k", "large_k"):
-            raise ValueError("weighting must be 'small_k' or 'large_k'")
-        if self.alpha < 0 or (self.mode == "relative" and self.epsilon <= 0):
+        if self.reward_mode not in ("relative", "absolute"):
+            raise ValueError("reward_mode must be 'relative' or 'absolute'")
+        if self.weighting_mode not in ("small_k", "large_k"):
+            raise ValueError("weighting_mode must be 'small_k' or 'large_k'")
+        if self.alpha < 0 or (self.reward_mode == "relative" and self.epsilon <= 0):
             raise ValueError("alpha must be >= 0 and epsilon > 0")
         if not self.top_ks or any(k < 1 for k in self.top_ks):
             raise ValueError("top_ks must be positive ints")
@@ -153,63 +154,64 @@ class NdcgOptions:
 
     @property
     def weights(self) -> list[float]:
-        sign = -1.0 if self.weighting == "small_k" else 1.0
+        sign = -1.0 if self.weighting_mode == "small_k" else 1.0
         raw = [float(k) ** (sign * self.alpha) for k in self.top_ks]
         return [w / sum(raw) for w in raw]
 
     @property
     def name(self) -> str:
         ks = ",".join(str(k) for k in self.top_ks)
-        return f"retrieval_ndcg@{ks}_{self.mode}_{self.weighting}_reward"
+        return f"retrieval_ndcg@{ks}_{self.reward_mode}_{self.weighting_mode}_reward"
 
 
+# Option names and defaults are the public configuration.
 @dataclass(frozen=True)
 class KVOptions:
     category_token: str = "kv"
     strict_json: bool = True
-    stop_token: str = "<stop>"
+    required_stop_token: str = "<stop>"
     invalid_json_reward: float = 0.0
     root_mismatch_cap: float = 0.2
     missing_stop_cap: float = 0.6
-    middle_stop_cap: float = 0.2
+    middle_or_multiple_stop_cap: float = 0.2
     trailing_text_cap: float = 0.2
-    max_length_ratio: float = 2.0
+    max_serialized_length_ratio: float = 2.0
     length_ratio_cap: float = 0.7
-    max_leaf_ratio: float = 1.5
-    leaf_ratio_cap: float = 0.7
+    max_leaf_count_ratio: float = 1.5
+    leaf_count_ratio_cap: float = 0.7
     kv_value_weight: float = 0.5
     kv_path_weight: float = 0.5
     table_value_weight: float = 0.4
     table_structure_weight: float = 0.6
-    table_name_cap: float = 0.4
-    table_column_cap: float = 0.5
-    table_row_count_cap: float = 0.6
-    top_level_cap: float = 0.5
-    extra_leaf_threshold: float = 0.2
+    table_name_mismatch_cap: float = 0.4
+    table_column_mismatch_cap: float = 0.5
+    table_row_count_mismatch_cap: float = 0.6
+    kv_top_level_path_mismatch_cap: float = 0.5
+    extra_leaf_ratio_threshold: float = 0.2
     extra_leaf_cap: float = 0.6
-    missing_leaf_threshold: float = 0.2
+    missing_leaf_ratio_threshold: float = 0.2
     missing_leaf_cap: float = 0.6
     duplicate_value_cap: float = 0.6
     duplicate_path_cap: float = 0.6
-    duplicate_row_cap: float = 0.6
-    weighted: bool = True
-    weighted_threshold: float = 0.5
-    normalized_cap: float = 0.5
-    coarse_cap: float = 0.5
-    non_exact_cap: float = 0.5
-    empty_mismatch_cap: float = 0.0
-    punctuation_cap: float = 0.5
+    duplicate_table_row_cap: float = 0.6
+    use_weighted_fuzzy_f1: bool = True
+    weighted_fuzzy_match_threshold: float = 0.5
+    normalized_match_cap: float = 0.5
+    coarse_match_cap: float = 0.5
+    non_exact_value_cap: float = 0.5
+    empty_value_mismatch_cap: float = 0.0
+    numeric_punctuation_mismatch_cap: float = 0.5
     score_threshold: float = 0.95
-    siblings: tuple[str, ...] = ("grounding",)
+    allowed_sibling_keys: tuple[str, ...] = ("grounding",)
 
     def __post_init__(self) -> None:
-        if not self.category_token.strip() or not self.stop_token:
-            raise ValueError("category_token and stop_token must not be empty")
-        if isinstance(self.siblings, str) or any(not s or s != s.strip() for s in self.siblings):
-            raise ValueError("siblings must be stripped non-empty names")
-        skip = {"category_token", "strict_json", "stop_token", "max_length_ratio", "max_leaf_ratio", "weighted", "siblings"}
+        if not self.category_token.strip() or not self.required_stop_token:
+            raise ValueError("category_token and required_stop_token must not be empty")
+        if isinstance(self.allowed_sibling_keys, str) or any(not s or s != s.strip() for s in self.allowed_sibling_keys):
+            raise ValueError("allowed_sibling_keys must be stripped non-empty names")
+        skip = {"category_token", "strict_json", "required_stop_token", "max_serialized_length_ratio", "max_leaf_count_ratio", "use_weighted_fuzzy_f1", "allowed_sibling_keys"}
         _unit("kv", **{k: v for k, v in self.__dict__.items() if k not in skip})
-        for name in ("max_length_ratio", "max_leaf_ratio"):
+        for name in ("max_serialized_length_ratio", "max_leaf_count_ratio"):
             value = getattr(self, name)
             if not math.isfinite(value) or value <= 0:
                 raise ValueError(f"kv.{name} must be a positive finite number")
@@ -219,7 +221,7 @@ class KVOptions:
 
     @property
     def threshold(self) -> float:
-        return self.weighted_threshold if self.weighted else self.score_threshold
+        return self.weighted_fuzzy_match_threshold if self.use_weighted_fuzzy_f1 else self.score_threshold
 
     name = "kv_reward"
 
@@ -249,6 +251,7 @@ SELECTION_KEYS: dict[str, tuple[str, ...]] = {
 }
 
 
+# Option names and defaults are the public configuration.
 @dataclass(frozen=True)
 class BBoxOptions:
     category_token: str = "bbox"
@@ -256,62 +259,106 @@ class BBoxOptions:
     schema_reward: float = 0.1
     page_reward: float = 0.2
     iou_weight: float = 0.5
-    iou_low: float = 0.5
-    iou_low_bonus: float = 0.3
-    iou_high: float = 0.7
-    iou_high_bonus: float = 0.2
-    center_bonus: float = 0.1
-    large_area: float = 0.25
-    large_penalty: float = -0.2
-    hard_negative_iou: float = 0.5
-    hard_negative_penalty: float = -0.3
-    positive_duplicate_iou: float = 0.95
-    keys: dict[str, tuple[str, ...]] = field(default_factory=lambda: dict(BOX_KEYS))
-    status: dict[str, tuple[str, ...]] = field(default_factory=lambda: dict(STATUS_VALUES))
+    iou_05_threshold: float = 0.5
+    iou_05_bonus: float = 0.3
+    iou_07_threshold: float = 0.7
+    iou_07_bonus: float = 0.2
+    center_in_gt_bonus: float = 0.1
+    large_box_area_threshold: float = 0.25
+    large_box_penalty: float = -0.2
+    hard_negative_iou_threshold: float = 0.5
+    hard_negative_overlap_penalty: float = -0.3
+    positive_duplicate_iou_threshold: float = 0.95
+    schema_keys: dict[str, tuple[str, ...]] = field(default_factory=lambda: dict(BOX_KEYS))
+    status_values: dict[str, tuple[str, ...]] = field(default_factory=lambda: dict(STATUS_VALUES))
     min_reward: float = 0.0
     max_reward: float = 1.0
 
     def __post_init__(self) -> None:
-        _aliases("bbox.keys", self.keys, tuple(BOX_KEYS))
-        _aliases("bbox.status", self.status, tuple(STATUS_VALUES))
+        _aliases("grounding_bbox.schema_keys", self.schema_keys, tuple(BOX_KEYS))
+        _aliases("grounding_bbox.status_values", self.status_values, tuple(STATUS_VALUES))
 
     name = "grounding_bbox_reward"
 
 
+# Option names and defaults are the public configuration.
 @dataclass(frozen=True)
 class SelectionOptions:
     category_token: str = "evidence"
     format_reward: float = 0.1
     schema_reward: float = 0.1
-    exact_reward: float = 0.6
-    partial_weight: float = 0.6
-    over_penalty: float = -0.2
-    wrong_penalty: float = -0.3
-    partial_cap: float = 1.0
-    multi_cap: float = 1.0
-    missing_id_penalty: float = 0.0
-    single_cap: float = 1.0
-    short_cap: float = 1.0
-    long_cap: float = 1.0
-    very_long_cap: float = 1.0
-    over_cap: float = 1.0
+    exact_match_reward: float = 0.6
+    partial_match_weight: float = 0.6
+    over_selection_penalty: float = -0.2
+    wrong_selection_penalty: float = -0.3
+    partial_match_cap: float = 1.0
+    multi_fragment_partial_match_cap: float = 1.0
+    missing_gold_id_penalty: float = 0.0
+    single_id_partial_cap: float = 1.0
+    short_multi_id_partial_cap: float = 1.0
+    long_multi_id_partial_cap: float = 1.0
+    very_long_multi_id_partial_cap: float = 1.0
+    over_selection_cap: float = 1.0
     wrong_occurrence_cap: float = 1.0
-    wrong_occurrence_overlap: float = 0.0
-    extra_id_penalty: float = 0.0
-    schema_only_cap: float = 1.0
-    empty_selection_cap: float = 1.0
-    invalid_schema_cap: float = 1.0
-    extra_target_cap: float = 1.0
-    aggregation: str = "mean"
-    hard_min_ids: int = 5
-    hard_weight: float = 1.0
+    wrong_occurrence_overlap_threshold: float = 0.0
+    extra_selected_id_penalty: float = 0.0
+    schema_only_reward_cap: float = 1.0
+    empty_selection_reward_cap: float = 1.0
+    invalid_schema_reward_cap: float = 1.0
+    extra_target_reward_cap: float = 1.0
+    target_quality_aggregation: str = "mean"
+    hard_target_min_gold_ids: int = 5
+    hard_target_weight: float = 1.0
     min_reward: float = 0.0
     max_reward: float = 1.0
-    keys: dict[str, tuple[str, ...]] = field(default_factory=lambda: dict(SELECTION_KEYS))
+    schema_keys: dict[str, tuple[str, ...]] = field(default_factory=lambda: dict(SELECTION_KEYS))
 
     def __post_init__(self) -> None:
-        if self.aggregation not in ("mean", "min", "hard_weighted_mean"):
-            raise ValueError("aggregation must be mean, min or hard_weighted_mean")
-        _aliases("selection.keys", self.keys, tuple(SELECTION_KEYS))
+        if self.target_quality_aggregation not in ("mean", "min", "hard_weighted_mean"):
+            raise ValueError("target_quality_aggregation must be mean, min or hard_weighted_mean")
+        _aliases("grounding_selection.schema_keys", self.schema_keys, tuple(SELECTION_KEYS))
 
     name = "grounding_selection_reward"
+
+
+#: reward -> (path of its options in a configuration, their class)
+SECTIONS: dict[str, tuple[tuple[str, ...], type]] = {
+    "match": (("match",), MatchOptions),
+    "code_execution": (("code_execution",), CodeOptions),
+    "rouge": (("rouge",), RougeOptions),
+    "retrieval_hit": (("retrieval", "hit"), HitOptions),
+    "retrieval_ndcg": (("retrieval", "ndcg"), NdcgOptions),
+    "kv": (("kv",), KVOptions),
+    "grounding_bbox": (("grounding_bbox",), BBoxOptions),
+    "grounding_selection": (("grounding_selection",), SelectionOptions),
+}
+
+
+def _frozen(value):
+    """Lists of a configuration as tuples, at any depth."""
+    if isinstance(value, (list, tuple)):
+        return tuple(Stage(**v) if isinstance(v, dict) else _frozen(v) for v in value)
+    if isinstance(value, dict):
+        return {k: _frozen(v) for k, v in value.items()}
+    return value
+
+
+def options_from(config: dict, reward: str):
+    """The checked options of one reward from a nested mapping of public names.
+    Names that the options do not have (device settings, column names) are skipped."""
+    path, kind = SECTIONS[reward]
+    section = config
+    for step in path:
+        section = section.get(step) or {}
+    known = {f.name for f in fields(kind)}
+    return kind(**{k: _frozen(v) for k, v in section.items() if k in known})
+
+
+def extraction_from(config: dict) -> Extraction:
+    known = {f.name for f in fields(Extraction)}
+    return Extraction(**{k: v for k, v in config.items() if k in known})
+
+
+def active_weights(config: dict) -> dict[str, float]:
+    """The rewards of a mapping's ``weight`` block that take part."""
+    return {name: float(w) for name, w in (config.get("weight") or {}).items() if w and float(w) > 0}

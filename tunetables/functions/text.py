@@ -50,15 +50,15 @@ def extract_answer(c: Column, ext: Extraction = Extraction()) -> Column:
     an empty capture is a valid hit, which ``regexp_extract`` cannot tell
     from no match."""
     c = F.coalesce(c, F.lit(""))
-    if ext.profile == "gemma4":
+    if ext.extraction_profile == "gemma4":
         c = normalise_gemma4(c)
     if ext.is_answer_tag:
-        pattern = f"(?siu){_tag(ext.answer_start, ext)}(.*?){_tag(ext.answer_end, ext)}"
+        pattern = f"(?siu){_tag(ext.answer_start_token, ext)}(.*?){_tag(ext.answer_end_token, ext)}"
         return strip(F.regexp_extract(c, pattern, 1))
     # Plain searches first: most texts hold no delimiter, and a pattern costs
     # several times as much over a long text.
     hashes, opens = c.contains("###"), c.contains("<")
-    thought = opens if ext.think_end.startswith("<") else F.lit(True)
+    thought = opens if ext.think_end_token.startswith("<") else F.lit(True)
     # Answer delimiters, in order of precedence.
     patterns = [
         (hashes, rf"(?sU)###{WS}*Start{WS}*\n(.*?)\n?###{WS}*End"),
@@ -67,7 +67,7 @@ def extract_answer(c: Column, ext: Extraction = Extraction()) -> Column:
         (hashes, rf"(?sU)###{WS}*Start{WS}*\n(.*)\z"),
         (opens, r"(?siu)<solution>(.*)\z"),
         (opens, r"(?siu)<answer>(.*)\z"),
-        (thought, rf"(?siuU){_tag(ext.think_end, ext)}{WS}*(.*?){WS}*(?:{_tag(ext.eos, ext)}|$)"),
+        (thought, rf"(?siuU){_tag(ext.think_end_token, ext)}{WS}*(.*?){WS}*(?:{_tag(ext.eos_token, ext)}|$)"),
     ]
     out = F
     for guard, p in patterns:

@@ -75,7 +75,7 @@ def status_of(value, values: dict) -> str | None:
 
 
 def read_documents(answer: Column, solution: Column, opt: BBoxOptions) -> Column:
-    keys = opt.keys
+    keys = opt.schema_keys
 
     def row(text: str | None, gold_text: str | None) -> dict | None:
         if text is None:
@@ -86,10 +86,10 @@ def read_documents(answer: Column, solution: Column, opt: BBoxOptions) -> Column
         hard = get(label, "hard_negative_evidence")
         hard = [_box(get(h, "page"), get(h, "bbox"), label_coord) for h in (hard if isinstance(hard, list) else ())]
         occurrences = get(value, "prediction_occurrences")
-        status = status_of(get(value, "grounding_status"), opt.status)
+        status = status_of(get(value, "grounding_status"), opt.status_values)
         return {
             "label_ok": isinstance(label, dict),
-            "label_status": status_of(get(label, "grounding_status"), opt.status),
+            "label_status": status_of(get(label, "grounding_status"), opt.status_values),
             "label_coord": label_coord if isinstance(label_coord, str) else None,
             "gold": occurrence_boxes(get(label, "label_occurrences"), keys),
             "hard": [h for h in hard if h],
@@ -165,14 +165,14 @@ def score_bbox(
     same_system = d["label_coord"].isNull() | F.forall(pred, lambda b: b["coord"].eqNullSafe(d["label_coord"]))
     found = d["label_status"].eqNullSafe(F.lit("found"))
     hard = F.when(
-        found, F.filter(d["hard"], lambda h: ~touches(h, gold, opt.positive_duplicate_iou))
+        found, F.filter(d["hard"], lambda h: ~touches(h, gold, opt.positive_duplicate_iou_threshold))
     ).otherwise(d["hard"])
     df = df.withColumns(
         {
             "_schema": d["form_ok"] & same_system,
             "_match": best_match(pred, gold),
-            "_large": F.exists(pred, lambda b: area(b) > opt.large_area),
-            "_hard": overlaps(pred, hard, opt.hard_negative_iou),
+            "_large": F.exists(pred, lambda b: area(b) > opt.large_box_area_threshold),
+            "_hard": overlaps(pred, hard, opt.hard_negative_iou_threshold),
             "_found": found,
         }
     )
@@ -181,15 +181,15 @@ def score_bbox(
         return F.when(condition, F.lit(float(value))).otherwise(F.lit(0.0))
 
     m, schema = F.col("_match"), F.col("_schema")
-    penalties = points(F.col("_large"), opt.large_penalty) + points(F.col("_hard"), opt.hard_negative_penalty)
+    penalties = points(F.col("_large"), opt.large_box_penalty) + points(F.col("_hard"), opt.hard_negative_overlap_penalty)
     positive = (
         F.lit(float(opt.format_reward))
         + points(schema & (F.size(pred) > 0), opt.schema_reward)
         + points(m.isNotNull(), opt.page_reward)
         + F.coalesce(opt.iou_weight * m["iou"], F.lit(0.0))
-        + points(m["iou"] >= opt.iou_low, opt.iou_low_bonus)
-        + points(m["iou"] >= opt.iou_high, opt.iou_high_bonus)
-        + points(m["centred"], opt.center_bonus)
+        + points(m["iou"] >= opt.iou_05_threshold, opt.iou_05_bonus)
+        + points(m["iou"] >= opt.iou_07_threshold, opt.iou_07_bonus)
+        + points(m["centred"], opt.center_in_gt_bonus)
         + penalties
     )
     negative = F.lit(float(opt.format_reward)) + points(schema, opt.schema_reward) + penalties

@@ -123,7 +123,7 @@ def _facts(value, root: str) -> tuple:
 
 def read_documents(answer: Column, solution: Column, opt: KVOptions) -> Column:
     """Both documents of a row in one Arrow pass; null answers are passed over."""
-    stop = opt.stop_token
+    stop = opt.required_stop_token
     loads = jsonx.loads_strict if opt.strict_json else jsonx.loads_lenient
 
     def row(text: str | None, gold_text: str | None, golds: dict) -> tuple | None:
@@ -155,10 +155,10 @@ def read_documents(answer: Column, solution: Column, opt: KVOptions) -> Column:
 def format_cap(answer: Column, parsed: Column, cut: Column, trailing: Column, opt: KVOptions) -> Column:
     return (
         F.when(cut & (trailing == ""), 1.0)
-        .when(cut & trailing.contains(opt.stop_token), opt.middle_stop_cap)
+        .when(cut & trailing.contains(opt.required_stop_token), opt.middle_or_multiple_stop_cap)
         .when(cut, opt.trailing_text_cap)
-        .when(parsed | ~answer.contains(opt.stop_token), opt.missing_stop_cap)
-        .otherwise(opt.middle_stop_cap)
+        .when(parsed | ~answer.contains(opt.required_stop_token), opt.missing_stop_cap)
+        .otherwise(opt.middle_or_multiple_stop_cap)
     )
 
 
@@ -167,21 +167,21 @@ def _cap(condition: Column, cap: float) -> Column:
 
 
 def root_cap(pred: Column, root: Column, opt: KVOptions) -> Column:
-    allowed = F.array(root, *[F.lit(s) for s in opt.siblings])
+    allowed = F.array(root, *[F.lit(s) for s in opt.allowed_sibling_keys])
     strange = F.size(F.array_except(pred["keys"], allowed)) > 0
     return _cap(~pred["is_object"] | strange | ~pred["root_ok"], opt.root_mismatch_cap)
 
 
 def length_cap(pred: Column, gold: Column, opt: KVOptions) -> Column:
-    longer = pred["length"] > opt.max_length_ratio * F.greatest(gold["length"], F.lit(1))
-    more = (gold["n_leaves"] > 0) & (pred["n_leaves"] > opt.max_leaf_ratio * gold["n_leaves"])
-    return F.least(_cap(longer, opt.length_ratio_cap), _cap(more, opt.leaf_ratio_cap))
+    longer = pred["length"] > opt.max_serialized_length_ratio * F.greatest(gold["length"], F.lit(1))
+    more = (gold["n_leaves"] > 0) & (pred["n_leaves"] > opt.max_leaf_count_ratio * gold["n_leaves"])
+    return F.least(_cap(longer, opt.length_ratio_cap), _cap(more, opt.leaf_count_ratio_cap))
 
 
 def leaf_balance_cap(pred: Column, gold: Column, opt: KVOptions) -> Column:
     p, g = pred["n"].cast("double"), gold["n"].cast("double")
-    extra = (g > 0) & (F.try_divide(p - g, g) > opt.extra_leaf_threshold)
-    missing = (g > 0) & (F.try_divide(g - p, g) > opt.missing_leaf_threshold)
+    extra = (g > 0) & (F.try_divide(p - g, g) > opt.extra_leaf_ratio_threshold)
+    missing = (g > 0) & (F.try_divide(g - p, g) > opt.missing_leaf_ratio_threshold)
     return F.least(
         _cap(F.coalesce(extra, F.lit(False)), opt.extra_leaf_cap),
         _cap(F.coalesce(missing, F.lit(False)), opt.missing_leaf_cap),
@@ -200,7 +200,7 @@ def kv_structure_cap(pred: Column, gold: Column, opt: KVOptions) -> Column:
         leaf_balance_cap(pred, gold, opt),
         _cap(pred["places_repeat"], opt.duplicate_path_cap),
         _cap(_repeats_beyond_gold(pred, gold), opt.duplicate_value_cap),
-        _cap(apart, opt.top_level_cap),
+        _cap(apart, opt.kv_top_level_path_mismatch_cap),
     )
 
 
@@ -221,10 +221,10 @@ def table_structure_cap(pred: Column, gold: Column, opt: KVOptions) -> Column:
     again = F.filter(pred["signatures"], lambda s: (s["n"] > 1) & F.array_contains(shared, s["name"]))
     extra_rows = F.size(F.array_except(again, gold["signatures"])) > 0
     tables_only = F.least(
-        _cap(names(pred) != names(gold), opt.table_name_cap),
-        _cap(differs("columns"), opt.table_column_cap),
-        _cap(differs("rows"), opt.table_row_count_cap),
-        _cap(extra_rows, opt.duplicate_row_cap),
+        _cap(names(pred) != names(gold), opt.table_name_mismatch_cap),
+        _cap(differs("columns"), opt.table_column_mismatch_cap),
+        _cap(differs("rows"), opt.table_row_count_mismatch_cap),
+        _cap(extra_rows, opt.duplicate_table_row_cap),
         _cap(_repeats_beyond_gold(pred, gold), opt.duplicate_value_cap),
     )
     balance = leaf_balance_cap(pred, gold, opt)
@@ -243,22 +243,22 @@ def results_structure_cap(pred: Column, gold: Column, opt: KVOptions) -> Column:
 def similarity(pred: str | None, gold: str | None, opt: KVOptions, floor: float = 0.0) -> float:
     """Value similarity; a result below ``floor`` may be returned as 0."""
     if (pred is None) != (gold is None):
-        return opt.empty_mismatch_cap
+        return opt.empty_value_mismatch_cap
     if pred == gold:
         return 1.0
     if not pred or not gold:
         return 0.0
     a, b = jsonx.clean(pred), jsonx.clean(gold)
     if a == b:
-        return min(opt.normalized_cap, opt.non_exact_cap)
+        return min(opt.normalized_match_cap, opt.non_exact_value_cap)
     if jsonx.coarse(pred) == jsonx.coarse(gold):
-        cap = min(opt.coarse_cap, opt.non_exact_cap)
-        return min(cap, opt.punctuation_cap) if _punctuation_differs(pred, gold) else cap
+        cap = min(opt.coarse_match_cap, opt.non_exact_value_cap)
+        return min(cap, opt.numeric_punctuation_mismatch_cap) if _punctuation_differs(pred, gold) else cap
     matcher = SequenceMatcher(a=a, b=b)
     # both quick ratios are upper bounds of the ratio, so this loses nothing
-    if min(matcher.real_quick_ratio(), opt.non_exact_cap) < floor or matcher.quick_ratio() < floor:
+    if min(matcher.real_quick_ratio(), opt.non_exact_value_cap) < floor or matcher.quick_ratio() < floor:
         return 0.0
-    return min(matcher.ratio(), opt.non_exact_cap)
+    return min(matcher.ratio(), opt.non_exact_value_cap)
 
 
 def _punctuation_differs(a: str, b: str) -> bool:
@@ -305,7 +305,7 @@ def fuzzy_f1(pred_keys: Column, gold_keys: Column, opt: KVOptions) -> Column:
     they pair off first, by occurrence number; only the remainder is compared.
     """
     n_pred, n_gold = F.size(pred_keys), F.size(gold_keys)
-    if opt.non_exact_cap < 1.0 and opt.empty_mismatch_cap < 1.0:
+    if opt.non_exact_value_cap < 1.0 and opt.empty_value_mismatch_cap < 1.0:
         left_pred, left_gold = F.array_except(pred_keys, gold_keys), F.array_except(gold_keys, pred_keys)
         hits = n_pred - F.size(left_pred)
     else:
@@ -318,7 +318,7 @@ def fuzzy_f1(pred_keys: Column, gold_keys: Column, opt: KVOptions) -> Column:
         return jsonx.struct_array([_greedy(x, y, opt) if x and y else (0.0, 0) for x, y in pairs], out)
 
     more = tail(left_pred, left_gold)
-    matched = (hits + (more["score"] if opt.weighted else more["n"])).cast("double")
+    matched = (hits + (more["score"] if opt.use_weighted_fuzzy_f1 else more["n"])).cast("double")
     # 2pr/(p+r) with p = m/|pred| and r = m/|gold|
     f1 = F.try_divide(2.0 * matched, (n_pred + n_gold).cast("double"))
     return (

@@ -352,7 +352,7 @@ def searched_versions(
 ) -> DataFrame:
     """Original vectors nulled where no search is needed: absolute mode, or a
     full cache. The search then skips them."""
-    if opt.mode == "absolute":
+    if opt.reward_mode == "absolute":
         return queries.withColumn(original, F.lit(None).cast(queries.schema[original].dataType))
     if cache is None:
         return queries
@@ -380,7 +380,7 @@ def ndcg_rewards(
     total = F.lit(0.0)
     for k, w in zip(opt.top_ks, opt.weights):
         new = score("rewritten", k)
-        if opt.mode == "relative":
+        if opt.reward_mode == "relative":
             old = score("original", k)
             if cache is not None:
                 stored = F.try_element_at(F.col(cache), F.lit(str(k)))

@@ -6,7 +6,6 @@ Rewards with weight <= 0 never enter the plan.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -49,13 +48,13 @@ def has_block(c: Column, start: str, end: str, escape: bool = False) -> Column:
 def think_format(c: Column, ext: Extraction = Extraction(), enabled: bool = True) -> Column:
     if not enabled:
         return _null()
-    return F.when(has_block(c, ext.think_start, ext.think_end, ext.escape_tags), 1.0).otherwise(0.0)
+    return F.when(has_block(c, ext.think_start_token, ext.think_end_token, ext.escape_tags), 1.0).otherwise(0.0)
 
 
 def answer_format(c: Column, ext: Extraction) -> Column:
     if not ext.is_answer_tag:
         return _null()
-    return F.when(has_block(c, ext.answer_start, ext.answer_end, ext.escape_tags), 1.0).otherwise(0.0)
+    return F.when(has_block(c, ext.answer_start_token, ext.answer_end_token, ext.escape_tags), 1.0).otherwise(0.0)
 
 
 # ------------------------------------------------------------------- match
@@ -151,7 +150,7 @@ def score_rouge(
 ) -> DataFrame:
     applies = (F.col(category) == "rouge") & (F.col(solution) != "")
     said = T.strip_wrappers(T.split_on_keywords(T.extract_answer(F.col(completion), ext)))
-    return df.withColumn(output or opt.name, rouge(F.when(applies, said), F.col(solution), opt.kind, opt.stem))
+    return df.withColumn(output or opt.name, rouge(F.when(applies, said), F.col(solution), opt.type, opt.stem))
 
 
 # ---------------------------------------------------------------- equation
@@ -277,8 +276,3 @@ def to_long(scored: DataFrame, key: list[str], names: list[str]) -> DataFrame:
     cells = F.array(*[F.struct(F.lit(n).alias("reward"), F.col(f"`{n}`").alias("value")) for n in names])
     return scored.select(*key, F.inline(cells))
 
-
-def save_suffix(weights: dict[str, float]) -> str:
-    """Run-name suffix listing the active rewards."""
-    names = [n for n, w in weights.items() if re.fullmatch(r"-?\d+(\.\d+)?", str(w)) and float(w) > 0]
-    return "-rw_" + "+".join(names) if names else ""

@@ -84,10 +84,10 @@ def read_documents(answer: Column, solution: Column, opt: SelectionOptions) -> C
         label, value = jsonx.loads_lenient(gold_text), jsonx.loads_lenient(text)
         return {
             "label_ok": isinstance(label, dict),
-            "gold": items(label, opt.keys),
+            "gold": items(label, opt.schema_keys),
             "parsed": value is not None,
             "is_object": isinstance(value, dict),
-            "pred": items(value, opt.keys),
+            "pred": items(value, opt.schema_keys),
         }
 
     @F.arrow_udf(_ROW_DDL)
@@ -105,29 +105,29 @@ def quality_of_counts(n_pred: Column, n_gold: Column, n_common: Column, opt: Sel
     """Quality of one target from its three distinct-id counts."""
     n_pred, n_gold, n_common = (c.cast("double") for c in (n_pred, n_gold, n_common))
     equal = (n_common == n_gold) & (n_common == n_pred)
-    best = float(opt.exact_reward + opt.partial_weight)
+    best = float(opt.exact_match_reward + opt.partial_match_weight)
     if best <= 0:
         return F.when(equal, 1.0).otherwise(0.0)
     extra, missing = n_pred - n_common, n_gold - n_common
     f1 = F.coalesce(F.try_divide(2.0 * n_common, n_pred + n_gold), F.lit(0.0))
     score = (
-        opt.partial_weight * f1
-        + F.when(extra > 0, float(opt.wrong_penalty)).otherwise(0.0)
-        + F.when(n_pred > n_gold, float(opt.over_penalty)).otherwise(0.0)
+        opt.partial_match_weight * f1
+        + F.when(extra > 0, float(opt.wrong_selection_penalty)).otherwise(0.0)
+        + F.when(n_pred > n_gold, float(opt.over_selection_penalty)).otherwise(0.0)
     )
-    multi = opt.multi_cap
+    multi = opt.multi_fragment_partial_match_cap
     cap = (
-        F.when(n_gold == 1, min(opt.partial_cap, opt.single_cap))
-        .when(n_gold == 0, min(opt.partial_cap, opt.short_cap))
-        .when(n_gold <= 4, min(opt.partial_cap, opt.short_cap, multi))
-        .when(n_gold <= 8, min(opt.partial_cap, opt.long_cap, multi))
-        .otherwise(min(opt.partial_cap, opt.very_long_cap, multi))
+        F.when(n_gold == 1, min(opt.partial_match_cap, opt.single_id_partial_cap))
+        .when(n_gold == 0, min(opt.partial_match_cap, opt.short_multi_id_partial_cap))
+        .when(n_gold <= 4, min(opt.partial_match_cap, opt.short_multi_id_partial_cap, multi))
+        .when(n_gold <= 8, min(opt.partial_match_cap, opt.long_multi_id_partial_cap, multi))
+        .otherwise(min(opt.partial_match_cap, opt.very_long_multi_id_partial_cap, multi))
     )
     q = F.least(_clip01(score / best), cap)
-    wrong_place = (n_pred > 0) & (n_gold > 0) & (F.try_divide(n_common, n_gold) <= opt.wrong_occurrence_overlap)
+    wrong_place = (n_pred > 0) & (n_gold > 0) & (F.try_divide(n_common, n_gold) <= opt.wrong_occurrence_overlap_threshold)
     lowered = F.when(F.coalesce(wrong_place, F.lit(False)), F.least(q, F.lit(float(opt.wrong_occurrence_cap)))).otherwise(q)
-    q = F.when(missing > 0, lowered + opt.missing_id_penalty * missing).otherwise(q)
-    over = F.least(q, F.lit(float(opt.over_cap))) + opt.extra_id_penalty * extra
+    q = F.when(missing > 0, lowered + opt.missing_gold_id_penalty * missing).otherwise(q)
+    over = F.least(q, F.lit(float(opt.over_selection_cap))) + opt.extra_selected_id_penalty * extra
     q = _clip01(F.when(extra > 0, over).otherwise(q))
     return F.when(equal, 1.0).otherwise(q)
 
@@ -141,7 +141,7 @@ def item_quality(pred: Column, gold: Column, opt: SelectionOptions) -> Column:
 
 
 def hard_weight(n_gold: Column, opt: SelectionOptions) -> Column:
-    return F.when(n_gold >= opt.hard_min_ids, float(opt.hard_weight)).otherwise(1.0)
+    return F.when(n_gold >= opt.hard_target_min_gold_ids, float(opt.hard_target_weight)).otherwise(1.0)
 
 
 def score_selection(
@@ -188,9 +188,9 @@ def score_selection(
     def total(field) -> Column:
         return F.aggregate(s, F.lit(0.0), lambda a, x: a + field(x))
 
-    if opt.aggregation == "min":
+    if opt.target_quality_aggregation == "min":
         mean = F.array_min(F.transform(s, lambda x: x["q"]))
-    elif opt.aggregation == "mean":
+    elif opt.target_quality_aggregation == "mean":
         mean = F.try_divide(total(lambda x: x["q"]), F.size(s).cast("double"))
     else:
         weight = total(lambda x: x["w"])
@@ -212,15 +212,15 @@ def score_selection(
 
     base = F.lit(float(opt.format_reward)) + F.when(F.col("_schema"), float(opt.schema_reward)).otherwise(0.0)
     r = base + F.greatest(F.lit(0.0), high - base) * F.col("_quality")
-    capped = F.least(r, F.lit(float(opt.schema_only_cap)))
-    capped = F.when(F.col("_any"), capped).otherwise(F.least(capped, F.lit(float(opt.empty_selection_cap))))
+    capped = F.least(r, F.lit(float(opt.schema_only_reward_cap)))
+    capped = F.when(F.col("_any"), capped).otherwise(F.least(capped, F.lit(float(opt.empty_selection_reward_cap))))
     r = F.when(F.col("_quality") > 0, r).otherwise(capped)
     r = F.when(
         F.col("_extra") > 0,
-        F.least(r + opt.wrong_penalty * F.col("_extra"), F.lit(float(opt.extra_target_cap))),
+        F.least(r + opt.wrong_selection_penalty * F.col("_extra"), F.lit(float(opt.extra_target_reward_cap))),
     ).otherwise(r)
-    r = r + opt.wrong_penalty * F.col("_strays")
-    r = F.when(F.col("_schema"), r).otherwise(F.least(r, F.lit(float(opt.invalid_schema_cap))))
+    r = r + opt.wrong_selection_penalty * F.col("_strays")
+    r = F.when(F.col("_schema"), r).otherwise(F.least(r, F.lit(float(opt.invalid_schema_reward_cap))))
     value = (
         F.when(d.isNull() | ~d["label_ok"] | d["gold"].isNull() | ~F.col("_gold_ok"), F.lit(None).cast("double"))
         .when(~d["parsed"] | ~d["is_object"], 0.0)
@@ -269,5 +269,5 @@ def selection_quality(
         "mean": F.avg("q"),
         "min": F.min("q"),
         "hard_weighted_mean": F.try_divide(F.sum(F.col("q") * F.col("w")), F.sum("w")),
-    }[opt.aggregation]
+    }[opt.target_quality_aggregation]
     return per_target.groupBy(key).agg(F.count("*").alias("targets"), total.alias("quality"))

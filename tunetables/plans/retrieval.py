@@ -138,7 +138,7 @@ select k, num as num_relevant, case when num > 0 then round(least(1.0, greatest(
 
 
 def _ndcg(mode: str, cached: bool):
-    opt = NdcgOptions(mode=mode)
+    opt = NdcgOptions(reward_mode=mode)
 
     def run(spark: SparkSession, sf: str) -> DataFrame:
         e = X.table(spark, sf, "embeddings")
