@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tunetables.config import HitOptions, NdcgOptions, Stage
 from tunetables.operators import retrieval as R
+from tunetables.operators import rewards as W
 
 
 def vectors(spark, n, name, vec, seed, copies=0, text=False):
@@ -124,3 +125,43 @@ def test_relevance_table(spark):
     marked = R.mark_relevant(ranked, rel, "k", "item")
     assert tuple(R.hit_locations(marked, "k").first()) == (1, 2, 1)
     assert R.relevant_counts(rel, "k", "item").first().num_relevant == 2
+
+
+def test_scorers_follow_the_null_rules(spark):
+    rows = [(1, "a_retrieval", "q", "['x', ['y']]"), (2, "math", "q", "['x']"), (3, "retrieval", "", "['x']"), (4, "retrieval", "q", ""), (5, "retrieval", "q", "[]"),
+            (6, "retrieval", "q", "plain"), (7, "retrieval", "q", "['x']"), (8, None, "q", "x")]
+    df = spark.createDataFrame(rows, "id int, category string, query string, truth string")
+    ranked = spark.createDataFrame(
+        [(k, v, c, r) for k in range(1, 7) for v in R.VERSIONS for r, c in enumerate(["n", "y", "plain"] if v == "original" else ["y", "n", "plain"], 1)],
+        "id int, version string, candidate string, rank int",
+    )
+    opt = HitOptions(top_k=10, stages=(Stage(1, 0.2, 0.2),))
+    hit = {r.id: r.retrieval_hit_reward for r in R.score_retrieval_hit(df, ranked, opt).collect()}
+    assert hit[1] == pytest.approx(math.log(2) / math.log(11) + 0.2)
+    assert [hit[k] for k in (2, 3, 4, 8)] == [None] * 4
+    assert [hit[k] for k in (5, 6, 7)] == [0.0] * 3  # double misses, and an unchanged hit
+    ndcg = {r.id: r.retrieval_ndcg_reward for r in R.score_retrieval_ndcg(df, ranked, NdcgOptions(top_ks=(1,), reward_mode="absolute")).collect()}
+    assert [ndcg[k] for k in (2, 3, 4, 5, 8)] == [None] * 5
+    assert (ndcg[1], ndcg[6], ndcg[7]) == (1.0, 0.0, 0.0)
+
+
+def test_all_rewards_can_be_built_and_read_messages(spark):
+    ranked = spark.createDataFrame([(1, "original", "x", 1), (1, "rewritten", "x", 1)], "id int, version string, candidate string, rank int")
+    runs = spark.createDataFrame([("print(1)", "success", "1")], "snippet string, status string, stdout string")
+    extra = {"retrieval_hit": {"ranked": ranked}, "retrieval_ndcg": {"ranked": ranked}, "code_execution": {"executions": runs}}
+    names = ["think_format", "answer_format", "match", "code_execution", "rouge", "equation", "retrieval_hit", "retrieval_ndcg", "kv", "grounding_bbox", "grounding_selection"]
+    rewards = [W.build_reward(n, 2.0, **extra.get(n, {})) for n in names]
+    texts = spark.createDataFrame(
+        [(1, "math", "answer: 4", "4", "q", "x", 4.0, [4])], "id int, category string, completion string, solution string, query string, truth string, target double, numbers array<int>"
+    )
+    chats = texts.withColumn("completion", F.array(F.struct(F.lit("assistant").alias("role"), F.col("completion").alias("content"))))
+    got = [W.score_all(df, rewards).select(*[f"`{r.name}`" for r in rewards]).first() for df in (texts, chats)]
+    assert got[0] == got[1] and len(got[0]) == 11 and got[0]["match_reward"] == 2.0
+
+
+def test_hot_snippets_are_split(spark):
+    block = "```python\nprint(1)\n```"
+    df = spark.range(300).select("id", F.lit("code").alias("category"), F.when(F.col("id") % 10 < 9, block).otherwise("none").alias("completion"), F.lit(block).alias("solution"))
+    runs = spark.createDataFrame([("print(1)", "success", "1")], "snippet string, status string, stdout string")
+    got = W.score_code(df, runs).groupBy("code_execution_reward").count().collect()
+    assert sorted(map(tuple, got)) == [(-0.0, 30), (1.0, 270)]

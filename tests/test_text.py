@@ -129,7 +129,7 @@ def test_format(spark):
 
 def test_active_rewards(spark):
     df = spark.createDataFrame([(1, "math", "5", "5")], "k int, category string, solution string, completion string")
-    rewards = [R.build_reward("match", 2.0), R.build_reward("rouge", 0.0), R.column_reward("mine", 1.0, lambda: F.lit(0.5))]
+    rewards = [R.build_reward("match", 2.0), R.build_reward("rouge", 0.0), R.column_reward("mine", 1.0, lambda df: F.lit(0.5))]
     out = R.score_all(df, rewards)
     assert out.columns[-2:] == ["match_reward", "mine"]
     assert tuple(out.first())[-2:] == (2.0, 0.5)

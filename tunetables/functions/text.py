@@ -7,8 +7,9 @@ are those of Unicode-aware matching.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType
 
 from tunetables.config import Extraction
 
@@ -29,6 +30,11 @@ def completion_text(c: Column, is_messages: bool) -> Column:
     )
 
 
+def content(df: DataFrame, name: str) -> Column:
+    """A completion column as text, whether it holds texts or message arrays."""
+    return completion_text(F.col(name), isinstance(df.schema[name].dataType, ArrayType))
+
+
 def _tag(tag: str, ext: Extraction) -> str:
     # Quoted for Java; unescaped tags are inserted as patterns on purpose.
     return "\\Q" + tag + "\\E" if ext.escape_tags else tag

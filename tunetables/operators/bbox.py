@@ -158,7 +158,7 @@ def score_bbox(
     output: str = "grounding_bbox_reward",
 ) -> DataFrame:
     applies = T.has_category_token(F.col(category), opt.category_token) & F.col(solution).isNotNull()
-    answer = F.when(applies, T.extract_answer(F.col(completion), ext))
+    answer = F.when(applies, T.extract_answer(T.content(df, completion), ext))
     df = df.withColumn("_doc", read_documents(answer, F.col(solution), opt))
     d = F.col("_doc")
     pred, gold = d["pred"], d["gold"]

@@ -362,7 +362,7 @@ def score_kv(
     """min(content, format, root, length and structure caps), clipped to [0, 1];
     null for other categories, blank or unreadable solutions."""
     applies = T.has_category_token(F.col(category), opt.category_token) & (F.col(solution) != "")
-    answer = T.strip(T.split_on_keywords(T.extract_answer(F.col(completion), ext)))
+    answer = T.strip(T.split_on_keywords(T.extract_answer(T.content(df, completion), ext)))
     df = df.withColumn("_answer", F.when(applies, answer))
     df = df.withColumn("_doc", read_documents(F.col("_answer"), F.col(solution), opt))
     doc, pred, gold = F.col("_doc"), F.col("_doc.pred"), F.col("_doc.gold")

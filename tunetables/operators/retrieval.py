@@ -27,6 +27,8 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tunetables.config import HitOptions, NdcgOptions
+from tunetables.functions.jsonx import string_list
+from tunetables.functions.text import has_category_token
 from tunetables.operators.staging import materialise
 
 #: scores are compared in single precision: digits kept of a score as a share of
@@ -392,6 +394,56 @@ def ndcg_rewards(
     return rows.select(*totals.columns, value.alias("ndcg_reward"))
 
 
-def applicable(query: Column, num_relevant: Column) -> Column:
-    """Rows with a query and a non-empty truth."""
-    return F.coalesce((query != "") & (num_relevant > 0), F.lit(False))
+def _truth(df: DataFrame, key: str, query: str, truth: str, category: str) -> DataFrame:
+    """(key, candidates) of the rows that a retrieval reward applies to: the
+    category token, a query, and a truth text; lists in it are flattened."""
+    applies = has_category_token(F.col(category), "retrieval") & (F.col(query) != "") & (F.col(truth) != "")
+    return df.where(applies).select(key, string_list(F.col(truth)).alias("_truth"))
+
+
+def _judged(ranked: DataFrame, truth: DataFrame, key: str) -> DataFrame:
+    """Ranked candidates of the truth's keys, marked relevant or not."""
+    pairs = truth.select(key, F.explode("_truth").alias("candidate"))
+    return mark_relevant(ranked.join(truth.select(key), key, "left_semi"), pairs, key, "candidate")
+
+
+def score_retrieval_hit(
+    df: DataFrame,
+    ranked: DataFrame,
+    opt: HitOptions = HitOptions(),
+    key: str = "id",
+    query: str = "query",
+    truth: str = "truth",
+    category: str = "category",
+    output: str = "retrieval_hit_reward",
+) -> DataFrame:
+    """Hit-rank reward of each row from the candidates (key, version, candidate,
+    rank) that a search of its two query versions ranked. Null for rows of other
+    categories and rows without a query or a truth; a row whose candidates are
+    missing, or hold nothing true, is a double miss and scored as one."""
+    asked = _truth(df, key, query, truth, category)
+    at = hit_locations(_judged(ranked.where(F.col("rank") <= opt.top_k), asked, key), key)
+    scored = asked.select(key).join(at, key, "left").fillna(0, [f"{v}_rank" for v in VERSIONS])
+    value = hit_reward(F.col("original_rank"), F.col("rewritten_rank"), opt)
+    return df.join(scored.select(key, value.alias(output)), key, "left")
+
+
+def score_retrieval_ndcg(
+    df: DataFrame,
+    ranked: DataFrame,
+    opt: NdcgOptions = NdcgOptions(),
+    key: str = "id",
+    query: str = "query",
+    truth: str = "truth",
+    category: str = "category",
+    cache: str | None = None,
+    output: str = "retrieval_ndcg_reward",
+) -> DataFrame:
+    """nDCG reward of each row, from the same table. Null as well where the truth
+    holds no item; rows without candidates score as if nothing was found."""
+    asked = _truth(df, key, query, truth, category)
+    totals = asked.select(key, F.size("_truth").cast("bigint").alias("num_relevant"))
+    if cache is not None:
+        totals = totals.join(df.select(key, cache), key)
+    scored = ndcg_rewards(_judged(ranked, asked, key), totals, key, opt, cache)
+    return df.join(scored.select(key, F.col("ndcg_reward").alias(output)), key, "left")

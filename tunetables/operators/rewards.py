@@ -16,8 +16,10 @@ from tunetables.config import (
     BBoxOptions,
     CodeOptions,
     Extraction,
+    HitOptions,
     KVOptions,
     MatchOptions,
+    NdcgOptions,
     RougeOptions,
     SelectionOptions,
 )
@@ -26,6 +28,7 @@ from tunetables.functions.arithmetic import expression_value
 from tunetables.functions.overlap import rouge
 from tunetables.operators.bbox import score_bbox
 from tunetables.operators.kv import score_kv
+from tunetables.operators.retrieval import score_retrieval_hit, score_retrieval_ndcg
 from tunetables.operators.selection import score_selection
 
 
@@ -71,7 +74,7 @@ def score_match(
     Staged columns keep each text form computed once."""
     sol = F.col(solution)
     applies = F.col(category).isin("math", "choice") & (sol != "")
-    df = df.withColumn("_said", F.when(applies, T.split_on_keywords(T.extract_answer(F.col(completion), ext))))
+    df = df.withColumn("_said", F.when(applies, T.split_on_keywords(T.extract_answer(T.content(df, completion), ext))))
     df = df.withColumn("_clean", F.when(F.col("_said").isNotNull(), T.strip_wrappers(F.col("_said"))))
     said, clean = F.col("_said"), F.col("_clean")
 
@@ -99,31 +102,37 @@ def score_code(
     solution: str = "solution",
     category: str = "category",
     output: str = "code_execution_reward",
+    salts: int = 64,
 ) -> DataFrame:
     """Output of the answer's snippet against that of the solution's, from a
     table (snippet, status, stdout) of recorded runs. A snippet without a
     record counts as not run.
 
-    Joins go by snippet hash. Rows without a snippet get spread-out keys that
-    match nothing: as nulls they would all meet in one task.
+    Joins go by snippet hash and one of ``salts`` salts of the row, so that many
+    rows with one snippet, or with none, are spread over tasks; the recorded runs,
+    one per distinct snippet, are repeated for each salt.
     """
     done = executions.select(
         F.md5(T.strip(F.col("snippet"))).alias("_h"), F.struct("status", T.strip(F.col("stdout")).alias("out")).alias("run")
     )
     done = done.groupBy("_h").agg(F.min("run").alias("run"))
     applies = (F.col(category) == "code") & (F.col(solution) != "")
-    answer = T.split_on_keywords(T.extract_answer(F.col(completion), ext))
+    answer = T.split_on_keywords(T.extract_answer(T.content(df, completion), ext))
     df = df.withColumns(
         {
             "_a": F.when(applies, T.extract_python_block(answer)),
             "_s": F.when(applies, T.extract_python_block(F.col(solution))),
         }
     )
-    spread = F.concat(F.lit("none-"), F.pmod(F.xxhash64(*df.columns[:8]), F.lit(4096)).cast("string"))
+    # a snippet may stand in a third of all rows: its key is split over as many
+    # salts as the rows of a snippet call for, and the recorded runs are repeated
+    salt = F.pmod(F.xxhash64(*df.columns[:8]), F.lit(salts)).cast("int")
+    copies = done.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    df = df.withColumn("_salt", salt)
     for side in ("_a", "_s"):
-        key = F.when(F.col(side) != "", F.md5(F.col(side))).otherwise(spread)
-        runs = done.select(F.col("_h").alias(f"{side}_key"), F.col("run").alias(f"{side}_run"))
-        df = df.withColumn(f"{side}_key", key).join(runs, f"{side}_key", "left")
+        key = F.when(F.col(side) != "", F.md5(F.col(side))).otherwise(F.lit("none"))
+        runs = copies.select("_salt", F.col("_h").alias(f"{side}_key"), F.col("run").alias(f"{side}_run"))
+        df = df.withColumn(f"{side}_key", key).join(runs, [f"{side}_key", "_salt"], "left")
 
     def ran(side: str) -> Column:
         return (F.col(side) != "") & F.coalesce(F.col(f"{side}_run.status") == "success", F.lit(False))
@@ -135,7 +144,7 @@ def score_code(
         .when(F.col("_a_run.out") == F.col("_s_run.out"), 1.0)
         .otherwise(F.lit(0.5 - opt.wrong_output_penalty))
     )
-    return df.withColumn(output, value).drop("_a", "_s", "_a_key", "_s_key", "_a_run", "_s_run")
+    return df.withColumn(output, value).drop("_a", "_s", "_a_key", "_s_key", "_a_run", "_s_run", "_salt")
 
 
 # ------------------------------------------------------------------- rouge
@@ -149,7 +158,7 @@ def score_rouge(
     output: str | None = None,
 ) -> DataFrame:
     applies = (F.col(category) == "rouge") & (F.col(solution) != "")
-    said = T.strip_wrappers(T.split_on_keywords(T.extract_answer(F.col(completion), ext)))
+    said = T.strip_wrappers(T.split_on_keywords(T.extract_answer(T.content(df, completion), ext)))
     return df.withColumn(output or opt.name, rouge(F.when(applies, said), F.col(solution), opt.type, opt.stem))
 
 
@@ -167,7 +176,7 @@ def score_equation(
     arithmetic and comes to the target; else 0. Only expressions that pass the
     first two tests are evaluated."""
     applies = (F.col(category) == "equation") & F.col(target).isNotNull()
-    said = T.strip_wrappers(T.split_on_keywords(T.extract_answer(F.col(completion), ext)))
+    said = T.strip_wrappers(T.split_on_keywords(T.extract_answer(T.content(df, completion), ext)))
     df = df.withColumn("_said", F.when(applies, said))
     runs = F.transform(F.regexp_extract_all("_said", F.lit(r"\d+"), F.lit(0)), lambda d: d.try_cast("decimal(38,0)"))
     given = F.transform(F.col(numbers), lambda n: n.cast("decimal(38,0)"))
@@ -188,9 +197,9 @@ class Reward:
     score: Callable[[DataFrame, str], DataFrame]
 
 
-def column_reward(name: str, weight: float, value: Callable[[], Column]) -> Reward:
+def column_reward(name: str, weight: float, value: Callable[[DataFrame], Column]) -> Reward:
     """A reward that is one expression over the row."""
-    return Reward(name, weight, lambda df, out: df.withColumn(out, value()))
+    return Reward(name, weight, lambda df, out: df.withColumn(out, value(df)))
 
 
 def joined_reward(name: str, weight: float, scores: DataFrame, key: str, value: str) -> Reward:
@@ -222,10 +231,10 @@ def _register_builtin() -> None:
     ext = Extraction()
 
     def think(weight, ext=ext, enabled=True, completion="completion"):
-        return column_reward("think_format_reward", weight, lambda: think_format(F.col(completion), ext, enabled))
+        return column_reward("think_format_reward", weight, lambda df: think_format(T.content(df, completion), ext, enabled))
 
     def answer(weight, ext=ext, completion="completion"):
-        return column_reward("answer_format_reward", weight, lambda: answer_format(F.col(completion), ext))
+        return column_reward("answer_format_reward", weight, lambda df: answer_format(T.content(df, completion), ext))
 
     def of(scorer, options):
         def build(weight, opt=None, ext=ext, **columns):
@@ -241,12 +250,21 @@ def _register_builtin() -> None:
     def equation(weight, ext=ext, **columns):
         return Reward("equation_reward", weight, lambda df, out: score_equation(df, ext, output=out, **columns))
 
+    def retrieval(scorer, options):
+        def build(weight, ranked, opt=None, **columns):
+            opt = opt or options()
+            return Reward(opt.name, weight, lambda df, out: scorer(df, ranked, opt, output=out, **columns))
+
+        return build
+
     register_reward("think_format", think)
     register_reward("answer_format", answer)
     register_reward("match", of(score_match, MatchOptions))
     register_reward("code_execution", code)
     register_reward("rouge", of(score_rouge, RougeOptions))
     register_reward("equation", equation)
+    register_reward("retrieval_hit", retrieval(score_retrieval_hit, HitOptions))
+    register_reward("retrieval_ndcg", retrieval(score_retrieval_ndcg, NdcgOptions))
     register_reward("kv", of(score_kv, KVOptions))
     register_reward("grounding_bbox", of(score_bbox, BBoxOptions))
     register_reward("grounding_selection", of(score_selection, SelectionOptions))

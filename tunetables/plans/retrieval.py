@@ -164,3 +164,39 @@ def _ndcg(mode: str, cached: bool):
 query(_ndcg_sql("relative", False), "retrieval_ndcg_reward")(_ndcg("relative", False))
 query(_ndcg_sql("absolute", False), "retrieval_ndcg_absolute")(_ndcg("absolute", False))
 query(_ndcg_sql("relative", True), "retrieval_ndcg_cached")(_ndcg("relative", True))
+
+
+# rows as a reward job has them: other categories, blank queries, blank and empty truths
+_ROWS = """
+select vec_id as k, case when vec_id % 5 = 0 then 'doc_math' else 'doc_retrieval' end as category,
+  case when vec_id % 7 = 0 then '' else concat('query ', cast(vec_id as varchar(20))) end as query,
+  case when vec_id % 11 = 0 then '' when vec_id % 13 = 0 then '[]'
+    else concat('[', cast(vec_id + 2 as varchar(20)), ', [', cast(vec_id + 3 as varchar(20)), ', ', cast(vec_id + 2 as varchar(20)), ']]') end as truth
+from embeddings
+"""
+_ABSOLUTE = NdcgOptions(reward_mode="absolute")
+
+
+def _gain(k: int) -> str:
+    return f"sum(case when hit and version = 'rewritten' and rank <= {k} then 1 / log2(rank + 1) else 0 end)"
+
+
+@query(f"""{_RANKED_SQL},
+x as ({_ROWS}),
+f as (select ranked.*, item_id in (k + 2, k + 3) and truth like '[%, [%' as hit from ranked join x using (k)),
+h as (select k, coalesce(min(rank) filter (hit and version = 'original' and rank <= {_HIT.top_k}), {_HIT.top_k + 1}) as o,
+  coalesce(min(rank) filter (hit and version = 'rewritten' and rank <= {_HIT.top_k}), {_HIT.top_k + 1}) as r,
+  {" + ".join(f"{w:.17g} * {_gain(k)} / {sum(1 / math.log2(i + 2) for i in range(min(k, 2))):.17g}" for k, w in zip(_ABSOLUTE.top_ks, _ABSOLUTE.weights))} as n
+  from f group by k),
+j as (select x.*, o, r, n, category = 'doc_retrieval' and query <> '' and truth <> '' as applies from x join h using (k))
+select k, case when applies then round(least(1.0, greatest(-1.0, (ln(o) - ln(r)) / ln({_HIT.top_k + 1})
+    + case when r <= 5 then 0.5 when r <= 10 then 0.3 when r <= 20 then 0.1 else 0.0 end
+    - case when o <= 5 and r > 5 then 0.5 when o <= 10 and r > 10 then 0.3 when o <= 20 and r > 20 then 0.1 else 0.0 end)), 6) end as hit,
+  case when applies and truth <> '[]' then round(n, 6) end as ndcg from j""")
+def retrieval_scored_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """Both retrieval rewards as operators, with their null rules and double misses."""
+    queries = _queries(spark, sf)
+    ranked = _ranked(spark, sf, queries, _HIT.top_k).select("k", "version", F.col("item_id").cast("string").alias("candidate"), "rank")
+    rows = R.score_retrieval_hit(X.frame(spark, sf, _ROWS), ranked, _HIT, key="k", output="hit")
+    rows = R.score_retrieval_ndcg(rows, ranked, _ABSOLUTE, key="k", output="ndcg")
+    return rows.select("k", r6("hit").alias("hit"), r6("ndcg").alias("ndcg"))

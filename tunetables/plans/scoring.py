@@ -92,6 +92,15 @@ def match_reward(spark: SparkSession, sf: str) -> DataFrame:
     return _matched(spark, sf).select("k", "match_reward")
 
 
+@query(MATCH_SQL + "select k, match_reward from scored")
+def match_reward_messages(spark: SparkSession, sf: str) -> DataFrame:
+    """The same over completions that are message arrays."""
+    said = F.array(F.struct(F.lit("assistant").alias("role"), F.col("completion").alias("content")))
+    df = X.frame(spark, sf, X.MATCH).withColumn("completion", said)
+    scored = R.score_all(df, [R.build_reward("match", 1.0, opt=PENALTY), R.build_reward("think_format", 0.5)])
+    return scored.select("k", F.col(f"`{PENALTY.name}`").alias("match_reward"))
+
+
 @query(f"""
 with fx as ({X.MATCH}), e as (select *, {_extract_sql("completion")} as x from fx),
 s as (select *, {_SAID} as said from e)
@@ -160,15 +169,14 @@ def code_output_reward(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _rouge_sql(gram: str) -> str:
+    """Shared n-grams, counted once per distinct one of the short side."""
     return f"""
 with fx as ({X.ROUGE}),
-w as (select k, 0 as side, regexp_extract_all(lower(completion), '[a-z0-9]+') as t from fx
-  union all select k, 1, regexp_extract_all(lower(solution), '[a-z0-9]+') from fx),
-g as (select k, side, unnest({gram}) as gram from w),
-c as (select k, gram, count(*) filter (side = 0) as a, count(*) filter (side = 1) as b from g group by k, gram),
-s as (select k, sum(least(a, b)) as o, sum(a) as na, sum(b) as nb from c group by k)
-select fx.k, case when coalesce(o, 0) = 0 then 0.0::double
-  else round(2 * (o / na) * (o / nb) / (o / na + o / nb), 6) end as rouge from fx left join s on s.k = fx.k"""
+w as (select k, regexp_extract_all(lower(completion), '[a-z0-9]+') as c, regexp_extract_all(lower(solution), '[a-z0-9]+') as s from fx),
+g as (select k, {gram.format(t="c")} as a, {gram.format(t="s")} as b from w),
+o as (select k, len(a) as na, len(b) as nb,
+  coalesce(list_sum(list_transform(list_distinct(b), lambda x: least(len(list_filter(a, lambda y: y = x)), len(list_filter(b, lambda y: y = x))))), 0) as o from g)
+select k, case when o = 0 then 0.0::double else round(2 * (o / na) * (o / nb) / (o / na + o / nb), 6) end as rouge from o"""
 
 
 def _rouge(kind: str, stem: bool):
@@ -179,8 +187,8 @@ def _rouge(kind: str, stem: bool):
     return run
 
 
-query(_rouge_sql("t"), "rouge1")(_rouge("1", False))
-query(_rouge_sql("list_transform(range(1, len(t)), lambda i: t[i] || ' ' || t[i + 1])"), "rouge2")(_rouge("2", False))
+query(_rouge_sql("{t}"), "rouge1")(_rouge("1", False))
+query(_rouge_sql("list_transform(range(1, len({t})), lambda i: {t}[i] || ' ' || {t}[i + 1])"), "rouge2")(_rouge("2", False))
 query(None, "rouge1_stemmed")(_rouge("1", True))
 query(None, "rouge_l")(_rouge("l", False))
 query(None, "rouge_l_stemmed")(_rouge("l", True))
