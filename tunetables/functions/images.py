@@ -99,16 +99,20 @@ def collect_turn_images(messages: Column) -> Column:
 
 def normalise_payload(value: Column, data_type: T.DataType, opt: ImageOptions = ImageOptions()) -> Column:
     """Image references rewritten wherever a nested value holds them: ``image``
-    of image parts, and anything under ``image`` / ``images``."""
+    of image parts, and anything under ``image`` / ``images``. Of an image struct
+    the ``path`` is, unless it carries its ``bytes``."""
     if isinstance(data_type, T.ArrayType):
         return F.transform(value, lambda x: normalise_payload(x, data_type.elementType, opt))
     if not isinstance(data_type, T.StructType):
         return value
     names = data_type.fieldNames()
     out = []
+    is_image = {"path", "bytes"} <= set(names) and "type" not in names
     for f in data_type.fields:
         c = value[f.name]
-        if f.name == "image" and "type" in names and isinstance(f.dataType, T.StringType):
+        if is_image and f.name == "path":
+            c = F.when(value["bytes"].isNull() & c.isNotNull(), checked_image(c, opt)).otherwise(c)
+        elif f.name == "image" and "type" in names and isinstance(f.dataType, T.StringType):
             c = F.when(value["type"] == "image", checked_image(c, opt)).otherwise(c)
         elif f.name in ("image", "images", "content"):
             c = normalise_payload(c, f.dataType, opt)

@@ -51,6 +51,11 @@ def keep_columns(df: DataFrame, names: list[str], images: tuple[str, ...] = ("im
     return df.select(*[c for c in df.columns if c in names or c in images])
 
 
+def to_distillation(df: DataFrame, data: str, images: tuple[str, ...] = ("image", "images")) -> DataFrame:
+    """``prompt`` = user turn; of the other columns only images stay."""
+    return df.select(F.array(message("user", F.col(data))).alias("prompt"), *[c for c in images if c in df.columns])
+
+
 def drop_inputs(df: DataFrame, names: list[str]) -> DataFrame:
     return df.drop(*names)
 

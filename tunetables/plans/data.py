@@ -12,7 +12,7 @@ from tunetables.operators.turns import leading_turns, pop_last_turn, replay_turn
 from tunetables.plans import fixtures as X
 from tunetables.plans.registry import query
 from tunetables.sources import files as A
-from tunetables.streaming.files import shaped_stream
+from tunetables.streaming.files import shaped_stream, step_rows
 
 WEIGHTS = {"de": 0.1, "en": 0.4, "es": 0.2, "fr": 0.3}  # by source position
 SEED = 11
@@ -76,6 +76,36 @@ def stream_equals_batch(spark: SparkSession, sf: str) -> DataFrame:
     return rows.select("conv_id", "turn", _said("prompt", "prompt"))
 
 
+@query(f"""
+select count(*)::bigint as rows, bool_and(prompt like 'user=%') as shaped from (select 'user=' || text as prompt from conversations limit {4 * 8 * 2})""")
+def stream_step_limit(spark: SparkSession, sf: str) -> DataFrame:
+    """A stream that ends after four steps of eight rows on two workers."""
+    schema = "conv_id bigint, turn bigint, role string, text string"
+    specs = [A.FileSpec(f"{sf}/conversations.parquet", "parquet")]
+    rows = shaped_stream(spark, specs, schema, lambda df: S.to_prompt(df, "text", ["conv_id", "turn"]), step_rows(4, 8, workers=2))
+    said = rows.select(_said("prompt", "prompt"))
+    return said.agg(F.count("*").alias("rows"), F.bool_and(F.col("prompt").startswith("user=")).alias("shaped"))
+
+
+@query("""
+select 'test' as split, doc_id as id, text, source from documents union all by name select 'test' as split, item_id as id, text, '_' as source from benchmark
+union all by name select 'validation' as split, item_id as id, text, '-' as source from benchmark""")
+def validation_and_test_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """Explicit validation files unweighted; test files with missing text filled."""
+    bench, docs = A.FileSpec(f"{sf}/benchmark.parquet", "parquet"), A.FileSpec(f"{sf}/documents.parquet", "parquet")
+    test = A.read_test(spark, [docs, bench]).select(F.lit("test").alias("split"), F.coalesce("doc_id", "item_id").alias("id"), "text", "source")
+    val = A.read_validation(spark, [bench])
+    return test.unionByName(val.select(F.lit("validation").alias("split"), F.col("item_id").alias("id"), "text", F.lit("-").alias("source")))
+
+
+@query("""
+select vec_id, label, round(list_dot_product(embedding::double[], embedding::double[]), 4) as square from embeddings""")
+def item_table(spark: SparkSession, sf: str) -> DataFrame:
+    items = A.read_items(spark, A.FileSpec(f"{sf}/embeddings.parquet", "parquet"), ["vec_id", "label", "embedding"])
+    square = F.aggregate("embedding", F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double"))
+    return items.select("vec_id", "label", F.round(square, 4).alias("square"))
+
+
 # ----------------------------------------------------------------- sampling
 def _counts_sql(target: str) -> str:
     weights = ", ".join(f"('{k}', {v})" for k, v in WEIGHTS.items())
@@ -212,6 +242,20 @@ def vocabulary_additions(spark: SparkSession, sf: str) -> DataFrame:
     return M.vocabulary_additions(new, base, script=F.col("token").rlike("[à-ÿ]"))
 
 
+@query("""
+with w as (select distinct lang, unnest(string_split(text, ' ')) || case when doc_id % 3 = 0 then '한' when doc_id % 3 = 1 then 'ㄱ' else '' end as token
+  from documents),
+a as (select distinct token from w where lang = 'fr' and regexp_matches(token, '[가-힣ㄱ-ㅎㅏ-ㅣ]') and token not in (select token from w where lang = 'en')),
+r as (select token, row_number() over (order by token) as rn, (select count(*) from a) as n from a)
+select token from r where rn <= n // 128 * 128""")
+def vocabulary_hangul(spark: SparkSession, sf: str) -> DataFrame:
+    """Additions of the default script."""
+    mark = F.when(F.col("doc_id") % 3 == 0, "한").when(F.col("doc_id") % 3 == 1, "ㄱ").otherwise("")
+    words = X.table(spark, sf, "documents").select("lang", F.explode(F.split("text", " ", -1)).alias("word"), mark.alias("mark"))
+    words = words.select("lang", F.concat("word", "mark").alias("token"))
+    return M.vocabulary_additions(words.where("lang = 'fr'"), words.where("lang = 'en'"))
+
+
 # ----------------------------------------------------------------- cleaning
 @query(f"""
 with fx as ({X.FEEDBACK})

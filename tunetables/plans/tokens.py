@@ -247,3 +247,14 @@ def image_audit(spark: SparkSession, sf: str) -> DataFrame:
     pay = G.prompt_payload(F.col("url"), F.col("found"))
     df = df.select("k", "is_parts", F.size("found").alias("n_images"), pay.alias("p"))
     return df.select("k", "is_parts", "n_images", "p.image", text_of("p.images").alias("images"))
+
+
+@query(f"""
+with fx as ({X.IMAGE})
+select k, case when k % 4 = 0 then image when k % 5 = 1 then '/data/pics/' || image else image end as path, k % 4 = 0 as held from fx""")
+def image_structs(spark: SparkSession, sf: str) -> DataFrame:
+    """Images as (bytes, path) structs: the path is resolved unless there are bytes."""
+    raw = F.when(F.col("k") % 4 == 0, F.lit("aGk=").cast("binary"))
+    df = X.frame(spark, sf, X.IMAGE).withColumn("row", F.struct(F.struct(raw.alias("bytes"), F.col("image").alias("path")).alias("image")))
+    clean = G.normalise_payload(F.col("row"), df.schema["row"].dataType, _ROOT)
+    return df.select("k", clean["image"]["path"].alias("path"), clean["image"]["bytes"].isNotNull().alias("held"))

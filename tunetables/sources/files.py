@@ -121,16 +121,25 @@ def union(frames: list[DataFrame], mode: str = "outer") -> DataFrame:
     return reduce(DataFrame.unionByName, cast)
 
 
-def read_files(spark: SparkSession, specs: list[FileSpec], mode: str = "outer", schema=None) -> DataFrame:
-    return union([read_file(spark, s.path, s.format, schema) for s in specs], mode)
+def read_files(
+    spark: SparkSession, specs: list[FileSpec], mode: str = "outer", schema: T.StructType | str | None = None, splittable_csv: bool = False
+) -> DataFrame:
+    return union([read_file(spark, s.path, s.format, schema, splittable_csv) for s in specs], mode)
 
 
 def read_weighted(
-    spark: SparkSession, specs: list[FileSpec], key: str, seed: int, replacement: bool = False, target_size: int | None = None
+    spark: SparkSession,
+    specs: list[FileSpec],
+    key: str,
+    seed: int,
+    replacement: bool = False,
+    target_size: int | None = None,
+    schema: T.StructType | str | None = None,
+    splittable_csv: bool = False,
 ) -> DataFrame:
     if any(s.weight is None for s in specs):
         raise ValueError("every file needs a weight when resampling")
-    sources = [Source(read_file(spark, s.path, s.format), s.weight) for s in specs]
+    sources = [Source(read_file(spark, s.path, s.format, schema, splittable_csv), s.weight) for s in specs]
     return weighted_mixture(sources, key, seed, replacement, target_size)
 
 
@@ -147,7 +156,14 @@ def read_test(spark: SparkSession, specs: list[FileSpec]) -> DataFrame:
     return fill_missing(read_files(spark, specs, "outer"))
 
 
-read_items = read_file
+def read_items(spark: SparkSession, spec: FileSpec, columns: list[str], schema: T.StructType | str | None = None) -> DataFrame:
+    """The columns of an item table (its id, candidate and vector); a missing one
+    is an error."""
+    items = read_file(spark, spec.path, spec.format, schema)
+    missing = [c for c in columns if c not in items.columns]
+    if missing:
+        raise ValueError(f"item columns not found: {missing}")
+    return items.select(*columns)
 
 
 def _spec_mode(specs: list[FileSpec]) -> str:
@@ -187,13 +203,16 @@ def input_summary(
     use_validation: bool = True,
     resampling: bool = False,
     streaming: bool = False,
+    schema: T.StructType | str | None = None,
+    splittable_csv: bool = False,
 ) -> DataFrame:
-    """One line per configured file, with its row count and the input modes."""
+    """One line per configured file, with its row count and the input modes. Give
+    a schema where counting should not read text files twice."""
     train_mode, val_mode, from_train = input_modes(train, val, use_validation, resampling, streaming)
     parts = []
     for split, mode, specs in (("train", train_mode, train), ("validation", val_mode, val or [])):
         for s in specs:
-            counts = read_file(spark, s.path, s.format).agg(F.count("*").alias("rows"))
+            counts = read_file(spark, s.path, s.format, schema, splittable_csv).agg(F.count("*").alias("rows"))
             facts = {"split": split, "mode": mode, "path": s.path, "format": s.format}
             parts.append(counts.select(*[F.lit(v).alias(k) for k, v in facts.items()], "rows"))
     if not val:

@@ -51,11 +51,25 @@ def run_available(stream: DataFrame, path: str, checkpoint: str) -> None:
     writer.outputMode("append").trigger(availableNow=True).start().awaitTermination()
 
 
+def step_rows(max_steps: int, batch_size: int, accumulation: int = 1, workers: int = 1) -> int:
+    """Rows that a bounded run takes from its stream."""
+    if min(max_steps, batch_size, accumulation, workers) <= 0:
+        raise ValueError("a stream needs a positive step limit and batch sizes")
+    return max_steps * batch_size * accumulation * workers
+
+
 def shaped_stream(
-    spark: SparkSession, specs: list[FileSpec], schema: T.StructType | str, shape: Callable[[DataFrame], DataFrame]
+    spark: SparkSession,
+    specs: list[FileSpec],
+    schema: T.StructType | str,
+    shape: Callable[[DataFrame], DataFrame],
+    max_rows: int | None = None,
 ) -> DataFrame:
-    """The shaped rows of a finished stream, read back from where they were written."""
+    """The shaped rows of a finished stream, read back from where they were written.
+    ``max_rows`` (see ``step_rows``) ends it after so many rows."""
     out, progress = stage_path(spark, "stream"), stage_path(spark, "progress")
     shaped = shape(stream_files(spark, specs, schema))
+    if max_rows is not None:
+        shaped = shaped.limit(max_rows)
     run_available(shaped, out, progress)
     return spark.read.schema(shaped.schema).parquet(out)
