@@ -12,7 +12,7 @@
 4. Survivors are compared on their full sets.
 5. Links make components. Buckets whose members still lie in several components
    get all their remaining pairs compared in the same way, block against block,
-   inside tasks of bounded size; survivors are verified exactly.
+   inside tasks of bounded size.
 """
 
 from __future__ import annotations
@@ -176,11 +176,14 @@ def exact_links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     )
 
 
-def block_survivors(members: DataFrame, sigs: DataFrame, plan: Plan) -> DataFrame:
-    """Pairs in the same bucket but in different components that verification
-    keeps. ``members``: (key, n, id, root). The rows outside a bucket's largest
-    component (the minor ones) are compared with all its rows, a block of minor
-    rows against a block of all rows in a task."""
+def block_links(members: DataFrame, sigs: DataFrame, sets: DataFrame, plan: Plan) -> DataFrame:
+    """Links between different components of the same bucket. ``members``: (key,
+    n, id, root). The rows outside a bucket's largest component (the minor ones)
+    are compared with all its rows, a block of minor rows against a block of all
+    rows in a task. A first pass over signatures leaves the rows of each pair of
+    blocks that have an unpruned partner; these get their full sets and are
+    verified where they lie, so that no pair is ever a row of a table. Components
+    that a task has linked are not compared again in it."""
     steps = cuts(plan.percent, plan.hashes, plan.miss)
     by_root = members.groupBy("key", "root").agg(F.count("*").alias("c"), F.first("n").alias("n"))
     main = by_root.groupBy("key").agg(F.max(F.struct("c", "root")).alias("m"), F.first("n").alias("_all")).select(
@@ -195,22 +198,52 @@ def block_survivors(members: DataFrame, sigs: DataFrame, plan: Plan) -> DataFram
         ).select("key", "i", "j", "id", "root", F.lit(own == "i").alias("minor"))
 
     copies = dealt(placed.filter("root <> main"), "i", "j", "parts").unionByName(dealt(placed, "j", "i", "minors"))
-    rows = copies.join(sigs.select("id", "sig"), "id")
 
-    def run(table: pa.Table) -> pa.Table:
-        ids, roots = table.column("id").to_numpy(), table.column("root").to_numpy()
+    def partners(table: pa.Table) -> Iterator[tuple[int, np.ndarray]]:
+        """Each minor row with the rows of other components that no batch prunes."""
+        roots = table.column("root").to_numpy()
         sig = np.frombuffer(b"".join(table.column("sig").to_pylist()), "<u2").reshape(-1, plan.hashes)
         minor = table.column("minor").to_numpy(zero_copy_only=False)
         right = np.flatnonzero(~minor)
-        a, b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
         for x in np.flatnonzero(minor).tolist():
             fit = right[roots[right] != roots[x]]
             kept = fit[survivors(np.broadcast_to(sig[x], (len(fit), plan.hashes)), sig[fit], steps)]
-            a.append(np.minimum(ids[x], ids[kept]))
-            b.append(np.maximum(ids[x], ids[kept]))
-        return pa.table({"a": np.concatenate(a), "b": np.concatenate(b)})
-
-    return rows.groupBy("key", "i", "j").applyInArrow(run, "a long, b long").distinct()
+            if len(kept):
+                yield x, kept
+
+    def likely(table: pa.Table) -> pa.Table:
+        met = np.zeros(table.num_rows, bool)
+        for x, kept in partners(table):
+            met[x] = True
+            met[kept] = True
+        return table.filter(pa.array(met)).select(["key", "i", "j", "id", "root", "minor"])
+
+    def verify(table: pa.Table) -> pa.Table:
+        ids, roots = table.column("id").to_pylist(), table.column("root").to_pylist()
+        full = [np.array(s.as_py(), np.int64) for s in table.column("shingles")]
+        head: dict[int, int] = {}
+
+        def find(r: int) -> int:
+            while r in head:
+                r = head[r]
+            return r
+
+        links = []
+        for x, kept in partners(table):
+            for y in kept.tolist():
+                a, b = find(roots[x]), find(roots[y])
+                if a == b:
+                    continue
+                shared = len(np.intersect1d(full[x], full[y], assume_unique=True))
+                if 100 * shared >= plan.percent * (len(full[x]) + len(full[y]) - shared):
+                    links.append((min(ids[x], ids[y]), max(ids[x], ids[y])))
+                    head[max(a, b)] = min(a, b)
+        a, b = zip(*links) if links else ((), ())
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    rows = copies.join(sigs, "id").groupBy("key", "i", "j")
+    met = materialise(rows.applyInArrow(likely, "key long, i int, j int, id long, root long, minor boolean"), "unpruned")
+    return met.join(sigs, "id").join(sets, "id").groupBy("key", "i", "j").applyInArrow(verify, "a long, b long").distinct()
 
 
 def near_duplicates(df: DataFrame, plan: Plan, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -234,20 +267,19 @@ def near_duplicates(df: DataFrame, plan: Plan, id_col: str = "doc_id", text_col:
     members = materialise(spread.join(shared, "key"), "members")
     # the pivot is the member that meets most others over all its buckets
     degree = members.groupBy("id").agg(F.sum("n").alias("degree"))
-    ranked = materialise(members.join(degree, "id"), "ranked")
     pivots = materialise(
-        ranked.groupBy("key").agg(F.max(F.struct("degree", F.negative("id").alias("back"))).alias("p")).select(
+        members.join(degree, "id").groupBy("key").agg(F.max(F.struct("degree", F.negative("id").alias("back"))).alias("p")).select(
             "key", F.negative("p.back").alias("pivot")
         ), "pivots"
     )
-    stars = join_unique(ranked.select("key", "id"), pivots, ["key"]).filter("id <> pivot")
+    stars = join_unique(members.select("key", "id"), pivots, ["key"]).filter("id <> pivot")
     pairs = materialise(stars.select(F.least("id", "pivot").alias("a"), F.greatest("id", "pivot").alias("b")).distinct(), "pairs")
     wanted = materialise(members.select("id").distinct(), "wanted")
     sigs = materialise(reps.join(wanted, "id", "left_semi").select("id", "sig"), "sigs")
     sets = materialise(full_sets(texts.join(wanted, "id", "left_semi"), plan.size).distinct(), "sets")
     likely = materialise(posterior_filter(pairs, sigs, plan).distinct(), "likely")
     links = materialise(exact_links(likely, sets, plan.percent).distinct(), "links")
-    first = materialise(components(links), "roots")
+    first = components(links)
 
     # what the stars leave open: buckets of three or more, in several components
     labelled = materialise(
@@ -257,20 +289,21 @@ def near_duplicates(df: DataFrame, plan: Plan, id_col: str = "doc_id", text_col:
     )
     split = labelled.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo <> hi").select("key")
     unsure = materialise(join_unique(labelled, materialise(split, "split"), ["key"]), "open")
-    again = materialise(block_survivors(unsure, sigs, plan), "likely")
-    more = materialise(exact_links(again.exceptAll(likely), sets, plan.percent).distinct(), "links")
+    more = block_links(unsure, sigs, sets, plan) if unsure.head(1) else links.limit(0)
 
     # rows that repeat an id with another set
     several = filled.groupBy("id").agg(F.min("same").alias("lo"), F.max("same").alias("hi")).filter("lo <> hi").select("id")
     same_id = filled.join(several, "id").select("id", "same").join(classes.select("same", "rep"), "same").select(
         F.col("id").alias("a"), F.col("rep").alias("b")
     )
-    found = components(links.unionByName(more).unionByName(same_id))
+    rest = materialise(more.unionByName(same_id), "links")
+    stars = first.select(F.col("node").alias("a"), F.col("root").alias("b"))
+    found = components(stars.unionByName(rest)) if rest.head(1) else first
     class_root = classes.join(found, F.col("rep") == F.col("node"), "left").select("same", F.coalesce("root", "rep").alias("root"))
     rows = materialise(filled.select("id", "n_shingles", "same"), "rows")
     joined = join_unique(rows, materialise(class_root, "class_roots"), ["same"]).select("id", "n_shingles", "root")
-    rest = sketches.filter("same is null or id is null").select("id", "n_shingles", F.col("id").alias("root"))
-    return joined.unionByName(rest).select(
+    alone = sketches.filter("same is null or id is null").select("id", "n_shingles", F.col("id").alias("root"))
+    return joined.unionByName(alone).select(
         F.col("id").alias(id_col), "n_shingles", F.col("root").alias("component_id"),
         F.coalesce(F.col("id") == F.col("root"), F.lit(True)).alias("kept"),
     )
