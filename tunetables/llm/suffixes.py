@@ -41,6 +41,7 @@ _MASK = U((1 << _AT) - 1)
 #: distinct runs with one beginning that a task compares; more are compared through a shuffle
 RUNS = 20_000
 RUN = "key long, lo int, hi int, fp long"
+SUFFIX = "key long, uid long, lo int, hi int, fp long, at array<int>"
 
 
 def sums_of(raw: np.ndarray) -> np.ndarray:
@@ -71,9 +72,10 @@ def window_anchors(grams: np.ndarray, width: int) -> np.ndarray:
 
 
 def suffixes(texts: DataFrame, length: int) -> DataFrame:
-    """(key, uid, pos, lo, hi, fp) of (uid, text): the suffix at byte ``pos``
-    begins with what ``key`` hashes and anchors the windows that start ``lo`` to
-    ``hi`` bytes before it; ``fp`` hashes the bytes of that run of windows."""
+    """(key, uid, lo, hi, fp, at) of (uid, text): the suffixes at the bytes ``at``
+    begin with what ``key`` hashes and anchor the windows that start ``lo`` to
+    ``hi`` bytes before them; ``fp`` hashes the bytes of that run of windows. A
+    text that repeats itself has many suffixes alike: they are one row."""
     width = length - GRAM + 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -97,16 +99,22 @@ def suffixes(texts: DataFrame, length: int) -> DataFrame:
             if not rows:
                 continue
             row, anchor, first, last = map(np.concatenate, (rows, anchors, first, last))
+            columns = [row, grams[anchor], span_hash(sums, first, last + length), anchor - first, anchor - last]
+            order = np.lexsort([anchor, *columns[::-1]])
+            columns = [c[order] for c in columns]
+            new = np.ones(len(order), bool)
+            new[1:] = np.any([c[1:] != c[:-1] for c in columns], axis=0)
+            starts = np.flatnonzero(new)
+            row, key, fp, lo, hi = (c[starts] for c in columns)
+            place = (anchor[order] - at[columns[0]]).astype(np.int32)
+            lists = pa.ListArray.from_arrays(pa.array(np.append(starts, len(order)).astype(np.int32)), pa.array(place))
             yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(signed(grams[anchor])), part.column("uid").take(pa.array(row)),
-                    pa.array((anchor - at[row]).astype(np.int32)), pa.array((anchor - first).astype(np.int32)),
-                    pa.array((anchor - last).astype(np.int32)), pa.array(signed(span_hash(sums, first, last + length))),
-                ],
-                ["key", "uid", "pos", "lo", "hi", "fp"],
+                [pa.array(signed(key)), part.column("uid").take(pa.array(row)), pa.array(lo.astype(np.int32)), pa.array(hi.astype(np.int32)),
+                 pa.array(signed(fp)), lists],
+                ["key", "uid", "lo", "hi", "fp", "at"],
             )
 
-    return texts.mapInArrow(run, "key long, uid long, pos int, lo int, hi int, fp long")
+    return texts.mapInArrow(run, SUFFIX)
 
 
 @dataclass
@@ -124,7 +132,7 @@ class Family:
         return path
 
     def _read(self, path: str) -> DataFrame:
-        return self.spark.read.schema("key long, uid long, pos int, lo int, hi int, fp long").parquet(path)
+        return self.spark.read.schema(SUFFIX).parquet(path)
 
     def add(self, batch: DataFrame) -> None:
         """Index a batch of suffixes, and scan it for beginnings that it has twice
@@ -133,7 +141,7 @@ class Family:
             (n, a), (_, b) = self.levels.pop(), self.levels.pop()
             self.levels.append((2 * n, self._write(self._read(a).unionByName(self._read(b)))))
         path = self._write(batch)
-        own = self._read(path).groupBy("key").agg(F.count("*").alias("n"))
+        own = self._read(path).groupBy("key").agg(F.sum(F.size("at")).alias("n"))
         found = [own.filter("n > 1").select("key")]
         for _, level in self.levels:
             found.append(own.select("key").join(self._read(level).select("key").distinct(), "key"))
@@ -265,8 +273,11 @@ def repeated_spans(df: DataFrame, length: int, batches: int, id_col: str, text_c
     ).select("key", (F.col("least") != F.col("most")).alias("mixed"))
     known = join_unique(met, materialise(stats, "beginnings"), ["key"])
     per_text = known.groupBy("uid").agg(
-        F.collect_set(F.when(~F.col("mixed"), F.struct((F.col("pos") - F.col("lo")).alias("s"), (F.col("pos") - F.col("hi") + length).alias("e")))).alias("sure"),
-        F.collect_set(F.when(F.col("mixed"), F.struct("key", "lo", "hi", "fp", "pos"))).alias("open"),
+        F.flatten(F.transform(
+            F.collect_set(F.when(~F.col("mixed"), F.struct("lo", "hi", "at"))),
+            lambda x: F.transform(x["at"], lambda p: F.struct((p - x["lo"]).alias("s"), (p - x["hi"] + length).alias("e"))),
+        )).alias("sure"),
+        F.collect_set(F.when(F.col("mixed"), F.struct("key", "lo", "hi", "fp", "at"))).alias("open"),
     )
     joined = docs.join(materialise(per_text, "texts-met"), "uid", "left")
     touched = F.col("sure").isNotNull()
@@ -279,16 +290,15 @@ def repeated_spans(df: DataFrame, length: int, batches: int, id_col: str, text_c
     rows.write.bucketBy(buckets, "uid").option("path", stage_path(spark, "rows")).saveAsTable(name)
     rows = spark.table(name)
     members = rows.select("uid", F.explode("open").alias("o"), "text").select("uid", "o.*", "text").withColumn(
-        "context", F.substring(F.encode("text", "UTF-8"), F.col("pos") - F.col("lo") + 1, F.col("lo") - F.col("hi") + length)
+        "context", F.substring(F.encode("text", "UTF-8"), F.get("at", 0) - F.col("lo") + 1, F.col("lo") - F.col("hi") + length)
     )
     runs = materialise(
-        members.groupBy("key", "lo", "hi", "fp").agg(F.count("*").alias("n"), F.first("context").alias("context")), "runs"
+        members.groupBy("key", "lo", "hi", "fp").agg(F.sum(F.size("at")).alias("n"), F.first("context").alias("context")), "runs"
     )
     settled = materialise(compare_runs(runs, length).filter(F.size("spans") > 0), "settled")
     owners = materialise(rows.select("uid", F.explode("open").alias("o")).select("uid", "o.*"), "owners")
-    found = join_unique(owners, settled, ["key", "lo", "hi", "fp"]).select(
-        "uid", F.transform("spans", lambda x: F.struct((x["s"] + F.col("pos") - F.col("lo")).alias("s"), (x["e"] + F.col("pos") - F.col("lo")).alias("e"))).alias("spans")
-    )
+    moved = F.transform("at", lambda p: F.transform("spans", lambda x: F.struct((x["s"] + p - F.col("lo")).alias("s"), (x["e"] + p - F.col("lo")).alias("e"))))
+    found = join_unique(owners, settled, ["key", "lo", "hi", "fp"]).select("uid", F.flatten(moved).alias("spans"))
     per_text = found.groupBy("uid").agg(F.flatten(F.collect_set("spans")).alias("found"))
     none = F.array().cast("array<struct<s: int, e: int>>")
     return rows.join(per_text, "uid", "left").select(
