@@ -25,12 +25,9 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-#: a scan of fewer files than this may be too small to fill the cores
-FEW_FILES = 32
-
-
 def spread(df: DataFrame) -> DataFrame:
-    """Rows of a scan of a few files dealt out to all cores, ahead of work that
-    is heavy per row. Large tables have many files and pass through unshuffled."""
+    """Rows of a scan with fewer partitions than cores dealt out to all of them,
+    ahead of work that is heavy per row. Such a scan is small: larger tables have
+    more partitions, however few their files, and pass through unshuffled."""
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if len(df.inputFiles()) < min(cores, FEW_FILES) else df
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

@@ -178,7 +178,14 @@ select d.doc_id as k, 'rouge' as category, d.text as completion, b.text as solut
 from documents d join benchmark b on b.item_id = d.doc_id % (select count(*) from benchmark)
 """
 
-# preference pairs: the other answer is the text with its words cut off
+# short texts against short texts, for rules that SQL can only step through
+ROUGE_SHORT = """
+select a.item_id as k, n.s, 'rouge' as category, a.text as completion, b.text as solution
+from benchmark a join (select 1 as s union all select 2 union all select 3 union all select 4 union all select 5) n on true
+join benchmark b on b.item_id = (a.item_id + n.s) % (select count(*) from benchmark)
+"""
+
+# preference pairs: the other answer is the language and source of the text
 PREFERENCE = """
 select doc_id as k, source as input, text as chosen, concat(lang, ': ', source) as rejected, n_chars from documents
 """

@@ -189,6 +189,20 @@ def _rouge(kind: str, stem: bool):
 
 query(_rouge_sql("{t}"), "rouge1")(_rouge("1", False))
 query(_rouge_sql("list_transform(range(1, len({t})), lambda i: {t}[i] || ' ' || {t}[i + 1])"), "rouge2")(_rouge("2", False))
+# one row of the table of longest common subsequences per word of the completion
+@query(f"""
+with p as ({X.ROUGE_SHORT}),
+w as (select k, s, regexp_extract_all(lower(completion), '[a-z0-9]+') as a, regexp_extract_all(lower(solution), '[a-z0-9]+') as b from p),
+l as (select *, list_reduce(list_transform(a, lambda x: {{'x': x, 'm': [0]}}),
+    lambda acc, e: {{'x': '', 'm': list_transform(range(1, len(b) + 2), lambda j: list_max(list_transform(range(1, j + 1),
+      lambda i: case when i = 1 then 0 when b[i - 1] = e.x then acc.m[i - 1] + 1 else acc.m[i] end)))}},
+    {{'x': '', 'm': list_transform(range(0, len(b) + 1), lambda i: 0)}}).m[len(b) + 1] as o from w)
+select k, s, case when coalesce(o, 0) = 0 then 0.0::double else round(2 * (o / len(a)) * (o / len(b)) / (o / len(a) + o / len(b)), 6) end as rouge from l""")
+def rouge_l_short(spark: SparkSession, sf: str) -> DataFrame:
+    scored = R.score_rouge(X.frame(spark, sf, X.ROUGE_SHORT), RougeOptions("l", False), output="rouge")
+    return scored.select("k", "s", r6("rouge").alias("rouge"))
+
+
 query(None, "rouge1_stemmed")(_rouge("1", True))
 query(None, "rouge_l")(_rouge("l", False))
 query(None, "rouge_l_stemmed")(_rouge("l", True))
@@ -208,7 +222,7 @@ _FORMS = [
 @query(f"""
 with fx as ({X.EQUATION}),
 said as (select *, regexp_replace(regexp_replace(completion, '^the answer is: ', ''), '^[(]+', '') as e from fx),
-n as (select *, list_transform(regexp_extract_all(e, '\d+'), lambda d: d::double) as p from said),
+n as (select *, list_transform(regexp_extract_all(e, '\\d+'), lambda d: d::double) as p from said),
 v as (select *, case {" ".join(f"when regexp_full_match(e, '{form}') then {value}" for form, value in _FORMS)} end as value from n)
 select k, line, completion, target::bigint as target,
   case when list_sort(p) = list_sort([a, b, c, 2]::double[]) and abs(value - target) < 1e-5 then 1.0::double else 0.0::double end as equation_reward from v""")
