@@ -60,7 +60,12 @@ def digest_column(payload):
 
 
 def _filesystem(folder: str) -> tuple[pafs.FileSystem, str]:
-    return pafs.FileSystem.from_uri(folder) if "://" in folder or folder.startswith("file:") else (pafs.LocalFileSystem(), folder)
+    """The file system of an address, and the path in it; Spark writes local
+    addresses with one slash or three."""
+    local = re.fullmatch(r"file:/+(.*)", folder)
+    if local or "://" not in folder:
+        return pafs.LocalFileSystem(), f"/{local[1]}" if local else folder
+    return pafs.FileSystem.from_uri(folder)
 
 
 def record(page_id: int, url: str | None, payload: bytes, sha1: str, size: int, refers_to: int | None) -> bytes:
