@@ -154,6 +154,14 @@ def test_replay(spark):
         assert got == [(1, *x) for x in first] + [(2, 0, 11, "g0")] + [(3, *x) for x in first]
 
 
+def test_replay_has_no_join_and_one_shuffle(spark):
+    df = spark.range(1000).selectExpr("if(id < 900, 0, id) as k", "id as t", "'g' as g")
+    out = U.replay_turns(df, "k", ["t"], F.lit(10), F.lit(5), "g", max_length=100, least=15)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and plan.count("Exchange hashpartitioning") == 1 and "WindowGroupLimit" in plan
+    assert Counter(r.k for r in out.collect())[0] == 7
+
+
 def test_pop_last_turn(spark):
     rows = [(n, t, f"r{t % 2}", f"t{t}") for n in (1, 9, 12, 1000) for t in range(n)]
     df = spark.createDataFrame(rows, "k int, t int, role string, text string")

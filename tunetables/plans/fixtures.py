@@ -136,6 +136,13 @@ select l_orderkey as k, concat('t', cast(l_linenumber as varchar(20))) as target
 from lineitem
 """
 
+# the same with up to three ids on a target
+SELECTION_GROUPED = """
+select l_orderkey as k, concat('t', cast(l_linenumber % 3 as varchar(20))) as target_id,
+  l_partkey % 10 as gold_id, case when l_quantity > 25 then l_partkey % 10 else l_suppkey % 10 end as pred_id
+from lineitem
+"""
+
 # one expression per line over three numbers and a 2; the answer comes to the
 # target, misses it, is a fraction, leaves a number out, or begins with a bracket,
 # which is trimmed

@@ -90,24 +90,32 @@ def _ranked(spark: SparkSession, sf: str, queries: DataFrame, depth: int) -> Dat
     return rows.select("k", "version", "item_id", "relevant", "rank")
 
 
-_STAGES = [(s.k, s.bonus, s.drop) for s in _HIT.stages]
-
-
-@query(f"""{_RANKED_SQL},
-h as (select k, coalesce(min(rank) filter (relevant and version = 'original' and rank <= {_HIT.top_k}), {_HIT.top_k + 1}) as o,
-  coalesce(min(rank) filter (relevant and version = 'rewritten' and rank <= {_HIT.top_k}), {_HIT.top_k + 1}) as r from ranked group by k)
-select k, case when o > {_HIT.top_k} then 0 else o end as original_rank, case when r > {_HIT.top_k} then 0 else r end as rewritten_rank,
-  round(least(1.0, greatest(-1.0, (ln(o) - ln(r)) / ln({_HIT.top_k + 1})
+def _hit_sql(opt: HitOptions) -> str:
+    miss = opt.top_k + 1
+    base = f"(ln(o) - ln(r)) / ln({miss})"
+    return f"""{_RANKED_SQL},
+h as (select k, coalesce(min(rank) filter (relevant and version = 'original' and rank <= {opt.top_k}), {miss}) as o,
+  coalesce(min(rank) filter (relevant and version = 'rewritten' and rank <= {opt.top_k}), {miss}) as r from ranked group by k)
+select k, case when o > {opt.top_k} then 0 else o end as original_rank, case when r > {opt.top_k} then 0 else r end as rewritten_rank,
+  round(least(1.0, greatest(-1.0, case when {opt.rank_margin} > 0 and abs(o - r) <= {opt.rank_margin} then 0.0 else {base} end * {opt.shaping_weight}
     + case when r <= 5 then 0.5 when r <= 10 then 0.3 when r <= 20 then 0.1 else 0.0 end
     - case when o <= 5 and r > 5 then 0.5 when o <= 10 and r > 10 then 0.3 when o <= 20 and r > 20 then 0.1 else 0.0 end)), 6) as hit_reward
-from h""")
-def retrieval_hit_reward(spark: SparkSession, sf: str) -> DataFrame:
-    queries = _queries(spark, sf)
-    ranked = _ranked(spark, sf, queries, _HIT.top_k)
-    at = R.hit_locations(ranked, "k")
-    at = at.select("k", *[F.col(f"{v}_rank").cast("bigint").alias(f"{v}_rank") for v in R.VERSIONS])
-    value = R.hit_reward(F.col("original_rank"), F.col("rewritten_rank"), _HIT)
-    return at.withColumn("hit_reward", r6(value))
+from h"""
+
+
+def _hit(opt: HitOptions):
+    def run(spark: SparkSession, sf: str) -> DataFrame:
+        ranked = _ranked(spark, sf, _queries(spark, sf), opt.top_k)
+        at = R.hit_locations(ranked, "k")
+        at = at.select("k", *[F.col(f"{v}_rank").cast("bigint").alias(f"{v}_rank") for v in R.VERSIONS])
+        return at.withColumn("hit_reward", r6(R.hit_reward(F.col("original_rank"), F.col("rewritten_rank"), opt)))
+
+    return run
+
+
+_MARGIN = HitOptions(rank_margin=15, shaping_weight=0.5)
+query(_hit_sql(_HIT), "retrieval_hit_reward")(_hit(_HIT))
+query(_hit_sql(_MARGIN), "retrieval_hit_margin")(_hit(_MARGIN))
 
 
 def _ndcg_sql(mode: str, cached: bool) -> str:

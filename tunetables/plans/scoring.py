@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tunetables.config import CodeOptions, Extraction, MatchOptions, RougeOptions
+from tunetables.config import CodeOptions, Extraction, MatchOptions, RougeOptions, SelectionOptions
 from tunetables.functions import jsonx
 from tunetables.functions import text as T
 from tunetables.operators import bbox as B
@@ -451,6 +451,37 @@ def evidence_quality(spark: SparkSession, sf: str) -> DataFrame:
     return q.select("k", "targets", r6("quality").alias("quality"))
 
 
+_HARD = {"hard_target_min_gold_ids": 2, "hard_target_weight": 3.0}
+
+
+def _quality_sql(total: str) -> str:
+    return f"""
+with fx as ({X.SELECTION_GROUPED}),
+s as (select k, target_id, gold_id as id, 1 as g, 0 as p from fx union all select k, target_id, pred_id, 0, 1 from fx),
+i as (select k, target_id, id, max(g) as g, sum(p) as p from s where id is not null group by all),
+t as (select k, target_id, sum(g) as ng, count(*) filter (p > 0) as np, sum(case when p > 0 then g else 0 end) as nc, max(p) as most
+  from i group by all),
+q as (select k, case when ng >= {_HARD["hard_target_min_gold_ids"]} then {_HARD["hard_target_weight"]} else 1.0 end as w,
+  case when most > 1 then 0.0 when nc = ng and nc = np then 1.0
+  else least(1.0, greatest(0.0, (0.6 * 2.0 * nc / (np + ng) - case when np > nc then 0.3 else 0 end
+    - case when np > ng then 0.2 else 0 end) / 1.2)) end as q from t)
+select k, count(*) as targets, round({total}, 6) as quality from q group by k"""
+
+
+def _quality(aggregation: str):
+    opt = SelectionOptions(target_quality_aggregation=aggregation, **_HARD)
+
+    def run(spark: SparkSession, sf: str) -> DataFrame:
+        q = selection_quality(X.frame(spark, sf, X.SELECTION_GROUPED), "k", "target_id", "gold_id", "pred_id", opt)
+        return q.select("k", "targets", r6("quality").alias("quality"))
+
+    return run
+
+
+query(_quality_sql("min(q)"), "evidence_quality_min")(_quality("min"))
+query(_quality_sql("sum(q * w) / sum(w)"), "evidence_quality_hard_weighted")(_quality("hard_weighted_mean"))
+
+
 # ---------------------------------------------------------------- reports
 def _scored(spark: SparkSession, sf: str):
     names = [R.build_reward("match", 2.0, opt=PENALTY), R.build_reward("think_format", 0.5), R.build_reward("kv", 0.0)]
