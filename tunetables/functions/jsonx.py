@@ -12,6 +12,7 @@ import json
 import re
 import unicodedata
 from collections import Counter
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 from typing import Any
 
@@ -20,53 +21,62 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 SEP = "\x1f"
+# How fenced objects are told.
 _FENCED_WHOLE = re.compile(r"```(?:json)?\s*(\{.*\})\s*```", re.DOTALL | re.IGNORECASE)
 _FENCED_FIRST = re.compile(r"```(?:json)?\s*(\{.*?\})\s*```", re.DOTALL | re.IGNORECASE)
 
+#: the stretches of a text that may be its document, the best first
+Readings = Callable[[str], Iterator[str]]
+
 
 # ---------------------------------------------------------------- parsing
-def _loads(text: str) -> Any:
-    try:
-        return json.loads(text)
-    except (ValueError, RecursionError):
-        return None
+def strict_readings(text: str) -> Iterator[str]:
+    """The whole text, or the whole text as one fenced object."""
+    yield text.strip()
+    yield from (m[1] for m in [_FENCED_WHOLE.fullmatch(text.strip())] if m)
+
+
+def lenient_readings(text: str) -> Iterator[str]:
+    """The whole text, the first fenced object, first '{' to last '}'."""
+    yield text
+    yield from (m[1] for m in [_FENCED_FIRST.search(text)] if m)
+    opened, closed = text.partition("{"), text.rpartition("}")
+    if opened[1] and closed[1] and len(opened[0]) < len(closed[0]):
+        yield text[len(opened[0]) : len(closed[0]) + 1]
+
+
+def document(text: str | None, readings: Readings) -> Any:
+    """The value of the first reading that is a JSON document other than null."""
+    for stretch in readings(text) if text is not None else ():
+        try:
+            value = json.loads(stretch)
+        except (ValueError, RecursionError):
+            continue
+        if value is not None:
+            return value
+    return None
 
 
 def loads_strict(text: str | None) -> Any:
-    """The whole text, or the whole text as one fenced object."""
-    if text is None:
-        return None
-    text = text.strip()
-    value = _loads(text)
-    if value is None and (fenced := _FENCED_WHOLE.fullmatch(text)):
-        value = _loads(fenced.group(1))
-    return value
+    return document(text, strict_readings)
 
 
 def loads_lenient(text: str | None) -> Any:
-    """Whole text, else the first fenced object, else first '{' to last '}'."""
-    if text is None:
-        return None
-    value = _loads(text)
-    if value is None and (fenced := _FENCED_FIRST.search(text)):
-        value = _loads(fenced.group(1))
-    if value is None:
-        start, end = text.find("{"), text.rfind("}")
-        value = _loads(text[start : end + 1]) if -1 < start < end else None
-    return value
+    return document(text, lenient_readings)
 
 
 def split_at_stop(text: str, stop: str, loads) -> tuple[Any, str, str] | None:
-    """From the last stop token backwards: the first one whose prefix parses.
-    Returns value, prefix text and trailing text."""
-    if stop not in text:
-        return None
-    hits = [m.start() for m in re.finditer(re.escape(stop), text)]
-    for at in reversed(hits):
-        head = text[:at].rstrip()
+    """(value, document text, trailing text) at the last stop token that has a
+    document before it. Tokens are peeled off the end; what follows the one that
+    is left is trailing text, further tokens included."""
+    tail: list[str] = []
+    while stop in text:
+        text, _, after = text.rpartition(stop)
+        tail.insert(0, after)
+        head = text.rstrip()
         value = loads(head)
         if value is not None:
-            return value, head, text[at + len(stop) :].strip()
+            return value, head, stop.join(tail).strip()
     return None
 
 
@@ -91,17 +101,10 @@ def parse_json_lenient(c: Column) -> Column:
     return _text_udf(lambda t: _dump(loads_lenient(t)))(c)
 
 
-def parse_solution(c: Column, stop: str) -> Column:
-    """Strict, else strict before a stop token."""
-    return _text_udf(lambda t: _dump(solution_value(t, stop)))(c)
-
-
 def solution_value(text: str | None, stop: str) -> Any:
-    value = loads_strict(text)
-    if value is None and text is not None:
-        cut = split_at_stop(text.strip(), stop, loads_strict)
-        value = cut[0] if cut else None
-    return value
+    """A solution is strict JSON, with or without a stop token after it."""
+    cut = None if text is None else split_at_stop(text.strip(), stop, loads_strict)
+    return value if (value := loads_strict(text)) is not None else cut and cut[0]
 
 
 def split_stop(c: Column, stop: str, strict: bool = True) -> Column:
