@@ -248,7 +248,7 @@ def test_pipeline_equals_plain_stages(spark, sf):
     assert texts[1] == {d: t for d, t in texts[0].items() if root[d] == d}
 
     ids = sorted(texts[1])
-    for d, want in zip(ids, plain_removal([texts[1][d] for d in ids], 400)):
+    for d, want in zip(ids, plain_removal([texts[1][d] for d in ids], corpus_pipeline.REPEAT_BYTES)):
         cut = len(texts[1][d].encode()) - len(texts[2][d].encode())
         assert want[1] - 6 * max(1, want[2]) <= cut <= want[1]
     assert {r.doc_id: r.n_chars for r in out[2].collect()} == {d: len(t) for d, t in texts[2].items()}

@@ -89,6 +89,15 @@ def test_packing_ids_equal_the_library():
     assert [ids[a:b].tolist() for a, b in zip(at[:-1], at[1:])] == want
 
 
+def test_packing_memo_starts_afresh(monkeypatch):
+    monkeypatch.setattr(packing, "WORDS", 3)
+    monkeypatch.setattr(packing, "STEMS", 5)
+    coder = packing._Words(public_tokenizers.path("word_bpe_49k.json"))
+    for text in ("a b c, D.", "e f g c! d", "d c b a? h!", "i j k l m n", "a, a. a"):
+        want = coder.tokenizer.encode(text, add_special_tokens=False).ids
+        assert coder.encode(pa.array([text]))[0].tolist() == want
+
+
 def plain_verdict(url, allow, block):
     m = re.match(r"(?s).*?://([^/?#]*)([^?#]*)", url or "")
     host = "".join(c.lower() if "A" <= c <= "Z" else c for c in m[1]) if m else ""

@@ -34,8 +34,9 @@ from tokenizers import Tokenizer
 from tunetables.llm.words import blocks
 from tunetables.operators.staging import materialise
 
-#: distinct space-separated strings whose ids a worker remembers before it starts afresh
-MEMO = 600_000
+#: distinct space-separated strings, and distinct stems of them with their ids, that
+#: a worker remembers before it starts afresh; only a new stem goes to the library
+WORDS, STEMS = 300_000, 900_000
 #: pieces of one length that are numbered in one task
 NUMBERED = 200_000
 
@@ -159,10 +160,13 @@ class _Words:
         self.signs = {c: int(self._encode([c])[0][0]) for c in SIGNS}
         self._forget()
 
-    def _forget(self) -> None:
+    def _forget_words(self) -> None:
         self.words: dict[str, int] = {}
-        self.stems: dict[str, int] = {}
         self.stem, self.sign = np.zeros(0, np.int64), np.zeros(0, np.int64)  # of each word; -1: no sign
+
+    def _forget(self) -> None:
+        self._forget_words()
+        self.stems: dict[str, int] = {}
         self.begin, self.size = np.zeros(0, np.int64), np.zeros(0, np.int64)  # of each stem
         self.flat = np.zeros(0, np.uint32)
 
@@ -187,7 +191,10 @@ class _Words:
 
     def _learn(self, words: list[str]) -> None:
         new = [w for w in words if w not in self.words]
-        if len(self.words) + len(new) > MEMO:
+        if len(self.words) + len(new) > WORDS:
+            self._forget_words()
+            new = words
+        if len(self.stems) > STEMS:
             self._forget()
             new = words
         plain, other, stem_of, sign_of = [], [], [], []

@@ -1,10 +1,10 @@
 """Repeated long byte strings by a logarithmic family of sparse suffix arrays.
 
-Of every window of ``length`` bytes, the position whose next ``GRAM`` bytes hash
-lowest is its anchor; equal windows have it at the same place. Only suffixes that
-start at anchors are indexed, about two in ``length``. An array holds them in the
-order of the hash of their first ``GRAM`` bytes, which puts suffixes that begin
-alike side by side, all that a scan for long matches asks of the order.
+Of every window of ``length`` bytes, the position whose next few bytes (its gram)
+hash lowest is its anchor; equal windows have it at the same place. Only suffixes
+that start at anchors are indexed, about two in ``length``. An array holds them in
+the order of the hash of their gram, which puts suffixes that begin alike side by
+side, all that a scan for long matches asks of the order.
 
 Texts come in batches. A batch gets its array, is merge-scanned against the
 arrays of the family, and joins it as a level; levels of equal size are merged
@@ -32,7 +32,6 @@ from tunetables.llm.words import _BYTE, blocks, mix, powers, signed, text_bytes
 from tunetables.operators.staging import materialise, stage_path
 
 U = np.uint64
-GRAM = 64
 _B = 0xD1342543DE82EF95
 _BINV = pow(_B, -1, 1 << 64)
 #: low bits of a masked hash that hold a position; a longer text is cut into overlapping stretches
@@ -44,6 +43,12 @@ RUN = "key long, lo int, hi int, fp long"
 SUFFIX = "key long, uid long, lo int, hi int, fp long, at array<int>"
 
 
+def gram_of(length: int) -> int:
+    """Bytes of a gram: long enough to meet by chance rarely, short enough that a
+    window has many."""
+    return min(64, max(16, length // 6))
+
+
 def sums_of(raw: np.ndarray) -> np.ndarray:
     """Running sums from which ``span_hash`` takes the hash of any span."""
     sums = np.zeros(len(raw) + 1, U)
@@ -76,7 +81,8 @@ def suffixes(texts: DataFrame, length: int) -> DataFrame:
     begin with what ``key`` hashes and anchor the windows that start ``lo`` to
     ``hi`` bytes before them; ``fp`` hashes the bytes of that run of windows. A
     text that repeats itself has many suffixes alike: they are one row."""
-    width = length - GRAM + 1
+    gram = gram_of(length)
+    width = length - gram + 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in blocks(batches):
@@ -84,12 +90,12 @@ def suffixes(texts: DataFrame, length: int) -> DataFrame:
             if len(raw) < length:
                 continue
             sums = sums_of(raw)
-            grams = mix((sums[GRAM:] - sums[:-GRAM]) * powers(len(sums), _BINV)[: len(raw) - GRAM + 1])
+            grams = mix((sums[gram:] - sums[:-gram]) * powers(len(sums), _BINV)[: len(raw) - gram + 1])
             rows, anchors, first, last = [], [], [], []
             for i, (a, b) in enumerate(zip(at[:-1].tolist(), at[1:].tolist(), strict=True)):
                 if b - a < length:
                     continue
-                where = window_anchors(grams[a : b - GRAM + 1], width)
+                where = window_anchors(grams[a : b - gram + 1], width)
                 new = np.flatnonzero(np.diff(where)) + 1
                 starts = np.concatenate([[0], new])
                 rows.append(np.full(len(starts), i))
