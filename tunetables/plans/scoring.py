@@ -251,9 +251,11 @@ def json_flatten(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query(f"""
-with fx as ({X.TABLE})
-select k, line, unnest([0, 0, 1, 1]) as idx, unnest(['/0/part', '/0/qty', '/0/part', '/0/qty']) as path,
-  unnest(['p' || p, q::varchar, 's' || s, (q + 100)::varchar]) as text from fx""")
+with fx as ({X.TABLE}),
+r as (select k, line, solution, unnest(range(json_array_length(solution, '$.tables."0".rows')::bigint))::int as idx from fx),
+c as (select k, line, idx, json_extract(solution, '$.tables."0".rows[' || idx || ']') as row from r),
+f as (select *, unnest(json_keys(row)) as name from c)
+select k, line, idx, '/0/' || name as path, json_extract_string(row, '$."' || name || '"') as text from f""")
 def json_flatten_tables(spark: SparkSession, sf: str) -> DataFrame:
     df = X.frame(spark, sf, X.TABLE, heavy=True)
     tables = F.get_json_object("solution", "$.tables")
@@ -302,9 +304,15 @@ def json_roots(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query(f"""
-with fx as ({X.RESULTS})
-select k, line, p, s, case v when 2 then 1 else 2 end as n, case v when 3 then 1 else 0 end as invalid, case v when 1 then 1 else 0 end as repeats,
-  case v when 4 then '2=supplier ' || s else 'a=part ' || p end as first from fx""")
+with fx as ({X.RESULTS}),
+d as (select *, split_part(completion, '<stop>', 1) as doc from fx),
+e as (select *, unnest(range(json_array_length(doc, '$.results')::bigint)) as i from d),
+t as (select *, json_extract(doc, '$.results[' || i || ']') as item from e),
+u as (select *, json_type(item, '$.target_id') in ('VARCHAR', 'BIGINT', 'UBIGINT') and json_type(item, '$.text') = 'VARCHAR' as valid,
+  json_extract_string(item, '$.target_id') as target, json_extract_string(item, '$.text') as text from t)
+select k, line, p, s, (count(distinct target) filter (valid))::int as n, (count(*) filter (not valid))::int as invalid,
+  (count(*) filter (valid) - count(distinct target) filter (valid))::int as repeats,
+  arg_min(target || '=' || text, i) filter (valid) as first from u group by k, line, p, s""")
 def results_items(spark: SparkSession, sf: str) -> DataFrame:
     listed = F.get_json_object(F.split("completion", "<stop>")[0], "$.results")
     df = X.frame(spark, sf, X.RESULTS, heavy=True).withColumn("r", jsonx.results_facts(listed))
@@ -379,13 +387,23 @@ def text_normal_forms(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-@query("""
-with w as (select distinct doc_id, lang, source from documents)
-select doc_id, lang || '|' || source as candidates, 2 as n from w""")
+# a plain text, nested lists in either quotes, numbers, repeated items, an empty list
+_TRUTH = """
+select doc_id, case doc_id % 5 when 0 then source
+  when 1 then concat('[', chr(39), lang, chr(39), ', [', chr(39), source, chr(39), ', ', chr(39), lang, chr(39), ']]')
+  when 2 then concat('["', source, '", ', cast(n_chars as varchar(20)), ', [[', cast(doc_id as varchar(20)), '], "', lang, '"]]')
+  when 3 then '[]' else concat('[', cast(doc_id % 7 as varchar(20)), ', ', cast(doc_id % 2 as varchar(20)), ', ', cast(doc_id % 7 as varchar(20)), ']') end as text
+from documents
+"""
+
+
+@query(f"""
+with fx as ({_TRUTH}),
+w as (select doc_id, case when starts_with(text, '[') then list_distinct(regexp_extract_all(text, '[A-Za-z0-9]+')) else [text] end as c from fx)
+select doc_id, coalesce(array_to_string(list_sort(c), '|'), '') as candidates, len(c)::int as n from w""")
 def ground_truth_lists(spark: SparkSession, sf: str) -> DataFrame:
-    text = F.concat(F.lit("['"), "lang", F.lit("', ['"), "source", F.lit("', '"), "lang", F.lit("']]"))
-    df = X.table(spark, sf, "documents").select("doc_id", jsonx.string_list(text).alias("c"))
-    return df.select("doc_id", F.array_join("c", "|").alias("candidates"), F.size("c").alias("n"))
+    df = X.frame(spark, sf, _TRUTH).select("doc_id", jsonx.string_list(F.col("text")).alias("c"))
+    return df.select("doc_id", F.array_join(F.array_sort("c"), "|").alias("candidates"), F.size("c").alias("n"))
 
 
 # -------------------------------------------------------------- grounding
