@@ -13,7 +13,6 @@ documents. Without enough labels nothing is certified, and nothing is rejected.
 from __future__ import annotations
 
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
