@@ -112,6 +112,19 @@ select p_partkey as k, 'bbox' as category, p_size as s,
 from part
 """
 
+# a found box, and a box near it that must not be chosen; the answer slides from
+# the one to the other
+BBOX_HARD = """
+with b as (select p_partkey as k, p_size as s, p_size + p_partkey % 16 * 9 as x from part),
+t as (select *, cast(s as varchar(20)) as a1, cast(s + 100 as varchar(20)) as a2, cast(s + 150 as varchar(20)) as h1, cast(s + 250 as varchar(20)) as h2,
+  cast(x as varchar(20)) as x1, cast(x + 100 as varchar(20)) as x2 from b)
+select k, 'bbox' as category,
+  concat('{"grounding_status":"found","positive_occurrences":[{"page":1,"bbox":[', a1, ',10,', a2, ',60]}],',
+    '"hard_negative_evidence":[{"page":', case when k % 5 = 0 then '2' else '1' end, ',"bbox":[', h1, ',10,', h2, ',60]}]}') as solution,
+  concat('{"field_path":"a.b","grounding_status":"found","evidence_occurrences":[{"page":1,"bbox":[', x1, ',10,', x2, ',60]}]}') as completion
+from t
+"""
+
 # two targets per line: t1 with two gold ids, t2 with one
 EVIDENCE = """
 with b as (
@@ -206,8 +219,10 @@ def frame(spark: SparkSession, sf_dir: str, sql: str, heavy: bool = False) -> Da
     """Run a fixture text over the tables it names; ``heavy`` work per row
     follows."""
     for name in TABLES:
-        if re.search(rf"\b(from|join) {name}\b", sql):
-            table(spark, sf_dir, name).createOrReplaceTempView(name)
+        named = rf"\b(from|join) {name}\b"
+        if re.search(named, sql):  # under names of their own: a user's views stay as they are
+            table(spark, sf_dir, name).createOrReplaceTempView(f"tunetables_{name}")
+            sql = re.sub(named, rf"\1 tunetables_{name}", sql)
     return spread(spark.sql(sql)) if heavy else spark.sql(sql)
 
 

@@ -419,6 +419,25 @@ def bbox_reward(spark: SparkSession, sf: str) -> DataFrame:
     return scored.select("k", r6("bbox_reward").alias("bbox_reward"))
 
 
+def _box_sql(a: str, b: str) -> str:
+    """Intersection over union of two boxes of one page."""
+    shared = " * ".join(f"greatest(0, least({a}[{hi}], {b}[{hi}]) - greatest({a}[{lo}], {b}[{lo}]))" for lo, hi in ((1, 3), (2, 4)))
+    area = lambda c: f"({c}[3] - {c}[1]) * ({c}[4] - {c}[2])"
+    return f"({shared}) / ({area(a)} + {area(b)} - {shared})"
+
+
+@query(f"""
+with fx as ({X.BBOX_HARD}),
+j as (select k, json_extract(solution, '$.positive_occurrences[0].bbox')::double[] as g, json_extract(solution, '$.hard_negative_evidence[0].bbox')::double[] as h,
+  json_extract(solution, '$.hard_negative_evidence[0].page')::int as hard_page, json_extract(completion, '$.evidence_occurrences[0].bbox')::double[] as p from fx),
+i as (select *, {_box_sql("g", "p")} as iou, case when hard_page = 1 then {_box_sql("h", "p")} else 0 end as hard from j)
+select k, round(least(1.0, greatest(0.0, 0.4 + 0.5 * iou + case when iou >= 0.5 then 0.3 else 0 end + case when iou >= 0.7 then 0.2 else 0 end
+  + case when (p[1] + p[3]) / 2 between g[1] and g[3] then 0.1 else 0 end - case when hard >= 0.5 then 0.3 else 0 end)), 6)::double as bbox_reward from i""")
+def bbox_hard_negatives(spark: SparkSession, sf: str) -> DataFrame:
+    scored = B.score_bbox(X.frame(spark, sf, X.BBOX_HARD), output="bbox_reward")
+    return scored.select("k", r6("bbox_reward").alias("bbox_reward"))
+
+
 # unit squares of two pages, shifted against each other by the line's numbers
 _BOXES = """
 select l_orderkey as k, l_linenumber as line, l_partkey % 60 as dx, l_suppkey % 60 as dy, 1 + l_linenumber % 2 as page from lineitem"""
