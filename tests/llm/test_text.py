@@ -83,15 +83,19 @@ def test_token_table_cases(spark):
 
 def test_packing_ids_equal_the_library():
     path = public_tokenizers.path("word_bpe_49k.json")
-    texts = [*strange(3000, 2), "The cat, sat. ON|the Mat!", None, "a" * 5000]
+    texts = [*strange(3000, 2), "The cat, sat. ON|the Mat!", "<|EndOfText|> A. <|endoftext|>, B", "Él, dijo: ¿QUÉ? e\u0301. A\u0301, k\u212a.", "x., y,. z,", None, "a" * 5000]
     ids, at = packing._words(path).encode(pa.array(texts))
+    lower = [t for t in texts if t and "<|" not in t]
+    apart, cuts = packing._words(path).encode(pa.array(lower))  # the way without a special token in sight
+    assert [apart[a:b].tolist() for a, b in zip(cuts[:-1], cuts[1:])] == [
+        e.ids for e in Tokenizer.from_file(path).encode_batch(lower, add_special_tokens=False)
+    ]
     want = [e.ids for e in Tokenizer.from_file(path).encode_batch([t or "" for t in texts], add_special_tokens=False)]
     assert [ids[a:b].tolist() for a, b in zip(at[:-1], at[1:])] == want
 
 
 def test_packing_memo_starts_afresh(monkeypatch):
-    monkeypatch.setattr(packing, "WORDS", 3)
-    monkeypatch.setattr(packing, "STEMS", 5)
+    monkeypatch.setattr(packing, "MEMO", 5)
     coder = packing._Words(public_tokenizers.path("word_bpe_49k.json"))
     for text in ("a b c, D.", "e f g c! d", "d c b a? h!", "i j k l m n", "a, a. a"):
         want = coder.tokenizer.encode(text, add_special_tokens=False).ids

@@ -34,9 +34,8 @@ from tokenizers import Tokenizer
 from tunetables.llm.words import blocks
 from tunetables.operators.staging import materialise
 
-#: distinct space-separated strings, and distinct stems of them with their ids, that
-#: a worker remembers before it starts afresh; only a new stem goes to the library
-WORDS, STEMS = 300_000, 900_000
+#: distinct space-separated strings whose ids a worker remembers before it starts afresh
+MEMO = 900_000
 #: pieces of one length that are numbered in one task
 NUMBERED = 200_000
 
@@ -139,45 +138,39 @@ def plan_packing(counts: dict[int, int], capacity: Capacity) -> PackPlan:
     return PackPlan(*table.T)
 
 
-#: letters that lower-casing and composing leave alone or map one to one, then one sign at most
-_PLAIN = re.compile(r"([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([.,;:!?|]?)")
-SIGNS = ".,;:!?|"
+# letters that composing leaves alone; a sign between one of them and white space is a token of its own
+_LETTER = "A-Za-zÀ-ÖØ-öø-ÿ"
+_PLAIN = re.compile(f"[{_LETTER}]+")
+_SIGN = rf"([{_LETTER}])([.,;:!?|])(\s|$)"
 #: plain words that the library gets as one text
 JOINED = 2000
 
 
 class _Words:
-    """Ids of texts whose tokenizer drops white space: each space-separated string
-    is encoded by the library on its own, and remembered as a stem and perhaps one
-    sign after it. Plain stems are given to the library many at a time; their ids
-    end where a token has the end-of-word mark."""
+    """Ids of texts whose tokenizer drops white space and case: each space-separated
+    string is encoded by the library on its own, and remembered. Plain words are
+    given to it many at a time; their ids end where a token has the end-of-word mark."""
 
     def __init__(self, vocabulary: str):
         self.tokenizer = Tokenizer.from_file(vocabulary)
         names = self.tokenizer.get_vocab(with_added_tokens=True)
         self.ends = np.zeros(max(names.values()) + 1, bool)
         self.ends[[i for token, i in names.items() if token.endswith("</w>")]] = True
-        self.signs = {c: int(self._encode([c])[0][0]) for c in SIGNS}
         self._forget()
 
-    def _forget_words(self) -> None:
-        self.words: dict[str, int] = {}
-        self.stem, self.sign = np.zeros(0, np.int64), np.zeros(0, np.int64)  # of each word; -1: no sign
-
     def _forget(self) -> None:
-        self._forget_words()
-        self.stems: dict[str, int] = {}
-        self.begin, self.size = np.zeros(0, np.int64), np.zeros(0, np.int64)  # of each stem
+        self.words: dict[str, int] = {}
+        self.begin, self.size = np.zeros(0, np.int64), np.zeros(0, np.int64)
         self.flat = np.zeros(0, np.uint32)
 
     def _encode(self, words: list[str]) -> list[np.ndarray]:
         return [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
 
-    def _joined(self, stems: list[str]) -> tuple[list[np.ndarray], np.ndarray]:
-        """The ids of plain stems in pieces, and how many each stem has."""
+    def _joined(self, words: list[str]) -> tuple[list[np.ndarray], np.ndarray]:
+        """The ids of plain words in pieces, and how many each word has."""
         ids, sizes = [], [np.zeros(0, np.int64)]
-        for i in range(0, len(stems), JOINED):
-            part = stems[i : i + JOINED]
+        for i in range(0, len(words), JOINED):
+            part = words[i : i + JOINED]
             (own,) = self._encode([" ".join(part)])
             cuts = np.flatnonzero(self.ends[own]) + 1
             if len(cuts) == len(part) and cuts[-1] == len(own):
@@ -191,51 +184,35 @@ class _Words:
 
     def _learn(self, words: list[str]) -> None:
         new = [w for w in words if w not in self.words]
-        if len(self.words) + len(new) > WORDS:
-            self._forget_words()
-            new = words
-        if len(self.stems) > STEMS:
+        if len(self.words) + len(new) > MEMO:
             self._forget()
             new = words
-        plain, other, stem_of, sign_of = [], [], [], []
-        for w in new:
-            m = _PLAIN.fullmatch(w)
-            stem, sign = (m[1].lower(), m[2]) if m else (w, "")
-            if stem not in self.stems:
-                (plain if m else other).append(stem)
-                self.stems[stem] = -1
-            stem_of.append(stem)
-            sign_of.append(self.signs[sign] if sign else -1)
+        plain = [w for w in new if _PLAIN.fullmatch(w)]
+        other = [w for w in new if not _PLAIN.fullmatch(w)]
         ids, sizes = self._joined(plain)
         each = self._encode(other)
         sizes = np.concatenate([sizes, np.array([len(x) for x in each], np.int64)])
-        for k, stem in enumerate([*plain, *other], len(self.size)):
-            self.stems[stem] = k
+        self.words.update(zip([*plain, *other], range(len(self.size), len(self.size) + len(new)), strict=True))
         self.begin = np.concatenate([self.begin, len(self.flat) + np.cumsum(sizes) - sizes])
         self.size = np.concatenate([self.size, sizes])
         self.flat = np.concatenate([self.flat, *ids, *each])
-        self.words.update(zip(new, range(len(self.stem), len(self.stem) + len(new))))
-        self.stem = np.concatenate([self.stem, np.array([self.stems[x] for x in stem_of], np.int64)])
-        self.sign = np.concatenate([self.sign, np.array(sign_of, np.int64)])
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids in order, and each row's offsets among them."""
-        lists = pc.ascii_split_whitespace(texts.cast(pa.large_string()).fill_null(""))
+        texts = texts.cast(pa.large_string()).fill_null("")
+        # fewer distinct strings, the same tokens: signs apart, and one case unless that could make a special token
+        texts = pc.replace_substring_regex(texts, pattern=_SIGN, replacement=r"\1 \2\3")
+        if not pc.any(pc.match_substring(texts, "<|")).as_py():
+            texts = pc.ascii_lower(texts)
+        lists = pc.ascii_split_whitespace(texts)
         words = lists.flatten().dictionary_encode()
         known = words.dictionary.to_pylist()
         self._learn(known)
         code = np.array([self.words[w] for w in known], np.int64)[words.indices.to_numpy(zero_copy_only=False)]
-        stem, sign = self.stem[code], self.sign[code]
-        n = self.size[stem] + (sign >= 0)
+        n = self.size[code]
         ends = np.cumsum(n)
         total = int(ends[-1]) if len(ends) else 0
-        tokens = np.zeros(total, np.uint32)
-        last = ends[sign >= 0] - 1
-        body = np.ones(total, bool)
-        body[last] = False
-        n = self.size[stem]
-        tokens[body] = self.flat[np.repeat(self.begin[stem] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))]
-        tokens[last] = sign[sign >= 0]
+        tokens = self.flat[np.repeat(self.begin[code] - (ends - n), n) + np.arange(total)]
         offsets = lists.offsets.to_numpy()
         return tokens, np.concatenate([[0], ends])[offsets - offsets[0]]
 
