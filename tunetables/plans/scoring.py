@@ -305,14 +305,14 @@ def json_roots(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(f"""
 with fx as ({X.RESULTS}),
-d as (select *, split_part(completion, '<stop>', 1) as doc from fx),
+d as (select *, split_part(completion, '<stop>', 1) as doc, row_number() over () as row_id from fx),
 e as (select *, unnest(range(json_array_length(doc, '$.results')::bigint)) as i from d),
 t as (select *, json_extract(doc, '$.results[' || i || ']') as item from e),
 u as (select *, json_type(item, '$.target_id') in ('VARCHAR', 'BIGINT', 'UBIGINT') and json_type(item, '$.text') = 'VARCHAR' as valid,
   json_extract_string(item, '$.target_id') as target, json_extract_string(item, '$.text') as text from t)
 select k, line, p, s, (count(distinct target) filter (valid))::int as n, (count(*) filter (not valid))::int as invalid,
   (count(*) filter (valid) - count(distinct target) filter (valid))::int as repeats,
-  arg_min(target || '=' || text, i) filter (valid) as first from u group by k, line, p, s""")
+  arg_min(target || '=' || text, i) filter (valid) as first from u group by row_id, k, line, p, s""")
 def results_items(spark: SparkSession, sf: str) -> DataFrame:
     listed = F.get_json_object(F.split("completion", "<stop>")[0], "$.results")
     df = X.frame(spark, sf, X.RESULTS, heavy=True).withColumn("r", jsonx.results_facts(listed))
