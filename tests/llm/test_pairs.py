@@ -9,9 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-import __spark_entry__  # noqa: F401  (fills the registry)
 from tunetables.llm import decontaminate, neardup, suffixes, tables
-from tunetables.plans.registry import QUERIES
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -217,9 +215,3 @@ def test_levels_merge_geometrically(spark):
     for i in range(6):
         one.add(every.filter(F.col("uid") % 6 == i))
     assert [n for n, _ in one.levels] == [4, 1, 1]
-
-
-def test_queries_run_on_the_small_tables(spark, sf):
-    docs = spark.read.parquet(f"{sf}/documents.parquet").count()
-    for name in ("op6_repeated_bytes", "op9_near_duplicates"):
-        assert QUERIES[name](spark, sf).count() == docs
