@@ -4,6 +4,7 @@ tables (grouped sums, no list is ever collected)."""
 from __future__ import annotations
 
 from collections import Counter
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -77,22 +78,37 @@ def items(payload, keys: dict) -> list[dict] | None:
     return out
 
 
+def _item_lists(lists: list[list[dict] | None]) -> pa.Array:
+    """Item lists as one flat struct column with offsets."""
+    flat = [tuple(x[f.name] for f in _ITEM) for listed in lists for x in listed or ()]
+    ends = list(accumulate((len(x or ()) for x in lists), initial=0))
+    missing = pa.array([x is None for x in lists], pa.bool_())
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), jsonx.struct_array(flat, _ITEM), type=pa.list_(_ITEM), mask=missing)
+
+
 def read_documents(answer: Column, solution: Column, opt: SelectionOptions) -> Column:
-    def row(text: str | None, gold_text: str | None) -> dict | None:
-        if text is None:
-            return None
-        label, value = jsonx.loads_lenient(gold_text), jsonx.loads_lenient(text)
-        return {
-            "label_ok": isinstance(label, dict),
-            "gold": items(label, opt.schema_keys),
-            "parsed": value is not None,
-            "is_object": isinstance(value, dict),
-            "pred": items(value, opt.schema_keys),
-        }
+    def label_of(text: str | None) -> tuple:
+        label = jsonx.loads_lenient(text)
+        return isinstance(label, dict), items(label, opt.schema_keys)
+
+    def value_of(text: str) -> tuple:
+        value = jsonx.loads_lenient(text)
+        return value is not None, isinstance(value, dict), items(value, opt.schema_keys)
 
     @F.arrow_udf(_ROW_DDL)
     def run(a: pa.Array, s: pa.Array) -> pa.Array:
-        return pa.array([row(x, y) for x, y in zip(a.to_pylist(), s.to_pylist())], _ROW)
+        labels: dict = {}  # the completions of one prompt share a solution
+        rows = []
+        for text, gold_text in zip(a.to_pylist(), s.to_pylist()):
+            if text is None:
+                rows.append((None,) * 5)
+                continue
+            if gold_text not in labels:
+                labels[gold_text] = label_of(gold_text)
+            rows.append((*labels[gold_text], *value_of(text)))
+        columns = list(zip(*rows)) if rows else [()] * 5
+        arrays = [_item_lists(list(c)) if pa.types.is_list(f.type) else pa.array(c, f.type) for f, c in zip(_ROW, columns)]
+        return pa.StructArray.from_arrays(arrays, fields=list(_ROW), mask=pa.array([r[0] is None for r in rows], pa.bool_()))
 
     return run(answer, solution)
 
