@@ -139,6 +139,16 @@ def test_cascade_is_exact_over_its_universe(spark, monkeypatch):
     assert got == {f"k{i}" for i in range(0, 3000, 7)}
 
 
+@pytest.mark.parametrize("pair", [4, 9])
+def test_small_levels_do_not_repeat_each_other(spark, pair):
+    # were levels to hash alike, both keys would pass level 1, and level 2 would be level 0 again
+    universe = spark.range(20_000).selectExpr("concat('k', id) as key")
+    listed = spark.createDataFrame([(f"a{pair}",), (f"b{pair}",)], "key string")
+    both = universe.unionByName(listed)
+    levels = urls.build_cascade(listed, both)
+    assert {r.key for r in both.filter(urls.member(levels, both.key)).collect()} == {f"a{pair}", f"b{pair}"}
+
+
 def test_languages(spark, sf):
     docs = spark.read.parquet(f"{sf}/documents.parquet")
     rows = {r.doc_id: r for r in QUERIES["op2_languages"](spark, sf).collect()}

@@ -36,14 +36,15 @@ def path_of(url: Column) -> Column:
 
 @dataclass(frozen=True)
 class Level:
-    """A Bloom filter as words of 63 bits, held as a literal."""
+    """A Bloom filter as words of 63 bits, held as a literal, and its place in the cascade."""
 
     bits: int
     words: tuple[int, ...]
+    nth: int
 
     def passes(self, key: Column) -> Column:
         words = F.array(*[F.lit(w).cast("long") for w in self.words])
-        return reduce(lambda a, b: a & b, (self._bit(words, position(key, i, self.bits)) for i in range(PROBES)))
+        return reduce(lambda a, b: a & b, (self._bit(words, position(key, i, self.bits, self.nth)) for i in range(PROBES)))
 
     @staticmethod
     def _bit(words: Column, at: Column) -> Column:
@@ -51,21 +52,23 @@ class Level:
         return F.getbit(word, (at % 63).cast("int")) == 1
 
 
-def position(key: Column, probe: int, bits: int) -> Column:
-    return F.pmod(F.xxhash64(key, F.lit(probe)), F.lit(bits).cast("long"))
+def position(key: Column, probe: int, bits: int, nth: int) -> Column:
+    """A bit of a key in the cascade's nth level. Levels hash apart: keys that look
+    alike in one of them would else do so in every other of as many bits."""
+    return F.pmod(F.xxhash64(key, F.lit(nth * PROBES + probe)), F.lit(bits).cast("long"))
 
 
-def build_level(keys: DataFrame, n: int) -> Level:
+def build_level(keys: DataFrame, n: int, nth: int) -> Level:
     """The filter of a table of n keys: its set bits are grouped into words by
     Spark; the driver holds ``BITS`` bits for a key of the rules or of their few
     false positives, never the corpus's keys."""
     bits = max(64, BITS * n)
-    at = keys.select(F.explode(F.array(*[position(F.col("key"), i, bits) for i in range(PROBES)])).alias("at"))
+    at = keys.select(F.explode(F.array(*[position(F.col("key"), i, bits, nth) for i in range(PROBES)])).alias("at"))
     words = at.groupBy(F.floor(F.col("at") / 63).cast("int").alias("word")).agg(
         F.bit_or(F.expr("shiftleft(1L, cast(at % 63 as int))")).alias("value")
     )
     held = {r["word"]: r["value"] for r in words.collect()}
-    return Level(bits, tuple(held.get(i, 0) for i in range(math.ceil(bits / 63))))
+    return Level(bits, tuple(held.get(i, 0) for i in range(math.ceil(bits / 63))), nth)
 
 
 def build_cascade(listed: DataFrame, universe: DataFrame, label: str = "cascade") -> list[Level]:
@@ -76,7 +79,7 @@ def build_cascade(listed: DataFrame, universe: DataFrame, label: str = "cascade"
     n = listed.count()
     if not n:
         return []
-    levels = [build_level(listed, n)]
+    levels = [build_level(listed, n, 0)]
     inside = listed
     passed = universe.filter(levels[0].passes(F.col("key"))).select("key").distinct()
     outside = materialise(passed.join(listed, "key", "left_anti"), label)
@@ -85,7 +88,7 @@ def build_cascade(listed: DataFrame, universe: DataFrame, label: str = "cascade"
         n = wrong.count()
         if not n:
             return levels
-        levels.append(build_level(wrong, n))
+        levels.append(build_level(wrong, n, turn))
         kept = materialise((inside if turn % 2 else outside).filter(levels[-1].passes(F.col("key"))), label)
         inside, outside = (kept, outside) if turn % 2 else (inside, kept)
     raise RuntimeError("keys that hash alike in every level")  # 64 levels of false positives do not happen
