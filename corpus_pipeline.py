@@ -7,9 +7,9 @@ and read again before the next.
 1. quality: documents that the base rules or a certified cutoff reject go.
 2. near_duplicates: one document of each group stays, that with the smallest id
    (five-word shingles, similarity 0.8).
-3. repeated_bytes: bytes covered by a 250-byte string that starts elsewhere too are
-   cut from the texts, whole characters at a time; n_chars follows. Fifty words
-   have more bytes than that.
+3. repeated_bytes: bytes covered by a 250-byte string that starts elsewhere too, or
+   by 51 words that stand elsewhere too, are cut from the texts, whole characters at
+   a time; n_chars follows.
 4. decontaminate: documents holding 0.8 of a benchmark item's five-word shingles go.
 5. pack: the pieces of the remaining texts, placed in sequences of 2048 tokens.
 
@@ -31,6 +31,8 @@ from tunetables.shipping import ship
 
 #: a string of so many bytes that starts twice is a repeat
 REPEAT_BYTES = 250
+#: and so many words, if they have fewer bytes than that
+REPEAT_WORDS = 51
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
@@ -48,7 +50,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def repeated_bytes(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ship(spark)
-    cut = suffixes.cut_texts(docs.select(*COLUMNS), length=REPEAT_BYTES, batches=2)
+    cut = suffixes.cut_texts(docs.select(*COLUMNS), length=REPEAT_BYTES, batches=2, words=REPEAT_WORDS)
     return cut.withColumn("n_chars", F.when(F.col("n_removed") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))).select(*COLUMNS)
 
 

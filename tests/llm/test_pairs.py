@@ -198,6 +198,27 @@ def test_cut_texts_keep_whole_characters_and_columns(spark):
     assert {d: (r.text, r.uid, r.n) for d, r in rows.items()} == {1: ("à1", "p", 9), 2: ("è2", "q", 9), 3: (None, None, None)}
 
 
+def test_repeats_of_many_short_words_are_cut(spark):
+    rng = random.Random(9)
+    some = [" ".join(rng.choice("abcdefgé") for _ in range(n)) for n in (51, 50, 80)]
+    texts = [f"{i}left{k} {p} right{i}{k}" for i in range(2) for k, p in enumerate(some)]
+    texts += ["only " + " ".join(rng.choice("hijk") for _ in range(90)), "z\t" * 60, "y " * 51, some[0].replace(" ", "\n"), None, "", *["p q " * 30] * 2]
+    df = spark.createDataFrame([(i, t, 0) for i, t in enumerate(texts)] + [(len(texts) - 1, texts[-1], 0)], "doc_id long, text string, n long")
+
+    def plain(text):
+        raw = (text or "").encode()
+        return raw, [m.span() for m in re.finditer(rb"[^\x20\x09-\x0D]+", raw)]
+
+    given = [(i, *plain(t)) for i, t in [*enumerate(texts), (len(texts) - 1, texts[-1])]]
+    seen = Counter(raw[w[k][0] : w[k + 50][1]] for _, raw, w in given for k in range(len(w) - 50))
+    want = Counter()
+    for i, raw, w in given:
+        gone = {b for k in range(len(w) - 50) if seen[raw[w[k][0] : w[k + 50][1]]] > 1 for b in range(w[k][0], w[k + 50][1])}
+        want[i, bytes(x for b, x in enumerate(raw) if b not in gone).decode() if texts[i] is not None else None] += 1
+    cut = Counter((r.doc_id, r.text) for r in suffixes.cut_texts(df, 250, 2, words=51).collect())
+    assert cut == want and ((0, "0left0  right00") in cut) and ((1, texts[1]) in cut) and ((7, "\t") in cut)
+
+
 def test_window_anchors_are_the_least_of_each_window(monkeypatch):
     rng = np.random.default_rng(1)
     for mask in (suffixes._MASK, np.uint64(63)):

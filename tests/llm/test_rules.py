@@ -260,6 +260,14 @@ def test_pipeline_equals_plain_stages(spark, sf):
     assert QUERIES["pipeline"](spark, sf).count() == out[4].count()
 
 
+def test_passages_of_short_words_are_cut(spark):
+    passage = " ".join("abcdefgh"[i * i * i % 7] for i in range(51))
+    rows = [(1, f"left {passage} here", "en", "s", 0), (2, f"right {passage} there", "en", "s", 0)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    got = {r.doc_id: (r.text, r.n_chars) for r in corpus_pipeline.repeated_bytes(spark, docs, "").collect()}
+    assert got == {1: ("left  here", 10), 2: ("right  there", 12)}
+
+
 def test_stages_survive_odd_rows(spark, tmp_path):
     text = " ".join(f"word{i}" for i in range(60))
     rows = [(1, text, None, None, None), (1, text, None, None, None), (None, text + " x", "en", "s", 5), (2, None, "en", "s", 0), (3, "", None, None, 0), (4, "a " * 50_000, "en", "s", 9)]

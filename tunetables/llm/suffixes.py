@@ -24,11 +24,12 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tunetables.llm.tables import join_unique
-from tunetables.llm.words import _BYTE, blocks, mix, powers, signed, text_bytes
+from tunetables.llm.words import _BYTE, blocks, mix, powers, signed, text_bytes, word_bounds
 from tunetables.operators.staging import materialise, stage_path
 
 U = np.uint64
@@ -259,9 +260,50 @@ def compare_runs(runs: DataFrame, length: int) -> DataFrame:
     return out
 
 
-def repeated_spans(df: DataFrame, length: int, batches: int, id_col: str, text_col: str, whole: bool = False) -> DataFrame:
+def repeated_passages(texts: DataFrame, words: int, length: int) -> DataFrame:
+    """(uid, spans) of (uid, text): the byte spans covered by ``words`` words that
+    also stand elsewhere, with the same white space between them, in fewer than
+    ``length`` bytes. Only passages of short words are so short, so few are hashed;
+    those of one text that are alike are one row."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in blocks(batches):
+            raw, at = text_bytes(part.column("text"))
+            starts, ends = word_bounds(raw, at)
+            if len(starts) < words:
+                continue
+            row = np.searchsorted(at, starts, "right") - 1
+            last = len(starts) - words + 1
+            near = np.flatnonzero((row[:last] == row[words - 1 :]) & (ends[words - 1 :] - starts[:last] < length))
+            held: dict[tuple[int, bytes], list[list[int]]] = {}
+            counts: dict[tuple[int, bytes], int] = {}
+            for i, s, e in zip(row[near].tolist(), starts[near].tolist(), ends[near + words - 1].tolist(), strict=True):
+                key = i, xxhash.xxh3_128_digest(raw[s:e])
+                counts[key] = counts.get(key, 0) + 1
+                s, e = s - int(at[i]), e - int(at[i])
+                own = held.setdefault(key, [])
+                if own and s <= own[-1][1]:
+                    own[-1][1] = e
+                else:
+                    own.append([s, e])
+            if held:
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("uid").take(pa.array([i for i, _ in held])), pa.array([h for _, h in held], pa.binary()),
+                     pa.array([counts[k] for k in held], pa.int64()), pa.array([[{"s": s, "e": e} for s, e in x] for x in held.values()], _SPANS)],
+                    ["uid", "h", "n", "spans"],
+                )
+
+    found = materialise(texts.mapInArrow(run, "uid long, h binary, n long, spans array<struct<s: int, e: int>>"), "passages")
+    twice = found.groupBy("h").agg(F.sum("n").alias("m")).filter("m > 1").select("h")
+    return join_unique(found, materialise(twice, "passages-twice"), ["h"]).select("uid", "spans")
+
+
+def repeated_spans(
+    df: DataFrame, length: int, batches: int, id_col: str, text_col: str, whole: bool = False, words: int | None = None
+) -> DataFrame:
     """(uid, id, rest, n_bytes, text, sha, spans) for each row of ``df``: the byte
-    spans covered by a ``length``-byte string that also starts elsewhere. Rows
+    spans covered by a ``length``-byte string that also starts elsewhere, and with
+    ``words`` those covered by so many words that do, however short. Rows
     without any have their text's digest in ``sha`` and, unless ``whole``, a null
     text. ``rest`` has the row's other columns if ``whole``."""
     spark = df.sparkSession
@@ -305,6 +347,8 @@ def repeated_spans(df: DataFrame, length: int, batches: int, id_col: str, text_c
     owners = materialise(rows.select("uid", F.explode("open").alias("o")).select("uid", "o.*"), "owners")
     moved = F.transform("at", lambda p: F.transform("spans", lambda x: F.struct((x["s"] + p - F.col("lo")).alias("s"), (x["e"] + p - F.col("lo")).alias("e"))))
     found = join_unique(owners, settled, ["key", "lo", "hi", "fp"]).select("uid", F.flatten(moved).alias("spans"))
+    if words:
+        found = found.unionByName(repeated_passages(docs.filter(F.octet_length("text") >= 2 * words - 1).select("uid", "text"), words, length))
     per_text = found.groupBy("uid").agg(F.flatten(F.collect_set("spans")).alias("found"))
     none = F.array().cast("array<struct<s: int, e: int>>")
     return rows.join(per_text, "uid", "left").select(
@@ -376,9 +420,12 @@ def whole_characters(raw: bytes, spans: list[tuple[int, int]]) -> bytes:
     return b"".join([*parts, raw[at:]])
 
 
-def cut_texts(df: DataFrame, length: int = 400, batches: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def cut_texts(
+    df: DataFrame, length: int = 400, batches: int = 3, id_col: str = "doc_id", text_col: str = "text", words: int | None = None
+) -> DataFrame:
     """The rows of ``df``, their texts without the characters that lie wholly in
-    repeated spans, and ``n_removed`` characters. Null texts stay null."""
+    repeated spans, and ``n_removed`` characters. Null texts stay null. With
+    ``words``, a passage of so many words is a repeat at any length in bytes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -393,7 +440,7 @@ def cut_texts(df: DataFrame, length: int = 400, batches: int = 3, id_col: str =
                 [batch.column("id"), pa.array(texts, pa.string()), batch.column("rest"), pa.array(removed, pa.int64())], ["id", "text", "rest", "n_removed"]
             )
 
-    found = repeated_spans(df, length, batches, id_col, text_col, whole=True).select("id", "text", "rest", "spans")
+    found = repeated_spans(df, length, batches, id_col, text_col, whole=True, words=words).select("id", "text", "rest", "spans")
     kinds = {f.name: f.dataType.simpleString() for f in found.schema.fields}
     cut = found.mapInArrow(run, f"id {kinds['id']}, text string, rest {kinds['rest']}, n_removed long")
     return cut.select(*[

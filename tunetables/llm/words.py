@@ -68,12 +68,9 @@ def blocks(batches: Iterator[pa.RecordBatch], text: str = "text", limit: int = B
             start = end
 
 
-def word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """The words' hashes, in order, and each row's offsets among them."""
-    raw, at = text_bytes(texts)
+def word_bounds(raw: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where the words of rows of bytes start and end, in order."""
     n = len(raw)
-    if not n:
-        return np.zeros(0, U), np.zeros(len(at), np.int64)
     word = ~_SPACE[raw]
     edge = np.zeros(n + 1, bool)
     edge[at] = True
@@ -81,7 +78,16 @@ def word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     first[1:] &= ~word[:-1] | edge[1:-1]
     last = word.copy()
     last[:-1] &= ~word[1:] | edge[1:-1]
-    starts, ends = np.flatnonzero(first), np.flatnonzero(last) + 1
+    return np.flatnonzero(first), np.flatnonzero(last) + 1
+
+
+def word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The words' hashes, in order, and each row's offsets among them."""
+    raw, at = text_bytes(texts)
+    n = len(raw)
+    if not n:
+        return np.zeros(0, U), np.zeros(len(at), np.int64)
+    starts, ends = word_bounds(raw, at)
     sums = np.zeros(n + 1, U)
     np.cumsum(_LOWER[raw] * powers(n, _B)[:n], out=sums[1:])
     hashes = mix((sums[ends] - sums[starts]) * powers(n, _BINV)[starts] + (ends - starts).astype(U))
