@@ -190,6 +190,36 @@ def test_repeated_page_ids_are_one_page(spark):
     assert got == [(1, sha(b"a")), (2, min(sha(b"b"), sha(b"c")))]
 
 
+def test_every_page_row_has_a_record(spark, tmp_path):
+    rows = [(1, "u", "a"), (1, "u", "a"), (2, "v", "b"), (2, "v", "c"), (2, None, "c"), (0, "w", "d"), (None, "x", "c"), (None, "x", "e"), (None, "x", "e"), (None, None, None)]
+    rows += [(3, "y", "f")] * 5
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    for least in (0, 9):
+        got = warc.round_trip(df, str(tmp_path / f"warc{least}"), least, payloads=True, every_row=True).collect()
+        assert Counter((r.page_id, r.url, r.payload_digest) for r in got) == Counter((i, u, sha((h or "").encode())) for i, u, h in rows)
+        first = {}
+        for i, _, h in sorted(rows, key=lambda r: (r[0] is None, r[0] or 0)):
+            first.setdefault(sha((h or "").encode()), i)
+        for d, own in first.items():
+            met = [r for r in got if r.payload_digest == d]
+            assert all((r.payload is not None) == (r.record_type == "response") for r in met)
+            held = [r for r in met if r.record_type == "response"]
+            assert len(held) == (len(met) if least else 1)
+            assert least or held[0].page_id == own and all(r.refers_to == own for r in met if r is not held[0])
+    names = []
+    for p in (tmp_path / "warc0").glob("*.warc.zst"):
+        with p.open("rb") as f:
+            names += [re.search(rb"WARC-Record-ID: (\S+)", x)[1] for x in warc._frames(f.read)]
+    assert len(names) == len(set(names)) == len(rows)
+
+
+def test_op10_gives_every_row_back(spark, tmp_path):
+    rows = [(1, "u", "a"), (1, "u", "b"), (None, "v", "b")]
+    spark.createDataFrame(rows, "page_id long, url string, html string").write.parquet(str(tmp_path / "pages.parquet"))
+    got = Counter((r.page_id, r.payload_digest, r.record_type, r.refers_to) for r in QUERIES["op10_warc_round_trip"](spark, str(tmp_path)).collect())
+    assert got == Counter([(1, sha(b"a"), "response", None), (1, sha(b"b"), "response", None), (None, sha(b"b"), "revisit", 1)])
+
+
 def test_archives_are_checked(tmp_path):
     samples = [(f"<html>{i} " + "common words in every page " * 20).encode() for i in range(400)]
     dictionary = warc.train(samples)

@@ -147,7 +147,7 @@ def op4_benchmark_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def op10_warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    read = warc.round_trip(table(spark, sf_dir, "pages"), least=0)
+    read = warc.round_trip(table(spark, sf_dir, "pages"), least=0, every_row=True)
     return read.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 

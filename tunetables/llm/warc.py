@@ -68,17 +68,25 @@ def _filesystem(folder: str) -> tuple[pafs.FileSystem, str]:
     return pafs.FileSystem.from_uri(folder)
 
 
-def record(page_id: int, url: str | None, payload: bytes, sha1: str, size: int, refers_to: int | None) -> bytes:
+def address(page_id: int | None, row: str | None) -> str:
+    """A record's id: its page's, if it has one, and the row's key where pages have many rows."""
+    return f"<urn:page:{'' if page_id is None else page_id}{'' if row is None else f':{row}'}>"
+
+
+def record(
+    page_id: int | None, url: str | None, payload: bytes, sha1: str, size: int, refers_to: int | None, row: str | None = None, refers_row: str | None = None
+) -> bytes:
     """A response record with the payload, or a revisit with its headers alone."""
+    first = refers_to is None and refers_row is None
     http = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: %d\r\n\r\n" % size
-    block = http + (payload if refers_to is None else b"")
-    head = [("WARC-Type", "response" if refers_to is None else "revisit"), ("WARC-Record-ID", f"<urn:page:{page_id}>"), ("WARC-Date", DATE)]
+    block = http + (payload if first else b"")
+    head = [("WARC-Type", "response" if first else "revisit"), ("WARC-Record-ID", address(page_id, row)), ("WARC-Date", DATE)]
     if url is not None:
         # a header value is one line
         head.append(("WARC-Target-URI", re.sub(r"[\x00-\x1f\x7f]", lambda m: f"%{ord(m[0]):02X}", url)))
     head.append(("WARC-Payload-Digest", f"sha1:{sha1}"))
-    if refers_to is not None:
-        head += [("WARC-Refers-To", f"<urn:page:{refers_to}>"), ("WARC-Profile", PROFILE)]
+    if not first:
+        head += [("WARC-Refers-To", address(refers_to, refers_row)), ("WARC-Profile", PROFILE)]
     head += [("Content-Type", "application/http; msgtype=response"), ("Content-Length", str(len(block)))]
     lines = b"".join(f"{k}: {v}\r\n".encode("utf-8", "surrogatepass") for k, v in head)
     return VERSION + b"\r\n" + lines + b"\r\n" + block + b"\r\n\r\n"
@@ -120,7 +128,7 @@ class Archive:
 
 
 def write_archives(pages: DataFrame, folder: str) -> DataFrame:
-    """Write (page_id, url, payload, payload_digest, payload_bytes, refers_to) rows;
+    """Write (page_id, url, payload, payload_digest, payload_bytes, refers_to, row, refers_row) rows;
     returns the table of whole archives (name, records, bytes), itself written, so
     that archives of tasks that were lost or run twice are not in it."""
 
@@ -138,7 +146,7 @@ def write_archives(pages: DataFrame, folder: str) -> DataFrame:
                 dictionary, begun = train(samples), True
             for r in rows:
                 archive = archive or Archive(folder, dictionary)
-                archive.add(record(r["page_id"], r["url"], r["payload"] or b"", r["payload_digest"], r["payload_bytes"], r["refers_to"]))
+                archive.add(record(r["page_id"], r["url"], r["payload"] or b"", r["payload_digest"], r["payload_bytes"], r["refers_to"], r["row"], r["refers_row"]))
                 n += 1
                 if archive.size >= ROLL:
                     done.append((archive.close(), n, archive.size))
@@ -150,7 +158,7 @@ def write_archives(pages: DataFrame, folder: str) -> DataFrame:
             [pa.array(names, pa.string()), pa.array(counts, pa.int64()), pa.array(sizes, pa.int64())], ["name", "records", "bytes"]
         )
 
-    columns = ["page_id", "url", "payload", "payload_digest", "payload_bytes", "refers_to"]
+    columns = ["page_id", "url", "payload", "payload_digest", "payload_bytes", "refers_to", "row", "refers_row"]
     return materialise(pages.select(*columns).mapInArrow(run, "name string, records long, bytes long"), "archives")
 
 
@@ -220,11 +228,14 @@ def parse(data: bytes) -> dict:
     if kind == "response" and (len(payload) != int(size[1]) or digest(payload) != sha1):
         raise WarcError("payload differs from its digest or length")
 
+    def addressed(name: str) -> re.Match | None:
+        return re.fullmatch(r"<urn:page:(?:(-?\d+)(?::[0-9a-f]+-\d+)?|:[0-9a-f]+-\d+)>", fields.get(name, ""))
+
     def page(name: str) -> int | None:
-        m = re.fullmatch(r"<urn:page:(-?\d+)>", fields.get(name, ""))
-        return int(m[1]) if m else None
+        m = addressed(name)
+        return int(m[1]) if m and m[1] else None
 
-    if page("warc-record-id") is None or kind == "revisit" and (page("warc-refers-to") is None or payload or fields.get("warc-profile") != PROFILE):
+    if not addressed("warc-record-id") or kind == "revisit" and (not addressed("warc-refers-to") or payload or fields.get("warc-profile") != PROFILE):
         raise WarcError("ids or profile")
     return {
         "page_id": page("warc-record-id"), "url": fields.get("warc-target-uri"), "record_type": kind, "payload_bytes": int(size[1]),
@@ -273,15 +284,51 @@ def read_archives(archives: DataFrame, folder: str, payloads: bool = True) -> Da
     return archives.repartition(parts, "name").mapInArrow(run, SCHEMA)
 
 
-def mark_revisits(df: DataFrame, least: int = 0, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """(page_id, url, payload, payload_bytes, payload_digest, refers_to): of pages
-    with equal payloads of ``least`` bytes or more the smallest id is the first,
-    and the others, with a null payload, refer to it. Null html is empty. Rows that
-    repeat an id are one page: one row with the id, of the smallest digest, is
-    kept. Rows without an id cannot be addressed and are left out."""
+def mark_rows(pages: DataFrame, least: int) -> DataFrame:
+    """As ``mark_revisits`` with ``every_row``, of (page_id, url, payload) rows."""
+    keyed = pages.withColumns({
+        "page": F.coalesce("page_id", F.lit(0).cast("long")), "cell": F.xxhash64(F.col("page_id").isNull(), F.col("url").isNull(), "url", "payload")
+    })
+    marked = materialise(
+        keyed.select("page", "cell", "page_id", F.octet_length("payload").cast("long").alias("payload_bytes"), digest_column(F.col("payload")).alias("payload_digest")),
+        "digests",
+    )
+    # rows alike in every column are one cell and differ by their number
+    cells = materialise(marked.groupBy(*marked.columns).agg(F.count("*").alias("n")), "digests")
+    first = cells.groupBy("payload_digest").agg(F.min(F.struct(F.col("page_id").isNull().alias("last"), "page_id", "cell")).alias("first"))
+    placed = join_unique(cells, materialise(first, "first"), ["payload_digest"]).drop("page_id")
+    alike = cells.count() != marked.count()
+    rows = (keyed.dropDuplicates(["page", "cell"]) if alike else keyed).join(materialise(placed, "placed"), ["page", "cell"])
+    rows = rows.withColumn("nth", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1)) if alike else F.lit(0))
+    again = ~(F.col("first.page_id").eqNullSafe(F.col("page_id")) & (F.col("first.cell") == F.col("cell"))) | (F.col("nth") > 0)
+    key = lambda cell, nth: F.concat(F.lower(F.hex(cell)), F.lit("-"), nth.cast("string"))
+    revisit = (F.col("payload_bytes") >= least) & again
+    return rows.select(
+        "page_id", "url", F.when(~revisit, F.col("payload")).alias("payload"), "payload_bytes", "payload_digest",
+        F.when(revisit, F.col("first.page_id")).alias("refers_to"), key(F.col("cell"), F.col("nth")).alias("row"),
+        F.when(revisit, key(F.col("first.cell"), F.lit(0))).alias("refers_row"),
+    )
+
+
+def mark_revisits(
+    df: DataFrame, least: int = 0, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", every_row: bool = False
+) -> DataFrame:
+    """(page_id, url, payload, payload_bytes, payload_digest, refers_to, row,
+    refers_row): of pages with equal payloads of ``least`` bytes or more the
+    smallest id is the first, and the others, with a null payload, refer to it.
+    Null html is empty.
+
+    With ``every_row`` each row is a page of its own, by the key ``row`` next to
+    its id, which may repeat or be null; among equal payloads the smallest id and
+    then key is the first, null ids last. Without it, rows that repeat an id are
+    one page, of which the row of the smallest digest is kept, and rows without an
+    id are left out; there are no keys then."""
     pages = df.select(
         F.col(id_col).cast("long").alias("page_id"), F.col(url_col).alias("url"), F.encode(F.coalesce(F.col(html_col), F.lit("")), "UTF-8").alias("payload")
-    ).filter("page_id is not null")
+    )
+    if every_row:
+        return mark_rows(pages, least)
+    pages = pages.filter("page_id is not null")
     marked = materialise(
         pages.select("page_id", F.octet_length("payload").cast("long").alias("payload_bytes"), digest_column(F.col("payload")).alias("payload_digest"),
                      F.xxhash64("url", "payload").alias("row")), "digests"
@@ -296,15 +343,16 @@ def mark_revisits(df: DataFrame, least: int = 0, id_col: str = "page_id", url_co
     rows = pages.withColumn("row", F.xxhash64("url", "payload")).dropDuplicates(["page_id", "row"]) if one.count() != marked.count() else pages.withColumn(
         "row", F.xxhash64("url", "payload")
     )
-    return rows.join(materialise(placed, "placed"), ["page_id", "row"]).drop("row").withColumn(
-        "payload", F.when(F.col("refers_to").isNull(), F.col("payload"))
-    )
+    return rows.join(materialise(placed, "placed"), ["page_id", "row"]).withColumns({
+        "payload": F.when(F.col("refers_to").isNull(), F.col("payload")), "row": F.lit(None).cast("string"), "refers_row": F.lit(None).cast("string")
+    })
 
 
-def round_trip(df: DataFrame, folder: str | None = None, least: int = 0, payloads: bool = False) -> DataFrame:
+def round_trip(df: DataFrame, folder: str | None = None, least: int = 0, payloads: bool = False, every_row: bool = False) -> DataFrame:
     """Write the pages of ``df`` (page_id, url, html) as archives into ``folder``,
-    by default a new one below the session's shared folder, and read them back."""
+    by default a new one below the session's shared folder, and read them back;
+    ``every_row`` as in ``mark_revisits``."""
     spark: SparkSession = df.sparkSession
     folder = folder or stage_path(spark, "warc")
-    archives = write_archives(mark_revisits(df, least), folder)
+    archives = write_archives(mark_revisits(df, least, every_row=every_row), folder)
     return read_archives(archives, folder, payloads)
