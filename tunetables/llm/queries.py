@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tunetables.llm import decontaminate, langid, lines, neardup, packing, quality, suffixes, tokencount, urls, warc
+from tunetables.llm import ballcodes, decontaminate, fim, langid, lines, neardup, packing, pieces, quality, suffixes, tokencount, urls, warc
 from tunetables.plans.registry import query
 
 RISK, ERROR = 0.01, 0.05
@@ -170,6 +170,93 @@ def op5_repeated_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.repeated_units(table(spark, sf_dir, "documents"), kind="line", least_words=10)
 
 
+def _codes_sql(plan: ballcodes.Plan) -> str:
+    """The rounds as steps of common table expressions, in whole numbers."""
+    steps = [f"""
+kept as (
+  select vec_id, label, list_transform(embedding, lambda x: floor(x::double * {plan.scale})::bigint) as q
+  from embeddings
+  where embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+parts as (
+  select vec_id, p, list_slice(q, p * len(q) // {plan.parts} + 1, (p + 1) * len(q) // {plan.parts}) as x
+  from kept, range({plan.parts}) as r(p)),
+book0 as (
+  select p, row_number() over (partition by p order by vec_id) - 1 as entry, x as c
+  from parts where vec_id in (select vec_id from kept order by vec_id limit {plan.entries}))"""]
+    for r in range(plan.rounds + 1):
+        steps.append(f"""
+near{r} as (
+  select vec_id, p, min((list_inner_product(list_transform(x, lambda a: a::double), list_transform(x, lambda a: a::double))
+    - 2 * list_inner_product(list_transform(x, lambda a: a::double), list_transform(c, lambda a: a::double))
+    + list_inner_product(list_transform(c, lambda a: a::double), list_transform(c, lambda a: a::double)))::bigint * 256 + entry) as best
+  from parts join book{r} using (p) group by all)""")
+        if r < plan.rounds:
+            steps.append(f"""
+mean{r} as (
+  select p, entry, list(v order by pos) as c from (
+    select p, best % 256 as entry, pos, floor(sum(v) / count(*))::bigint as v
+    from (select n.p, best, unnest(x) as v, generate_subscripts(x, 1) as pos from near{r} n join parts using (vec_id, p)) group by all)
+  group by all),
+book{r + 1} as (select p, entry, coalesce(m.c, b.c) as c from book{r} b left join mean{r} m using (p, entry))""")
+    last = plan.rounds
+    return f"""
+with {",".join(steps)},
+codes as (
+  select vec_id, string_agg(printf('%02x', best % 256), '' order by p) as code, sum(best // 256)::bigint as error from near{last} group by vec_id),
+digest as (select sha256(string_agg(array_to_string(c, ','), ',' order by p, entry)) as codebooks_sha256 from book{last})
+select vec_id, code, error, (sum(error) over (partition by label))::bigint as label_error, codebooks_sha256
+from codes join kept using (vec_id), digest"""
+
+
+CODES = ballcodes.Plan()
+
+
+@query(_codes_sql(CODES))
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    codes, book = ballcodes.compress(table(spark, sf_dir, "embeddings"), CODES)
+    return ballcodes.label_errors(codes).select(
+        F.col("id").alias("vec_id"), F.lower(F.hex("code")).alias("code"), "error", "label_error",
+        F.lit(ballcodes.digest(book.entries) if book else None).alias("codebooks_sha256"),
+    )
+
+
+@query(r"""
+with docs as (
+  select doc_id, coalesce(text, '') as text, sha256('7:' || coalesce(doc_id::varchar, '')) as h,
+    regexp_extract_all(coalesce(text, ''), '[^\n]*\n|[^\n]+') as units
+  from documents),
+cuts as (
+  select *, len(units) as n,
+    ('0x' || substr(h, 1, 8))::bigint % (len(units) + 1) as h1, ('0x' || substr(h, 9, 8))::bigint % (len(units) + 1) as h2,
+    text = '' or contains(text, '<P>') or contains(text, '<S>') or contains(text, '<M>') or ('0x' || substr(h, 17, 8))::bigint % 100 >= 100 as plain,
+    ('0x' || substr(h, 25, 8))::bigint % 100 < 50 as last
+  from docs),
+pieces as (
+  select *, array_to_string(list_slice(units, 1, least(h1, h2)), '') as prefix,
+    array_to_string(list_slice(units, least(h1, h2) + 1, greatest(h1, h2)), '') as middle,
+    array_to_string(list_slice(units, greatest(h1, h2) + 1, n), '') as suffix
+  from cuts)
+select doc_id, n, case when plain then 'plain' when last then 'spm' else 'psm' end as form,
+  case when not plain then length(prefix) end as prefix_chars, case when not plain then length(middle) end as middle_chars,
+  sha256(case when plain then text when last then '<S>' || suffix || '<P>' || prefix || '<M>' || middle
+    else '<P>' || prefix || '<S>' || suffix || '<M>' || middle end) as output_sha256,
+  sha256(text) as restored_sha256
+from pieces
+""")
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = fim.fill_in_middle(table(spark, sf_dir, "documents"), fim.Plan())
+    return made.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"),
+        F.sha2(fim.restore("output", "form"), 256).alias("restored_sha256"),
+    )
+
+
+@query()
+def op13_piece_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    encoded = pieces.encode_texts(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+    return encoded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 @query(corpus_pipeline.ORACLE_SQL)
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
