@@ -189,14 +189,11 @@ def updated(book: Codebook, written: DataFrame) -> Codebook:
     """Entries at the floor of the mean of their parts; unused ones stay. Tasks'
     totals are summed by Spark, a number for every component of the codebook
     comes back. A ball's radius grows by no more than its entry moved."""
-    totals = written.filter("part is not null").select("part", "entry", "n", "sums", "far")
-    whole = totals.groupBy("part", "entry").agg(F.sum("n").alias("n"), F.max("far").alias("far"))
-    place = totals.select("part", "entry", F.posexplode("sums").alias("at", "value")).groupBy("part", "entry", "at").agg(F.sum("value").alias("value"))
+    totals = written.filter("part is not null").select("part", "entry", "n", "far", F.posexplode("sums").alias("at", "value"))
+    whole = totals.groupBy("part", "entry", "at").agg(F.sum("value").alias("value"), F.sum("n").alias("n"), F.max("far").alias("far"))
     sums, n, far = np.zeros(book.entries.shape, np.int64), np.zeros(book.entries.shape[:2], np.int64), np.zeros(book.entries.shape[:2], np.int64)
-    for r in whole.collect():  # parts x entries rows
-        n[r.part, r.entry], far[r.part, r.entry] = r.n, r.far
-    for r in place.collect():  # parts x entries x components of a part
-        sums[r.part, r.entry, r["at"]] = r.value
+    for r in whole.collect():  # parts x entries x components of a part
+        sums[r.part, r.entry, r["at"]], n[r.part, r.entry], far[r.part, r.entry] = r.value, r.n, r.far
     used = n > 0
     entries = book.entries.copy()
     entries[used] = sums[used] // n[used][:, None]
