@@ -185,8 +185,10 @@ def test_repeated_bytes_equal_brute_force(spark, monkeypatch, runs, batches):
 def test_repeated_bytes_table_cases(spark):
     long = "".join(random.Random(2).choice("abcdef") for _ in range(300))
     df = spark.createDataFrame([(1, long), (1, long), (None, "x" + long), (2, None)], "doc_id long, text string")
+    tables = spark.catalog.listTables()
     got = Counter((r.doc_id, r.n_removed) for r in suffixes.remove_repeats(df, 120).collect())
     assert got == Counter({(1, 300): 2, (None, 300): 1, (2, 0): 1})
+    assert spark.catalog.listTables() == tables
     assert suffixes.remove_repeats(df.limit(0), 120).count() == 0
 
 
@@ -194,6 +196,8 @@ def test_cut_texts_keep_whole_characters_and_columns(spark):
     shared = "é" * 3 + "".join(random.Random(2).choice("abcdefé") for _ in range(200)) + "é" * 3
     df = spark.createDataFrame([(1, "à" + shared + "1", "p", 9), (2, "è" + shared + "2", "q", 9), (3, None, None, None)], "doc_id long, text string, uid string, n long")
     rows = {r.doc_id: r for r in suffixes.cut_texts(df, 120, 2).collect()}
+    cut = suffixes.remove_repeats(df, 120, 2, whole=True)
+    assert {r.doc_id: (r.text, r.kept and len(r.kept)) for r in cut.collect()} == {1: ("à1", 3), 2: ("è2", 3), 3: (None, None)}
     # the second bytes of à and è differ, so only whole characters of the shared part go
     assert {d: (r.text, r.uid, r.n) for d, r in rows.items()} == {1: ("à1", "p", 9), 2: ("è2", "q", 9), 3: (None, None, None)}
 

@@ -185,6 +185,30 @@ def test_repeated_lines_cases(spark):
     kept = {(r.doc_id, r.text) for r in lines.without_repeats(df, out).collect()}
     assert kept == {(3, "x\n"), (1, f"{line.upper()}\nshort\n"), (2, None), (4, ""), (None, "é\n")}
     assert lines.repeated_units(df.limit(0)).count() == 0
+    assert lines.without_repeats(df.limit(0), out).count() == 0
+
+
+def test_two_texts_of_one_id_are_cut_apart(spark):
+    a, b = ("%s two three four five six seven eight nine ten" % w for w in ("one", "won"))
+    rows = [(1, f"{a}\nx"), (1, f"{b}\n{a}"), (2, f"{b}\ny"), (2, f"{a}\ny"), (2, f"{a}\ny")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = Counter(r.text for r in lines.without_repeats(df, lines.repeated_units(df)).collect())
+    assert got == Counter([f"{a}\nx", f"{b}\n", "y", "y", "y"])
+
+
+def test_lines_without_spaces_are_not_one_word(spark):
+    line = "文" * 18
+    df = spark.createDataFrame([(1, f"{line}\na"), (2, f"b\n{line}"), (3, "字" * 17), (4, "字" * 17), (5, "x" * 99), (6, "x" * 99)], "doc_id long, text string")
+    assert [(r.doc_id, r.start, r.stop) for r in lines.repeated_units(df).collect()] == [(2, 2, 20)]
+
+
+def test_a_line_of_a_third_of_all_rows_and_a_very_long_text(spark):
+    line = "one two three four five six seven eight nine ten"
+    rows = [(i, f"{i}\n{line}") for i in range(300)] + [(999, "\n".join([line] * 40_000))]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = {r.doc_id: r.text for r in lines.without_repeats(df, lines.repeated_units(df)).collect()}
+    assert kept.pop(0) == f"0\n{line}" and kept.pop(999) == ""
+    assert kept == {i: f"{i}\n" for i in range(1, 300)}
 
 
 def test_repeated_paragraphs(spark):

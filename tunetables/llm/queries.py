@@ -58,8 +58,8 @@ def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def op6_repeated_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = suffixes.remove_repeats(table(spark, sf_dir, "documents"), length=400, batches=3)
-    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+    found = suffixes.remove_repeats(table(spark, sf_dir, "documents"), length=400, batches=3, whole=True)
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "text")
 
 
 _GAP = r"[\x20\x09-\x0D]+"
@@ -163,11 +163,23 @@ ranked as (
   select *, count(*) over (partition by plain) as copies, row_number() over (partition by plain order by doc_id, unit) as nth,
     first_value(doc_id) over (partition by plain order by doc_id, unit) as first_doc_id,
     first_value(unit) over (partition by plain order by doc_id, unit) as first_unit
-  from placed where plain <> '' and len(string_split(plain, ' ')) >= 10)
-select doc_id, unit, start, start + length(line) as stop, copies, first_doc_id, first_unit from ranked where nth > 1
+  from placed where plain <> '' and len(string_split(plain, ' ')) +
+    len(regexp_extract_all(plain, '[\x{0e00}-\x{0eff}\x{1000}-\x{109f}\x{1780}-\x{17ff}\x{3040}-\x{30ff}\x{3400}-\x{9fff}]')) // 2 >= 10),
+gone as (select *, start + length(line) as stop from ranked where nth > 1),
+spans as (
+  select doc_id, count(*) as n_removed, string_agg(format('{}-{}:{}.{}', start, stop, first_doc_id, first_unit), ',' order by start) as removed
+  from gone group by doc_id),
+left_over as (
+  select doc_id, string_agg(case when g.unit is null then p.line || case when p.unit < last then chr(10) else '' end else '' end, '' order by p.unit) as text
+  from (select *, max(unit) over (partition by doc_id) as last from placed) p left join gone g using (doc_id, unit) group by doc_id)
+select d.doc_id, coalesce(n_removed, 0) as n_removed, coalesce(removed, '') as removed, case when d.text is not null then l.text end as text
+from documents d left join spans using (doc_id) left join left_over l using (doc_id)
 """)
 def op5_repeated_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lines.repeated_units(table(spark, sf_dir, "documents"), kind="line", least_words=10)
+    docs = table(spark, sf_dir, "documents")
+    left = lines.without_repeats(docs, lines.repeated_units(docs, kind="line", least_words=10))
+    places = F.transform("removed", lambda s: F.format_string("%d-%d:%d.%d", s["start"], s["stop"], s["first"], s["first_unit"]))
+    return left.select("doc_id", F.size("removed").cast("long").alias("n_removed"), F.array_join(places, ",").alias("removed"), "text")
 
 
 def _codes_sql(plan: ballcodes.Plan) -> str:

@@ -337,6 +337,7 @@ def repeated_spans(
     name, buckets = f"rows_{stage_path(spark, 'x').rsplit('-', 1)[1]}", int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows.write.bucketBy(buckets, "uid").option("path", stage_path(spark, "rows")).saveAsTable(name)
     rows = spark.table(name)
+    spark.sql(f"drop table {name}")  # the name only: the files lie under the path and are read from there
     members = rows.select("uid", F.explode("open").alias("o"), "text").select("uid", "o.*", "text").withColumn(
         "context", F.substring(F.encode("text", "UTF-8"), F.get("at", 0) - F.col("lo") + 1, F.col("lo") - F.col("hi") + length)
     )
@@ -367,25 +368,29 @@ def _merged(spans: list[dict]) -> list[tuple[int, int]]:
     return [(s, e) for s, e in out]
 
 
-def remove_repeats(df: DataFrame, length: int = 400, batches: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def remove_repeats(
+    df: DataFrame, length: int = 400, batches: int = 3, id_col: str = "doc_id", text_col: str = "text", whole: bool = False
+) -> DataFrame:
     """(id, n_bytes, n_removed, n_spans, kept_sha256, kept, removed) for each row of
     ``df``: every byte covered by a ``length``-byte string that also starts anywhere
     else is removed, judged on the input; ``kept`` holds the remaining bytes of the
-    touched texts (null: the text is whole) and ``removed`` the (s, e) spans.
+    touched texts (null: the text is whole) and ``removed`` the (s, e) spans. With
+    ``whole`` there is a ``text`` too: that of every row without the characters that
+    lie wholly in the spans, null if it was null.
 
     Null texts are empty. Equal rows repeat each other like any two texts. Other
     columns are not read; an empty table gives no rows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            removed, count, sha, kept, where = [], [], [], [], []
+            removed, count, sha, kept, where, texts = [], [], [], [], [], []
             for text, digest, spans in zip(*(batch.column(c).to_pylist() for c in ("text", "sha", "spans")), strict=True):
                 merged = _merged(spans)
                 removed.append(sum(e - s for s, e in merged))
                 count.append(len(merged))
                 where.append([{"s": s, "e": e} for s, e in merged])
                 if digest is not None or text is None:
-                    sha.append(digest), kept.append(None)
+                    sha.append(digest), kept.append(None), texts.append(text)
                     continue
                 raw, at, parts = text.encode(), 0, []
                 for s, e in merged:
@@ -395,15 +400,16 @@ def remove_repeats(df: DataFrame, length: int = 400, batches: int = 3, id_col: s
                 left = b"".join(parts)
                 sha.append(hashlib.sha256(left).hexdigest())
                 kept.append(left if merged else None)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("id"), batch.column("n_bytes"), pa.array(removed, pa.int64()), pa.array(count, pa.int64()),
-                 pa.array(sha, pa.string()), pa.array(kept, pa.binary()), pa.array(where, _SPANS)],
-                ["id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept", "removed"],
-            )
+                texts.append(whole_characters(raw, merged).decode() if whole else None)
+            columns = [batch.column("id"), batch.column("n_bytes"), pa.array(removed, pa.int64()), pa.array(count, pa.int64()),
+                       pa.array(sha, pa.string()), pa.array(kept, pa.binary()), pa.array(where, _SPANS), pa.array(texts, pa.string())]
+            yield pa.RecordBatch.from_arrays(columns[: len(names)], names)
 
     kind = df.schema[id_col].dataType.simpleString()
     schema = f"id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary, removed array<struct<s: int, e: int>>"
-    found = repeated_spans(df, length, batches, id_col, text_col)
+    schema += ", text string" if whole else ""
+    names = ["id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept", "removed", *(["text"] if whole else [])]
+    found = repeated_spans(df.select(id_col, text_col), length, batches, id_col, text_col, whole)
     return found.select("id", "n_bytes", "text", "sha", "spans").mapInArrow(run, schema).withColumnRenamed("id", id_col)
 
 
