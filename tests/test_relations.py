@@ -58,10 +58,10 @@ def edited(rng, text, edits):
 
 
 def test_similar_values_equal_brute_force(spark):
-    for least, seed in ((0.95, 1), (0.85, 2), (0.7, 3)):
+    for least, seed in ((0.95, 1), (0.85, 2), (0.8, 4), (0.7, 3)):
         rng = random.Random(seed)
         bases = ["".join(rng.choice("abcdefgh é") for _ in range(rng.randint(1, 60))) for _ in range(25)]
-        texts = [edited(rng, b, rng.randint(0, 6)) for b in bases for _ in range(5)] + ["a", "b", "", "", bases[0], bases[0]]
+        texts = [edited(rng, b, rng.randint(0, 6)) for b in bases for _ in range(5)] + ["a", "b", "", "", "abc", "ac", bases[0], bases[0]]
         df = spark.createDataFrame([(t,) for t in [*texts, None]], "line string")
         got = {(r.value, r.other): (r.copies, r.other_copies, round(r.similarity, 9)) for r in S.similar_values(df, "line", least).collect()}
         want = {}

@@ -44,8 +44,9 @@ def unmatched(length: int, least: float) -> int:
 
 
 def gram_size(least: float) -> int:
-    """Longer grams are rarer, but too many of them may be spoilt."""
-    return 3 if least >= 0.9 else 2 if least >= 0.8 else 1
+    """Longer grams are rarer, but too many of them may be spoilt: at 0.8 both
+    pairs of three characters are, if the middle one goes."""
+    return 3 if least >= 0.9 else 2 if least >= 0.81 else 1
 
 
 def _hashes(raw: np.ndarray, size: int) -> np.ndarray:
