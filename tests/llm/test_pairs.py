@@ -123,14 +123,22 @@ def test_contained_items_equal_brute_force(spark):
             at = rng.randint(0, len(w))
             w[at:at] = part
         docs.append(" ".join(w))
-    docs += ["a b", "A B", None, "", docs[0]]
+    items += [items[3].upper().replace(" ", "  "), "这是一个很短的测试", "天气", "alpha beta gamma"]
+    docs += ["a b", "A B", None, "", docs[0], "x a b y " * 3, "a c b", "前面这是一个很短的测试后面", "今天天气好 and alpha\nBETA gamma too", "alpha beta"]
+
+    def apart(text):
+        return re.sub("([\u4e00-\u9fff])", r" \1 ", text or "")
+
     want = set()
     for d, text in enumerate(docs):
-        own = shingle_set(text, 5)
-        for i, item in enumerate(items[:-1]):
-            s = shingle_set(item, 5)
+        for i, item in enumerate(items):
+            s = shingle_set(apart(item), 5)
+            own = shingle_set(apart(text), min(5, len(apart(item).split())))
             if s and 100 * len(s & own) >= 80 * len(s):
                 want.add((d, i, len(s), len(s & own)))
+    pairs = {x[:2] for x in want}
+    assert {(d, 11) for d, i in pairs if i == 2} | {(d, 12) for d, i in pairs if i == 3} <= pairs
+    assert {(155, 10), (157, 13), (158, 14), (158, 15)} <= pairs and not {(156, 10), (159, 15)} & pairs
     df = spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string").withColumn("item_id", F.lit("x"))
     bench = spark.createDataFrame([*enumerate(items), (None, items[0])], "item_id long, text string")
     for more_passes in (False, True):
@@ -142,7 +150,16 @@ def test_contained_items_equal_brute_force(spark):
     assert decontaminate.contained_items(df, bench.limit(0)).count() == 0
     assert decontaminate.contained_items(df.limit(0), bench).count() == 0
     members = {(r.item_id, r.class_id) for r in decontaminate.item_classes(bench, 5, "item_id", "text").collect()}
-    assert (len(items) - 1, 2) in members
+    assert (11, 2) in members and (12, 3) in members
+    named = decontaminate.contained_items(df, bench.withColumn("item_id", F.concat(F.lit("i"), "item_id")), least_words=5)
+    assert {(r.doc_id, r.item_id) for r in named.collect()} == {(d, f"i{i}") for d, i in pairs if i not in (6, 10, 14, 15)}
+
+
+def test_signatures_of_large_disjoint_sets_differ(spark):
+    texts = [(k, " ".join(f"{k}w{i}" for i in range(20_000))) for k in range(2)]
+    plan = neardup.Plan(3, 85, 6)
+    a, b = (np.frombuffer(r.sig, "<u2") for r in neardup.sketch(spark.createDataFrame(texts, "doc_id long, text string"), plan, "doc_id", "text").collect())
+    assert (a == b).mean() < 0.02
 
 
 def plain_removal(texts, length):

@@ -233,3 +233,12 @@ def test_letters_are_unicode_letters():
     for i in random.Random(3).sample(range(0x110000), 2000):
         assert alpha[i] == unicodedata.category(chr(i)).startswith("L")
         assert lower[i] == i or chr(int(lower[i])) == chr(i).lower()
+
+
+def test_a_language_of_copies_is_learned_from(spark):
+    docs = spark.range(40_000).select(
+        F.when(F.col("id") < 39_000, "copies").otherwise("texts").alias("lang"),
+        F.concat(F.lit("text "), F.when(F.col("id") < 39_000, F.col("id") % 15).otherwise(F.col("id"))).alias("text"),
+    )
+    got = {r.lang: r["count"] for r in langid.training_sample(docs, "lang", "text", 10).groupBy("lang").count().collect()}
+    assert got == {"copies": 10, "texts": 10}

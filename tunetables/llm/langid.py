@@ -99,11 +99,13 @@ def cluster(x: np.ndarray, k: int, rounds: int = 10) -> np.ndarray:
 
 def training_sample(df: DataFrame, lang_col: str, text_col: str, per_language: int) -> DataFrame:
     """(lang, text): at most ``per_language`` distinct labelled texts of a language,
-    those with the lowest hashes. Counts thin the rows out before they are ranked."""
+    those with the lowest hashes. Counts of distinct texts thin them out before they are
+    ranked."""
     rows = df.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text")).filter(
         "lang is not null and text is not null"
     ).withColumn("h", F.xxhash64("text"))
-    sizes = rows.groupBy("lang").agg(F.count("*").alias("n"))
+    # a language may be made of copies: what counts is its distinct texts
+    sizes = rows.select("lang", "h").distinct().groupBy("lang").agg(F.count("*").alias("n"))
     # three times the share, out of 2**20 hash cells: fewer rows than asked for is all but impossible
     share = F.lit(float(3 * per_language * (1 << 20))) / F.col("n")
     thin = rows.join(F.broadcast(sizes) if sizes.count() <= 10_000 else sizes, "lang").filter(

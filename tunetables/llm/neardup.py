@@ -115,7 +115,8 @@ def sketch(df: DataFrame, plan: Plan, id_col: str, text_col: str) -> DataFrame:
                     for j in range(plan.rows):
                         key = mix(key + rows[:, j])
                     same.append(xxhash.xxh3_128_digest(s))
-                    sig.append((full >> U(48)).astype("<u2").tobytes())
+                    # a minimum's high bits are small in large sets, whatever the sets
+                    sig.append((mix(full) & U(0xFFFF)).astype("<u2").tobytes())
                     bands.append(signed(key))
                 else:
                     same.append(None), sig.append(None), bands.append(None)
