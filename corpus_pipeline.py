@@ -10,7 +10,8 @@ and read again before the next.
 3. repeated_bytes: bytes covered by a 250-byte string that starts elsewhere too, or
    by 51 words that stand elsewhere too, are cut from the texts, whole characters at
    a time; n_chars follows.
-4. decontaminate: documents holding 0.8 of a benchmark item's five-word shingles go.
+4. decontaminate: documents holding 0.8 of a benchmark item's five-word shingles go;
+   items of fewer words are not looked for, as clean documents may well hold them.
 5. pack: the pieces of the remaining texts, placed in sequences of 2048 tokens.
 
 Rows with null ids or texts pass through each stage by its operator's rules: a text
@@ -57,7 +58,7 @@ def repeated_bytes(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ship(spark)
     rows = docs.select(*COLUMNS).withColumn("_row", F.xxhash64("doc_id", "text"))
-    found = decontaminate.contained_items(rows, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), id_col="_row")
+    found = decontaminate.contained_items(rows, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), id_col="_row", least_words=5)
     return rows.join(found.select("_row").distinct(), "_row", "left_anti").select(*COLUMNS)
 
 
