@@ -144,3 +144,13 @@ def test_weighted_mixture(spark):
     assert {r.extra: r.n for r in out.groupBy("extra").agg(F.count("*").alias("n")).collect()} == {None: 30, 1: 10}
     with pytest.raises(ValueError):
         M.weighted_mixture([M.Source(frame(spark, 5), 0.0)], "k", 1)
+
+
+def test_equal_rows_split_and_number_exactly(spark):
+    same = spark.range(9000, numPartitions=4).select(F.lit("k").alias("key"), F.lit(1).alias("v"))
+    df = same.unionByName(spark.range(1000).select(F.col("id").cast("string").alias("key"), F.col("id").cast("int").alias("v")))
+    flagged = M.with_split_flag(df, "key", 0.5, 3)
+    plan = flagged._jdf.queryExecution().toString()
+    assert "row_number" not in plan and flagged.where("is_val").count() == 5000 and flagged.count() == 10_000
+    at = M.hash_index(df, "key", 3)
+    assert sorted(r.idx for r in at.select("idx").collect()) == list(range(10_000))

@@ -5,6 +5,9 @@ import random
 from difflib import SequenceMatcher
 from itertools import combinations
 
+from pyspark.sql import functions as F
+
+from tunetables.operators import matching as G
 from tunetables.operators import similar as S
 from tunetables.operators.leaves import json_leaves
 
@@ -77,3 +80,39 @@ def test_few_pairs_are_compared(spark):
     texts = {"".join(rng.choice("abcdefghijklmnop ") for _ in range(rng.randint(30, 60))) for _ in range(600)}
     df = spark.createDataFrame(list(enumerate(texts)), "id int, text string")
     assert S.candidates(df, 0.95).count() < len(texts) ** 2 / 20
+
+
+def plain_matches(rows, least):
+    """Pairs of each group in the greedy order, the similarity taken from the lesser text."""
+    out = []
+    for group in {r[0] for r in rows}:
+        sides = {s: sorted((i, t) for g, side, i, t in rows if g == group and side == s and t is not None and i is not None) for s in ("gold", "pred")}
+        found = []
+        for a, (i, t) in enumerate(sides["gold"]):
+            for b, (j, u) in enumerate(sides["pred"]):
+                score = SequenceMatcher(None, min(t, u), max(t, u)).ratio()
+                if score >= least:
+                    found.append((-score, i, t, j, u, a, b))
+        gone = set()
+        for s, i, _, j, _, a, b in sorted(found):
+            if (0, a) not in gone and (1, b) not in gone:
+                gone |= {(0, a), (1, b)}
+                out.append((group, i, j, round(-s, 9)))
+    return sorted(out, key=str)
+
+
+def test_greedy_matches_equal_a_plain_loop(spark, monkeypatch):
+    monkeypatch.setattr(G, "BLOCK", 7)
+    counts = []
+    inner = G.match_classes
+    monkeypatch.setattr(G, "match_classes", lambda *a: counts.append(inner(*a)) or counts[-1])
+    rng = random.Random(8)
+    words = ["aaaaaaaaaa", "aaaaaaaaab", "aaaaaaaabb", "baaaaaaaab", "aaaaaaaaba"] + ["".join(rng.choice("abcdefgh") for _ in range(12)) for _ in range(6)]
+    rows = [(rng.choice(["hot", "hot", "x", "y", None]), rng.choice(["gold", "pred"]), i // 2, edited(rng, rng.choice(words), rng.randint(0, 1))) for i in range(260)]
+    rows += [("hot", "gold", 500 + i, words[0]) for i in range(90)] + [("hot", "pred", 500 + i, words[2]) for i in range(60)]
+    rows += [("x", "gold", None, "q"), ("x", "pred", 3, None), ("x", "other", 3, words[0]), rows[0], rows[0]]
+    df = spark.createDataFrame(rows, "group string, side string, index long, text string").withColumn("key", F.lit("z"))
+    got = sorted(((r.group, r.gold, r.prediction, round(r.similarity, 9)) for r in G.greedy_matches(df, 0.8).collect()), key=str)
+    assert got == plain_matches(rows, 0.8)
+    assert len({x[3] for x in got}) > 2 and counts[0][1] < len([x for x in got if x[3] < 1]) / 2
+    assert G.greedy_matches(df.limit(0), 0.8).count() == 0

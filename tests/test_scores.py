@@ -510,6 +510,9 @@ def test_equation(spark):
     sizes = {"(3-2)**9999": 1, "2**5000/2**4999": 2, "(1-2)**(9**99)": -1, "0**(9**9**9)": 0, "9**9**9/9**9**9": 1, "9**9**9//3**(2*9**9)": 1, "9**9**9-9**9**9+4": 4,
              "2**300000//2**299990": 1024, "3**400000-3**400000": 0, "2**(0-5000)": 0.0, "10**400": None, "1.5*2**5000": None, "0**(0-1)": None, "9**9**9**9": None}
     assert {t: evaluate(t) for t in sizes} == sizes
+    cancelled = {"2**300000-(2**300000-1)": 1, "(2**300000+5)-2**300000": 5, "2**521000-2**520479": None, "(2**300000-1)//2**300000": 0, "(0-2**300000)//2**600000": -1,
+                 "(2**300000*3+2)//2**300000": 3, "(1-2)**(3**400000)": -1, "(1-2)**(2**400000)": 1, "(9**9**9+7)-(9**9**9-2**90)": 7 + 2**90}
+    assert {t: evaluate(t) for t in cancelled} == cancelled
     rows = [("2*(3+4)*1", 14.0, [1, 2, 3, 4], 1.0), ("(3+4)*2", 14.0, [2, 3, 4], 0.0), ("3+4", 7.0, [3, 3], 0.0), ("3+4 = 7", 7.0, [3, 4], 0.0), ("answer: 4+3", 7.0, [3, 4], 1.0), ("3+4", 8.0, [3, 4], 0.0), ("3+4", None, [3, 4], None)]
     df = spark.createDataFrame([("equation", *r) for r in rows], "category string, completion string, target double, numbers array<int>, want double")
     assert [(r.equation_reward, r.want) for r in R.score_equation(df).collect()] == [(r[3], r[3]) for r in rows]

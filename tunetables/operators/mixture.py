@@ -111,15 +111,12 @@ def sample_exact(df: DataFrame, n: int, key: str, seed: int) -> DataFrame:
 
 
 def hash_index(df: DataFrame, key: str, seed: int, name: str = "idx") -> DataFrame:
-    """Dense 0-based index in hash order: a shuffle on hash buckets, and the small
-    histogram for the offsets. Keys may repeat or be null; the rows of a key share
-    a bucket, in the order of their own hashes."""
-    token = order_token(key, seed)
-    hist = _histogram(df.select(token.alias("t"))).select(F.col("bucket").alias("_b"), "before")
-    rows = df.withColumn("_t", token).withColumn("_b", _bucket(F.col("_t")))
-    at = F.row_number().over(W.partitionBy("_b").orderBy("_t", row_token(df)))
-    rows = rows.withColumn("_at", at).join(F.broadcast(hist), "_b")  # <= 65,536 rows
-    return rows.withColumn(name, (F.col("before") + F.col("_at") - 1).cast("bigint")).drop("_b", "_t", "_at", "before")
+    """Dense 0-based index in hash order. Keys may repeat or be null: the rows of a key
+    follow in the order of their own hashes, and rows equal in every column, which are
+    interchangeable, in that of a salt. So no key and no row is too frequent for the
+    ranges of the sort."""
+    rows = df.withColumn("_t", order_token(key, seed)).withColumn("_r", row_token(df)).withColumn("_s", F.xxhash64(F.monotonically_increasing_id()))
+    return ordered_index(rows, "_t", "_r", "_s", name=name).drop("_t", "_r", "_s")
 
 
 def ordered_index(df: DataFrame, *order: str | Column, name: str = "idx") -> DataFrame:
@@ -129,7 +126,13 @@ def ordered_index(df: DataFrame, *order: str | Column, name: str = "idx") -> Dat
     sample, so a second run could cut elsewhere), then the row counts of its
     partitions give the offsets.
     """
-    at = materialise(df.orderBy(*order).withColumn("_at", F.monotonically_increasing_id()), "ordered")
+    return numbered(df.orderBy(*order), name)
+
+
+def numbered(df: DataFrame, name: str) -> DataFrame:
+    """Dense 0-based index in the order the rows come in: they are written once, and
+    the row counts of the partitions give the offsets."""
+    at = materialise(df.withColumn("_at", F.monotonically_increasing_id()), "ordered")
     part = F.shiftright("_at", 33)
     per = at.groupBy(part.alias("_p")).agg(F.count("*").alias("n"))
     running = F.sum("n").over(W.orderBy("_p").rowsBetween(W.unboundedPreceding, W.currentRow))
@@ -233,8 +236,7 @@ def with_split_flag(df: DataFrame, key: str, ratio: float, seed: int, name: str
         return flagged
     # rows that are equal in every column: so many of them on either side
     tied = _at(df, cut, key, seed)
-    place = F.row_number().over(W.partitionBy(F.lit(0)).orderBy(F.lit(0)))
-    edge = df.where(tied).withColumn(name, place <= cut.equal)
+    edge = numbered(df.where(tied), "_nth").withColumn(name, F.col("_nth") < cut.equal).drop("_nth")
     return flagged.where(~tied).unionByName(edge)
 
 

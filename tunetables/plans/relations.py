@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tunetables.operators.leaves import json_leaves
+from tunetables.operators.matching import greedy_matches
 from tunetables.operators.similar import similar_values
 from tunetables.plans import fixtures as X
 from tunetables.plans.registry import query
@@ -43,3 +44,15 @@ def similar_part_names(spark: SparkSession, sf: str) -> DataFrame:
     """Pairs of different part names whose characters match to 0.8, with how often each occurs."""
     found = similar_values(X.table(spark, sf, "part"), "p_name", 0.8)
     return found.withColumn("similarity", F.round("similarity", 6))
+
+
+@query()
+def greedy_part_matches(spark: SparkSession, sf: str) -> DataFrame:
+    """Parts of odd and even keys matched one to one by their names, within brands and
+    one group that holds a third of all parts."""
+    key = F.col("p_partkey")
+    parts = X.table(spark, sf, "part").select(
+        F.when(key % 3 == 0, "mixed").otherwise(F.col("p_brand")).alias("group"),
+        F.when(key % 2 == 0, "gold").otherwise("pred").alias("side"), key.alias("index"), F.col("p_name").alias("text"),
+    )
+    return greedy_matches(parts, 0.8).withColumn("similarity", F.round("similarity", 6))
