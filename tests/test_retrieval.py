@@ -165,3 +165,38 @@ def test_hot_snippets_are_split(spark):
     runs = spark.createDataFrame([("print(1)", "success", "1")], "snippet string, status string, stdout string")
     got = W.score_code(df, runs).groupBy("code_execution_reward").count().collect()
     assert sorted(map(tuple, got)) == [(-0.0, 30), (1.0, 270)]
+
+
+@pytest.mark.parametrize("options", [{}, {"cell_rows": 9}])
+def test_a_query_is_sent_to_one_task_only(spark, monkeypatch, options):
+    """Neither cells nor blocks multiply the rows of the queries."""
+    q, qr = vectors(spark, 40, "qid", "vector", 1)
+    i, ir = vectors(spark, 90, "item_id", "embedding", 2, 5)
+    sent, product = [], R._product
+    monkeypatch.setattr(R, "_product", lambda left, *rest, **more: sent.append(left.count()) or product(left, *rest, **more))
+    got = {}
+    for r in R.knn(q, i, 7, small_query_bytes=0, query_block=10, item_block=10, **options).orderBy("qid", "rank").collect():
+        got.setdefault(r.qid, []).append(r.item_id)
+    assert got == brute(qr, ir, 7) and sent and set(sent) == {40}
+
+
+def test_best_items_are_kept_over_many_chunks():
+    rng = np.random.default_rng(3)
+    q, m = (np.round(rng.normal(size=(n, 4)), 1) for n in (9, 700))
+    longest = np.linalg.norm(m, axis=1).max()
+    best = R._Best(q, 6, longest)
+    best.limit = 60
+    for a in range(0, 700, 5):
+        best.add(np.arange(a, min(a + 5, 700)), np.zeros(5, bool), m[a : a + 5], (m[a : a + 5] / longest).astype(np.float32))
+    row, _, ids, *_ = best.found()
+    want = brute(list(enumerate(q)), list(enumerate(m)), 6)
+    places = lambda x, w: np.round(q[x] @ m[w].T / (np.linalg.norm(q[x]) * longest), 7).tolist()
+    assert {x: places(x, ids[row == x]) for x in range(9)} == {x: places(x, want[x]) for x in range(9)}
+
+
+def test_repeated_queries_are_one(spark):
+    q, _ = vectors(spark, 3, "qid", "vector", 1)
+    i, _ = vectors(spark, 20, "item_id", "embedding", 2)
+    for options in ({"item_block": 5}, {"cell_rows": 4}):
+        found = R.knn(q.unionAll(q), i.unionAll(i), 4, small_query_bytes=0, **options).groupBy("qid").agg(F.count("*").alias("n"), F.countDistinct("item_id").alias("items")).collect()
+        assert [(r.n, r["items"]) for r in found] == [(4, 1)] * 3

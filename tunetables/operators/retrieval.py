@@ -3,15 +3,16 @@
 Top-k is exact in all three forms of the search:
 
 * a query set whose vectors are proven small is sent to the item tasks;
-* otherwise items and queries are hashed into blocks of bounded size, each pair
-  of blocks is one task's matrix product, and only k rows per query and item
-  block leave it;
+* otherwise queries are hashed into blocks of bounded size, and the items stream
+  through every block, which keeps the k best of each query as it goes. Only k
+  rows per query leave it, and no task holds more than its block;
 * item sets large enough for it are cut into cells around sample vectors. For a
   cell of centre p and radius r no item scores above q.p + |q| r, so a first
   search of the nearest cells gives every query a bar, and only cells that can
-  pass the bar are searched. Cells are split into blocks of bounded size.
+  pass the bar of a query are sent to its block and multiplied with its group.
 
-Blocks are cut by a hash of the id, so copies of one vector spread evenly.
+Products are taken in single precision and only tell which items may be among
+the k best, with room for their rounding; those are scored in double precision.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ import math
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -34,40 +35,81 @@ from tunetables.operators.staging import materialise
 #: scores are compared in single precision: digits kept of a score as a share of
 #: the largest that the query's norm and the items' largest norm allow
 DIGITS = 7
-#: vectors that a block holds, in bytes of doubles
-BLOCK_BYTES = 64 << 20
+#: what a query block holds, in bytes: vectors and the best items so far
+BLOCK_BYTES = 256 << 20
 SMALL_QUERY_BYTES = 32 << 20
+#: queries multiplied at once, and items
+GROUP_ROWS = 512
+CHUNK_ROWS = 8192
+#: query blocks a core gets at least, so that cores end together
+BLOCKS_PER_CORE = 3
 #: items per cell aimed at, and the bytes of centres that every task holds
 CELL_ROWS = 4_000
 CENTRE_BYTES = 64 << 20
-
-
-def _top(qids, qmat: np.ndarray, ids, mat: np.ndarray, k: int, longest: float) -> Iterator[pd.DataFrame]:
-    """k best items per query in this block, best first, ties by item id. ``place``
-    is the rounded share that ranks, ``longest`` the items' largest norm."""
-    order = np.argsort(ids, kind="stable")
-    ids, mat = ids[order], mat[order]  # position order is id order from here on
-    step = max(1, 4_000_000 // max(1, len(ids)))
-    for at in range(0, len(qids), step):
-        part = qmat[at : at + step]
-        scores = part @ mat.T
-        places = np.round(scores / _reach(part, longest)[:, None], DIGITS)
-        out_q, out_i, out_s, out_p = [], [], [], []
-        for qid, score, row in zip(qids[at : at + step], scores, places):
-            if len(row) > k:
-                bar = np.partition(row, len(row) - k)[len(row) - k]
-                at_bar = np.flatnonzero(row == bar)
-                above = np.flatnonzero(row > bar)
-                best = np.concatenate([above, at_bar[: k - len(above)]])
-            else:
-                best = np.arange(len(row))
-            out_q.append(np.repeat(np.asarray([qid], dtype=qids.dtype), len(best)))
-            out_i.append(ids[best])
-            out_s.append(score[best])
-            out_p.append(row[best])
-        yield pd.DataFrame(
-            {"qid": np.concatenate(out_q), "item_id": np.concatenate(out_i), "score": np.concatenate(out_s), "place": np.concatenate(out_p)}
-        )
+#: numbers in a temporary matrix
+CELLS_AT_ONCE = 4 << 20
+#: shares as whole numbers, and the bits they take beside a row's number
+_UNITS = 10**DIGITS
+_BITS = 26
+
+
+class _Best:
+    """The k best items of a group of queries, best first, ties by item id, over
+    as many chunks of items as are added. ``longest`` is the items' largest norm;
+    ``bar`` a share that the k-th best is known to reach."""
+
+    def __init__(self, mat: np.ndarray, k: int, longest: float, bar: np.ndarray | None = None):
+        norm = np.linalg.norm(mat, axis=1)
+        self.mat, self.k, self.reach, self.norm = mat, k, _reach(mat, longest), norm
+        able = norm * longest > 0
+        self.unit = np.where(able[:, None], mat / np.where(able, norm, 1.0)[:, None], 0.0).astype(np.float32)
+        self.slack = 6e-8 * (mat.shape[1] + 4) + 1.0 / _UNITS
+        self.bar = np.full(len(mat), -np.inf) if bar is None else bar - self.slack
+        self.rows: list[tuple] = []  # key (row, then share downwards), score, id, whether the id is null
+        self.pooled, self.limit = 0, 2 * len(mat) * k + (1 << 16)
+
+    def add(self, ids: np.ndarray, null: np.ndarray, mat: np.ndarray, unit: np.ndarray) -> None:
+        n = len(ids)
+        share = self.unit @ unit.T
+        if n > self.k and np.isneginf(self.bar).any():
+            seen = np.partition(share, n - self.k, axis=1)[:, n - self.k].astype(np.float64) - 2 * self.slack
+            self.bar = np.fmax(self.bar, seen)
+        low = np.nextafter(self.bar.astype(np.float32), np.float32(-np.inf))
+        at = np.flatnonzero(share >= low[:, None])
+        step = max(1, CELLS_AT_ONCE // max(1, mat.shape[1]))
+        for a in range(0, len(at), step):
+            row, col = np.divmod(at[a : a + step], n)
+            score = np.einsum("ij,ij->i", self.mat[row], mat[col])
+            place = np.rint(score / self.reach[row] * _UNITS).astype(np.int64)
+            self.rows.append(((row << _BITS) + (2 * _UNITS - place), score, ids[col], null[col]))
+        self.pooled += len(at)
+        if self.pooled > self.limit:
+            self._keep()
+
+    def _keep(self) -> None:
+        if not self.rows:
+            return
+        key, score, ids, null = (np.concatenate(c) for c in zip(*self.rows))
+        order = np.lexsort((ids, ~null, key))
+        row = key[order] >> _BITS
+        rank = np.arange(len(row)) - np.searchsorted(row, np.arange(len(self.mat)))[row]
+        order = order[rank < self.k]
+        key, score, ids, null = key[order], score[order], ids[order], null[order]
+        last = key[rank[rank < self.k] == self.k - 1]
+        self.bar[last >> _BITS] = np.fmax(self.bar[last >> _BITS], _share(last) - self.slack)
+        self.rows, self.pooled = [(key, score, ids, null)], len(key)
+
+    def found(self) -> tuple[np.ndarray, ...] | None:
+        """Row, score, id, whether it is null, and key, ordered by key and id."""
+        self._keep()
+        if not self.rows:
+            return None
+        key, score, ids, null = self.rows[0]
+        return key >> _BITS, score, ids, null, key
+
+
+def _share(key: np.ndarray) -> np.ndarray:
+    return (2 * _UNITS - (key & ((1 << _BITS) - 1))) / _UNITS
 
 
 def _reach(qmat: np.ndarray, longest: float) -> np.ndarray:
@@ -76,13 +118,64 @@ def _reach(qmat: np.ndarray, longest: float) -> np.ndarray:
     return np.where(most > 0, most, 1.0)
 
 
-def _matrix(column: pd.Series) -> np.ndarray:
-    return np.stack(column.to_numpy()).astype(np.float64)
-
-
-def _blocks(df: DataFrame, key: str, count: int, rows: int) -> tuple[DataFrame, int]:
-    n = max(1, math.ceil(count / rows))
-    return df.withColumn("_home", F.pmod(F.xxhash64(key), F.lit(n)).cast("int")), n
+def _matrix(column: pa.Array) -> np.ndarray:
+    """Vectors as rows of doubles."""
+    flat = column.flatten()
+    if column.null_count or len(flat) % max(1, len(column)) or len(set(np.diff(column.offsets))) > 1:
+        raise ValueError("vectors must be given and of one length")
+    return flat.to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(column), -1)
+
+
+def _ids(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Ids and whether they are null; null ids come first, as Spark sorts them."""
+    null = column.is_null().to_numpy(zero_copy_only=False)
+    if null.any():
+        held = column.drop_null()
+        column = column.fill_null(held[0]) if len(held) else pa.array([0] * len(column))
+    return column.to_numpy(zero_copy_only=False), null
+
+
+def _chunks(ids: pa.Array, vectors: pa.Array, rows: int, longest: float, *more: np.ndarray) -> Iterator[tuple]:
+    """Ids, null ids, vectors and their shares of the longest, ``rows`` at a time."""
+    mat, (names, null) = _matrix(vectors), _ids(ids)
+    unit = (mat / (longest if longest > 0 else 1.0)).astype(np.float32)
+    for a in range(0, len(mat), rows):
+        at = slice(a, a + rows)
+        yield names[at], null[at], mat[at], unit[at], *(m[at] for m in more)
+
+
+def _results(qids: pa.Array, groups: list[_Best], k: int, kind: pa.DataType) -> Iterator[pa.RecordBatch]:
+    """The rows of a block's groups, ranked. Rows that share a qid are one query."""
+    codes = qids.dictionary_encode(null_encoding="encode").indices.to_numpy()
+    repeated = len(np.unique(codes)) < len(codes)
+    starts = np.cumsum([0, *(len(g.mat) for g in groups)])
+    parts = []
+    for start, group in zip(starts, groups):
+        if (f := group.found()) is None:
+            continue
+        parts.append((f[0] + start, *f[1:]))
+        if not repeated:
+            yield _batch(qids, *_ranked_rows(codes, *parts.pop()), k, kind)
+    if parts:
+        yield _batch(qids, *_ranked_rows(codes, *(np.concatenate(c) for c in zip(*parts))), k, kind)
+
+
+def _ranked_rows(codes: np.ndarray, row, score, ids, null, key) -> tuple:
+    down = key & ((1 << _BITS) - 1)
+    order = np.lexsort((ids, ~null, down, codes[row]))
+    row, code = row[order], codes[row[order]]
+    first = np.flatnonzero(np.r_[True, code[1:] != code[:-1]])
+    rank = np.arange(len(code)) - np.repeat(first, np.diff(np.r_[first, len(code)])) + 1
+    return row, score[order], ids[order], null[order], _share(key[order]), rank
+
+
+def _batch(qids: pa.Array, row, score, ids, null, place, rank, k: int, kind: pa.DataType) -> pa.RecordBatch:
+    at = rank <= k
+    items = pa.array(ids[at], kind, mask=null[at]) if len(null) and not null.all() else pa.nulls(int(at.sum()), kind)
+    return pa.record_batch(
+        [qids.take(pa.array(row[at])), items, pa.array(score[at]), pa.array(place[at]), pa.array(rank[at].astype(np.int32))],
+        names=["qid", "item_id", "score", "place", "rank"],
+    )
 
 
 def knn(
@@ -100,26 +193,35 @@ def knn(
 ) -> DataFrame:
     """(qid, item_id, score, rank): the k items of highest inner product. Scores
     that differ by less than rounding of their possible range are ties, which the
-    item id decides. Fewer than k items give fewer rows. Blocks are rows; by
-    default as many as ``BLOCK_BYTES`` hold."""
+    item id decides. Fewer than k items give fewer rows. Rows of one qid are one
+    query. Blocks are rows: the queries that a task holds, by default as many as
+    ``BLOCK_BYTES`` hold, and the items multiplied at once."""
     if k <= 0:
         raise ValueError("k must be >= 1")
     q = queries.select(F.col(qid).alias("qid"), F.col(query).alias("vector"))
     i = items.select(F.col(item_id).alias("item_id"), F.col(item).alias("embedding"))
-    schema = f"qid {q.schema['qid'].dataType.simpleString()}, item_id {i.schema['item_id'].dataType.simpleString()}, score double, place double"
+    schema = (
+        f"qid {q.schema['qid'].dataType.simpleString()}, item_id {i.schema['item_id'].dataType.simpleString()}, "
+        "score double, place double, rank int"
+    )
     asked, held = _facts(q, "vector"), _facts(i, "embedding")
-    rows = max(1, BLOCK_BYTES // (8 * max(1, asked.d, held.d)))
-    item_block, query_block = item_block or rows, query_block or rows
+    item_block = item_block or CHUNK_ROWS
+    query_block = query_block or max(1, BLOCK_BYTES // (8 * 3 * (max(1, asked.d, held.d) + 3 * min(k, max(1, held.n)))))
     if asked.n * (asked.d + 2 * k) * 8 <= small_query_bytes:
         found = _sent_to_items(q, i, k, schema, item_block, held.longest)
+        best = W.partitionBy("qid").orderBy(F.desc("place"), "item_id")
+        found = found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
     else:
+        least = min(BLOCKS_PER_CORE * q.sparkSession.sparkContext.defaultParallelism, math.ceil(asked.n / GROUP_ROWS))
+        blocks = max(1, least, math.ceil(asked.n / query_block))
         cells = min(CENTRE_BYTES // (8 * max(1, held.d)), held.n // cell_rows)
         if cells > 1:
-            found = _cell_search(q, i, k, schema, item_block, query_block, cells, held.longest)
+            found = _cell_search(q, i, k, schema, item_block, asked.n, blocks, cells, held.longest)
         else:
-            found = _block_product(q, i, k, schema, asked.n, held.n, item_block, query_block, held.longest)
-    best = W.partitionBy("qid").orderBy(F.desc("place"), "item_id")
-    return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).drop("place")
+            q = q.withColumn("_qb", F.pmod(F.xxhash64("qid"), F.lit(blocks)).cast("int"))
+            every = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("_qb")
+            found = _product(q, i.select("*", every), k, schema, item_block, blocks, held.longest)
+    return found.drop("place")
 
 
 def _facts(df: DataFrame, vector: str):
@@ -131,133 +233,160 @@ def _facts(df: DataFrame, vector: str):
 
 
 def _sent_to_items(q: DataFrame, i: DataFrame, k: int, schema: str, item_block: int, longest: float) -> DataFrame:
-    local = q.toPandas()  # the caller has checked its size
-    if local.empty:
+    local = q.toArrow().combine_chunks()  # the caller has checked its size
+    if not len(local):
         return q.sparkSession.createDataFrame([], schema)
-    qids, qmat = local["qid"].to_numpy(), _matrix(local["vector"])
+    qids, qmat = (local[c].combine_chunks() for c in ("qid", "vector"))
+    qmat = _matrix(qmat)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held: list[pd.DataFrame] = []
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        groups, kind = [_Best(qmat[a : a + GROUP_ROWS], k, longest) for a in range(0, len(qmat), GROUP_ROWS)], None
         for batch in batches:
-            held.append(batch)
-            if sum(map(len, held)) >= item_block:
-                yield from flush(held)
-                held = []
-        yield from flush(held)
-
-    def flush(held: list[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        block = pd.concat(held) if held else pd.DataFrame()
-        if len(block):
-            yield from _top(qids, qmat, block["item_id"].to_numpy(), _matrix(block["embedding"]), k, longest)
+            kind = batch["item_id"].type
+            for chunk in _chunks(batch["item_id"], batch["embedding"], item_block, longest):
+                for group in groups:
+                    group.add(*chunk)
+        if kind is not None:
+            yield from _results(qids, groups, k, kind)
 
-    return i.mapInPandas(run, schema)
+    return i.mapInArrow(run, schema)
 
 
-def _block_product(
-    q: DataFrame, i: DataFrame, k: int, schema: str, q_rows: int, i_rows: int, item_block: int, query_block: int, longest: float
+def _product(
+    q: DataFrame, i: DataFrame, k: int, schema: str, item_block: int, blocks: int, longest: float, cells: Broadcast | None = None
 ) -> DataFrame:
-    i, n_i = _blocks(i, "item_id", i_rows, item_block)
-    q, n_q = _blocks(q, "qid", q_rows, query_block)
-
-    def with_blocks(df: DataFrame, mine: str, other: str, n_other: int) -> DataFrame:
-        every = F.explode(F.sequence(F.lit(0), F.lit(n_other - 1))).alias(other)
-        return df.withColumnRenamed("_home", mine).select("*", every)
-
-    return _product(with_blocks(q, "_qb", "_ib", n_i), with_blocks(i, "_ib", "_qb", n_q), k, schema, longest)
+    """The k best of ``i``'s rows in each query's block ``_qb``. A task holds the
+    queries of a block, and the block's items pass by. Of tables with cells, only
+    those go into a product that can reach the bar of a query of the group."""
+    kinds = {q.schema["vector"].dataType, i.schema["embedding"].dataType}
+    vector = lambda c: F.col(c) if len(kinds) == 1 else F.col(c).cast("array<double>")
+    none = F.lit(None)
+    cell = F.col("cell") if cells else F.lit(0).alias("cell")
+    bar = F.col("bar") if "bar" in q.columns else none.cast("double").alias("bar")
+    q = q.select("_qb", F.lit(0).alias("_side"), cell, bar, "qid", none.cast(i.schema["item_id"].dataType).alias("item_id"), vector("vector").alias("vector"))
+    i = i.select("_qb", F.lit(1).alias("_side"), cell, none.cast("double").alias("bar"), none.cast(q.schema["qid"].dataType).alias("qid"), "item_id", vector("embedding").alias("vector"))
+    dealt = q.unionAll(i).repartitionById(blocks, "_qb").sortWithinPartitions("_side", "cell")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        asked: list[pa.RecordBatch] = []
+        groups: list[_Best] | None = None
+        qids = kind = None
+
+        def opened() -> list[_Best]:
+            nonlocal qids
+            both = pa.Table.from_batches(asked).combine_chunks()
+            asked.clear()
+            qids = both["qid"].combine_chunks()
+            mat = _matrix(both["vector"].combine_chunks())
+            bars = both["bar"].to_numpy()
+            bars = np.where(np.isnan(bars), -np.inf, bars)
+            return [_Best(mat[a : a + GROUP_ROWS], k, longest, bars[a : a + GROUP_ROWS]) for a in range(0, len(mat), GROUP_ROWS)]
 
-
-def _product(left: DataFrame, right: DataFrame, k: int, schema: str, longest: float) -> DataFrame:
-    """Local top-k of every (query block, item block) pair."""
-
-    def product(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
-        if a.empty or b.empty:
-            return pd.DataFrame({"qid": [], "item_id": [], "score": [], "place": []})
-        found = _top(a["qid"].to_numpy(), _matrix(a["vector"]), b["item_id"].to_numpy(), _matrix(b["embedding"]), k, longest)
-        return pd.concat(found)
-
-    return left.groupBy("_qb", "_ib").cogroup(right.groupBy("_qb", "_ib")).applyInPandas(product, schema)
+        for batch in batches:
+            first = int((batch["_side"].to_numpy() == 0).sum())
+            if first:
+                asked.append(batch.slice(0, first).select(["qid", "vector", "bar"]))
+            rest = batch.slice(first)
+            if not len(rest) or not (asked or groups):
+                continue
+            groups, kind = groups or opened(), rest["item_id"].type
+            for ids, null, mat, unit, cell in _chunks(rest["item_id"], rest["vector"], item_block, longest, rest["cell"].to_numpy()):
+                if cells is None:
+                    for group in groups:
+                        group.add(ids, null, mat, unit)
+                    continue
+                named, of = np.unique(cell, return_inverse=True)
+                centre, radius = cells.value[0][named], cells.value[1][named]
+                for group in groups:
+                    bound = (group.mat @ centre.T + group.norm[:, None] * radius) / group.reach[:, None] + 1e-6
+                    at = (bound >= group.bar[:, None]).any(axis=0)[of]
+                    if at.all():
+                        group.add(ids, null, mat, unit)
+                    elif at.any():
+                        group.add(ids[at], null[at], mat[at], unit[at])
+        if groups:
+            yield from _results(qids, groups, k, kind)
+
+    return dealt.mapInArrow(run, schema)
 
 
 def _into_cells(df: DataFrame, vector: str, centres: Broadcast) -> DataFrame:
     """Nearest centre of every vector and the distance to it, written out: it
     is read several times and must not change between the readings."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         p = centres.value
+        half, step = 0.5 * np.sum(p * p, axis=1), max(1, CELLS_AT_ONCE // len(p))
         for batch in batches:
             if len(batch):
                 m = _matrix(batch[vector])
-                near = np.argmax(m @ p.T - 0.5 * np.sum(p * p, axis=1), axis=1)
-                yield batch.assign(cell=near.astype(np.int32), gap=np.linalg.norm(m - p[near], axis=1))
+                near = np.concatenate([np.argmax(m[a : a + step] @ p.T - half, axis=1) for a in range(0, len(m), step)])
+                gap = np.linalg.norm(m - p[near], axis=1)
+                yield pa.record_batch([*batch.columns, pa.array(near.astype(np.int32)), pa.array(gap)], names=[*batch.schema.names, "cell", "gap"])
 
     fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in df.schema)
-    return materialise(df.mapInPandas(run, f"{fields}, cell int, gap double"), "cells")
+    return materialise(df.mapInArrow(run, f"{fields}, cell int, gap double"), "cells")
 
 
 def _cell_search(
-    q: DataFrame, i: DataFrame, k: int, schema: str, item_block: int, query_block: int, cells: int, longest: float
+    q: DataFrame, i: DataFrame, k: int, schema: str, item_block: int, q_rows: int, blocks: int, cells: int, longest: float
 ) -> DataFrame:
     spark = q.sparkSession
     sample = i.orderBy(F.md5(F.col("item_id").cast("string"))).limit(cells).collect()  # CENTRE_BYTES at most
-    centres = spark.sparkContext.broadcast(np.stack([r.embedding for r in sample]).astype(np.float64))
+    p = np.stack([r.embedding for r in sample]).astype(np.float64)
+    some = p[: max(1, math.isqrt(cells))]  # cells near each other get numbers near each other
+    p = p[np.argsort(np.argmax(p @ some.T - 0.5 * np.sum(some * some, axis=1), axis=1), kind="stable")]
+    centres = spark.sparkContext.broadcast(p)
     items, queries = _into_cells(i, "embedding", centres), _into_cells(q, "vector", centres)
-
-    def sizes(df: DataFrame) -> list:  # one row per cell
-        return df.groupBy("cell").agg(F.count("*").alias("n"), F.max("gap").alias("r")).collect()
-
-    def block(facts: list, rows: int, key: str) -> tuple[Column, Column]:
-        parts = [1] * cells
-        for f in facts:
-            parts[f.cell] = math.ceil(f.n / rows)
-        n = F.get(F.array(*map(F.lit, parts)), F.col("cell"))
-        return n, F.col("cell").cast("bigint") + cells * F.pmod(F.xxhash64(key), n)
-
-    item_facts = sizes(items)
     count, radius = np.zeros(cells), np.full(cells, -np.inf)
-    for f in item_facts:
+    for f in items.groupBy("cell").agg(F.count("*").alias("n"), F.max("gap").alias("r")).collect():  # one row per cell
         count[f.cell], radius[f.cell] = f.n, f.r
-    n_parts, item_home = block(item_facts, item_block, "item_id")
-    _, query_home = block(sizes(queries), query_block, "qid")
-    items = items.select("item_id", "embedding", item_home.alias("_ib"))
-    queries = queries.select("qid", "vector", query_home.alias("_qb"))
+    known = spark.sparkContext.broadcast((p, radius))
+    # cells in a row share a block, and a large one has several; rows of one qid stay together
+    queries = queries.withColumn("cell", F.min("cell").over(W.partitionBy("qid")))
+    size, end, homes = math.ceil(q_rows / blocks), 0, []
+    for f in queries.groupBy("cell").count().orderBy("cell").collect():
+        first, end = end // size, end + f["count"]
+        homes.append((f.cell, first, (end - 1) // size - first + 1))
+    homes = spark.createDataFrame(homes, "cell int, _first int, _parts int")
+    home = F.col("_first") + F.pmod(F.xxhash64("qid"), F.col("_parts")).cast("int")
+    queries = queries.join(F.broadcast(homes), "cell").select("qid", "vector", "cell", home.alias("_qb"))
 
     def search(asked: DataFrame, choose) -> DataFrame:
-        """Top-k over the cells ``choose`` names for each query."""
+        """Top-k over the cells ``choose`` names for any query of a block."""
 
-        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            step = max(1, CELLS_AT_ONCE // cells)
             for batch in batches:
-                if len(batch):
-                    m = _matrix(batch["vector"])
-                    named = choose(m @ centres.value.T, np.linalg.norm(m, axis=1), batch)
-                    yield batch[["qid", "vector", "_qb"]].assign(cells=named)
-
-        kind = asked.schema["qid"].dataType.simpleString()
-        vec = asked.schema["vector"].dataType.simpleString()
-        named = asked.mapInPandas(run, f"qid {kind}, vector {vec}, _qb bigint, cells array<int>")
-        named = named.select("qid", "vector", "_qb", F.explode("cells").alias("cell"))
-        part = F.explode(F.sequence(F.lit(0), n_parts - 1))
-        left = named.select("qid", "vector", "_qb", "cell", part.alias("_p"))
-        left = left.select("qid", "vector", "_qb", (F.col("cell").cast("bigint") + cells * F.col("_p")).alias("_ib"))
-        pairs = left.select("_qb", "_ib").distinct().toDF("_qb", "_ib")
-        return _product(left, items.join(pairs, "_ib"), k, schema, longest)
-
-    def nearest(scores: np.ndarray, norms: np.ndarray, batch: pd.DataFrame) -> list:
+                m, at, bar = _matrix(batch["vector"]), batch["_qb"].to_numpy(), batch["bar"].to_numpy(zero_copy_only=False)
+                for home in np.unique(at):
+                    rows, named = np.flatnonzero(at == home), np.zeros(cells, bool)
+                    for a in range(0, len(rows), step):
+                        r = rows[a : a + step]
+                        named |= choose(m[r] @ p_of(), m[r], bar[r])
+                    cell = np.flatnonzero(named).astype(np.int32)
+                    yield pa.record_batch([pa.array(np.full(len(cell), home, np.int32)), pa.array(cell)], names=["_qb", "cell"])
+
+        def p_of() -> np.ndarray:
+            return centres.value.T
+
+        pairs = asked.select("vector", "_qb", "bar").mapInArrow(run, "_qb int, cell int").distinct()
+        return _product(asked, items.select("item_id", "embedding", "cell").join(pairs, "cell"), k, schema, item_block, blocks, longest, known)
+
+    def nearest(scores: np.ndarray, m: np.ndarray, bar: np.ndarray) -> np.ndarray:
         """The cells of best centre score that hold k items together."""
         order = np.argsort(-scores, axis=1)
-        enough = np.cumsum(count[order], axis=1) >= k
-        last = np.where(enough.any(axis=1), enough.argmax(axis=1), cells - 1)
-        return [row[: n + 1].tolist() for row, n in zip(order, last)]
+        before = np.cumsum(count[order], axis=1) - count[order]
+        return np.bincount(order[before < k], minlength=cells) > 0
 
-    def passing(scores: np.ndarray, norms: np.ndarray, batch: pd.DataFrame) -> list:
+    def passing(scores: np.ndarray, m: np.ndarray, bar: np.ndarray) -> np.ndarray:
         """The cells whose bound reaches the bar, less rounding."""
-        bar = batch["bar"].fillna(-np.inf).to_numpy()[:, None]
-        share = (scores + norms[:, None] * radius) / _reach(np.stack(batch["vector"].to_numpy()).astype(np.float64), longest)[:, None]
-        able = np.where(np.isfinite(share), share + 1e-6 >= bar, False)
-        return [np.flatnonzero(row).tolist() for row in able]
-
-    best = W.partitionBy("qid").orderBy(F.desc("place"), "item_id")
-    first = search(queries, nearest).withColumn("_r", F.row_number().over(best))
-    bars = materialise(first.where(F.col("_r") == k).select("qid", F.col("place").alias("bar")), "bars")
+        share = (scores + np.linalg.norm(m, axis=1)[:, None] * radius) / _reach(m, longest)[:, None]
+        bar = np.where(np.isnan(bar), -np.inf, bar)[:, None]
+        return (np.isfinite(share) & (share + 1e-6 >= bar)).any(axis=0)
+
+    first = search(queries.withColumn("bar", F.lit(None).cast("double")), nearest)
+    bars = materialise(first.where(F.col("rank") == k).select("qid", F.col("place").alias("bar")), "bars")
     return search(queries.join(bars, "qid", "left"), passing)
 
 
@@ -422,7 +551,8 @@ def score_retrieval_hit(
     categories and rows without a query or a truth; a row whose candidates are
     missing, or hold nothing true, is a double miss and scored as one."""
     asked = _truth(df, key, query, truth, category)
-    at = hit_locations(_judged(ranked.where(F.col("rank") <= opt.top_k), asked, key), key)
+    hits = asked.select(key, F.explode("_truth").alias("candidate")).distinct().withColumn("relevant", F.lit(True))
+    at = hit_locations(ranked.where(F.col("rank") <= opt.top_k).join(hits, [key, "candidate"]), key)
     scored = asked.select(key).join(at, key, "left").fillna(0, [f"{v}_rank" for v in VERSIONS])
     value = hit_reward(F.col("original_rank"), F.col("rewritten_rank"), opt)
     return df.join(scored.select(key, value.alias(output)), key, "left")

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tunetables.config import HitOptions, NdcgOptions
 from tunetables.operators import retrieval as R
+from tunetables.operators.staging import materialise
 from tunetables.plans import fixtures as X
 from tunetables.plans.registry import query, r6
 
@@ -81,9 +82,10 @@ def _ranked(spark: SparkSession, sf: str, queries: DataFrame, depth: int) -> Dat
     """Candidates of both versions without the query vectors, ranked anew."""
     e = X.table(spark, sf, "embeddings")
     found = R.knn_pairs(queries, e, depth + SPARE, "k", "original", "rewritten", item_id="vec_id", small_query_bytes=0)
-    ids = queries.select("k", "rid", "label")
-    rows = found.join(ids, "k").where("item_id <> k and item_id <> rid")
-    rows = rows.join(e.select(F.col("vec_id").alias("item_id"), F.col("label").alias("item_label")), "item_id")
+    labels = e.select(F.col("vec_id").alias("item_id"), F.col("label").alias("item_label"))
+    rows = found.select("k", "version", "item_id", "rank").join(labels, "item_id")
+    # by the key last: the ranks anew and what is grouped by the key need no further shuffle
+    rows = rows.join(queries.select("k", "rid", "label"), "k").where("item_id <> k and item_id <> rid")
     rows = rows.withColumn("relevant", F.col("label") == F.col("item_label"))
     again = W.partitionBy("k", "version").orderBy("rank")
     rows = rows.withColumn("rank", F.row_number().over(again)).where(F.col("rank") <= depth)
@@ -205,6 +207,7 @@ def retrieval_scored_rows(spark: SparkSession, sf: str) -> DataFrame:
     """Both retrieval rewards as operators, with their null rules and double misses."""
     queries = _queries(spark, sf)
     ranked = _ranked(spark, sf, queries, _HIT.top_k).select("k", "version", F.col("item_id").cast("string").alias("candidate"), "rank")
+    ranked = materialise(ranked, "ranked")  # two scorers read it
     rows = R.score_retrieval_hit(X.frame(spark, sf, _ROWS), ranked, _HIT, key="k", output="hit")
     rows = R.score_retrieval_ndcg(rows, ranked, _ABSOLUTE, key="k", output="ndcg")
     return rows.select("k", r6("hit").alias("hit"), r6("ndcg").alias("ndcg"))
