@@ -14,6 +14,8 @@ from tunetables.config import Extraction, SelectionOptions
 from tunetables.functions import jsonx
 from tunetables.functions import text as T
 
+#: rows read at once
+_SLICE = 500
 _ITEM = pa.struct(
     [
         ("target", pa.string()),  # null when missing or not text/int
@@ -80,7 +82,7 @@ def items(payload, keys: dict) -> list[dict] | None:
 
 def _item_lists(lists: list[list[dict] | None]) -> pa.Array:
     """Item lists as one flat struct column with offsets."""
-    flat = [tuple(x[f.name] for f in _ITEM) for listed in lists for x in listed or ()]
+    flat = [(x["target"], x["n"], x["ids"], x["repeated"]) for listed in lists for x in listed or ()]
     ends = list(accumulate((len(x or ()) for x in lists), initial=0))
     missing = pa.array([x is None for x in lists], pa.bool_())
     return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), jsonx.struct_array(flat, _ITEM), type=pa.list_(_ITEM), mask=missing)
@@ -97,6 +99,11 @@ def read_documents(answer: Column, solution: Column, opt: SelectionOptions) -> C
 
     @F.arrow_udf(_ROW_DDL)
     def run(a: pa.Array, s: pa.Array) -> pa.Array:
+        # few objects live at once, which the collector walks
+        slices = range(0, max(1, len(a)), _SLICE)
+        return pa.concat_arrays([part(a.slice(at, _SLICE), s.slice(at, _SLICE)) for at in slices])
+
+    def part(a: pa.Array, s: pa.Array) -> pa.Array:
         labels: dict = {}  # the completions of one prompt share a solution
         rows = []
         for text, gold_text in zip(a.to_pylist(), s.to_pylist()):
