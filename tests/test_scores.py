@@ -535,3 +535,59 @@ def test_options_are_checked():
     ):
         with pytest.raises(ValueError):
             build()
+
+
+def test_long_texts_are_not_remembered():
+    """Whole documents would fill a worker's memory; values repeat."""
+    jsonx._clean_memo.cache_clear(), jsonx._coarse_memo.cache_clear()
+    assert [jsonx.coarse(t * 100) for t in ("A, b ", "한 “Ａ” ")] == ["ab" * 100, "한a" * 100]
+    assert jsonx._clean_memo.cache_info().currsize == jsonx._coarse_memo.cache_info().currsize == 0
+    assert [jsonx.clean(t) for t in ("Ab9", "a_B", "", " x. ", "٣")] == ["ab9", "a_b", "", "x", "٣"]
+
+
+def test_stems_are_taken_of_words_that_may_match_only(monkeypatch):
+    import random
+
+    from tunetables.functions import overlap
+
+    rng = random.Random(4)
+    parts = "a e i o y b l s t z ing ed ies eed ational logi alli ness ss".split()
+    made = {"".join(rng.choices(parts, k=rng.randint(2, 5))) for _ in range(5000)}
+    assert all((s := overlap.stem(w))[:2] == w[:2] or s == w[0] for w in made if len(w) > 3 and w not in overlap.IRREGULAR)
+    for kind in ("1", "l"):
+        for _ in range(50):
+            a, b = (" ".join(rng.sample(sorted(made), 40)) for _ in range(2))
+            b += " " + " ".join(a.split()[::3]) + " die a"
+            x, y = overlap.words(a, True), overlap.words(b, True)
+            shared = overlap.lcs_length(x, y) if kind == "l" else sum(min(x.count(w), y.count(w)) for w in set(x))
+            assert overlap.rouge_f(a, b, kind, True) == pytest.approx(2 * shared / (len(x) + len(y)))
+    taken, stem = [], overlap.stem
+    monkeypatch.setattr(overlap, "stem", lambda w: taken.append(w) or stem(w))
+    assert overlap.rouge_f("walking zebras jumped over quiet rivers", "walked there", "l", True) == pytest.approx(2 / 8)
+    assert "zebras" not in taken and "walking" in taken
+
+
+def test_facts_hold_what_the_caps_read_only(spark):
+    """Of coarse values and table rows the repeats, and nothing for other roots."""
+    from tunetables.operators.kv import _FACTS, _facts
+
+    names = [f.name for f in _FACTS]
+    rows = [{"a": "X", "b": 1}, {"a": "x.", "b": "1"}, {"b": 2, "a": None}]
+    table = dict(zip(names, _facts({"tables": {"t": {"rows": rows}}}, "tables")))
+    assert table["coarse"] == ["2 x", "2 1"] and [s["n"] for s in table["signatures"]] == [2] and table["n"] == table["n_leaves"] == 6
+    results = dict(zip(names, _facts({"results": [{"target_id": 1, "text": "same"}, {"target_id": 2, "text": "same"}]}, "results")))
+    assert results["coarse"] == results["loose"] == results["tops"] == [] and len(results["placed"]) == 2
+
+
+def test_documents_are_read_in_slices(spark, monkeypatch):
+    from tunetables.operators import kv, selection
+
+    monkeypatch.setattr(kv, "_SLICE", 3), monkeypatch.setattr(selection, "_SLICE", 3)
+    answers = ['{"kv":{"a":"%d"}}<stop>' % (i % 4) if i % 5 else None for i in range(10)]
+    df = spark.createDataFrame([(i, "kv", t, '{"kv":{"a":"1"}}') for i, t in enumerate(answers)], "id int, category string, completion string, solution string")
+    got = {r.id: r.kv_reward for r in kv.score_kv(df.coalesce(1)).collect()}
+    assert got == {i: 0.0 if not i % 5 else float(i % 4 == 1) for i in range(10)}
+    label = '{"grounding":[{"target_id":"t","selected_ids":[1]}]}'
+    df = spark.createDataFrame([(i, "doc_evidence" if i % 4 else "math", '{"grounding":{"t":[%d]}}' % (i % 2), label) for i in range(10)], "id int, category string, completion string, solution string")
+    got = {r.id: r.grounding_selection_reward for r in selection.score_selection(df.coalesce(1)).collect()}
+    assert [i for i, v in got.items() if v is None] == [0, 4, 8] and {got[i] for i in (1, 3, 5, 7, 9)} == {1.0}
