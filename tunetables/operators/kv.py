@@ -20,6 +20,8 @@ from tunetables.config import Extraction, KVOptions
 from tunetables.functions import jsonx
 from tunetables.functions import text as T
 
+#: rows read at once
+_SLICE = 500
 _STRINGS = pa.list_(pa.string())
 _FACTS = pa.struct(
     [
@@ -31,7 +33,7 @@ _FACTS = pa.struct(
         ("n", pa.int32()),  # leaves to match
         ("loose", _STRINGS),  # match keys without and
         ("placed", _STRINGS),  # with the path, see leaf_keys
-        ("coarse", _STRINGS),  # occurrence number and coarse text
+        ("coarse", _STRINGS),  # occurrence number and coarse text, from the second occurrence on
         ("tops", _STRINGS),
         ("places_repeat", pa.bool_()),
         ("invalid", pa.int32()),
@@ -87,21 +89,35 @@ def _facts(value, root: str) -> tuple:
     if root == "results":
         leaves, invalid, repeats = jsonx.flatten_results(node)
     elif root == "tables":
-        leaves = list(jsonx.flatten_tables(node))
-        shapes, signatures = jsonx.table_facts(node)
+        read = jsonx.read_tables(node)
+        leaves = list(jsonx.table_leaves(read))
+        shapes, signatures = jsonx.table_facts(read)
     else:
         leaves = list(jsonx.flatten_kv(node))
     is_object, is_table = isinstance(value, dict), root == "tables"
-    texts = [jsonx.leaf_text(v) for _, _, v in leaves]
-    index = [f"{jsonx.SEP}{i}" if is_table else "" for _, i, _ in leaves]
-    places = [jsonx.place(path) for path, _, _ in leaves]
-    seen: dict[str, int] = {}
-    rough = []
-    for text in texts:
-        form = jsonx.coarse(text) if text else ""
-        if form:
-            seen[form] = seen.get(form, 0) + 1
-            rough.append(f"{seen[form]} {form}")
+    texts = [None if v is None else str(v).strip() for _, _, v in leaves]
+    # what the caps of the other roots read is left empty
+    loose, rough, tops, repeat = [], [], [], False
+    if is_table:
+        index = [f"{jsonx.SEP}{i}" for _, i, _ in leaves]
+        places = {path: jsonx.place(path) for path in {path for path, _, _ in leaves}}
+        placed = leaf_keys([(places[path] + i, t) for (path, _, _), i, t in zip(leaves, index, texts)])
+        loose = leaf_keys(list(zip(index, texts)))
+    else:
+        places = [jsonx.place(path) for path, _, _ in leaves]
+        placed = leaf_keys(list(zip(places, texts)))
+        if root == "kv":
+            loose = leaf_keys([("", t) for t in texts])
+            tops = list({path[0] for path, _, _ in leaves if path})
+            repeat = len({(p, i) for p, (_, i, _) in zip(places, leaves)}) < len(leaves)
+    if root != "results":
+        seen: dict[str, int] = {}
+        for text in texts:
+            form = jsonx.coarse(text) if text else ""
+            if form:
+                n = seen[form] = seen.get(form, 0) + 1
+                if n > 1:
+                    rough.append(f"{n} {form}")
     return (
         is_object,
         list(value) if is_object else [],
@@ -109,11 +125,11 @@ def _facts(value, root: str) -> tuple:
         jsonx.json_length(node),
         jsonx.count_leaves(node) if is_table else len(leaves),
         len(leaves),
-        leaf_keys(list(zip(index, texts))) if root != "results" else [],
-        leaf_keys([(p + i, t) for p, i, t in zip(places, index, texts)]),
+        loose,
+        placed,
         rough,
-        list({path[0] for path, _, _ in leaves if path}),
-        len({(p, i) for p, (_, i, _) in zip(places, leaves)}) < len(leaves),
+        tops,
+        repeat,
         invalid,
         repeats,
         shapes,
@@ -145,8 +161,12 @@ def read_documents(answer: Column, solution: Column, opt: KVOptions) -> Column:
 
     @F.arrow_udf(_PAIR_DDL)
     def run(a: pa.Array, s: pa.Array) -> pa.Array:
-        golds: dict = {}
-        return jsonx.struct_array([row(x, y, golds) for x, y in zip(a.to_pylist(), s.to_pylist())], _PAIR)
+        parts = []
+        for at in range(0, max(1, len(a)), _SLICE):  # few objects live at once, which the collector walks
+            golds: dict = {}
+            pairs = zip(a.slice(at, _SLICE).to_pylist(), s.slice(at, _SLICE).to_pylist())
+            parts.append(jsonx.struct_array([row(x, y, golds) for x, y in pairs], _PAIR))
+        return pa.concat_arrays(parts)
 
     return run(answer, solution)
 
@@ -191,7 +211,7 @@ def leaf_balance_cap(pred: Column, gold: Column, opt: KVOptions) -> Column:
 def _repeats_beyond_gold(pred: Column, gold: Column) -> Column:
     """A coarse value occurs more often than max(gold count, 1): its second or
     later occurrence has no counterpart."""
-    return F.exists(F.array_except(pred["coarse"], gold["coarse"]), lambda x: ~x.startswith("1 "))
+    return F.size(F.array_except(pred["coarse"], gold["coarse"])) > 0
 
 
 def kv_structure_cap(pred: Column, gold: Column, opt: KVOptions) -> Column:
