@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from tunetables.config import HitOptions, NdcgOptions, Stage
 from tunetables.operators import retrieval as R
 from tunetables.operators import rewards as W
+from tunetables.plans import retrieval as plans
 
 
 def vectors(spark, n, name, vec, seed, copies=0, text=False):
@@ -63,6 +64,61 @@ def test_ranking_does_not_depend_on_the_norm(spark, options, size):
     assert got[0].score == pytest.approx(2e-8 * size * size)
 
 
+@pytest.mark.parametrize("options", [{}, {"small_query_bytes": 0}, {"small_query_bytes": 0, "cell_rows": 9}])
+def test_a_query_leaves_the_search_as_one_row(spark, options):
+    q, qr = vectors(spark, 30, "qid", "vector", 1)
+    i, ir = vectors(spark, 90, "item_id", "embedding", 2)
+    got = [(r.qid, r.item_id) for r in R.knn_lists(q, i, 7, **options).collect()]
+    assert len(got) == 30 and dict(got) == brute(qr, ir, 7)
+
+
+def test_cells_are_left_out_where_they_spare_nothing(spark):
+    rng = np.random.default_rng(5)
+    centres = rng.normal(size=(12, 8)) * 10
+    near = np.float32(centres[np.arange(600) % 12] + rng.normal(size=(600, 8)) * 0.1)
+    even = np.float32(rng.normal(size=(600, 64)))
+    spare = []
+    for mat in (near, even):
+        df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(mat)], "item_id int, embedding array<float>")
+        spare.append(R._cells_spare(df.toDF("qid", "vector"), df, 5, 30, *mat.shape))
+    assert spare == [True, False]
+
+
+@pytest.mark.parametrize("n", [8, 300, 1000])
+def test_the_bar_of_a_chunk_lets_few_items_pass(n):
+    """Whatever lets k items pass loses none; copies and items that are no numbers count as such."""
+    share = np.random.default_rng(n).normal(size=(20, n)).astype(np.float32)
+    share[:, n // 2 :: 7] = 1.5
+    share[3, 0] = np.nan
+    best = R._Best(np.ones((1, 2)), 7, 1.0)
+    passed = (share >= best._reached(share)[:, None]).sum(axis=1)
+    assert (passed >= 7).all() and (passed <= max(20, 2 + (share >= 1.5).sum(axis=1).max())).all()
+
+
+@pytest.mark.parametrize("twice", [False, True])
+def test_ranked_candidates_of_repeated_ids(spark, tmp_path, twice):
+    """Rows that come twice meet each other's labels; both are ranked, written or not."""
+    rng = np.random.default_rng(3)
+    rows = [(i, [float(x) for x in v], i % 3) for i, v in enumerate(np.float32(rng.normal(size=(20, 4))))]
+    kind = "vec_id long, embedding array<float>, label int"
+    spark.createDataFrame(rows + rows[:6] * twice, kind).write.parquet(str(tmp_path / "embeddings.parquet"))
+    queries = plans._queries(spark, str(tmp_path)).where("k < 4")
+    got = [sorted(plans._ranked(spark, str(tmp_path), queries, 5, written=w).collect(), key=str) for w in (False, True)]
+    assert got[0] == got[1]
+    want = []
+    for r in queries.collect():
+        for version in R.VERSIONS:
+            order = [i for i in brute([(0, r[version])], [(i, v) for i, v, _ in rows + rows[:6] * twice], 7)[0] if i not in (r.k, r.rid)]
+            alike = [(i, i % 3 == r.k % 3) for i in order]
+            want.append((r.k, version, tuple(alike[:5])))
+    if not twice:
+        ranks = {}
+        for r in sorted(got[0], key=lambda r: r["rank"]):
+            ranks.setdefault((r.k, r.version), []).append((r.item_id, r.relevant))
+        assert ranks == {(k, v): list(x) for k, v, x in want}
+    assert {r["rank"] for r in got[0]} == {1, 2, 3, 4, 5}
+
+
 def test_few_items(spark):
     q, _ = vectors(spark, 3, "qid", "vector", 1)
     i, _ = vectors(spark, 2, "item_id", "embedding", 2)

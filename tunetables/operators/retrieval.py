@@ -38,16 +38,19 @@ DIGITS = 7
 #: what a query block holds, in bytes: vectors and the best items so far
 BLOCK_BYTES = 256 << 20
 SMALL_QUERY_BYTES = 32 << 20
-#: queries multiplied at once, and items
+#: queries that share a bound on cells; items multiplied at once, as rows and as bytes
 GROUP_ROWS = 512
-CHUNK_ROWS = 8192
+CHUNK_ROWS = 32_768
+CHUNK_BYTES = 32 << 20
 #: query blocks a core gets at least, so that cores end together
 BLOCKS_PER_CORE = 3
 #: items per cell aimed at, and the bytes of centres that every task holds
 CELL_ROWS = 4_000
 CENTRE_BYTES = 64 << 20
 #: numbers in a temporary matrix
-CELLS_AT_ONCE = 4 << 20
+CELLS_AT_ONCE = 2 << 20
+#: items and queries that tell whether cells are worth while
+SAMPLE_ROWS, SAMPLE_QUERIES = 4096, 256
 #: shares as whole numbers, and the bits they take beside a row's number
 _UNITS = 10**DIGITS
 _BITS = 26
@@ -70,22 +73,33 @@ class _Best:
 
     def add(self, ids: np.ndarray, null: np.ndarray, mat: np.ndarray, unit: np.ndarray) -> None:
         n = len(ids)
-        share = self.unit @ unit.T
-        if n > self.k and np.isneginf(self.bar).any():
-            seen = np.partition(share, n - self.k, axis=1)[:, n - self.k].astype(np.float64) - 2 * self.slack
-            self.bar = np.fmax(self.bar, seen)
-        low = np.nextafter(self.bar.astype(np.float32), np.float32(-np.inf))
-        at = np.flatnonzero(share >= low[:, None])
-        step = max(1, CELLS_AT_ONCE // max(1, mat.shape[1]))
-        for a in range(0, len(at), step):
-            row, col = np.divmod(at[a : a + step], n)
-            score = np.einsum("ij,ij->i", self.mat[row], mat[col])
-            place = np.rint(score / self.reach[row] * _UNITS).astype(np.int64)
-            self.rows.append(((row << _BITS) + (2 * _UNITS - place), score, ids[col], null[col]))
-        self.pooled += len(at)
+        some, step = max(1, CELLS_AT_ONCE // max(1, n)), max(1, CELLS_AT_ONCE // max(1, mat.shape[1]))
+        for start in range(0, len(self.unit), some):
+            part = slice(start, start + some)
+            share = self.unit[part] @ unit.T
+            if n > self.k:
+                self.bar[part] = np.fmax(self.bar[part], self._reached(share) - 2 * self.slack)
+            low = np.nextafter(self.bar[part].astype(np.float32), np.float32(-np.inf))
+            at = np.flatnonzero(share >= low[:, None])
+            for a in range(0, len(at), step):
+                row, col = np.divmod(at[a : a + step], n)
+                row += start
+                score = np.einsum("ij,ij->i", self.mat[row], mat[col])
+                place = np.rint(score / self.reach[row] * _UNITS).astype(np.int64)
+                self.rows.append(((row << _BITS) + (2 * _UNITS - place), score, ids[col], null[col]))
+            self.pooled += len(at)
         if self.pooled > self.limit:
             self._keep()
 
+    def _reached(self, share: np.ndarray) -> np.ndarray:
+        """A share that k items of each row reach: the k-th of the best of some 4k
+        classes of items, as each class has an item that reaches its best."""
+        width = max(1, share.shape[1] // (4 * self.k))
+        classes = share.shape[1] // width
+        best = np.fmax.reduce(share[:, : width * classes].reshape(len(share), width, classes), axis=1)
+        best[np.isnan(best)] = -np.inf
+        return np.partition(best, classes - self.k, axis=1)[:, classes - self.k].astype(np.float64)
+
     def _keep(self) -> None:
         if not self.rows:
             return
@@ -144,8 +158,20 @@ def _chunks(ids: pa.Array, vectors: pa.Array, rows: int, longest: float, *more:
         yield names[at], null[at], mat[at], unit[at], *(m[at] for m in more)
 
 
+def _gathered(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.RecordBatch]:
+    """Batches put together, as long as they have no more than ``rows``."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if held and sum(map(len, held)) + len(batch) > rows:
+            yield pa.concat_batches(held)
+            held = []
+        held.append(batch)
+    if held:
+        yield pa.concat_batches(held)
+
+
 def _results(qids: pa.Array, groups: list[_Best], k: int, kind: pa.DataType) -> Iterator[pa.RecordBatch]:
-    """The rows of a block's groups, ranked. Rows that share a qid are one query."""
+    """The best items of a block's groups, a row per query. Rows that share a qid are one query."""
     codes = qids.dictionary_encode(null_encoding="encode").indices.to_numpy()
     repeated = len(np.unique(codes)) < len(codes)
     starts = np.cumsum([0, *(len(g.mat) for g in groups)])
@@ -153,9 +179,13 @@ def _results(qids: pa.Array, groups: list[_Best], k: int, kind: pa.DataType) ->
     for start, group in zip(starts, groups):
         if (f := group.found()) is None:
             continue
-        parts.append((f[0] + start, *f[1:]))
+        row, score, ids, null, key = f
         if not repeated:
-            yield _batch(qids, *_ranked_rows(codes, *parts.pop()), k, kind)
+            first = np.flatnonzero(np.r_[True, row[1:] != row[:-1]])
+            rank = np.arange(len(row)) - np.repeat(first, np.diff(np.r_[first, len(row)])) + 1
+            yield _batch(qids, row + start, score, ids, null, _share(key), rank, k, kind)
+        else:
+            parts.append((row + start, score, ids, null, key))
     if parts:
         yield _batch(qids, *_ranked_rows(codes, *(np.concatenate(c) for c in zip(*parts))), k, kind)
 
@@ -172,13 +202,20 @@ def _ranked_rows(codes: np.ndarray, row, score, ids, null, key) -> tuple:
 def _batch(qids: pa.Array, row, score, ids, null, place, rank, k: int, kind: pa.DataType) -> pa.RecordBatch:
     at = rank <= k
     items = pa.array(ids[at], kind, mask=null[at]) if len(null) and not null.all() else pa.nulls(int(at.sum()), kind)
-    return pa.record_batch(
-        [qids.take(pa.array(row[at])), items, pa.array(score[at]), pa.array(place[at]), pa.array(rank[at].astype(np.int32))],
-        names=["qid", "item_id", "score", "place", "rank"],
-    )
+    first = np.flatnonzero(rank[at] == 1)
+    ends = pa.array(np.r_[first, at.sum()].astype(np.int32))
+    lists = [pa.ListArray.from_arrays(ends, c) for c in (items, pa.array(score[at]), pa.array(place[at]))]
+    return pa.record_batch([qids.take(pa.array(row[at][first])), *lists], names=["qid", "item_id", "score", "place"])
 
 
-def knn(
+def knn(queries: DataFrame, items: DataFrame, k: int, **options) -> DataFrame:
+    """(qid, item_id, score, rank): the rows of ``knn_lists``, which has the options."""
+    lists = knn_lists(queries, items, k, **options)
+    rows = lists.select("qid", F.posexplode(F.arrays_zip("item_id", "score")).alias("_at", "_found"))
+    return rows.select("qid", "_found.item_id", "_found.score", (F.col("_at") + 1).alias("rank"))
+
+
+def knn_lists(
     queries: DataFrame,
     items: DataFrame,
     k: int,
@@ -189,39 +226,45 @@ def knn(
     item_block: int | None = None,
     query_block: int | None = None,
     small_query_bytes: int = SMALL_QUERY_BYTES,
-    cell_rows: int = CELL_ROWS,
+    cell_rows: int | None = None,
 ) -> DataFrame:
-    """(qid, item_id, score, rank): the k items of highest inner product. Scores
-    that differ by less than rounding of their possible range are ties, which the
-    item id decides. Fewer than k items give fewer rows. Rows of one qid are one
+    """(qid, item_id, score): the k items of highest inner product as lists, best
+    first, a row per query that has any. What is done once per query is best done
+    to these rows; there are k times fewer than candidates. Scores that differ by less than rounding of their possible range are ties, which the
+    item id decides. Fewer than k items give shorter lists. Rows of one qid are one
     query. Blocks are rows: the queries that a task holds, by default as many as
-    ``BLOCK_BYTES`` hold, and the items multiplied at once."""
+    ``BLOCK_BYTES`` hold, and the items multiplied at once. Cells are used where a
+    sample says that they spare a query most items, and always with ``cell_rows``;
+    the result is the same."""
     if k <= 0:
         raise ValueError("k must be >= 1")
     q = queries.select(F.col(qid).alias("qid"), F.col(query).alias("vector"))
     i = items.select(F.col(item_id).alias("item_id"), F.col(item).alias("embedding"))
     schema = (
-        f"qid {q.schema['qid'].dataType.simpleString()}, item_id {i.schema['item_id'].dataType.simpleString()}, "
-        "score double, place double, rank int"
+        f"qid {q.schema['qid'].dataType.simpleString()}, item_id array<{i.schema['item_id'].dataType.simpleString()}>, "
+        "score array<double>, place array<double>"
     )
     asked, held = _facts(q, "vector"), _facts(i, "embedding")
-    item_block = item_block or CHUNK_ROWS
+    item_block = item_block or max(1, min(CHUNK_ROWS, CHUNK_BYTES // (12 * max(1, held.d))))
     query_block = query_block or max(1, BLOCK_BYTES // (8 * 3 * (max(1, asked.d, held.d) + 3 * min(k, max(1, held.n)))))
     if asked.n * (asked.d + 2 * k) * 8 <= small_query_bytes:
         found = _sent_to_items(q, i, k, schema, item_block, held.longest)
+        found = found.select("qid", F.inline(F.arrays_zip("item_id", "score", "place")))
         best = W.partitionBy("qid").orderBy(F.desc("place"), "item_id")
         found = found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
+        found = found.groupBy("qid").agg(F.sort_array(F.collect_list(F.struct("rank", "item_id", "score"))).alias("_found"))
+        return found.select("qid", "_found.item_id", "_found.score")
     else:
         least = min(BLOCKS_PER_CORE * q.sparkSession.sparkContext.defaultParallelism, math.ceil(asked.n / GROUP_ROWS))
         blocks = max(1, least, math.ceil(asked.n / query_block))
-        cells = min(CENTRE_BYTES // (8 * max(1, held.d)), held.n // cell_rows)
-        if cells > 1:
+        cells = min(CENTRE_BYTES // (8 * max(1, held.d)), held.n // (cell_rows or CELL_ROWS))
+        if cells > 1 and (cell_rows or _cells_spare(q, i, k, cells, held.n, held.d)):
             found = _cell_search(q, i, k, schema, item_block, asked.n, blocks, cells, held.longest)
         else:
             q = q.withColumn("_qb", F.pmod(F.xxhash64("qid"), F.lit(blocks)).cast("int"))
             every = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("_qb")
             found = _product(q, i.select("*", every), k, schema, item_block, blocks, held.longest)
-    return found.drop("place")
+    return found.select("qid", "item_id", "score")
 
 
 def _facts(df: DataFrame, vector: str):
@@ -241,7 +284,7 @@ def _sent_to_items(q: DataFrame, i: DataFrame, k: int, schema: str, item_block:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         groups, kind = [_Best(qmat[a : a + GROUP_ROWS], k, longest) for a in range(0, len(qmat), GROUP_ROWS)], None
-        for batch in batches:
+        for batch in _gathered(batches, item_block):
             kind = batch["item_id"].type
             for chunk in _chunks(batch["item_id"], batch["embedding"], item_block, longest):
                 for group in groups:
@@ -282,13 +325,15 @@ def _product(
             bars = np.where(np.isnan(bars), -np.inf, bars)
             return [_Best(mat[a : a + GROUP_ROWS], k, longest, bars[a : a + GROUP_ROWS]) for a in range(0, len(mat), GROUP_ROWS)]
 
-        for batch in batches:
-            first = int((batch["_side"].to_numpy() == 0).sum())
-            if first:
-                asked.append(batch.slice(0, first).select(["qid", "vector", "bar"]))
-            rest = batch.slice(first)
-            if not len(rest) or not (asked or groups):
-                continue
+        def streamed() -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                first = int((batch["_side"].to_numpy() == 0).sum())
+                if first:
+                    asked.append(batch.slice(0, first).select(["qid", "vector", "bar"]))
+                if len(batch) > first and (asked or groups):
+                    yield batch.slice(first).select(["cell", "item_id", "vector"])
+
+        for rest in _gathered(streamed(), item_block):
             groups, kind = groups or opened(), rest["item_id"].type
             for ids, null, mat, unit, cell in _chunks(rest["item_id"], rest["vector"], item_block, longest, rest["cell"].to_numpy()):
                 if cells is None:
@@ -310,6 +355,30 @@ def _product(
     return dealt.mapInArrow(run, schema)
 
 
+def _cells_spare(q: DataFrame, i: DataFrame, k: int, cells: int, n: int, d: int) -> bool:
+    """Whether cells leave a query less than half of the items, as far as samples
+    tell: radii of sample cells, and the bars that sample items set."""
+    most = CENTRE_BYTES // (8 * max(1, d))
+    if 4 * cells > most:
+        return True
+
+    def sample(df: DataFrame, name: str, vector: str, rows: int) -> np.ndarray:
+        return _matrix(df.orderBy(F.md5(F.col(name).cast("string"))).limit(rows).select(vector).toArrow()[vector].combine_chunks())
+
+    m = sample(i, "item_id", "embedding", min(most, max(SAMPLE_ROWS, 4 * cells)))
+    asked, p = sample(q, "qid", "vector", SAMPLE_QUERIES), m[:cells]
+    half, step = 0.5 * np.sum(p * p, axis=1), max(1, CELLS_AT_ONCE // cells)
+    near = np.concatenate([np.argmax(m[a : a + step] @ p.T - half, axis=1) for a in range(0, len(m), step)])
+    radius = np.zeros(len(p))
+    np.maximum.at(radius, near, np.linalg.norm(m - p[near], axis=1))
+    size, nth = np.bincount(near, minlength=len(p)), min(len(m), max(1, round(k * len(m) / n)))
+    left = []
+    for v in asked:
+        bar = np.partition(m @ v, len(m) - nth)[len(m) - nth]
+        left.append(size[p @ v + np.linalg.norm(v) * radius >= bar].sum())
+    return 2 * np.mean(left) < len(m) if left else False
+
+
 def _into_cells(df: DataFrame, vector: str, centres: Broadcast) -> DataFrame:
     """Nearest centre of every vector and the distance to it, written out: it
     is read several times and must not change between the readings."""
@@ -386,18 +455,24 @@ def _cell_search(
         return (np.isfinite(share) & (share + 1e-6 >= bar)).any(axis=0)
 
     first = search(queries.withColumn("bar", F.lit(None).cast("double")), nearest)
-    bars = materialise(first.where(F.col("rank") == k).select("qid", F.col("place").alias("bar")), "bars")
+    bars = materialise(first.where(F.size("place") == k).select("qid", F.get("place", F.lit(k - 1)).alias("bar")), "bars")
     return search(queries.join(bars, "qid", "left"), passing)
 
 
 VERSIONS = ("original", "rewritten")
 
 
-def knn_pairs(
-    queries: DataFrame, items: DataFrame, k: int, key: str, original: str, rewritten: str, **item_options
-) -> DataFrame:
+def knn_pairs(queries: DataFrame, items: DataFrame, k: int, key: str, original: str, rewritten: str, **item_options) -> DataFrame:
+    """(key, version, item_id, score, rank): the rows of ``knn_pair_lists``."""
+    lists = knn_pair_lists(queries, items, k, key, original, rewritten, **item_options)
+    rows = lists.select(key, "version", F.posexplode(F.arrays_zip("item_id", "score")).alias("_at", "_found"))
+    return rows.select(key, "version", "_found.item_id", "_found.score", (F.col("_at") + 1).alias("rank"))
+
+
+def knn_pair_lists(queries: DataFrame, items: DataFrame, k: int, key: str, original: str, rewritten: str, **item_options) -> DataFrame:
     """Candidates of both query versions in one search: (key, version, item_id,
-    score, rank). A null vector is a version that need not be searched."""
+    score), the last two as lists, best first. A null vector is a version that
+    need not be searched."""
     pairs = F.explode(
         F.array(*[F.struct(F.lit(v).alias("version"), F.col(c).alias("vector")) for v, c in zip(VERSIONS, (original, rewritten))])
     )
@@ -405,10 +480,10 @@ def knn_pairs(
     both = both.select(
         F.concat_ws("|", "p.version", F.col("_key").cast("string")).alias("qid"), "_key", "p.version", "p.vector"
     )
-    found = knn(both, items, k, **item_options)
+    lists = knn_lists(both, items, k, **item_options)
     name = F.split("qid", r"\|", 2)
     back = F.get(name, F.lit(1)).cast(queries.schema[key].dataType)
-    return found.select(back.alias(key), F.get(name, F.lit(0)).alias("version"), "item_id", "score", "rank")
+    return lists.select(back.alias(key), F.get(name, F.lit(0)).alias("version"), "item_id", "score")
 
 
 def mark_relevant(ranked: DataFrame, relevance: DataFrame, key: str, item: str) -> DataFrame:

@@ -78,18 +78,27 @@ s as (select k, version, v.label = i.label as relevant, i.vec_id as item_id,
 ranked as (select *, row_number() over (partition by k, version order by score desc, item_id) as rank from s)"""
 
 
-def _ranked(spark: SparkSession, sf: str, queries: DataFrame, depth: int) -> DataFrame:
-    """Candidates of both versions without the query vectors, ranked anew."""
+def _ranked(spark: SparkSession, sf: str, queries: DataFrame, depth: int, written: bool = False) -> DataFrame:
+    """Candidates of both versions without the query vectors, ranked anew. What is
+    ``written`` can be read more than once."""
     e = X.table(spark, sf, "embeddings")
-    found = R.knn_pairs(queries, e, depth + SPARE, "k", "original", "rewritten", item_id="vec_id", small_query_bytes=0)
+    lists = R.knn_pair_lists(queries, e, depth + SPARE, "k", "original", "rewritten", item_id="vec_id", small_query_bytes=0)
+    # by the key as lists: what is grouped by the key shuffles no candidates
+    lists = lists.select("k", "version", "item_id").repartition(F.col("k")).join(queries.select("k", "rid", "label"), "k")
+    others = F.filter("item_id", lambda x: (x != F.col("k")) & (x != F.col("rid")))
+    lists = lists.select("k", "version", "label", others.alias("item_id"))
+    once = e.groupBy("vec_id").count().where("count > 1").isEmpty()
+    if once:  # a candidate meets one label, so its place in the list is its rank
+        lists = lists.withColumn("item_id", F.slice("item_id", 1, depth))
+        lists = materialise(lists, "candidates") if written else lists
     labels = e.select(F.col("vec_id").alias("item_id"), F.col("label").alias("item_label"))
-    rows = found.select("k", "version", "item_id", "rank").join(labels, "item_id")
-    # by the key last: the ranks anew and what is grouped by the key need no further shuffle
-    rows = rows.join(queries.select("k", "rid", "label"), "k").where("item_id <> k and item_id <> rid")
-    rows = rows.withColumn("relevant", F.col("label") == F.col("item_label"))
-    again = W.partitionBy("k", "version").orderBy("rank")
-    rows = rows.withColumn("rank", F.row_number().over(again)).where(F.col("rank") <= depth)
-    return rows.select("k", "version", "item_id", "relevant", "rank")
+    rows = lists.select("k", "version", "label", F.posexplode("item_id").alias("_at", "item_id")).join(labels, "item_id")
+    rows = rows.select("k", "version", "item_id", F.col("label") == F.col("item_label"), F.col("_at") + 1).toDF("k", "version", "item_id", "relevant", "rank")
+    if not once:
+        again = W.partitionBy("k", "version").orderBy("rank")
+        rows = rows.withColumn("rank", F.row_number().over(again)).where(F.col("rank") <= depth)
+        rows = materialise(rows, "ranked") if written else rows
+    return rows
 
 
 def _hit_sql(opt: HitOptions) -> str:
@@ -206,8 +215,8 @@ select k, case when applies then round(least(1.0, greatest(-1.0, (ln(o) - ln(r))
 def retrieval_scored_rows(spark: SparkSession, sf: str) -> DataFrame:
     """Both retrieval rewards as operators, with their null rules and double misses."""
     queries = _queries(spark, sf)
-    ranked = _ranked(spark, sf, queries, _HIT.top_k).select("k", "version", F.col("item_id").cast("string").alias("candidate"), "rank")
-    ranked = materialise(ranked, "ranked")  # two scorers read it
+    ranked = _ranked(spark, sf, queries, _HIT.top_k, written=True)  # two scorers read it
+    ranked = ranked.select("k", "version", F.col("item_id").cast("string").alias("candidate"), "rank")
     rows = R.score_retrieval_hit(X.frame(spark, sf, _ROWS), ranked, _HIT, key="k", output="hit")
     rows = R.score_retrieval_ndcg(rows, ranked, _ABSOLUTE, key="k", output="ndcg")
     return rows.select("k", r6("hit").alias("hit"), r6("ndcg").alias("ndcg"))
