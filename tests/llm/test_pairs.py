@@ -9,7 +9,9 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+import tunetables.llm.queries  # noqa: F401  (fills the registry)
 from tunetables.llm import decontaminate, neardup, suffixes, tables
+from tunetables.plans.registry import QUERIES
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -240,6 +242,19 @@ def test_repeats_of_many_short_words_are_cut(spark):
     assert cut == want and ((0, "0left0  right00") in cut) and ((1, texts[1]) in cut) and ((7, "\t") in cut)
 
 
+def test_op6_cuts_passages_of_400_bytes_and_no_shorter_ones(spark, tmp_path):
+    rng = random.Random(6)
+    long, short = (" ".join("".join(rng.choice("abcdefgh") for _ in range(n)) for _ in range(51)) for n in (8, 5))
+    assert len(short) < 400 < len(long)
+    texts = [f"{i}é{''.join(rng.choice('pqrs ') for _ in range(300))}{gap}{p}{gap}{k}{i}" for k, p in enumerate((long, short)) for i, gap in ((1, "\n"), (2, " "))]
+    spark.createDataFrame([(i, t) for i, t in enumerate([*texts, None])], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    rows = {r.doc_id: r for r in QUERIES["op6_repeated_bytes"](spark, str(tmp_path)).collect()}
+    got = {i: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for i, r in rows.items()}
+    assert got == dict(enumerate(plain_removal([*texts, None], 400)))
+    assert [rows[i].n_removed for i in range(5)] == [len(long)] * 2 + [0] * 3
+    assert [rows[i].text for i in range(5)] == [t.replace(long, "") for t in texts] + [None]
+
+
 def test_window_anchors_are_the_least_of_each_window(monkeypatch):
     rng = np.random.default_rng(1)
     for mask in (suffixes._MASK, np.uint64(63)):
