@@ -591,3 +591,107 @@ def test_documents_are_read_in_slices(spark, monkeypatch):
     df = spark.createDataFrame([(i, "doc_evidence" if i % 4 else "math", '{"grounding":{"t":[%d]}}' % (i % 2), label) for i in range(10)], "id int, category string, completion string, solution string")
     got = {r.id: r.grounding_selection_reward for r in selection.score_selection(df.coalesce(1)).collect()}
     assert [i for i, v in got.items() if v is None] == [0, 4, 8] and {got[i] for i in (1, 3, 5, 7, 9)} == {1.0}
+
+
+def test_kv_is_one_pass_that_is_compiled(spark, tmp_path, capsys):
+    """Documents go to Python once and come back as numbers; the JVM's part stays below
+    8,000 bytes a method, beyond which HotSpot interprets it row after row."""
+    import re
+
+    from tunetables.operators.kv import _PAIR
+    from tunetables.plans.scoring import kv_table_reward
+
+    assert not any(f.type.num_fields for f in _PAIR)
+    lines = "l_orderkey long, l_linenumber int, l_partkey long, l_suppkey long, l_quantity double"
+    spark.createDataFrame([(i, 1, i + 7, i % 3, 5.0) for i in range(10)], lines).write.parquet(f"{tmp_path}/lineitem.parquet")
+    scored = kv_table_reward(spark, str(tmp_path))
+    scored.explain("codegen")
+    plan = capsys.readouterr().out
+    assert all(int(size) < 8000 for size in re.findall(r"maxMethodCodeSize:(\d+)", plan))
+    scored.explain()
+    assert capsys.readouterr().out.count("ArrowEvalPython") == 1
+    want = {0: 1.0, 1: 0.6, 2: 0.5, 3: 0.75, 4: 0.6}  # exact, a row missing, a column named otherwise, a null, a row repeated
+    assert {r.k: r.kv_reward for r in scored.collect()} == {i: want[(i + 1) % 5] for i in range(10)}
+
+
+def test_tables_compared_by_cell_and_by_facts():
+    """Both ways give one result, whatever the tables hold."""
+    from tunetables.operators import kv
+
+    rng, met, bounded = random.Random(11), 0, 0
+    values = [*WORDS, None, "None", "none", "!!", "", 7, 7.0, True, [1], {}, "\u200b", "a b c d", "a b c e"]
+
+    def changed(node):
+        if isinstance(node, dict):
+            return {k: changed(v) for k, v in node.items() if rng.random() < 0.95}
+        if isinstance(node, list):
+            return [changed(v) for v in node] + [v for v in node if rng.random() < 0.1]
+        return rng.choice(values) if rng.random() < 0.3 else node
+
+    for options in ({}, {"max_serialized_length_ratio": 0.9, "max_leaf_count_ratio": 0.8}, {"non_exact_value_cap": 0.9, "weighted_fuzzy_match_threshold": 0.2}, {"use_weighted_fuzzy_f1": False, "score_threshold": 0.4}):
+        opt = KVOptions(**options)
+        for _ in range(400):
+            gold = {"tables": random_tables(rng)}
+            text = json.dumps(gold, ensure_ascii=rng.random() < 0.5)
+            pred = rng.choice([gold, changed(gold), changed(gold), {"tables": random_tables(rng)}])
+            head = text if pred is gold else json.dumps(pred, ensure_ascii=rng.random() < 0.5)
+            if not isinstance(pred.get("tables"), dict):
+                continue
+            made = [kv._Gold(text, opt) for _ in range(2)]
+            cells = kv._compare_tables(pred["tables"], head, made[0], True, head == text, opt)
+            facts = kv._compare(pred, head, made[1], True, head == text, opt)
+            assert kv.Compared(*cells) == kv.Compared(*facts), (head, text, options)
+            met += 0 < kv.Compared(*cells).placed < len(head)
+            length, leaves = made[0].least()
+            assert length <= jsonx.json_length(gold["tables"]) and leaves <= jsonx.count_leaves(gold["tables"])
+            bounded += length > 0
+    assert met > 500 and bounded > 500
+
+
+def test_texts_left_over_are_the_last_ones():
+    from tunetables.operators.kv import _unmatched
+
+    rng = random.Random(2)
+    for size in (6, 40):
+        for _ in range(200):
+            pred, gold = ([rng.choice(["a", "b", None, "", "c"]) for _ in range(rng.randint(0, size))] for _ in range(2))
+            left, rest = _unmatched(pred, gold)
+            for mine, others, over in ((pred, gold, left), (gold, pred, rest)):
+                want = [t for k, t in enumerate(mine) if mine[: k + 1].count(t) > others.count(t)]
+                assert over == want
+
+
+def test_text_bounds_hold():
+    rng = random.Random(5)
+    values = [0, -0, 10**40, 1e15, 1e-7, 0.5, 2.0, True, None, "", "é", "\u200b", 'q"', "b\\", "\n\x01", "a,b:c", [], {}, float("inf")]
+
+    def tree(depth=0):
+        kind = rng.random()
+        if depth < 3 and kind < 0.4:
+            return {rng.choice("abcé"): tree(depth + 1) for _ in range(rng.randint(0, 3))}
+        return [tree(depth + 1) for _ in range(rng.randint(0, 3))] if depth < 3 and kind < 0.7 else rng.choice(values)
+
+    bounded = 0
+    for _ in range(1000):
+        node = tree()
+        for written in ({}, {"ensure_ascii": False}, {"separators": (",", ":")}, {"indent": 2}):
+            text = json.dumps(node, **written)
+            length, leaves = jsonx.text_bounds(text)
+            assert jsonx.json_length(json.loads(text)) <= length and jsonx.count_leaves(json.loads(text)) <= leaves
+            bounded += length < float("inf")
+    assert bounded > 1000 and jsonx.text_bounds('{"a":1e15}')[0] == float("inf")
+
+
+def test_documents_read_at_once_are_those_of_the_readings():
+    """What closes like a document is read whole first; the rest goes the slow way."""
+    for text in ['{"a":1}', ' {"a":1}', '{"a":1} x}', "[1]", "[1]]", "1]", "null", "{}", '{"a":1}\u3000', "\ufeff{}", '```json\n{"a":1}\n```', 'see {"a":1}', "", "}", "[" * 10**5 + "]" * 10**5]:
+        for loads, readings in ((jsonx.loads_strict, jsonx.strict_readings), (jsonx.loads_lenient, jsonx.lenient_readings)):
+            want = None
+            for stretch in readings(text):
+                try:
+                    want = json.loads(stretch)
+                except (ValueError, RecursionError):
+                    continue
+                if want is not None:
+                    break
+            assert loads(text) == want, text[:20]

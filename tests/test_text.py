@@ -1,3 +1,5 @@
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -140,3 +142,21 @@ def test_active_rewards(spark):
         R.build_reward("nothing", 1.0)
     with pytest.raises(ValueError):
         R.register_reward("match", None)
+
+
+def test_texts_without_delimiters_are_told_by_one_search(spark):
+    """Where the search finds nothing, extraction changes nothing."""
+    rng = random.Random(9)
+    pieces = ["<solution>", "</SOLUTION>", "<Answer>", "</answer>", "<an\u017fwer>", "</think>", "</THINK>", "</Th\u0130nk>", "<t.g>", "<txg>", "### Start\n", "### End", "##", "<", "<stop>", " ",
+              "\u3000", "\n", "x", "the ANSWER is: ", "an\u017fwer:", "answers", "{}", "<|im_end|>", "think"]
+    rows = [("".join(rng.choice(pieces) for _ in range(rng.randint(0, 6))),) for _ in range(3000)]
+    df = spark.createDataFrame(rows, "c string")
+    c, met = F.col("c"), 0
+    for ext in (Extraction(), Extraction(think_end_token="<t.g>"), Extraction(think_end_token="<t.g>", escape_tags=True), Extraction(think_end_token="think"), Extraction(is_answer_tag=True)):
+        told, full = T.may_hold_answer(c, ext), T.extract_answer(c, ext)
+        for r in df.select("c", told.alias("told"), full.alias("full")).collect():
+            assert r.told or r.full == r.c, (r, ext)
+            met += not r.told
+    assert met > 1000
+    found = df.select(T.may_hold_keywords(c).alias("told"), T.split_on_keywords(c).alias("full"), T.strip(c).alias("plain")).collect()
+    assert all(r.told or r.full == r.plain for r in found) and not all(r.told for r in found)

@@ -81,12 +81,27 @@ def extract_answer(c: Column, ext: Extraction = Extraction()) -> Column:
     return out.otherwise(c)
 
 
+def may_hold_answer(c: Column, ext: Extraction = Extraction()) -> Column:
+    """False where ``extract_answer`` gives the text as it is: one search for the
+    beginnings of its patterns, where they all begin with fixed texts."""
+    tag = ext.think_end_token
+    fixed = tag.startswith("<") and "\\E" not in tag and (ext.escape_tags or tag.strip("</>").isalnum())
+    if ext.extraction_profile == "gemma4" or ext.is_answer_tag or not fixed:
+        return F.lit(True)
+    return c.contains("###") | (c.contains("<") & c.rlike(rf"(?iuU)<(?:solution>|answer>|\Q{tag[1:]}\E)"))
+
+
 def split_on_keywords(c: Column) -> Column:
     """Text after the last 'answer is' / 'answer:'."""
     parts = F.split(F.coalesce(c, F.lit("")), rf"(?iuU)answer{WS}*(?:is{WS}*:?|:){WS}*", -1)
     return strip(F.element_at(parts, -1))
 
 
+def may_hold_keywords(c: Column) -> Column:
+    """False where ``split_on_keywords`` only strips the text."""
+    return c.rlike("(?iuU)answer")
+
+
 def _unwrap(c: Column) -> Column:
     c = F.regexp_replace(c, r"\\boxed\{([^{}]*)\}", "$1")
     return F.regexp_replace(c, r"\\text\{([^{}]*)\}", "$1")
